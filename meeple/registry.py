@@ -11,8 +11,11 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from meeple.plans import gold, silver
-from meeple.sources.adapters import RUN_DATE, load_raw
+from pyspark.sql import functions as F
+
+from meeple.plans import gold, questions, segments, silver
+from meeple.session import shared_dir
+from meeple.sources.adapters import AS_OF, RUN_DATE, load_raw
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -38,6 +41,65 @@ def _daily_summary(spark: SparkSession, sf: str, run_date=None) -> DataFrame:
     ).orderBy("event_date")
 
 
+def _demographics(spark: SparkSession, sf: str) -> DataFrame:
+    r = load_raw(spark, sf)
+    return gold.user_demographics(
+        r.users,
+        silver.user_sessions(r.sessions, r.users, r.logins),
+        silver.purchases_enriched(r.purchases, r.users),
+    )
+
+
+def _aged(spark: SparkSession, sf: str) -> DataFrame:
+    return segments.with_account_age(_demographics(spark, sf), AS_OF)
+
+
+def _split(spark: SparkSession, sf: str, rule="rate", **params):
+    return segments.split_inactive(_aged(spark, sf), segments.inactive_condition(rule, **params))
+
+
+def _synthetic_clusters(spark: SparkSession, sf: str) -> DataFrame:
+    """Active users (rate rule, 15 min) with a stand-in cluster id (user id mod 3), to
+    check the profiling and labelling steps without K-means."""
+    active, _ = _split(spark, sf)
+    return active.withColumn("cluster", F.pmod(F.col("user_id").cast("long"), F.lit(3)).cast("int"))
+
+
+def _synthetic_segments(spark: SparkSession, sf: str) -> DataFrame:
+    _, inactive = _split(spark, sf)
+    labelled = segments.label_clusters(_synthetic_clusters(spark, sf)).drop("cluster")
+    return labelled.unionByName(segments.tag(inactive, segments.INACTIVE))
+
+
+def _trained(spark: SparkSession, sf: str):
+    return segments.train_segments(_demographics(spark, sf), AS_OF)
+
+
+def _scored(spark: SparkSession, sf: str) -> DataFrame:
+    _, model = _trained(spark, sf)
+    base = shared_dir(spark, "models", "user_segmentation")
+    segments.save_model(model, base, "v1")
+    return segments.score_segments(
+        _demographics(spark, sf), AS_OF, segments.load_model(base), refit_scaler=True
+    )
+
+
+def _simple(spark: SparkSession, sf: str) -> DataFrame:
+    trained, _ = _trained(spark, sf)
+    return segments.simple_segments(trained)
+
+
+def _silhouette(spark: SparkSession, sf: str) -> DataFrame:
+    scaled = segments.active_features(_demographics(spark, sf), AS_OF, segments.TRAIN_MIN_MINUTES)
+    clustered = segments.kmeans().fit(scaled).transform(scaled)
+    return segments.silhouette(spark, clustered)
+
+
+def _k_sweep(spark: SparkSession, sf: str) -> DataFrame:
+    scaled = segments.active_features(_demographics(spark, sf), AS_OF, segments.TRAIN_MIN_MINUTES)
+    return segments.k_sweep(spark, scaled)
+
+
 QUERIES: dict[str, Query] = {
     # Q1-Q3 silver
     "silver_user_sessions": lambda s, sf: _silver_sessions(s, sf),
@@ -50,4 +112,41 @@ QUERIES: dict[str, Query] = {
     # Q4 gold daily summary
     "daily_summary_backfill": lambda s, sf: _daily_summary(s, sf),
     "daily_summary_one_day": lambda s, sf: _daily_summary(s, sf, RUN_DATE),
+    # Q5 demographics
+    "user_session_metrics": lambda s, sf: gold.session_metrics(_silver_sessions(s, sf)),
+    "user_purchase_metrics": lambda s, sf: gold.purchase_metrics(_silver_purchases(s, sf)),
+    "user_demographics": _demographics,
+    # M1 inactive rules, U1 EXCEPT, U2 UNION
+    "inactive_rate_15": lambda s, sf: _split(s, sf)[1],
+    "inactive_rate_5": lambda s, sf: _split(s, sf, min_minutes=segments.SCORE_MIN_MINUTES)[1],
+    "inactive_simple": lambda s, sf: _split(s, sf, "simple")[1],
+    "inactive_draft": lambda s, sf: _split(s, sf, "draft")[1],
+    "active_users": lambda s, sf: _split(s, sf)[0],
+    "active_inactive_union": lambda s, sf: segments.tag(_split(s, sf)[0], "Active").unionByName(
+        segments.tag(_split(s, sf)[1], segments.INACTIVE)
+    ),
+    # M3, M5, M6, A8-A10, Q9 (labelling checked on stand-in clusters)
+    "feature_zscores": lambda s, sf: segments.feature_zscores(_split(s, sf)[0]),
+    "cluster_profile": lambda s, sf: segments.cluster_profile(_synthetic_clusters(s, sf)),
+    "cluster_labels": lambda s, sf: segments.cluster_label_map(
+        segments.cluster_profile(_synthetic_clusters(s, sf))
+    ),
+    "segment_profile": lambda s, sf: segments.segment_profile(_synthetic_segments(s, sf)),
+    "segment_sizes": lambda s, sf: segments.segment_sizes(_synthetic_segments(s, sf)),
+    "user_categories": lambda s, sf: questions.user_categories(_aged(s, sf)),
+    # Q6-Q8, Q11, M2, M4, M7-M12 (Spark ML: rows-only checks)
+    "kmeans_segments": lambda s, sf: _trained(s, sf)[0],
+    "scored_segments": _scored,
+    "simple_segments": _simple,
+    "silhouette": _silhouette,
+    "k_sweep": _k_sweep,
+    "whales_by_country": lambda s, sf: segments.whales_by_country(_trained(s, sf)[0]),
+    # Q10, Q12-Q14 questions
+    "hourly_activity": lambda s, sf: questions.hourly_activity(load_raw(s, sf).sessions),
+    "device_usage": lambda s, sf: questions.device_usage(load_raw(s, sf).logins),
+    "user_base_makeup": lambda s, sf: questions.user_base_makeup(_demographics(s, sf)),
+    "users_by_country": lambda s, sf: questions.users_by_country(_demographics(s, sf)),
+    "earnings_by_item": lambda s, sf: questions.earnings_by_item(_silver_purchases(s, sf)),
+    "earnings_by_day": lambda s, sf: questions.earnings_by_day(_silver_purchases(s, sf)),
+    "total_earnings": lambda s, sf: questions.total_earnings(_silver_purchases(s, sf)),
 }
