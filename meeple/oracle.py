@@ -171,6 +171,7 @@ segmented AS (
 PRELUDE = f"""WITH {RAW},
 first_logins AS ({FIRST_LOGINS}),
 silver_user_sessions AS ({_silver_sessions()}),
+silver_user_sessions_one_login AS ({_silver_sessions('first_logins')}),
 silver_purchases_enriched AS ({SILVER_PURCHASES}),
 silver_leaderboard_enriched AS ({SILVER_LEADERBOARD}),{DEMOGRAPHICS},{SEGMENTS}"""
 
@@ -179,38 +180,81 @@ def _q(body: str, extra_ctes: str = "") -> str:
     return f"{PRELUDE}{',' + extra_ctes if extra_ctes else ''}\n{body}"
 
 
-def _daily_summary(where: str = "") -> str:
-    ctes = f"""
-s AS (SELECT * FROM silver_user_sessions {where}),
-p AS (SELECT * FROM silver_purchases_enriched {where}),
-sess AS (
-  SELECT event_date, count(*) AS total_sessions,
-         {_half_up_mean('sum(CAST(round(session_duration_minutes * 10) AS BIGINT))', 'count(session_duration_minutes)', 1)} AS avg_session_duration,
+def _summary_ctes(name: str, sessions: str, where: str = "") -> str:
+    """CTEs ending in ``name``: the daily summary over a silver sessions CTE."""
+    mean_dur = _half_up_mean(
+        "sum(CAST(round(session_duration_minutes * 10) AS BIGINT))", "count(session_duration_minutes)", 1
+    )
+    mean_amount = _half_up_mean("sum(CAST(round(amount * 100) AS BIGINT))", "count(amount)", 2)
+    return f"""
+{name}_s AS (SELECT * FROM {sessions} {where}),
+{name}_p AS (SELECT * FROM silver_purchases_enriched {where}),
+{name}_sess AS (
+  SELECT event_date, count(*) AS total_sessions, {mean_dur} AS avg_session_duration,
          count(DISTINCT user_id) AS unique_active_users
-  FROM s GROUP BY event_date),
-ph AS (
+  FROM {name}_s GROUP BY event_date),
+{name}_ph AS (
   SELECT event_date, hour_val AS peak_hour FROM (
     SELECT event_date, hour_val, row_number() OVER (
              PARTITION BY event_date ORDER BY cnt DESC, hour_val ASC NULLS LAST) AS rn
     FROM (SELECT event_date, CAST(hour(start_time) AS INTEGER) AS hour_val, count(*) AS cnt
-          FROM s GROUP BY 1, 2)) WHERE rn = 1),
-td AS (
+          FROM {name}_s GROUP BY 1, 2)) WHERE rn = 1),
+{name}_td AS (
   SELECT event_date, login_device AS top_device_type FROM (
     SELECT event_date, login_device, row_number() OVER (
              PARTITION BY event_date ORDER BY cnt DESC, login_device ASC NULLS LAST) AS rn
-    FROM (SELECT event_date, login_device, count(*) AS cnt FROM s GROUP BY 1, 2)) WHERE rn = 1),
-rev AS (
+    FROM (SELECT event_date, login_device, count(*) AS cnt FROM {name}_s GROUP BY 1, 2)) WHERE rn = 1),
+{name}_rev AS (
   SELECT event_date,
          CAST(sum(CAST(round(amount * 100) AS BIGINT)) AS DOUBLE) / 100 AS total_revenue,
-         {_half_up_mean('sum(CAST(round(amount * 100) AS BIGINT))', 'count(amount)', 2)} AS avg_purchase_amount
-  FROM p GROUP BY event_date)"""
-    body = """
-SELECT sess.event_date, sess.total_sessions, sess.avg_session_duration, sess.unique_active_users,
-       rev.total_revenue, rev.avg_purchase_amount, td.top_device_type, ph.peak_hour
-FROM sess JOIN td ON sess.event_date = td.event_date
-          JOIN ph ON sess.event_date = ph.event_date
-          LEFT JOIN rev ON sess.event_date = rev.event_date"""
-    return _q(body, ctes)
+         {mean_amount} AS avg_purchase_amount
+  FROM {name}_p GROUP BY event_date),
+{name} AS (
+  SELECT a.event_date, a.total_sessions, a.avg_session_duration, a.unique_active_users,
+         r.total_revenue, r.avg_purchase_amount, d.top_device_type, h.peak_hour
+  FROM {name}_sess a JOIN {name}_td d ON a.event_date = d.event_date
+                     JOIN {name}_ph h ON a.event_date = h.event_date
+                     LEFT JOIN {name}_rev r ON a.event_date = r.event_date)"""
+
+
+def _daily_summary(where: str = "") -> str:
+    return _q("SELECT * FROM summary", _summary_ctes("summary", "silver_user_sessions", where))
+
+
+SUMMARY_COLUMNS = [
+    "event_date", "total_sessions", "avg_session_duration", "unique_active_users",
+    "total_revenue", "avg_purchase_amount", "top_device_type", "peak_hour",
+]
+
+# Two versions of the gold table: computed from one-login silver up to 2024-01-20 (old),
+# and from the full silver from 2024-01-10 (new).
+VERSIONS = (
+    _summary_ctes("old_all", "silver_user_sessions_one_login")
+    + ","
+    + _summary_ctes("new_all", "silver_user_sessions")
+    + """,
+old_v AS (SELECT * FROM old_all WHERE event_date <= DATE '2024-01-20'),
+new_v AS (SELECT * FROM new_all WHERE event_date >= DATE '2024-01-10')"""
+)
+
+
+def _changes_sql() -> str:
+    differs = " OR ".join(f"o.{c} IS DISTINCT FROM n.{c}" for c in SUMMARY_COLUMNS)
+    cols_o = ", ".join(f"o.{c}" for c in SUMMARY_COLUMNS)
+    cols_n = ", ".join(f"n.{c}" for c in SUMMARY_COLUMNS)
+    return _q(
+        f"""
+SELECT *, 'delete' AS _change_type FROM old_v WHERE event_date NOT IN (SELECT event_date FROM new_v)
+UNION ALL
+SELECT *, 'insert' AS _change_type FROM new_v WHERE event_date NOT IN (SELECT event_date FROM old_v)
+UNION ALL
+SELECT {cols_o}, 'update_preimage' AS _change_type
+FROM old_v o JOIN new_v n ON o.event_date = n.event_date WHERE {differs}
+UNION ALL
+SELECT {cols_n}, 'update_postimage' AS _change_type
+FROM old_v o JOIN new_v n ON o.event_date = n.event_date WHERE {differs}""",
+        VERSIONS,
+    )
 
 
 def _earnings(key: str | None) -> str:
@@ -224,6 +268,71 @@ def _earnings(key: str | None) -> str:
     )
 
 
+def _h(keys: str, seed: str) -> str:
+    """The 32-bit draw md5(keys|seed) read as an unsigned number."""
+    return f"('0x' || substr(md5(concat_ws('|', {keys}, '{seed}')), 1, 8))::BIGINT"
+
+
+def _gen_seed(name: str) -> str:
+    return f"{name}|0|2024-01-15"
+
+
+GEN_DAY = "CAST(DATE '2024-01-15' AS TIMESTAMP)"
+
+
+def _generated() -> dict[str, str]:
+    login_cut = int(0.80 * 2**32)
+    buy_cut = int(0.20 * 2**32)
+    k = "user_id, CAST(n AS VARCHAR)"
+    start = f"({GEN_DAY} + to_seconds(CAST({_h(k, _gen_seed('start'))} % 86400 AS INTEGER)))"
+    return {
+        "sampled_logins": _q(
+            f"""SELECT user_id,
+       {GEN_DAY} + to_seconds(CAST({_h('user_id', _gen_seed('login_time'))} % 86400 AS INTEGER)) AS "timestamp",
+       ['iOS', 'Android', 'Web'][1 + {_h('user_id', _gen_seed('device'))} % 3] AS device_type,
+       country AS location, DATE '2024-01-15' AS event_date
+FROM raw_users WHERE {_h('user_id', _gen_seed('login'))} < {login_cut}"""
+        ),
+        "session_fanout": _q(
+            f"""SELECT md5(concat_ws('|', {k}, '{_gen_seed('session_id')}')) AS session_id, user_id,
+       ['Arcade', 'Ranked', 'Practice'][1 + {_h(k, _gen_seed('game'))} % 3] AS game_type,
+       {start} AS start_time,
+       {start} + to_minutes(CAST(5 + {_h(k, _gen_seed('length'))} % 56 AS INTEGER)) AS end_time,
+       CAST({_h(k, _gen_seed('score'))} % 1001 AS INTEGER) AS score,
+       ['Win', 'Lose'][1 + {_h(k, _gen_seed('result'))} % 2] AS result,
+       DATE '2024-01-15' AS event_date
+FROM (SELECT user_id, unnest(range(1, kk + 1)) AS n
+      FROM (SELECT user_id, {_h('user_id', _gen_seed('sessions'))} % 4 AS kk FROM raw_users)
+      WHERE kk > 0)"""
+        ),
+        "sampled_purchases": _q(
+            f"""SELECT md5(concat_ws('|', user_id, '{_gen_seed('purchase_id')}')) AS purchase_id, user_id,
+       ['Skin', 'Coins', 'Boost', 'Pass'][1 + {_h('user_id', _gen_seed('item'))} % 4] AS item,
+       CAST(99 + {_h('user_id', _gen_seed('amount'))} % 4901 AS DOUBLE) / 100 AS amount,
+       {GEN_DAY} + to_seconds(CAST({_h('user_id', _gen_seed('purchase_time'))} % 86400 AS INTEGER)) AS "timestamp",
+       DATE '2024-01-15' AS event_date
+FROM raw_users WHERE {_h('user_id', _gen_seed('purchase'))} < {buy_cut}"""
+        ),
+        "leaderboard_snapshot": _q(
+            f"""SELECT user_id, game_type, CAST(rk AS INTEGER) AS rank, DATE '2024-01-15' AS event_date FROM (
+  SELECT user_id, game_type, row_number() OVER (
+           PARTITION BY game_type
+           ORDER BY md5(concat_ws('|', user_id, game_type, '{_gen_seed('leaderboard')}')), user_id) AS rk
+  FROM (SELECT user_id, unnest(['Arcade', 'Ranked', 'Practice']) AS game_type FROM raw_users))
+WHERE rk <= 20"""
+        ),
+    }
+
+
+RAW_TABLES = {
+    "users": "raw_users",
+    "logins": "raw_logins",
+    "sessions": "raw_game_sessions",
+    "purchases": "raw_purchases",
+    "leaderboard": "raw_leaderboard_snapshots",
+}
+
+
 ORACLE: dict[str, str] = {
     "silver_user_sessions": _q("SELECT * FROM silver_user_sessions"),
     "silver_user_sessions_day": _q(
@@ -299,4 +408,24 @@ FROM segmented GROUP BY user_segment"""
     "earnings_by_item": _earnings("item"),
     "earnings_by_day": _earnings("event_date"),
     "total_earnings": _earnings(None),
+    # scans
+    "scan_users": _q("SELECT * FROM raw_users"),
+    "scan_user_ids": _q("SELECT user_id FROM raw_users"),
+    "scan_day_sessions": _q(f"SELECT * FROM raw_game_sessions WHERE event_date = {RUN_DATE}"),
+    "preview_users": _q("SELECT * FROM raw_users ORDER BY user_id LIMIT 20"),
+    "row_count_users": _q("SELECT count(*) AS row_count FROM raw_users"),
+    # typed ingest and CRM ingest give back the raw rows
+    **{f"bronze_{k}_typed": _q(f"SELECT * FROM {t}") for k, t in RAW_TABLES.items()},
+    **{f"crm_{k}_ingest": _q(f"SELECT * FROM {t}") for k, t in RAW_TABLES.items()},
+    # table maintenance
+    "upsert_daily": _q(
+        "SELECT * FROM old_v WHERE event_date NOT IN (SELECT event_date FROM new_v) "
+        "UNION ALL SELECT * FROM new_v",
+        VERSIONS,
+    ),
+    "daily_changes": _changes_sql(),
+    "clustered_users": _q("SELECT * FROM raw_users"),
+    "zordered_sessions": _q("SELECT * FROM silver_user_sessions"),
+    # generated raw rows
+    **_generated(),
 }

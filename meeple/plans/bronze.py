@@ -1,0 +1,116 @@
+"""Bronze: one day of raw activity drawn for every user.
+
+The reference drew these rows in a single Python loop on the driver. Here each draw is a
+column expression over the users table, keyed by ``md5(user | draw | seed | day)``, so a
+day's rows are the same on every run and on any cluster, and the work is spread over the
+users' partitions with no shuffle (except the leaderboard's per-game top 20).
+
+The reference's invented names (fake cities) have no counterpart: a login's ``location``
+is the user's country.
+"""
+
+from __future__ import annotations
+
+import datetime as dt
+
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+
+from meeple.operators.sampling import (
+    DEVICE_TYPES,
+    GAME_TYPES,
+    ITEMS,
+    LEADERBOARD_SIZE,
+    LOGIN_RATE,
+    MAX_SESSIONS_PER_DAY,
+    PURCHASE_RATE,
+    RESULTS,
+    bernoulli,
+    choice,
+    fan_out,
+    key_hash,
+    ranked_sample,
+)
+from meeple.sources.readers import as_date
+
+SECONDS_PER_DAY = 86_400
+# Fixed values of the reference: session length 5..60 minutes, score 0..1000, amount 0.99..49.99.
+MIN_SESSION_MINUTES, MAX_SESSION_MINUTES = 5, 60
+MAX_SCORE = 1000
+MIN_AMOUNT, MAX_AMOUNT = 0.99, 49.99
+
+
+def _seed(name: str, run_date: dt.date, seed: str) -> str:
+    return f"{name}|{seed}|{run_date.isoformat()}"
+
+
+def _time_of_day(run_date: dt.date, keys: list, seed: str) -> Column:
+    secs = F.pmod(key_hash(keys, seed), F.lit(SECONDS_PER_DAY)).cast("int")
+    start = F.lit(run_date).cast("timestamp_ntz")
+    return start + F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), secs)
+
+
+def _uniform_int(keys: list, seed: str, lo: int, hi: int) -> Column:
+    return (F.pmod(key_hash(keys, seed), F.lit(hi - lo + 1)) + lo).cast("int")
+
+
+def generate_logins(users: DataFrame, run_date, seed: str = "0") -> DataFrame:
+    """G1 + G4: about 80 % of users log in once, at a drawn time, on a drawn device."""
+    d = as_date(run_date)
+    picked = bernoulli(users, ["user_id"], LOGIN_RATE, _seed("login", d, seed))
+    return picked.select(
+        "user_id",
+        _time_of_day(d, ["user_id"], _seed("login_time", d, seed)).alias("timestamp"),
+        choice(DEVICE_TYPES, ["user_id"], _seed("device", d, seed)).alias("device_type"),
+        F.col("country").alias("location"),
+        F.lit(d).alias("event_date"),
+    )
+
+
+def generate_sessions(users: DataFrame, run_date, seed: str = "0") -> DataFrame:
+    """G2 + G4: 0..3 sessions per user, each with drawn start, length, game, score, result."""
+    d = as_date(run_date)
+    per_session = fan_out(
+        users.select("user_id"), ["user_id"], MAX_SESSIONS_PER_DAY, _seed("sessions", d, seed)
+    )
+    k = ["user_id", "n"]
+    start = _time_of_day(d, k, _seed("start", d, seed))
+    minutes = _uniform_int(k, _seed("length", d, seed), MIN_SESSION_MINUTES, MAX_SESSION_MINUTES)
+    return per_session.select(
+        F.md5(F.concat_ws("|", "user_id", "n", F.lit(_seed("session_id", d, seed)))).alias("session_id"),
+        "user_id",
+        choice(GAME_TYPES, k, _seed("game", d, seed)).alias("game_type"),
+        start.alias("start_time"),
+        (start + F.make_dt_interval(F.lit(0), F.lit(0), minutes)).alias("end_time"),
+        _uniform_int(k, _seed("score", d, seed), 0, MAX_SCORE).alias("score"),
+        choice(RESULTS, k, _seed("result", d, seed)).alias("result"),
+        F.lit(d).alias("event_date"),
+    )
+
+
+def generate_purchases(users: DataFrame, run_date, seed: str = "0") -> DataFrame:
+    """G1 + G4: about 20 % of users buy one item at a drawn amount (cents, 0.99..49.99)."""
+    d = as_date(run_date)
+    picked = bernoulli(users.select("user_id"), ["user_id"], PURCHASE_RATE, _seed("purchase", d, seed))
+    lo, hi = round(MIN_AMOUNT * 100), round(MAX_AMOUNT * 100)
+    cents = _uniform_int(["user_id"], _seed("amount", d, seed), lo, hi)
+    return picked.select(
+        F.md5(F.concat_ws("|", "user_id", F.lit(_seed("purchase_id", d, seed)))).alias("purchase_id"),
+        "user_id",
+        choice(ITEMS, ["user_id"], _seed("item", d, seed)).alias("item"),
+        (cents / 100.0).alias("amount"),
+        _time_of_day(d, ["user_id"], _seed("purchase_time", d, seed)).alias("timestamp"),
+        F.lit(d).alias("event_date"),
+    )
+
+
+def generate_leaderboard(users: DataFrame, run_date, seed: str = "0") -> DataFrame:
+    """Per game, 20 users drawn without replacement, ranked 1..20 in draw order."""
+    d = as_date(run_date)
+    per_game = users.select("user_id").withColumn(
+        "game_type", F.explode(F.array(*[F.lit(g) for g in GAME_TYPES]))
+    )
+    ranked = ranked_sample(
+        per_game, ["game_type"], ["user_id"], LEADERBOARD_SIZE, _seed("leaderboard", d, seed)
+    )
+    return ranked.select("user_id", "game_type", F.col("rank").cast("int"), F.lit(d).alias("event_date"))

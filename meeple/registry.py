@@ -13,9 +13,14 @@ from pyspark.sql import DataFrame, SparkSession
 
 from pyspark.sql import functions as F
 
-from meeple.plans import gold, questions, segments, silver
+import datetime as dt
+
+from meeple.operators import tables
+from meeple.plans import bronze, gold, questions, segments, silver
 from meeple.session import shared_dir
-from meeple.sources.adapters import AS_OF, RUN_DATE, load_raw
+from meeple.sources import ingest
+from meeple.sources.adapters import AS_OF, RUN_DATE, RawTables, load_raw
+from meeple.sources.readers import day
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -100,6 +105,54 @@ def _k_sweep(spark: SparkSession, sf: str) -> DataFrame:
     return segments.k_sweep(spark, scaled)
 
 
+_RAW_CONTRACTS = {
+    "users": "raw_users",
+    "logins": "raw_logins",
+    "sessions": "raw_game_sessions",
+    "purchases": "raw_purchases",
+    "leaderboard": "raw_leaderboard_snapshots",
+}
+
+
+def _raw(spark: SparkSession, sf: str, kind: str) -> DataFrame:
+    return getattr(load_raw(spark, sf), kind)
+
+
+def _typed(kind: str) -> Query:
+    """Rows arriving as text (as a CSV export or an untyped source gives them) cast to
+    the table contract."""
+
+    def run(spark: SparkSession, sf: str) -> DataFrame:
+        raw = _raw(spark, sf, kind)
+        as_text = raw.select(*[F.col(c).cast("string") for c in raw.columns])
+        return ingest.typed(as_text, _RAW_CONTRACTS[kind])
+
+    return run
+
+
+def _crm(kind: str) -> Query:
+    """A CRM export (columns suffixed __c) mapped back onto the raw table by name."""
+
+    def run(spark: SparkSession, sf: str) -> DataFrame:
+        exported = ingest.crm_export(_raw(spark, sf, kind))
+        return ingest.from_crm(exported, _RAW_CONTRACTS[kind])
+
+    return run
+
+
+def _summary_versions(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
+    """Two versions of the gold daily table: one-login silver up to 2024-01-20 (old) and
+    the full silver from 2024-01-10 (new): updated, deleted and inserted days."""
+    r: RawTables = load_raw(spark, sf)
+    purchases = silver.purchases_enriched(r.purchases, r.users)
+    old = gold.daily_summary(silver.user_sessions(r.sessions, r.users, r.logins, one_login_per_day=True), purchases)
+    new = gold.daily_summary(silver.user_sessions(r.sessions, r.users, r.logins), purchases)
+    return (
+        old.filter(F.col("event_date") <= F.lit(dt.date(2024, 1, 20))),
+        new.filter(F.col("event_date") >= F.lit(dt.date(2024, 1, 10))),
+    )
+
+
 QUERIES: dict[str, Query] = {
     # Q1-Q3 silver
     "silver_user_sessions": lambda s, sf: _silver_sessions(s, sf),
@@ -149,4 +202,25 @@ QUERIES: dict[str, Query] = {
     "earnings_by_item": lambda s, sf: questions.earnings_by_item(_silver_purchases(s, sf)),
     "earnings_by_day": lambda s, sf: questions.earnings_by_day(_silver_purchases(s, sf)),
     "total_earnings": lambda s, sf: questions.total_earnings(_silver_purchases(s, sf)),
+    # S2-S4, P12, A11 scans
+    "scan_users": lambda s, sf: _raw(s, sf, "users"),
+    "scan_user_ids": lambda s, sf: _raw(s, sf, "users").select("user_id"),
+    "scan_day_sessions": lambda s, sf: day(_raw(s, sf, "sessions"), RUN_DATE),
+    "preview_users": lambda s, sf: _raw(s, sf, "users").orderBy("user_id").limit(20),
+    "row_count_users": lambda s, sf: _raw(s, sf, "users").agg(F.count(F.lit(1)).alias("row_count")),
+    # S7 typed ingest, S8 CRM ingest
+    **{f"bronze_{k}_typed": _typed(k) for k in _RAW_CONTRACTS},
+    **{f"crm_{k}_ingest": _crm(k) for k in _RAW_CONTRACTS},
+    # S12, S15-S17 table maintenance
+    "upsert_daily": lambda s, sf: tables.upsert(*_summary_versions(s, sf), ["event_date"]),
+    "daily_changes": lambda s, sf: tables.changes(*_summary_versions(s, sf), ["event_date"]),
+    "clustered_users": lambda s, sf: tables.clustered(_raw(s, sf, "users"), "signup_date"),
+    "zordered_sessions": lambda s, sf: tables.zorder(
+        _silver_sessions(s, sf), ["user_id", "event_date"], num_files=8
+    ),
+    # G1-G4, W5 generated raw rows for one day
+    "sampled_logins": lambda s, sf: bronze.generate_logins(_raw(s, sf, "users"), RUN_DATE),
+    "session_fanout": lambda s, sf: bronze.generate_sessions(_raw(s, sf, "users"), RUN_DATE),
+    "sampled_purchases": lambda s, sf: bronze.generate_purchases(_raw(s, sf, "users"), RUN_DATE),
+    "leaderboard_snapshot": lambda s, sf: bronze.generate_leaderboard(_raw(s, sf, "users"), RUN_DATE),
 }
