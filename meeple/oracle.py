@@ -351,6 +351,19 @@ ORACLE: dict[str, str] = {
     ),
     "daily_summary_backfill": _daily_summary(),
     "daily_summary_one_day": _daily_summary(f"WHERE event_date = {RUN_DATE}"),
+    "peak_hour_per_day": _q(
+        """SELECT event_date, peak_hour, cnt FROM (
+  SELECT event_date, CAST(hour(start_time) AS INTEGER) AS peak_hour, count(*) AS cnt,
+         row_number() OVER (PARTITION BY event_date
+                            ORDER BY count(*) DESC, CAST(hour(start_time) AS INTEGER) ASC NULLS LAST) AS rn
+  FROM silver_user_sessions GROUP BY 1, 2) WHERE rn = 1"""
+    ),
+    "top_device_per_day": _q(
+        """SELECT event_date, top_device_type, cnt FROM (
+  SELECT event_date, login_device AS top_device_type, count(*) AS cnt,
+         row_number() OVER (PARTITION BY event_date ORDER BY count(*) DESC, login_device ASC NULLS LAST) AS rn
+  FROM silver_user_sessions GROUP BY 1, 2) WHERE rn = 1"""
+    ),
     "user_session_metrics": _q("SELECT * FROM session_metrics"),
     "user_purchase_metrics": _q("SELECT * FROM purchase_metrics"),
     "user_demographics": _q("SELECT * FROM demographics"),

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from meeple.functions.exprs import age_bracket, half_up_mean, scaled_units, units_to_double
@@ -57,19 +57,22 @@ def daily_summary(
         sessions = day(sessions, run_date)
         purchases = day(purchases, run_date)
 
-    cells = session_cells(sessions)
-    totals = cells.groupBy("event_date").agg(
+    # One branch over the cells: window sums give each cell its hour's and its device's
+    # count for the day, then one aggregate per day picks the winners. The cells are
+    # shuffled by day once; the windows and the aggregate reuse that partitioning.
+    cells = session_cells(sessions).repartition("event_date").select(
+        "*",
+        F.sum("n").over(Window.partitionBy("event_date", "hour")).alias("hour_n"),
+        F.sum("n").over(Window.partitionBy("event_date", "login_device")).alias("device_n"),
+    )
+    per_day = cells.groupBy("event_date").agg(
         F.sum("n").alias("total_sessions"),
         half_up_mean(F.sum("dur_tenths"), F.sum("n_dur"), 1).alias("avg_session_duration"),
+        F.min_by("hour", _most_then_smallest("hour_n", "hour")).alias("peak_hour"),
+        F.min_by("login_device", _most_then_smallest("device_n", "login_device")).alias(
+            "top_device_type"
+        ),
     )
-    peak = top_by_count(
-        cells.groupBy("event_date", "hour").agg(F.sum("n").alias("cnt")), ["event_date"], "hour"
-    ).select("event_date", F.col("hour").alias("peak_hour"))
-    device = top_by_count(
-        cells.groupBy("event_date", "login_device").agg(F.sum("n").alias("cnt")),
-        ["event_date"],
-        "login_device",
-    ).select("event_date", F.col("login_device").alias("top_device_type"))
     users = sessions.groupBy("event_date").agg(
         F.count_distinct("user_id").alias("unique_active_users")
     )
@@ -81,15 +84,22 @@ def daily_summary(
         units_to_double("cents", 2).alias("total_revenue"),
         half_up_mean("cents", "n_buy", 2).alias("avg_purchase_amount"),
     )
-    out = (
-        totals.join(users, "event_date")
-        .join(device, "event_date")
-        .join(peak, "event_date")
-        .join(revenue, "event_date", "left")
-    )
+    out = per_day.join(users, "event_date").join(revenue, "event_date", "left")
     return out.select(*DAILY_SUMMARY_COLUMNS)
 
 
+def _most_then_smallest(count_col: str, value_col: str) -> Column:
+    """Sort key for ``min_by``: highest count first, then the smaller value, NULL last."""
+    return F.struct(-F.col(count_col), F.col(value_col).isNull(), F.col(value_col))
+
+
+def top_per_day(sessions: DataFrame, value: Column, name: str) -> DataFrame:
+    """The most frequent ``value`` of each day's sessions (ties: smaller, NULL last),
+    as a top-1-per-group window over the per-(day, value) counts."""
+    counts = sessions.groupBy("event_date", value.alias(name)).agg(F.count(F.lit(1)).alias("cnt"))
+    return top_by_count(counts, ["event_date"], name).select("event_date", name, "cnt")
+
+
 def session_metrics(sessions: DataFrame) -> DataFrame:
     """Per user: session rows and mean duration (2 decimals, half-up)."""
     return sessions.groupBy("user_id").agg(

@@ -165,6 +165,12 @@ QUERIES: dict[str, Query] = {
     # Q4 gold daily summary
     "daily_summary_backfill": lambda s, sf: _daily_summary(s, sf),
     "daily_summary_one_day": lambda s, sf: _daily_summary(s, sf, RUN_DATE),
+    "peak_hour_per_day": lambda s, sf: gold.top_per_day(
+        _silver_sessions(s, sf), F.hour("start_time"), "peak_hour"
+    ),
+    "top_device_per_day": lambda s, sf: gold.top_per_day(
+        _silver_sessions(s, sf), F.col("login_device"), "top_device_type"
+    ),
     # Q5 demographics
     "user_session_metrics": lambda s, sf: gold.session_metrics(_silver_sessions(s, sf)),
     "user_purchase_metrics": lambda s, sf: gold.purchase_metrics(_silver_purchases(s, sf)),
