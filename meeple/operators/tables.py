@@ -77,12 +77,11 @@ def overwrite_keeping_schema(df: DataFrame, path: str, schema: T.StructType) ->
 def _unique_keys(source: DataFrame, keys: Sequence[str]) -> DataFrame:
     """``source`` unchanged, failing the job if two rows share a key (MERGE would be
     ambiguous). The window shuffles by the keys, which the anti join then reuses."""
-    dup = F.count(F.lit(1)).over(Window.partitionBy(*keys))
-    checked = source.withColumn(
-        "_key_rows",
-        F.when(dup > 1, F.raise_error(F.lit("upsert: several source rows share a key"))).otherwise(dup),
-    )
-    return checked.drop("_key_rows")
+    counted = source.withColumn("_key_rows", F.count(F.lit(1)).over(Window.partitionBy(*keys)))
+    unique = F.when(
+        F.col("_key_rows") > 1, F.raise_error(F.lit("upsert: several source rows share a key"))
+    ).otherwise(F.lit(True))
+    return counted.filter(unique).drop("_key_rows")
 
 
 def upsert(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataFrame:
