@@ -351,6 +351,7 @@ ORACLE: dict[str, str] = {
     ),
     "daily_summary_backfill": _daily_summary(),
     "daily_summary_one_day": _daily_summary(f"WHERE event_date = {RUN_DATE}"),
+    "daily_summary_from_silver": _daily_summary(),
     "peak_hour_per_day": _q(
         """SELECT event_date, peak_hour, cnt FROM (
   SELECT event_date, CAST(hour(start_time) AS INTEGER) AS peak_hour, count(*) AS cnt,
@@ -367,6 +368,7 @@ ORACLE: dict[str, str] = {
     "user_session_metrics": _q("SELECT * FROM session_metrics"),
     "user_purchase_metrics": _q("SELECT * FROM purchase_metrics"),
     "user_demographics": _q("SELECT * FROM demographics"),
+    "user_demographics_from_silver": _q("SELECT * FROM demographics"),
     "inactive_rate_15": _q(f"SELECT * FROM aged WHERE {RULES['rate_15']}"),
     "inactive_rate_5": _q(f"SELECT * FROM aged WHERE {RULES['rate_5']}"),
     "inactive_simple": _q(f"SELECT * FROM aged WHERE {RULES['simple']}"),

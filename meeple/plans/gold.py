@@ -1,4 +1,19 @@
-"""Gold layer: daily KPI summary (Q4) and per-user demographics (Q5)."""
+"""Gold layer: daily KPI summary (Q4) and per-user demographics (Q5).
+
+The reference computes both from the silver sessions table, whose rows fan out: a
+session appears once per login of its user that day. Its counts and means are therefore
+weighted by the number of logins. Materialising that fan-out costs sessions x logins rows
+per (user, day), which explodes for a heavy user.
+
+:func:`daily_summary` and :func:`user_demographics` give exactly the same numbers without
+it. Sessions are pre-aggregated per (user, day, start hour) and logins per (user, day,
+device). Joining those small cells gives each cell its weight (the login count, 1 when
+there is none). Both sides collapse map-side before the shuffle, so a user holding a
+third of all rows ships a few dozen rows per day.
+
+:func:`daily_summary_from_silver` and :func:`user_demographics_from_silver` read a
+materialised silver table instead, as the reference does.
+"""
 
 from __future__ import annotations
 
@@ -7,7 +22,14 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from meeple.functions.exprs import age_bracket, half_up_mean, scaled_units, units_to_double
+from meeple.functions.exprs import (
+    age_bracket,
+    duration_minutes,
+    half_up_mean,
+    normalise_label,
+    scaled_units,
+    units_to_double,
+)
 from meeple.operators.topk import top_by_count
 from meeple.sources.readers import day
 
@@ -22,50 +44,78 @@ DAILY_SUMMARY_COLUMNS = [
     "peak_hour",
 ]
 
+# ----------------------------------------------------------------------- session cells
+
 
-def session_cells(sessions: DataFrame) -> DataFrame:
-    """Sessions counted per (day, start hour, login device), with duration totals.
+def login_cells(logins: DataFrame) -> DataFrame:
+    """Logins counted per (user, day, normalised device)."""
+    return logins.groupBy(
+        "user_id", "event_date", normalise_label("device_type").alias("login_device")
+    ).agg(F.count(F.lit(1)).alias("logins"))
 
-    This tiny pre-aggregate (at most days x 24 x devices rows, combined map-side) feeds
-    the session count, mean duration, peak hour and top device of every day, so the
-    session rows are read once for all four.
+
+def weighted_session_cells(sessions: DataFrame, logins: DataFrame) -> DataFrame:
+    """Per (user, day, start hour, login device): the number of enriched session rows the
+    reference's silver table holds (``n``), their duration total in tenths of a minute and
+    the number of non-NULL durations, computed from the raw tables.
+
+    A session matches every login of its user and day (weight = that device's login
+    count), or none (weight 1, device NULL). NULL users and days never match.
     """
-    return sessions.groupBy(
-        "event_date", F.hour("start_time").alias("hour"), "login_device"
-    ).agg(
-        F.count(F.lit(1)).alias("n"),
-        F.sum(scaled_units("session_duration_minutes", 1)).alias("dur_tenths"),
-        F.count("session_duration_minutes").alias("n_dur"),
+    minutes = duration_minutes("start_time", "end_time")
+    cells = sessions.groupBy("user_id", "event_date", F.hour("start_time").alias("hour")).agg(
+        F.count(F.lit(1)).alias("s_n"),
+        F.sum((minutes * 10).cast("long")).alias("s_dur"),
+        F.count(minutes).alias("s_ndur"),
+    )
+    joined = cells.join(login_cells(logins), ["user_id", "event_date"], "left")
+    weight = F.coalesce(F.col("logins"), F.lit(1).cast("long"))
+    return joined.select(
+        "user_id",
+        "event_date",
+        "hour",
+        "login_device",
+        (F.col("s_n") * weight).alias("n"),
+        (F.col("s_dur") * weight).alias("dur_tenths"),
+        (F.col("s_ndur") * weight).alias("n_dur"),
     )
 
 
-def daily_summary(
-    sessions: DataFrame, purchases: DataFrame, run_date: dt.date | str | None = None
-) -> DataFrame:
-    """Q4: per day, sessions, mean duration, active users, revenue, top device, peak hour.
+def silver_session_cells(silver_sessions: DataFrame) -> DataFrame:
+    """The same cells read off a materialised silver sessions table (one per row)."""
+    return silver_sessions.select(
+        "user_id",
+        "event_date",
+        F.hour("start_time").alias("hour"),
+        "login_device",
+        F.lit(1).cast("long").alias("n"),
+        scaled_units("session_duration_minutes", 1).alias("dur_tenths"),
+        F.col("session_duration_minutes").isNotNull().cast("long").alias("n_dur"),
+    )
 
-    ``sessions``/``purchases`` are the silver tables. With ``run_date`` only that day is
-    computed (the daily job); without it, every day (backfill); both give identical rows.
 
-    As in the reference: a day without sessions has no row even if it has revenue; a day
-    without purchases has NULL revenue; sessions are counted as rows of the silver table
-    (so login fan-out counts), distinct users ignore NULL. The reference's top-1 queries
-    had no tie-break; here ties go to the earlier hour and to the smaller device label,
-    NULL device last.
-    """
-    if run_date is not None:
-        sessions = day(sessions, run_date)
-        purchases = day(purchases, run_date)
+# ----------------------------------------------------------------------- daily summary
+
+
+def _most_then_smallest(count_col: str, value_col: str) -> Column:
+    """Sort key for ``min_by``: highest count first, then the smaller value, NULL last."""
+    return F.struct(-F.col(count_col), F.col(value_col).isNull(), F.col(value_col))
+
 
-    # One branch over the cells: window sums give each cell its hour's and its device's
+def _summary(cells: DataFrame, sessions: DataFrame, purchases: DataFrame) -> DataFrame:
+    # Per (day, hour, device) first: at most days x 24 x devices rows, combined map-side.
+    per_cell = cells.groupBy("event_date", "hour", "login_device").agg(
+        F.sum("n").alias("n"), F.sum("dur_tenths").alias("dur_tenths"), F.sum("n_dur").alias("n_dur")
+    )
+    # One branch over those cells: window sums give each cell its hour's and its device's
     # count for the day, then one aggregate per day picks the winners. The cells are
     # shuffled by day once; the windows and the aggregate reuse that partitioning.
-    cells = session_cells(sessions).repartition("event_date").select(
+    ranked = per_cell.repartition("event_date").select(
         "*",
         F.sum("n").over(Window.partitionBy("event_date", "hour")).alias("hour_n"),
         F.sum("n").over(Window.partitionBy("event_date", "login_device")).alias("device_n"),
     )
-    per_day = cells.groupBy("event_date").agg(
+    per_day = ranked.groupBy("event_date").agg(
         F.sum("n").alias("total_sessions"),
         half_up_mean(F.sum("dur_tenths"), F.sum("n_dur"), 1).alias("avg_session_duration"),
         F.min_by("hour", _most_then_smallest("hour_n", "hour")).alias("peak_hour"),
@@ -88,9 +138,38 @@ def daily_summary(
     return out.select(*DAILY_SUMMARY_COLUMNS)
 
 
-def _most_then_smallest(count_col: str, value_col: str) -> Column:
-    """Sort key for ``min_by``: highest count first, then the smaller value, NULL last."""
-    return F.struct(-F.col(count_col), F.col(value_col).isNull(), F.col(value_col))
+def daily_summary(
+    sessions: DataFrame,
+    logins: DataFrame,
+    purchases: DataFrame,
+    run_date: dt.date | str | None = None,
+) -> DataFrame:
+    """Q4: per day, sessions, mean duration, active users, revenue, top device, peak hour.
+
+    ``sessions`` and ``logins`` are the raw tables, ``purchases`` the silver purchases.
+    With ``run_date`` only that day is computed (the daily job); without it, every day
+    (backfill). Both give identical rows, and the same rows as the reference computes
+    from its silver table:
+
+    * sessions are counted as enriched rows (a session counts once per login of its user
+      that day), the mean duration is over those rows (2 decimals, half-up);
+    * distinct users ignore NULL; a day without sessions has no row even with revenue; a
+      day without purchases has NULL revenue;
+    * the reference's top-1 queries had no tie-break; here ties go to the earlier hour
+      and to the smaller device label, NULL (no login) last.
+    """
+    if run_date is not None:
+        sessions, logins, purchases = (day(t, run_date) for t in (sessions, logins, purchases))
+    return _summary(weighted_session_cells(sessions, logins), sessions, purchases)
+
+
+def daily_summary_from_silver(
+    silver_sessions: DataFrame, purchases: DataFrame, run_date: dt.date | str | None = None
+) -> DataFrame:
+    """Q4 read off materialised silver tables (one count per silver row), as the reference."""
+    if run_date is not None:
+        silver_sessions, purchases = day(silver_sessions, run_date), day(purchases, run_date)
+    return _summary(silver_session_cells(silver_sessions), silver_sessions, purchases)
 
 
 def top_per_day(sessions: DataFrame, value: Column, name: str) -> DataFrame:
@@ -100,18 +179,21 @@ def top_per_day(sessions: DataFrame, value: Column, name: str) -> DataFrame:
     return top_by_count(counts, ["event_date"], name).select("event_date", name, "cnt")
 
 
-def session_metrics(sessions: DataFrame) -> DataFrame:
-    """Per user: session rows and mean duration (2 decimals, half-up)."""
-    return sessions.groupBy("user_id").agg(
-        F.count(F.lit(1)).alias("total_sessions"),
-        half_up_mean(
-            F.sum(scaled_units("session_duration_minutes", 1)),
-            F.count("session_duration_minutes"),
-            1,
-        ).alias("avg_session_duration"),
+# -------------------------------------------------------------------------- demographics
+
+
+def _session_metrics(cells: DataFrame) -> DataFrame:
+    return cells.groupBy("user_id").agg(
+        F.sum("n").alias("total_sessions"),
+        half_up_mean(F.sum("dur_tenths"), F.sum("n_dur"), 1).alias("avg_session_duration"),
     )
 
 
+def session_metrics(sessions: DataFrame, logins: DataFrame) -> DataFrame:
+    """Per user: enriched session rows and their mean duration (2 decimals, half-up)."""
+    return _session_metrics(weighted_session_cells(sessions, logins))
+
+
 def purchase_metrics(purchases: DataFrame) -> DataFrame:
     """Per user: total spent (exact cents) and number of purchases."""
     return purchases.groupBy("user_id").agg(
@@ -120,16 +202,8 @@ def purchase_metrics(purchases: DataFrame) -> DataFrame:
     )
 
 
-def user_demographics(users: DataFrame, sessions: DataFrame, purchases: DataFrame) -> DataFrame:
-    """Q5: every user with age bracket, activity and spend (zeros when none).
-
-    Both sides are aggregated per user before the joins (joining first would multiply
-    the two fan-outs). The aggregates come out hash-partitioned by ``user_id``, which is
-    what the joins need, so each input is shuffled once.
-    """
-    joined = users.join(session_metrics(sessions), "user_id", "left").join(
-        purchase_metrics(purchases), "user_id", "left"
-    )
+def _demographics(users: DataFrame, metrics: DataFrame, purchases: DataFrame) -> DataFrame:
+    joined = users.join(metrics, "user_id", "left").join(purchase_metrics(purchases), "user_id", "left")
     return joined.select(
         "user_id",
         "gender",
@@ -141,3 +215,23 @@ def user_demographics(users: DataFrame, sessions: DataFrame, purchases: DataFram
         F.coalesce("total_spent", F.lit(0.0)).alias("total_spent"),
         F.coalesce("num_purchases", F.lit(0).cast("long")).alias("num_purchases"),
     )
+
+
+def user_demographics(
+    users: DataFrame, sessions: DataFrame, logins: DataFrame, purchases: DataFrame
+) -> DataFrame:
+    """Q5: every user with age bracket, activity and spend (zeros when none).
+
+    ``sessions``/``logins`` are raw, ``purchases`` silver. Session metrics equal the
+    reference's (counted over enriched rows). Both sides are aggregated per user before
+    the joins (joining first would multiply the two fan-outs).
+    """
+    return _demographics(users, session_metrics(sessions, logins), purchases)
+
+
+def user_demographics_from_silver(
+    users: DataFrame, silver_sessions: DataFrame, purchases: DataFrame
+) -> DataFrame:
+    """Q5 read off materialised silver tables, as the reference. The per-user aggregates
+    come out hash-partitioned by ``user_id``, which the joins reuse."""
+    return _demographics(users, _session_metrics(silver_session_cells(silver_sessions)), purchases)

@@ -41,17 +41,16 @@ def _silver_leaderboard(spark: SparkSession, sf: str, run_date=None) -> DataFram
 
 
 def _daily_summary(spark: SparkSession, sf: str, run_date=None) -> DataFrame:
+    r = load_raw(spark, sf)
     return gold.daily_summary(
-        _silver_sessions(spark, sf), _silver_purchases(spark, sf), run_date
+        r.sessions, r.logins, silver.purchases_enriched(r.purchases, r.users), run_date
     ).orderBy("event_date")
 
 
 def _demographics(spark: SparkSession, sf: str) -> DataFrame:
     r = load_raw(spark, sf)
     return gold.user_demographics(
-        r.users,
-        silver.user_sessions(r.sessions, r.users, r.logins),
-        silver.purchases_enriched(r.purchases, r.users),
+        r.users, r.sessions, r.logins, silver.purchases_enriched(r.purchases, r.users)
     )
 
 
@@ -145,8 +144,8 @@ def _summary_versions(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFram
     the full silver from 2024-01-10 (new): updated, deleted and inserted days."""
     r: RawTables = load_raw(spark, sf)
     purchases = silver.purchases_enriched(r.purchases, r.users)
-    old = gold.daily_summary(silver.user_sessions(r.sessions, r.users, r.logins, one_login_per_day=True), purchases)
-    new = gold.daily_summary(silver.user_sessions(r.sessions, r.users, r.logins), purchases)
+    old = gold.daily_summary(r.sessions, silver.earliest_login_per_day(r.logins), purchases)
+    new = gold.daily_summary(r.sessions, r.logins, purchases)
     return (
         old.filter(F.col("event_date") <= F.lit(dt.date(2024, 1, 20))),
         new.filter(F.col("event_date") >= F.lit(dt.date(2024, 1, 10))),
@@ -165,6 +164,9 @@ QUERIES: dict[str, Query] = {
     # Q4 gold daily summary
     "daily_summary_backfill": lambda s, sf: _daily_summary(s, sf),
     "daily_summary_one_day": lambda s, sf: _daily_summary(s, sf, RUN_DATE),
+    "daily_summary_from_silver": lambda s, sf: gold.daily_summary_from_silver(
+        _silver_sessions(s, sf), _silver_purchases(s, sf)
+    ),
     "peak_hour_per_day": lambda s, sf: gold.top_per_day(
         _silver_sessions(s, sf), F.hour("start_time"), "peak_hour"
     ),
@@ -172,9 +174,14 @@ QUERIES: dict[str, Query] = {
         _silver_sessions(s, sf), F.col("login_device"), "top_device_type"
     ),
     # Q5 demographics
-    "user_session_metrics": lambda s, sf: gold.session_metrics(_silver_sessions(s, sf)),
+    "user_session_metrics": lambda s, sf: gold.session_metrics(
+        _raw(s, sf, "sessions"), _raw(s, sf, "logins")
+    ),
     "user_purchase_metrics": lambda s, sf: gold.purchase_metrics(_silver_purchases(s, sf)),
     "user_demographics": _demographics,
+    "user_demographics_from_silver": lambda s, sf: gold.user_demographics_from_silver(
+        _raw(s, sf, "users"), _silver_sessions(s, sf), _silver_purchases(s, sf)
+    ),
     # M1 inactive rules, U1 EXCEPT, U2 UNION
     "inactive_rate_15": lambda s, sf: _split(s, sf)[1],
     "inactive_rate_5": lambda s, sf: _split(s, sf, min_minutes=segments.SCORE_MIN_MINUTES)[1],

@@ -58,7 +58,7 @@ def test_daily_summary_reads_sessions_twice_at_most(spark, tmp_dir):
     path = f"{tmp_dir}/silver"
     tables.write_partitioned(silver.user_sessions(r.sessions, r.users, r.logins), path, ["event_date"])
     sil = spark.read.parquet(path)
-    p = plan(gold.daily_summary(sil, silver.purchases_enriched(r.purchases, r.users), dt.date(2024, 1, 15)))
+    p = plan(gold.daily_summary_from_silver(sil, silver.purchases_enriched(r.purchases, r.users), dt.date(2024, 1, 15)))
     silver_scans = re.findall(r"InMemoryFileIndex\(\d+ paths\)\[file:[^\]]*/silver\]", p)
     assert len(silver_scans) == 2  # cells + distinct users; the reference read it three times
 
@@ -67,7 +67,7 @@ def test_demographics_shuffles_sessions_once_by_user(spark, tmp_dir):
     r = load_raw(spark, SF_SMALL)
     path = f"{tmp_dir}/silver"
     tables.write_partitioned(silver.user_sessions(r.sessions, r.users, r.logins), path, ["event_date"])
-    demo = gold.user_demographics(r.users, spark.read.parquet(path), silver.purchases_enriched(r.purchases, r.users))
+    demo = gold.user_demographics_from_silver(r.users, spark.read.parquet(path), silver.purchases_enriched(r.purchases, r.users))
     p = plan(demo)
     # the per-user aggregate feeds the join without another exchange
     assert p.count("Exchange hashpartitioning(user_id") <= 3

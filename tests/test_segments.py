@@ -13,9 +13,7 @@ LABELS = {"Whale", "Hardcore", "Casual", "Inactive"}
 
 def demographics(spark, sf=SF):
     r = load_raw(spark, sf)
-    return gold.user_demographics(
-        r.users, silver.user_sessions(r.sessions, r.users, r.logins), silver.purchases_enriched(r.purchases, r.users)
-    )
+    return gold.user_demographics(r.users, r.sessions, r.logins, silver.purchases_enriched(r.purchases, r.users))
 
 
 def test_trained_segments_invariants(spark):

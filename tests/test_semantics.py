@@ -75,7 +75,7 @@ def test_session_without_login_has_null_device_which_can_win(spark):
     devices = sorted((r["session_id"], r["login_device"]) for r in sil.collect())
     assert devices == [("s1", None), ("s2", None), ("s3", "Web")]
     p = purchases(spark, [])
-    row = gold.daily_summary(sil, silver.purchases_enriched(p, u), D).collect()[0]
+    row = gold.daily_summary_from_silver(sil, silver.purchases_enriched(p, u), D).collect()[0]
     assert row["top_device_type"] is None
 
 
@@ -86,8 +86,8 @@ def test_day_without_sessions_has_no_row_and_no_purchases_gives_null_revenue(spa
     p = purchases(spark, [("p1", "u1", "Skin", 5.0, ts(D2, 10), D2)])
     sil_s = silver.user_sessions(s, u, lg)
     sil_p = silver.purchases_enriched(p, u)
-    assert gold.daily_summary(sil_s, sil_p, D2).count() == 0
-    rows = gold.daily_summary(sil_s, sil_p).collect()
+    assert gold.daily_summary_from_silver(sil_s, sil_p, D2).count() == 0
+    rows = gold.daily_summary_from_silver(sil_s, sil_p).collect()
     assert [r["event_date"] for r in rows] == [D]
     assert rows[0]["total_revenue"] is None and rows[0]["avg_purchase_amount"] is None
 
@@ -102,11 +102,11 @@ def test_ties_go_to_earlier_hour_and_smaller_device_null_last(spark):
     )
     # counts: hour 20 twice, devices: NULL twice, Web once, Android once -> NULL wins
     sil = silver.user_sessions(s, u, lg, D)
-    row = gold.daily_summary(sil, silver.purchases_enriched(purchases(spark, []), u), D).collect()[0]
+    row = gold.daily_summary_from_silver(sil, silver.purchases_enriched(purchases(spark, []), u), D).collect()[0]
     assert row["peak_hour"] == 20 and row["top_device_type"] is None
     # one session each: hours 9 and 14 tie -> 9; devices Android and Web tie -> Android
     sil2 = silver.user_sessions(s.filter(F.col("user_id").isNotNull()), u, lg, D)
-    row2 = gold.daily_summary(sil2, silver.purchases_enriched(purchases(spark, []), u), D).collect()[0]
+    row2 = gold.daily_summary_from_silver(sil2, silver.purchases_enriched(purchases(spark, []), u), D).collect()[0]
     assert (row2["peak_hour"], row2["top_device_type"]) == (9, "Android")
     assert (row2["total_sessions"], row2["unique_active_users"]) == (2, 2)
 
@@ -116,7 +116,7 @@ def test_distinct_users_ignore_null_and_counts_follow_fan_out(spark):
     lg = logins(spark, [("u1", ts(D, 1), "Web", "A", D), ("u1", ts(D, 2), "Web", "B", D)])
     s = sessions(spark, [session("s1", "u1", ts(D, 10)), session("s2", None, ts(D, 11))])
     sil = silver.user_sessions(s, u, lg, D)
-    row = gold.daily_summary(sil, silver.purchases_enriched(purchases(spark, []), u), D).collect()[0]
+    row = gold.daily_summary_from_silver(sil, silver.purchases_enriched(purchases(spark, []), u), D).collect()[0]
     assert row["total_sessions"] == 3  # s1 twice (two logins) + s2
     assert row["unique_active_users"] == 1
 
@@ -257,9 +257,35 @@ def test_demographics_aggregates_before_joining(spark):
     u = users(spark, U)
     s = sessions(spark, [session("s1", "u1", ts(D, 10), minutes=10), session("s2", "u1", ts(D, 11), minutes=15)])
     p = purchases(spark, [("p1", "u1", "Skin", 2.5, ts(D, 1), D), ("p2", "u1", "Skin", 1.25, ts(D, 1), D), ("p3", "u1", "Coins", 1.0, ts(D, 1), D)])
-    demo = gold.user_demographics(u, silver.user_sessions(s, u, logins(spark, [])), silver.purchases_enriched(p, u))
+    demo = gold.user_demographics(u, s, logins(spark, []), silver.purchases_enriched(p, u))
     rows = {r["user_id"]: r for r in demo.collect()}
     assert (rows["u1"]["total_sessions"], rows["u1"]["avg_session_duration"]) == (2, 12.5)
     assert (rows["u1"]["total_spent"], rows["u1"]["num_purchases"]) == (4.75, 3)
     assert (rows["u2"]["total_sessions"], rows["u2"]["total_spent"], rows["u2"]["avg_session_duration"]) == (0, 0.0, 0.0)
     assert rows["u1"]["age_bracket"] == "18-25" and rows["u2"]["age_bracket"] == "36-45"
+
+
+def test_weighted_cells_equal_the_fanned_out_silver(spark):
+    """Gold from raw sessions + logins (no fan-out rows) equals gold from the silver table."""
+    u = users(spark, U)
+    lg = logins(
+        spark,
+        [("u1", ts(D, 1), "Web", "A", D), ("u1", ts(D, 2), "web", "B", D), ("u1", ts(D, 3), "iOS", "C", D),
+         ("u2", ts(D2, 3), "Android", "C", D2)],
+    )
+    s = sessions(
+        spark,
+        [session("s1", "u1", ts(D, 10), 7), session("s2", "u1", ts(D, 10, 30), 9), session("s3", "u1", ts(D, 22), 11),
+         session("s4", "u2", ts(D, 9), 13), session("s5", None, ts(D, 9), 1), session("s6", "u2", ts(D2, 9), 2)],
+    )
+    p = silver.purchases_enriched(purchases(spark, [("p1", "u1", "Skin", 2.0, ts(D, 1), D)]), u)
+    sil = silver.user_sessions(s, u, lg)
+    for run_date in (None, D):
+        direct = sorted(map(tuple, gold.daily_summary(s, lg, p, run_date).collect()))
+        via_silver = sorted(map(tuple, gold.daily_summary_from_silver(sil, p, run_date).collect()))
+        assert direct == via_silver
+    row = [r for r in gold.daily_summary(s, lg, p).collect() if r["event_date"] == D][0]
+    assert (row["total_sessions"], row["top_device_type"], row["peak_hour"]) == (11, "Web", 10)
+    d1 = sorted(map(tuple, gold.user_demographics(u, s, lg, p).collect()))
+    d2 = sorted(map(tuple, gold.user_demographics_from_silver(u, sil, p).collect()))
+    assert d1 == d2
