@@ -428,6 +428,14 @@ FROM segmented GROUP BY user_segment"""
     "scan_user_ids": _q("SELECT user_id FROM raw_users"),
     "scan_day_sessions": _q(f"SELECT * FROM raw_game_sessions WHERE event_date = {RUN_DATE}"),
     "preview_users": _q("SELECT * FROM raw_users ORDER BY user_id LIMIT 20"),
+    "scan_logins": _q("SELECT * FROM raw_logins"),
+    "scan_sessions": _q("SELECT * FROM raw_game_sessions"),
+    "scan_purchases": _q("SELECT * FROM raw_purchases"),
+    "scan_leaderboard": _q("SELECT * FROM raw_leaderboard_snapshots"),
+    "preview_silver_sessions": _q(
+        "SELECT * FROM silver_user_sessions ORDER BY session_id NULLS FIRST, "
+        "login_device NULLS FIRST, login_location NULLS FIRST LIMIT 100"
+    ),
     "row_count_users": _q("SELECT count(*) AS row_count FROM raw_users"),
     # typed ingest and CRM ingest give back the raw rows
     **{f"bronze_{k}_typed": _q(f"SELECT * FROM {t}") for k, t in RAW_TABLES.items()},

@@ -151,7 +151,7 @@ def segment_profile(segments: DataFrame) -> DataFrame:
         half_up_mean(F.sum(scaled_units("total_spent", 2)), n, 2).alias("avg_spent"),
         half_up_mean(F.sum("num_purchases"), n, 0).alias("avg_purchases"),
         n.alias("count"),
-    )
+    ).orderBy("user_segment")
 
 
 def segment_sizes(segments: DataFrame) -> DataFrame:

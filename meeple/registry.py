@@ -220,6 +220,13 @@ QUERIES: dict[str, Query] = {
     "scan_user_ids": lambda s, sf: _raw(s, sf, "users").select("user_id"),
     "scan_day_sessions": lambda s, sf: day(_raw(s, sf, "sessions"), RUN_DATE),
     "preview_users": lambda s, sf: _raw(s, sf, "users").orderBy("user_id").limit(20),
+    "scan_logins": lambda s, sf: _raw(s, sf, "logins"),
+    "scan_sessions": lambda s, sf: _raw(s, sf, "sessions"),
+    "scan_purchases": lambda s, sf: _raw(s, sf, "purchases"),
+    "scan_leaderboard": lambda s, sf: _raw(s, sf, "leaderboard"),
+    "preview_silver_sessions": lambda s, sf: _silver_sessions(s, sf)
+    .orderBy("session_id", "login_device", "login_location")
+    .limit(100),
     "row_count_users": lambda s, sf: _raw(s, sf, "users").agg(F.count(F.lit(1)).alias("row_count")),
     # S7 typed ingest, S8 CRM ingest
     **{f"bronze_{k}_typed": _typed(k) for k in _RAW_CONTRACTS},
