@@ -1,7 +1,7 @@
 """Benchmark of the headline products (Q1-Q8) on one test-data folder.
 
 Environment: ``BENCH_SF_DIR`` (default /root/testdata/sf0.1), ``BENCH_CPUS`` (default 8),
-``BENCH_RUNS`` (warm runs after one cold run, default 2). Each query is run to completion
+``BENCH_RUNS`` (warm runs after one cold run, default 3). Each query is run to completion
 with a no-op sink (every row computed, nothing collected). Prints one JSON line:
 per-query median of the warm runs, and their sum as the headline value.
 """
@@ -32,7 +32,7 @@ HEADLINE = {
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1").rstrip("/")
     cpus = os.environ.get("BENCH_CPUS", "8")
-    warm_runs = int(os.environ.get("BENCH_RUNS", "2"))
+    warm_runs = int(os.environ.get("BENCH_RUNS", "3"))
 
     from pyspark.sql import SparkSession
 

@@ -194,14 +194,23 @@ def feature_zscores(active: DataFrame) -> DataFrame:
 
 
 def _stable(df: DataFrame) -> DataFrame:
-    """Cut the lineage of a frame that several ML passes read: a reliable checkpoint in the
-    session's shared checkpoint folder (survives executor loss, unlike a local one)."""
+    """Cut the lineage of a frame that several passes read: a reliable checkpoint in the
+    session's shared checkpoint folder (survives executor loss, unlike a local one).
+
+    Used on the per-user table the jobs split, so the scans and aggregations behind it
+    run once, not once for the active split, once for the inactive one and once per
+    model pass.
+    """
     from meeple.session import shared_dir
 
     shared_dir(df.sparkSession)  # make sure a checkpoint folder is set
     return df.checkpoint(eager=True)
 
 
+def _split_stable(df: DataFrame, condition: Column) -> tuple[DataFrame, DataFrame]:
+    return split_inactive(_stable(df), condition)
+
+
 def _finish(clustered: DataFrame, inactive: DataFrame) -> DataFrame:
     active = label_clusters(clustered).drop("features_vec", "scaled_features", "cluster")
     return active.unionByName(tag(inactive, INACTIVE))
@@ -221,8 +230,7 @@ def train_segments(
     ``user_segment``) and the fitted three-stage pipeline.
     """
     df = with_account_age(demographics, as_of)
-    active, inactive = split_inactive(df, inactive_condition("rate", min_rate, min_minutes))
-    active = _stable(active)
+    active, inactive = _split_stable(df, inactive_condition("rate", min_rate, min_minutes))
     model = segmentation_pipeline(k, seed).fit(active)
     return _finish(model.transform(active), inactive), model
 
@@ -241,8 +249,7 @@ def score_segments(
     active users and the saved centroids are applied to that scaling.
     """
     df = with_account_age(demographics, as_of)
-    active, inactive = split_inactive(df, inactive_condition("rate", min_rate, min_minutes))
-    active = _stable(active)
+    active, inactive = _split_stable(df, inactive_condition("rate", min_rate, min_minutes))
     if refit_scaler:
         centroids = [s for s in model.stages if isinstance(s, KMeansModel)][-1]
         scaled = Pipeline(stages=[assembler(), scaler()]).fit(active).transform(active)
@@ -261,8 +268,7 @@ def simple_segments(
     same steps run on Spark ML.
     """
     base = gold_demographics.select(*SEGMENT_COLUMNS[:-1])
-    active, inactive = split_inactive(base, inactive_condition("simple"))
-    active = _stable(active)
+    active, inactive = _split_stable(base, inactive_condition("simple"))
     clustered = segmentation_pipeline(k, seed).fit(active).transform(active)
     return _finish(clustered, inactive).select(*SEGMENT_COLUMNS)
 
@@ -272,9 +278,8 @@ def active_features(
 ) -> DataFrame:
     """Scaled features of the active users (input of the model-quality checks)."""
     df = with_account_age(demographics, as_of)
-    active, _ = split_inactive(df, inactive_condition("rate", RATE_RULE_MIN_RATE, min_minutes))
-    active = _stable(active)
-    return _stable(Pipeline(stages=[assembler(), scaler()]).fit(active).transform(active))
+    active, _ = _split_stable(df, inactive_condition("rate", RATE_RULE_MIN_RATE, min_minutes))
+    return Pipeline(stages=[assembler(), scaler()]).fit(active).transform(active)
 
 
 def silhouette(spark: SparkSession, clustered: DataFrame) -> DataFrame:
