@@ -12,7 +12,7 @@ The DuckDB twin of each view lives in :mod:`meeple.oracle`.
 from __future__ import annotations
 
 import datetime as dt
-from dataclasses import dataclass
+from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -26,8 +26,19 @@ SIGNUP_EPOCH = dt.date(2023, 10, 1)
 LEADERBOARD_SEED = "lb"
 
 
+_READS: dict[tuple[int, str], tuple[SparkSession, DataFrame]] = {}
+
+
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    """One read (file listing, footer, schema) per table file and session; the
+    DataFrame is a lazy plan, so sharing it shares no data."""
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    key = (id(spark), path)
+    cached = _READS.get(key)
+    if cached is None or cached[0] is not spark or spark.sparkContext._jsc is None:
+        cached = (spark, spark.read.parquet(path))
+        _READS[key] = cached
+    return cached[1]
 
 
 def _case(col: F.Column, labels: list[str]) -> F.Column:
@@ -113,21 +124,33 @@ def raw_leaderboard_snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@dataclass(frozen=True)
 class RawTables:
-    users: DataFrame
-    logins: DataFrame
-    sessions: DataFrame
-    purchases: DataFrame
-    leaderboard: DataFrame
+    """The five raw tables over one test-data folder, each built on first use."""
+
+    def __init__(self, spark: SparkSession, sf_dir: str):
+        self._spark, self._dir = spark, sf_dir
+
+    @cached_property
+    def users(self) -> DataFrame:
+        return raw_users(self._spark, self._dir)
+
+    @cached_property
+    def logins(self) -> DataFrame:
+        return raw_logins(self._spark, self._dir)
+
+    @cached_property
+    def sessions(self) -> DataFrame:
+        return raw_game_sessions(self._spark, self._dir)
+
+    @cached_property
+    def purchases(self) -> DataFrame:
+        return raw_purchases(self._spark, self._dir)
+
+    @cached_property
+    def leaderboard(self) -> DataFrame:
+        return raw_leaderboard_snapshots(self._spark, self._dir)
 
 
 def load_raw(spark: SparkSession, sf_dir: str) -> RawTables:
     """All five raw tables over one test-data folder (lazy: nothing is read yet)."""
-    return RawTables(
-        users=raw_users(spark, sf_dir),
-        logins=raw_logins(spark, sf_dir),
-        sessions=raw_game_sessions(spark, sf_dir),
-        purchases=raw_purchases(spark, sf_dir),
-        leaderboard=raw_leaderboard_snapshots(spark, sf_dir),
-    )
+    return RawTables(spark, sf_dir)
