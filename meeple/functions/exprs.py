@@ -20,8 +20,9 @@ ColumnOrName = Column | str
 AGE_BRACKETS = [(13, 17, "13-17"), (18, 25, "18-25"), (26, 35, "26-35"), (36, 45, "36-45")]
 AGE_BRACKET_OTHER = "45+"
 
-# Decimal reading of a double before rounding: 12 places keep the shortest decimal form
-# of any value below 10**14, so 1.005 rounds to 1.01 (as Spark's round on doubles does).
+# Decimal reading of a double before rounding: 12 places absorb binary noise, so a value
+# meant as a short decimal rounds as written (1.005 -> 1.01, 3.4499999999999993 -> 3.45),
+# the same in Spark and in the DuckDB oracle.
 _DEC = "decimal(38,12)"
 
 

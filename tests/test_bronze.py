@@ -1,0 +1,52 @@
+"""Day generators: rates, ranges, determinism and independence from partitioning."""
+
+from pyspark.sql import functions as F
+
+from meeple.plans import bronze
+from meeple.sources.adapters import load_raw
+from meeple.sources.schemas import contract_violations
+
+SF = "/root/testdata/sf0.1"
+DAY = "2024-02-01"
+
+
+def test_rates_and_ranges(spark):
+    users = load_raw(spark, SF).users
+    n = users.count()
+    logins = bronze.generate_logins(users, DAY)
+    assert abs(logins.count() / n - 0.80) < 0.02
+    assert contract_violations(logins, "raw_logins") == []
+    sessions = bronze.generate_sessions(users, DAY)
+    assert abs(sessions.count() / n - 1.5) < 0.05
+    per_user = sessions.groupBy("user_id").count().agg(F.max("count")).first()[0]
+    assert per_user == 3
+    stats = sessions.select(
+        F.min(F.expr("timestampdiff(MINUTE, start_time, end_time)")).alias("lo"),
+        F.max(F.expr("timestampdiff(MINUTE, start_time, end_time)")).alias("hi"),
+        F.min("score").alias("smin"), F.max("score").alias("smax"),
+        F.count_distinct("session_id").alias("ids"), F.count(F.lit(1)).alias("rows"),
+    ).first()
+    assert (stats["lo"], stats["hi"]) == (5, 60) and 0 <= stats["smin"] and stats["smax"] <= 1000
+    assert stats["ids"] == stats["rows"]
+    purchases = bronze.generate_purchases(users, DAY)
+    assert abs(purchases.count() / n - 0.20) < 0.02
+    lo, hi = purchases.agg(F.min("amount"), F.max("amount")).first()
+    assert 0.99 <= lo and hi <= 49.99
+    board = bronze.generate_leaderboard(users, DAY)
+    ranks = board.groupBy("game_type").agg(
+        F.count(F.lit(1)).alias("n"), F.min("rank").alias("lo"), F.max("rank").alias("hi"),
+        F.count_distinct("user_id").alias("players"),
+    ).collect()
+    assert sorted(r["game_type"] for r in ranks) == ["Arcade", "Practice", "Ranked"]
+    assert all((r["n"], r["lo"], r["hi"], r["players"]) == (20, 1, 20, 20) for r in ranks)
+
+
+def test_draws_do_not_depend_on_partitioning(spark):
+    users = load_raw(spark, SF).users
+    for gen in (bronze.generate_logins, bronze.generate_sessions, bronze.generate_purchases,
+                bronze.generate_leaderboard):
+        a = sorted(map(tuple, gen(users, DAY).collect()))
+        b = sorted(map(tuple, gen(users.repartition(7), DAY).collect()))
+        assert a == b, gen.__name__
+    other_day = sorted(map(tuple, bronze.generate_logins(users, "2024-02-02").select("user_id").collect()))
+    assert other_day != sorted(map(tuple, bronze.generate_logins(users, DAY).select("user_id").collect()))
