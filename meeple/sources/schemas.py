@@ -6,13 +6,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+# Event times are wall-clock times without a zone (as written in the exports and the
+# Parquet files), so the contracts use TIMESTAMP_NTZ: text parses to exactly the time
+# written, and hours, days and durations do not depend on the session time zone.
 S, I, L, D, DT, TS = (
     T.StringType(),
     T.IntegerType(),
     T.LongType(),
     T.DoubleType(),
     T.DateType(),
-    T.TimestampType(),
+    T.TimestampNTZType(),
 )
 
 
@@ -127,6 +130,8 @@ def conform(df: DataFrame, table: str) -> DataFrame:
         c = F.col(field.name)
         if _is_timestamp(want) and _is_timestamp(src):
             cols.append(c)
+        elif isinstance(want, T.TimestampNTZType):
+            cols.append(F.to_timestamp_ntz(c).alias(field.name))
         elif _is_timestamp(want):
             cols.append(F.to_timestamp(c).alias(field.name))
         elif isinstance(want, T.DateType) and not isinstance(src, T.DateType):

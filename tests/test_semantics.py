@@ -20,7 +20,7 @@ def ts(day, h, m=0, s=0, us=0):
 
 
 def ntz(schema: T.StructType) -> T.StructType:
-    """The contract with wall-clock timestamps (no zone), so tests do not depend on TZ."""
+    """The contract with wall-clock timestamps (no zone)."""
     return T.StructType(
         [
             T.StructField(f.name, T.TimestampNTZType() if isinstance(f.dataType, T.TimestampType) else f.dataType)
