@@ -76,10 +76,10 @@ def overwrite_keeping_schema(df: DataFrame, path: str, schema: T.StructType) ->
 
 def _unique_keys(source: DataFrame, keys: Sequence[str]) -> DataFrame:
     """``source`` unchanged, failing the job if two rows share a key (MERGE would be
-    ambiguous). The window shuffles by the keys, which the anti join then reuses."""
+    ambiguous). The window shuffles by the keys, which the join then reuses."""
     counted = source.withColumn("_key_rows", F.count(F.lit(1)).over(Window.partitionBy(*keys)))
     unique = F.when(
-        F.col("_key_rows") > 1, F.raise_error(F.lit("upsert: several source rows share a key"))
+        F.col("_key_rows") > 1, F.raise_error(F.lit("several rows share a key"))
     ).otherwise(F.lit(True))
     return counted.filter(unique).drop("_key_rows")
 
@@ -110,10 +110,13 @@ def changes(old: DataFrame, new: DataFrame, keys: Sequence[str]) -> DataFrame:
     values changed an ``update_preimage`` row (old values) plus an ``update_postimage``
     row (new values). Unchanged rows are left out; NULLs compare equal.
 
-    One full outer join on the keys, then each joined row yields 0, 1 or 2 output rows
-    through ``inline`` (no second pass over either version).
+    Keys must be unique within each version; a duplicate fails the job, since a change
+    by key is undefined for it (and the join would pair every duplicate). One full outer
+    join on the keys (sharing the shuffle of the uniqueness checks), then each joined row
+    yields 0, 1 or 2 output rows through ``inline`` (no second pass over either version).
     """
     columns = list(new.columns)
+    old, new = _unique_keys(old, keys), _unique_keys(new, keys)
     o = old.select(*[F.col(c).alias(f"o_{c}") for c in columns], F.lit(True).alias("o_present"))
     n = new.select(*[F.col(c).alias(f"n_{c}") for c in columns], F.lit(True).alias("n_present"))
     cond = [F.col(f"o_{k}") == F.col(f"n_{k}") for k in keys]

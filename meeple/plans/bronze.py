@@ -114,3 +114,13 @@ def generate_leaderboard(users: DataFrame, run_date, seed: str = "0") -> DataFra
         per_game, ["game_type"], ["user_id"], LEADERBOARD_SIZE, _seed("leaderboard", d, seed)
     )
     return ranked.select("user_id", "game_type", F.col("rank").cast("int"), F.lit(d).alias("event_date"))
+
+
+def generate_day(users: DataFrame, run_date, seed: str = "0") -> dict[str, DataFrame]:
+    """All four raw fact tables of one day, keyed by table name."""
+    return {
+        "raw_logins": generate_logins(users, run_date, seed),
+        "raw_game_sessions": generate_sessions(users, run_date, seed),
+        "raw_purchases": generate_purchases(users, run_date, seed),
+        "raw_leaderboard_snapshots": generate_leaderboard(users, run_date, seed),
+    }

@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from meeple.operators import tables
-from meeple.plans import gold, segments, silver
+from meeple.plans import bronze, gold, segments, silver
 from meeple.sources.readers import as_date, day
 from meeple.sources.schemas import PARTITION_COLUMNS, conform
 
@@ -47,6 +47,14 @@ def write_raw(df: DataFrame, lake: Lake, table: str) -> None:
     tables.append(conform(df, table), lake.path(table), PARTITION_COLUMNS[table])
 
 
+def ingest_generated_day(spark: SparkSession, lake: Lake, run_date: dt.date | str, seed: str = "0") -> None:
+    """Bronze: draw one day of raw activity for every user and append it to the raw
+    tables (the reference's generator notebooks, as one distributed job per table)."""
+    users = lake.read(spark, "raw_users")
+    for table, rows in bronze.generate_day(users, run_date, seed).items():
+        write_raw(rows, lake, table)
+
+
 def run_day(
     spark: SparkSession,
     lake: Lake,

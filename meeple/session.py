@@ -23,6 +23,23 @@ CORE_CONF = {
 }
 
 
+def cluster_settings(shuffle_bytes: int, target_partition_bytes: int = 256 * 1024**2) -> dict[str, str]:
+    """Settings for a cluster run that shuffles about ``shuffle_bytes``.
+
+    The initial shuffle partition count is sized so that partitions hold about
+    ``target_partition_bytes`` (adaptive execution then merges small ones and splits
+    skewed ones). Scans read files in splits of the same size.
+    """
+    partitions = max(200, -(-shuffle_bytes // target_partition_bytes))
+    return {
+        **CORE_CONF,
+        "spark.sql.shuffle.partitions": str(partitions),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(target_partition_bytes),
+        "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
+    }
+
+
 def local_session(cpus: int | str = 8, shuffle_partitions: int = 8, app: str = "meeple") -> SparkSession:
     """A local session for tests and benchmarks (UI off, adaptive execution on)."""
     builder = (

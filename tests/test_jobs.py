@@ -76,3 +76,14 @@ def test_segmentation_jobs(spark, tmp_dir):
     assert lake.read(spark, "gold_user_scores").count() == demo.count()
     jobs.run_simple_segments(spark, lake)
     assert lake.read(spark, "gold_user_segments").columns[-1] == "user_segment"
+
+
+def test_generated_day_flows_to_gold(spark, tmp_dir):
+    lake, _ = build_lake(spark, tmp_dir, [])
+    day = dt.date(2024, 2, 1)
+    jobs.ingest_generated_day(spark, lake, day)
+    g = jobs.run_day(spark, lake, day).collect()
+    n_users = lake.read(spark, "raw_users").count()
+    assert len(g) == 1 and g[0]["total_sessions"] >= lake.read(spark, "raw_game_sessions").count()
+    assert 0 < g[0]["unique_active_users"] <= n_users
+    assert lake.read(spark, "silver_leaderboard_enriched").select("rank").distinct().count() <= 20

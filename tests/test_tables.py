@@ -129,6 +129,8 @@ def test_upsert_updates_inserts_and_rejects_duplicate_keys(spark):
     dup = source.unionByName(source)
     with pytest.raises(Exception, match="share a key"):
         tables.upsert(target, dup, ["event_date"]).collect()
+    with pytest.raises(Exception, match="share a key"):
+        tables.changes(target, dup, ["event_date"]).collect()
 
 
 def test_upsert_by_partition_never_reads_target(spark, tmp_dir):
