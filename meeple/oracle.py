@@ -369,6 +369,7 @@ ORACLE: dict[str, str] = {
     "user_purchase_metrics": _q("SELECT * FROM purchase_metrics"),
     "user_demographics": _q("SELECT * FROM demographics"),
     "user_demographics_from_silver": _q("SELECT * FROM demographics"),
+    "user_demographics_from_daily": _q("SELECT * FROM demographics"),
     "inactive_rate_15": _q(f"SELECT * FROM aged WHERE {RULES['rate_15']}"),
     "inactive_rate_5": _q(f"SELECT * FROM aged WHERE {RULES['rate_5']}"),
     "inactive_simple": _q(f"SELECT * FROM aged WHERE {RULES['simple']}"),

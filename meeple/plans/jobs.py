@@ -1,8 +1,9 @@
 """Scheduled jobs over a folder of Parquet tables (the reference's notebook sequence).
 
 ``run_day``: raw tables of one day -> silver sessions, purchases, leaderboard (whole-day
-partitions replaced) -> gold daily summary upserted by day -> optional Z-order rewrite of
-the day's silver sessions. Rerunning a day leaves every table as one run would.
+partitions replaced, silver sessions optionally Z-ordered) -> gold daily summary upserted
+by day, and the day's per-user metrics. Rerunning a day leaves every table as one run
+would.
 
 ``run_segmentation``: gold user demographics -> K-means segments (full overwrite) and the
 fitted model saved with a production pointer; ``run_scoring`` re-segments with it.
@@ -84,16 +85,17 @@ def run_day(
     purchases_written = day(lake.read(spark, "silver_purchases_enriched"), d)
     summary = conform(gold.daily_summary(sessions, logins, purchases_written, d), "gold_daily_summary")
     tables.replace_partitions(summary, lake.path("gold_daily_summary"))
+    # The day's per-user metrics: demographics add these up instead of rescanning history.
+    metrics = gold.user_day_metrics(sessions, logins, purchases_written)
+    tables.replace_partitions(metrics, lake.path("gold_user_day_metrics"))
     return day(lake.read(spark, "gold_daily_summary"), d)
 
 
 def demographics_from_lake(spark: SparkSession, lake: Lake) -> DataFrame:
-    """Q5 over the whole lake (raw sessions and logins, silver purchases)."""
-    return gold.user_demographics(
-        lake.read(spark, "raw_users"),
-        lake.read(spark, "raw_game_sessions"),
-        lake.read(spark, "raw_logins"),
-        lake.read(spark, "silver_purchases_enriched"),
+    """Q5 over every day the daily job has run: users joined to the per-user sums of the
+    per-(user, day) metrics table (one row per active user and day, not raw history)."""
+    return gold.user_demographics_from_daily(
+        lake.read(spark, "raw_users"), lake.read(spark, "gold_user_day_metrics")
     )
 
 

@@ -179,6 +179,10 @@ QUERIES: dict[str, Query] = {
     ),
     "user_purchase_metrics": lambda s, sf: gold.purchase_metrics(_silver_purchases(s, sf)),
     "user_demographics": _demographics,
+    "user_demographics_from_daily": lambda s, sf: gold.user_demographics_from_daily(
+        _raw(s, sf, "users"),
+        gold.user_day_metrics(_raw(s, sf, "sessions"), _raw(s, sf, "logins"), _silver_purchases(s, sf)),
+    ),
     "user_demographics_from_silver": lambda s, sf: gold.user_demographics_from_silver(
         _raw(s, sf, "users"), _silver_sessions(s, sf), _silver_purchases(s, sf)
     ),

@@ -43,6 +43,11 @@ def test_run_day_is_idempotent_and_matches_backfill(spark, tmp_dir):
     assert [tuple(x[:1]) + tuple(x[1:]) for x in rows(got.selectExpr(
         "event_date", "cast(total_sessions as bigint)", "avg_session_duration", "cast(unique_active_users as bigint)",
         "total_revenue", "avg_purchase_amount", "top_device_type", "peak_hour"))] == rows(expected)
+    in_days = lambda df: df.filter(F.col("event_date").isin(DAYS))
+    demo = gold.user_demographics(
+        r.users, in_days(r.sessions), in_days(r.logins), in_days(silver.purchases_enriched(r.purchases, r.users))
+    )
+    assert rows(jobs.demographics_from_lake(spark, lake)) == rows(demo)
     sil = lake.read(spark, "silver_user_sessions")
     assert sil.count() == silver.user_sessions(r.sessions, r.users, r.logins).filter(
         F.col("event_date").isin(DAYS)).count()
