@@ -77,3 +77,25 @@ def test_one_day_scan_pushes_timestamp_range(spark):
     s = load_raw(spark, SF_SMALL).sessions
     p = plan(readers.day(s, RUN_DATE))
     assert "GreaterThanOrEqual(ts,2024-01-15T00:00)" in p
+
+
+FORBIDDEN = ["CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython", "ArrowEvalPython",
+             "FlatMapGroupsInPandas", "MapInPandas"]
+
+
+def test_no_pairs_or_python_in_any_registered_query(spark):
+    from meeple.oracle import ORACLE
+    from meeple.registry import QUERIES
+
+    for name in sorted(ORACLE):  # the ML products run Spark ML estimators, checked elsewhere
+        p = plan(QUERIES[name](spark, SF_SMALL))
+        hits = [f for f in FORBIDDEN if f in p]
+        assert not hits, (name, hits)
+
+
+def test_library_never_uses_local_checkpoints():
+    import pathlib
+
+    root = pathlib.Path(__file__).resolve().parents[1] / "meeple"
+    offenders = [str(f) for f in root.rglob("*.py") if "localCheckpoint" in f.read_text()]
+    assert offenders == []
