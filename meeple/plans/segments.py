@@ -193,7 +193,7 @@ def feature_zscores(active: DataFrame) -> DataFrame:
     )
 
 
-def _stable(df: DataFrame) -> DataFrame:
+def checkpointed(df: DataFrame) -> DataFrame:
     """Cut the lineage of a frame that several passes read: a reliable checkpoint in the
     session's shared checkpoint folder (survives executor loss, unlike a local one).
 
@@ -208,7 +208,7 @@ def _stable(df: DataFrame) -> DataFrame:
 
 
 def _split_stable(df: DataFrame, condition: Column) -> tuple[DataFrame, DataFrame]:
-    return split_inactive(_stable(df), condition)
+    return split_inactive(checkpointed(df), condition)
 
 
 def _finish(clustered: DataFrame, inactive: DataFrame) -> DataFrame:

@@ -90,3 +90,31 @@ def test_whales_by_country_counts_whales(spark):
     segs, _ = segments.train_segments(demo, AS_OF)
     total = sum(r["whales"] for r in segments.whales_by_country(segs).collect())
     assert total == segs.filter(F.col("user_segment") == "Whale").count()
+
+
+def test_kmeans_and_labels_match_brute_force(spark):
+    """On a small fixture: recompute scaling, nearest-centroid assignment and labels with
+    numpy/pandas from the collected rows and compare with the Spark result."""
+    import numpy as np
+    import pandas as pd
+
+    demo = segments.with_account_age(demographics(spark, SF_SMALL), AS_OF)
+    active, _ = segments.split_inactive(segments.checkpointed(demo), segments.inactive_condition("rate"))
+    model = segments.segmentation_pipeline().fit(active)
+    clustered = model.transform(active)
+    pdf = clustered.select("user_id", *segments.FEATURES, "cluster").toPandas()
+    x = pdf[segments.FEATURES].to_numpy(dtype=float)
+    std = x.std(axis=0, ddof=1)
+    z = (x - x.mean(axis=0)) / np.where(std == 0, 1, std) * (std != 0)
+    centers = np.array(model.stages[-1].clusterCenters())
+    nearest = ((z[:, None, :] - centers[None, :, :]) ** 2).sum(axis=2).argmin(axis=1)
+    assert (nearest == pdf["cluster"].to_numpy()).all()
+
+    prof = pdf.groupby("cluster")[["total_spent", "avg_session_duration"]].mean()
+    whale = prof.sort_values(["total_spent"], ascending=False, kind="stable").index[0]
+    rest = prof.drop(index=whale).sort_index()
+    hardcore = rest["avg_session_duration"].idxmax() if len(rest) else None
+    expected = {c: "Whale" if c == whale else "Hardcore" if c == hardcore else "Casual" for c in prof.index}
+    got = segments.label_clusters(clustered).select("user_id", "cluster", "user_segment").toPandas()
+    assert all(expected[c] == s for c, s in zip(got["cluster"], got["user_segment"]))
+    assert len(got) == len(pd.unique(pdf["user_id"]))
