@@ -10,6 +10,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -185,15 +186,25 @@ def zorder_key(df: DataFrame, columns: Sequence[str], bits: int = 4, rel_error:
     return key
 
 
-def zorder(df: DataFrame, columns: Sequence[str], num_files: int, bits: int = 4) -> DataFrame:
+def zorder(df: DataFrame, columns: Sequence[str], num_files: int, bits: int | None = None) -> DataFrame:
     """OPTIMIZE ... ZORDER BY: ``num_files`` partitions by ranges of the Z-key, each
-    sorted by it. Same rows; write the result to compact the table."""
+    sorted by it. Same rows; write the result to compact the table.
+
+    The range key is (Z-key, row hash), so a Z-value that holds a large share of the rows
+    (one heavy user on one day) is split over several files instead of filling one. The
+    hash is deterministic, so a retried task places every row exactly as before. Without
+    ``bits``, each column gets enough buckets for the Z-key to tell ``num_files`` ranges
+    apart (4 to 8 bits per column).
+    """
+    if bits is None:
+        bits = min(8, max(4, math.ceil(math.log2(max(num_files, 2)) / len(columns)) + 1))
     key = zorder_key(df, columns, bits)
+    row_hash = F.xxhash64(*[F.col(c) for c in df.columns])
     return (
-        df.withColumn("_z", key)
-        .repartitionByRange(num_files, "_z")
-        .sortWithinPartitions("_z")
-        .drop("_z")
+        df.withColumns({"_z": key, "_h": row_hash})
+        .repartitionByRange(num_files, "_z", "_h")
+        .sortWithinPartitions("_z", "_h")
+        .drop("_z", "_h")
     )
 
 

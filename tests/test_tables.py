@@ -178,3 +178,16 @@ def test_clustered_keeps_rows(spark):
 def test_missing_table_path_raises(spark, tmp_dir):
     with pytest.raises(AnalysisException):
         readers.read_table(spark, f"{tmp_dir}/missing").count()
+
+
+def test_zorder_splits_a_hot_value_over_files(spark, tmp_dir):
+    # one user on one day holds most rows: the files must still be of similar size
+    base = spark.range(0, 4000).select(
+        F.when(F.col("id") < 3000, F.lit("hot")).otherwise(F.col("id").cast("string")).alias("user_id"),
+        F.lit(D).alias("event_date"),
+        F.col("id"),
+    )
+    path = f"{tmp_dir}/hot"
+    tables.zorder(base, ["user_id", "event_date"], num_files=4).write.parquet(path)
+    sizes = [r["n"] for r in spark.read.parquet(path).groupBy(F.input_file_name()).agg(F.count("*").alias("n")).collect()]
+    assert sum(sizes) == 4000 and max(sizes) < 2000
