@@ -69,14 +69,17 @@ def scaled_units(x: ColumnOrName, places: int) -> Column:
 def half_up_mean(total_units: ColumnOrName, n: ColumnOrName, places: int) -> Column:
     """ROUND(total / n, 2) half-up, where ``total`` is a BIGINT count of 10**-places units.
 
-    Uses exact integer floor division, so the result does not depend on summation order
-    or on the size of ``n``. NULL when ``n`` is zero or NULL.
+    Exact integer floor division in DECIMAL(38,0): the remainder and the quotient of an
+    exact multiple are exact, so the result does not depend on summation order or on the
+    size of the sums (no double conversion, no BIGINT overflow). NULL when ``n`` is zero or
+    NULL.
     """
     total, n = _col(total_units), _col(n)
-    num = F.abs(total) * (2 * 10 ** (2 - places)) + n
-    den = n * 2
-    hundredths = ((num - F.pmod(num, den)) / den).cast("long")
-    return F.when(n > 0, (F.signum(total) * hundredths) / 100.0)
+    dec = "decimal(38,0)"
+    num = F.abs(total).cast(dec) * F.lit(2 * 10 ** (2 - places)).cast(dec) + n.cast(dec)
+    den = n.cast(dec) * F.lit(2).cast(dec)
+    hundredths = ((num - F.pmod(num, den)) / den).cast(dec)
+    return F.when(n > 0, (F.signum(total) * hundredths.cast("double")) / 100.0)
 
 
 def units_to_double(total_units: ColumnOrName, places: int) -> Column:
