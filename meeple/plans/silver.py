@@ -112,10 +112,15 @@ def leaderboard_enriched(
     if run_date is not None:
         leaderboard = day(leaderboard, run_date)
     valid = leaderboard.filter(F.col("user_id").isNotNull() & (F.col("rank") > 0))
-    scores = sessions.select("user_id", "game_type", "event_date", "score")
-    joined = valid.join(users.select(*USER_ATTRS), "user_id", "left").join(
-        scores, ["user_id", "game_type", "event_date"], "left"
-    )
+    # The leaderboard is tiny (20 players per game and day) and the preserved side of the
+    # left joins, which Spark can never broadcast. So the large sides are first cut down
+    # to its keys with semi joins (the key sets are small enough for Spark's size estimate
+    # to broadcast them), and neither all users nor all sessions get shuffled for a few
+    # rows. Only matching keys can contribute to a left join, so the result is unchanged.
+    cell = ["user_id", "game_type", "event_date"]
+    needed_users = users.select(*USER_ATTRS).join(valid.select("user_id").distinct(), "user_id", "left_semi")
+    scores = sessions.select(*cell, "score").join(valid.select(*cell).distinct(), cell, "left_semi")
+    joined = valid.join(needed_users, "user_id", "left").join(scores, cell, "left")
     return joined.select(
         "user_id", "game_type", "rank", "score", "age", "gender", "country", "event_date"
     )
