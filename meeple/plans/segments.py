@@ -194,17 +194,19 @@ def feature_zscores(active: DataFrame) -> DataFrame:
 
 
 def checkpointed(df: DataFrame) -> DataFrame:
-    """Cut the lineage of a frame that several passes read: a reliable checkpoint in the
-    session's shared checkpoint folder (survives executor loss, unlike a local one).
+    """Cut the lineage of a frame that several passes read: write it as Parquet to a fresh
+    folder under the session's shared ``spark.checkpoint.dir`` and read it back.
 
+    The rows are computed once and survive executor loss. Columnar files are smaller
+    than serialised checkpoint rows, and reading them back gives the planner real sizes.
     Used on the per-user table the jobs split, so the scans and aggregations behind it
-    run once, not once for the active split, once for the inactive one and once per
-    model pass.
+    run once, not once per split and per model pass.
     """
-    from meeple.session import shared_dir
+    from meeple.session import unique_path
 
-    shared_dir(df.sparkSession)  # make sure a checkpoint folder is set
-    return df.checkpoint(eager=True)
+    path = unique_path(df.sparkSession, "meeple-stages")
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
 
 
 def _split_stable(df: DataFrame, condition: Column) -> tuple[DataFrame, DataFrame]:
