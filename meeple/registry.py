@@ -212,6 +212,8 @@ QUERIES: dict[str, Query] = {
     "silhouette": _silhouette,
     "k_sweep": _k_sweep,
     "whales_by_country": lambda s, sf: segments.whales_by_country(_trained(s, sf)[0]),
+    "simple_segment_sizes": lambda s, sf: segments.segment_sizes(_simple(s, sf)),
+    "simple_segment_profile": lambda s, sf: segments.segment_profile(_simple(s, sf)),
     # Q10, Q12-Q14 questions
     "hourly_activity": lambda s, sf: questions.hourly_activity(load_raw(s, sf).sessions),
     "device_usage": lambda s, sf: questions.device_usage(load_raw(s, sf).logins),

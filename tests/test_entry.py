@@ -23,5 +23,6 @@ def test_every_oracle_has_a_query():
     assert set(o) <= set(q)
     rows_only = set(q) - set(o)
     assert rows_only == {
-        "kmeans_segments", "scored_segments", "simple_segments", "silhouette", "k_sweep", "whales_by_country"
+        "kmeans_segments", "scored_segments", "simple_segments", "silhouette", "k_sweep", "whales_by_country",
+        "simple_segment_sizes", "simple_segment_profile",
     }
