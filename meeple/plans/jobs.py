@@ -61,8 +61,14 @@ def run_day(
     lake: Lake,
     run_date: dt.date | str,
     zorder_files: int | None = None,
+    one_login_per_day: bool = False,
 ) -> DataFrame:
-    """Refresh silver and gold for one day; returns the gold row(s) written."""
+    """Refresh silver and gold for one day; returns the gold row(s) written.
+
+    ``one_login_per_day=True`` writes one silver row per session (earliest login) instead
+    of the reference's one row per session and login; gold is the same either way, as it
+    is computed from the raw tables.
+    """
     d = as_date(run_date)
     users = lake.read(spark, "raw_users")
     sessions = day(lake.read(spark, "raw_game_sessions"), d)
@@ -70,7 +76,7 @@ def run_day(
     purchases = day(lake.read(spark, "raw_purchases"), d)
     board = day(lake.read(spark, "raw_leaderboard_snapshots"), d)
 
-    sil_sessions = silver.user_sessions(sessions, users, logins, d)
+    sil_sessions = silver.user_sessions(sessions, users, logins, d, one_login_per_day)
     if zorder_files:
         sil_sessions = tables.zorder(sil_sessions, ["user_id", "event_date"], zorder_files)
     tables.replace_partitions(sil_sessions, lake.path("silver_user_sessions"))
