@@ -1,6 +1,9 @@
 """Run registered queries in Spark and their DuckDB SQL side by side and compare.
 
 usage: python scripts/check_oracle.py [sf_dir] [name-substring ...]
+
+MEEPLE_SCALE_PLANS=1 forces the plans a large cluster would run: no broadcast joins, no
+adaptive re-planning, 64 shuffle partitions.
 """
 
 from __future__ import annotations
@@ -22,6 +25,10 @@ def main(argv: list[str]) -> int:
     sf_dir = argv[0] if argv and argv[0].startswith("/") else "/root/testdata/sf0.01"
     filters = [a for a in argv if not a.startswith("/")]
     spark = local_session()
+    if os.environ.get("MEEPLE_SCALE_PLANS"):
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        spark.conf.set("spark.sql.adaptive.enabled", "false")
+        spark.conf.set("spark.sql.shuffle.partitions", "64")
     con = duck_connection(sf_dir)
     failed = 0
     for name, fn in QUERIES.items():
