@@ -126,16 +126,20 @@ def _summary(cells: DataFrame, sessions: DataFrame, purchases: DataFrame) -> Dat
     users = sessions.groupBy("event_date").agg(
         F.count_distinct("user_id").alias("unique_active_users")
     )
+    out = per_day.join(users, "event_date").join(daily_revenue(purchases), "event_date", "left")
+    return out.select(*DAILY_SUMMARY_COLUMNS)
+
+
+def daily_revenue(purchases: DataFrame) -> DataFrame:
+    """Per day with purchases: total revenue and mean purchase (exact cents, half-up)."""
     revenue = purchases.groupBy("event_date").agg(
         F.sum(scaled_units("amount", 2)).alias("cents"), F.count("amount").alias("n_buy")
     )
-    revenue = revenue.select(
+    return revenue.select(
         "event_date",
         units_to_double("cents", 2).alias("total_revenue"),
         half_up_mean("cents", "n_buy", 2).alias("avg_purchase_amount"),
     )
-    out = per_day.join(users, "event_date").join(revenue, "event_date", "left")
-    return out.select(*DAILY_SUMMARY_COLUMNS)
 
 
 def daily_summary(
