@@ -1,10 +1,12 @@
 """Incremental refresh of silver and gold as raw files arrive (Structured Streaming).
 
-The reference reran its daily notebooks for a ``run_date``. Here a file-source stream
-watches a raw table folder; each micro-batch finds the days its new files touch and
-reruns :func:`meeple.plans.jobs.run_day` for those days. ``run_day`` replaces whole day
-partitions, so replaying a micro-batch after a failure (the checkpoint decides what is
-replayed) rewrites the same rows: the sink is idempotent and the result exactly-once.
+The reference reran its daily notebooks for a ``run_date``. Here file-source streams
+watch the raw fact table folders (sessions, logins, purchases, leaderboard), unioned into
+one query with one checkpoint; each micro-batch finds the days its new files touch, in
+any of the tables, and reruns :func:`meeple.plans.jobs.run_day` for those days.
+``run_day`` replaces whole day partitions, so replaying a micro-batch after a failure
+(the checkpoint decides what is replayed) rewrites the same rows: the sink is idempotent
+and the result exactly-once.
 
 Only the list of touched days reaches the driver (a handful of dates per batch), never
 the rows themselves.
@@ -23,34 +25,40 @@ def touched_days(batch: DataFrame, column: str = "event_date") -> list:
     return sorted(r[0] for r in batch.select(column).distinct().collect() if r[0] is not None)
 
 
+RAW_FACT_TABLES = ("raw_game_sessions", "raw_logins", "raw_purchases", "raw_leaderboard_snapshots")
+
+
 def start_daily_refresh(
     spark: SparkSession,
     lake: Lake,
     checkpoint_location: str,
-    source_table: str = "raw_game_sessions",
+    source_tables: tuple[str, ...] = RAW_FACT_TABLES,
     max_files_per_trigger: int = 1000,
     available_now: bool = True,
     zorder_files: int | None = None,
 ) -> StreamingQuery:
-    """Start the refresh stream over ``source_table``'s folder.
+    """Start the refresh stream over the folders of ``source_tables``.
 
     ``available_now=True`` processes everything present and stops (a scheduled run);
     ``False`` keeps polling for new files every minute.
     """
-    schema = lake.read(spark, source_table).schema
-    stream = (
-        spark.readStream.schema(schema)
+    streams = [
+        spark.readStream.schema(lake.read(spark, table).schema)
         .option("maxFilesPerTrigger", max_files_per_trigger)
-        .parquet(lake.path(source_table))
-    )
+        .parquet(lake.path(table))
+        .select("event_date")
+        for table in source_tables
+    ]
+    days = streams[0]
+    for other in streams[1:]:
+        days = days.unionByName(other)
 
     def refresh(batch: DataFrame, epoch_id: int) -> None:
         for d in touched_days(batch):
             run_day(spark, lake, d, zorder_files=zorder_files)
 
     writer = (
-        stream.select("event_date")
-        .writeStream.queryName(f"refresh_{source_table}")
+        days.writeStream.queryName("refresh_daily_tables")
         .foreachBatch(refresh)
         .option("checkpointLocation", checkpoint_location)
     )

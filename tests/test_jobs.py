@@ -67,6 +67,17 @@ def test_streaming_refresh_picks_up_new_days(spark, tmp_dir):
     q.awaitTermination(300)
     g = lake.read(spark, "gold_daily_summary")
     assert sorted(x[0] for x in g.select("event_date").collect()) == DAYS
+    # late purchases for an existing day, and nothing else: that day's revenue is refreshed
+    before = g.filter(F.col("event_date") == DAYS[0]).first()["total_revenue"]
+    late = r.purchases.filter(F.col("event_date") == DAYS[0]).limit(3).withColumn(
+        "purchase_id", F.concat(F.lit("late-"), "purchase_id")
+    ).withColumn("amount", F.lit(100.0))
+    jobs.write_raw(late, lake, "raw_purchases")
+    q = start_daily_refresh(spark, lake, ckpt)
+    q.awaitTermination(300)
+    g = lake.read(spark, "gold_daily_summary")
+    after = g.filter(F.col("event_date") == DAYS[0]).first()["total_revenue"]
+    assert round(after - (before or 0.0), 2) == sum(100.0 for r_ in late.filter(F.col("user_id").isNotNull()).collect())
 
 
 def test_segmentation_jobs(spark, tmp_dir):
