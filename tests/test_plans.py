@@ -99,3 +99,9 @@ def test_library_never_uses_local_checkpoints():
     root = pathlib.Path(__file__).resolve().parents[1] / "meeple"
     offenders = [str(f) for f in root.rglob("*.py") if "localCheckpoint" in f.read_text()]
     assert offenders == []
+
+
+def test_leaderboard_reduces_large_sides_before_left_joins(spark):
+    r = load_raw(spark, SF_SMALL)
+    p = plan(silver.leaderboard_enriched(r.leaderboard, r.users, r.sessions, RUN_DATE))
+    assert p.count("LeftSemi") == 2
