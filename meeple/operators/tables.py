@@ -155,7 +155,7 @@ def _sortable_number(df: DataFrame, c: str) -> Column:
     if isinstance(dtype, T.DateType):
         return F.unix_date(col).cast("double")
     if isinstance(dtype, (T.TimestampType, T.TimestampNTZType)):
-        return F.unix_micros(col.cast("timestamp")).cast("double")
+        return F.unix_timestamp(col).cast("double")  # zone-independent for both flavours
     if isinstance(dtype, T.StringType):
         head = F.rpad(F.substring(F.hex(F.encode(col, "UTF-8")), 1, 14), 14, "0")
         return F.conv(head, 16, 10).cast("double")

@@ -192,3 +192,9 @@ def test_zorder_splits_a_hot_value_over_files(spark, tmp_dir):
     tables.zorder(base, ["user_id", "event_date"], num_files=4).write.parquet(path)
     sizes = [r["n"] for r in spark.read.parquet(path).groupBy(F.input_file_name()).agg(F.count("*").alias("n")).collect()]
     assert sum(sizes) == 4000 and max(sizes) < 2000
+
+
+def test_zorder_on_timestamps(spark, tmp_dir):
+    sessions = load_raw(spark, SF_SMALL).sessions
+    out = tables.zorder(sessions, ["start_time", "score"], num_files=3)
+    assert bag(out) == bag(sessions)
