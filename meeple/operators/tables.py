@@ -1,7 +1,8 @@
 """Table maintenance as plain Spark jobs on Parquet tables.
 
 * writes: append, replace whole days (dynamic partition overwrite), full overwrite
-* ``upsert``: MERGE by key (update matched rows, insert the others)
+* ``upsert`` / ``upsert_table``: MERGE by key (update matched rows, insert the others),
+  as a DataFrame or as a new table version swapped in through the catalog
 * ``changes`` / ``apply_changes``: the change feed between two versions of a table
 * ``zorder``: rewrite rows in Z-order of several columns (compaction + clustering)
 * ``clustered``: rows of equal key next to each other (CLUSTER BY)
@@ -13,7 +14,7 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -98,6 +99,29 @@ def upsert(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataFra
     return kept.unionByName(src.select(*target.columns))
 
 
+def upsert_table(
+    spark: SparkSession, table: str, source: DataFrame, keys: Sequence[str], location: str | None = None
+) -> str:
+    """S12 end to end on a catalog table: write the merged rows to a new version folder
+    (by default a fresh one under the shared ``spark.checkpoint.dir`` folder), then point
+    the table at it with ``ALTER TABLE ... SET LOCATION``. The catalog change is one
+    step, so readers see the old version or the new one, never a mix, and a failed merge
+    leaves the table untouched. The old version's files stay readable by path.
+
+    For a table partitioned by its key use :func:`replace_partitions` instead.
+    """
+    from meeple.session import unique_path
+
+    if any(c.isPartition for c in spark.catalog.listColumns(table)):
+        raise ValueError(f"{table} is partitioned: replace its partitions instead")
+    merged = upsert(spark.table(table), source, keys)
+    path = location or unique_path(spark, "tables", table)
+    merged.write.parquet(path)
+    spark.sql(f"ALTER TABLE {table} SET LOCATION '{path}'")
+    spark.catalog.refreshTable(table)
+    return path
+
+
 # ------------------------------------------------------------------------- change feed
 
 

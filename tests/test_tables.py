@@ -198,3 +198,19 @@ def test_zorder_on_timestamps(spark, tmp_dir):
     sessions = load_raw(spark, SF_SMALL).sessions
     out = tables.zorder(sessions, ["start_time", "score"], num_files=3)
     assert bag(out) == bag(sessions)
+
+
+def test_upsert_table_swaps_in_a_new_version(spark, tmp_dir):
+    old_path = f"{tmp_dir}/v0"
+    spark.createDataFrame([(1, "a"), (2, "b")], "k int, v string").write.option("path", old_path).saveAsTable(
+        "meeple_upsert_test"
+    )
+    try:
+        src = spark.createDataFrame([(1, "A"), (3, "c")], "k int, v string")
+        new_path = tables.upsert_table(spark, "meeple_upsert_test", src, ["k"])
+        assert new_path != old_path
+        got = sorted(map(tuple, spark.table("meeple_upsert_test").collect()))
+        assert got == [(1, "A"), (2, "b"), (3, "c")]
+        assert sorted(map(tuple, spark.read.parquet(old_path).collect())) == [(1, "a"), (2, "b")]
+    finally:
+        spark.sql("DROP TABLE IF EXISTS meeple_upsert_test")
