@@ -352,6 +352,7 @@ ORACLE: dict[str, str] = {
     "daily_summary_backfill": _daily_summary(),
     "daily_summary_one_day": _daily_summary(f"WHERE event_date = {RUN_DATE}"),
     "daily_summary_from_silver": _daily_summary(),
+    "daily_summary_from_cells": _daily_summary(),
     "daily_revenue": _q("SELECT * FROM summary_rev", _summary_ctes("summary", "silver_user_sessions")),
     "peak_hour_per_day": _q(
         """SELECT event_date, peak_hour, cnt FROM (

@@ -103,6 +103,8 @@ def _most_then_smallest(count_col: str, value_col: str) -> Column:
 
 
 def _summary(cells: DataFrame, sessions: DataFrame, purchases: DataFrame) -> DataFrame:
+    """The daily summary from session cells, any frame with the days' (event_date,
+    user_id) pairs for the distinct-user count, and the silver purchases."""
     # Per (day, hour, device) first: at most days x 24 x devices rows, combined map-side.
     per_cell = cells.groupBy("event_date", "hour", "login_device").agg(
         F.sum("n").alias("n"), F.sum("dur_tenths").alias("dur_tenths"), F.sum("n_dur").alias("n_dur")
@@ -176,6 +178,17 @@ def daily_summary_from_silver(
     return _summary(silver_session_cells(silver_sessions), silver_sessions, purchases)
 
 
+def daily_summary_from_cells(
+    cells: DataFrame, purchases: DataFrame, run_date: dt.date | str | None = None
+) -> DataFrame:
+    """Q4 from stored :func:`weighted_session_cells` (they keep ``user_id``, so they also
+    give the distinct users): the daily job computes the cells once per day and reads
+    them for both the summary and the per-user metrics."""
+    if run_date is not None:
+        cells, purchases = day(cells, run_date), day(purchases, run_date)
+    return _summary(cells, cells, purchases)
+
+
 def top_per_day(sessions: DataFrame, value: Column, name: str) -> DataFrame:
     """The most frequent ``value`` of each day's sessions (ties: smaller, NULL last),
     as a top-1-per-group window over the per-(day, value) counts."""
@@ -246,7 +259,12 @@ def user_day_metrics(sessions: DataFrame, logins: DataFrame, purchases: DataFram
 
     ``sessions``/``logins`` raw, ``purchases`` silver.
     """
-    cells = weighted_session_cells(sessions, logins).groupBy("user_id", "event_date").agg(
+    return user_day_metrics_from_cells(weighted_session_cells(sessions, logins), purchases)
+
+
+def user_day_metrics_from_cells(cells: DataFrame, purchases: DataFrame) -> DataFrame:
+    """:func:`user_day_metrics` from stored session cells."""
+    cells = cells.groupBy("user_id", "event_date").agg(
         F.sum("n").alias("sessions"),
         F.sum("dur_tenths").alias("dur_tenths"),
         F.sum("n_dur").alias("n_dur"),

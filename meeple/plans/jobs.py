@@ -1,9 +1,9 @@
 """Scheduled jobs over a folder of Parquet tables (the reference's notebook sequence).
 
 ``run_day``: raw tables of one day -> silver sessions, purchases, leaderboard (whole-day
-partitions replaced, silver sessions optionally Z-ordered) -> gold daily summary upserted
-by day, and the day's per-user metrics. Rerunning a day leaves every table as one run
-would.
+partitions replaced, silver sessions optionally Z-ordered) -> the day's session cells ->
+gold daily summary upserted by day, and the day's per-user metrics. Rerunning a day
+leaves every table as one run would.
 
 ``run_segmentation``: gold user demographics -> K-means segments (full overwrite) and the
 fitted model saved with a production pointer; ``run_scoring`` re-segments with it.
@@ -86,14 +86,20 @@ def run_day(
         silver.leaderboard_enriched(board, users, sessions, d), lake.path("silver_leaderboard_enriched")
     )
 
+    # The day's session cells (per user, hour and login device, weighted by logins) are
+    # stored once; the summary, its distinct users and the per-user metrics all read
+    # them, so the raw day is scanned once for silver and once for the cells.
+    tables.replace_partitions(gold.weighted_session_cells(sessions, logins), lake.path("gold_session_cells"))
+    cells = day(lake.read(spark, "gold_session_cells"), d)
+    purchases_written = day(lake.read(spark, "silver_purchases_enriched"), d)
     # MERGE INTO gold ON event_date: the key is the partition column, so replacing the
     # day's partition is the upsert (matched day updated, new day inserted).
-    purchases_written = day(lake.read(spark, "silver_purchases_enriched"), d)
-    summary = conform(gold.daily_summary(sessions, logins, purchases_written, d), "gold_daily_summary")
+    summary = conform(gold.daily_summary_from_cells(cells, purchases_written), "gold_daily_summary")
     tables.replace_partitions(summary, lake.path("gold_daily_summary"))
     # The day's per-user metrics: demographics add these up instead of rescanning history.
-    metrics = gold.user_day_metrics(sessions, logins, purchases_written)
-    tables.replace_partitions(metrics, lake.path("gold_user_day_metrics"))
+    tables.replace_partitions(
+        gold.user_day_metrics_from_cells(cells, purchases_written), lake.path("gold_user_day_metrics")
+    )
     return day(lake.read(spark, "gold_daily_summary"), d)
 
 

@@ -166,6 +166,9 @@ QUERIES: dict[str, Query] = {
     "daily_summary_from_silver": lambda s, sf: gold.daily_summary_from_silver(
         _silver_sessions(s, sf), _silver_purchases(s, sf)
     ),
+    "daily_summary_from_cells": lambda s, sf: gold.daily_summary_from_cells(
+        gold.weighted_session_cells(_raw(s, sf, "sessions"), _raw(s, sf, "logins")), _silver_purchases(s, sf)
+    ),
     "daily_revenue": lambda s, sf: gold.daily_revenue(_silver_purchases(s, sf)),
     "peak_hour_per_day": lambda s, sf: gold.top_per_day(
         _silver_sessions(s, sf), F.hour("start_time"), "peak_hour"
