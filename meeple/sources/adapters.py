@@ -35,7 +35,7 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     path = f"{sf_dir.rstrip('/')}/{name}.parquet"
     key = (id(spark), path)
     cached = _READS.get(key)
-    if cached is None or cached[0] is not spark or spark.sparkContext._jsc is None:
+    if cached is None or cached[0] is not spark:
         cached = (spark, spark.read.parquet(path))
         _READS[key] = cached
     return cached[1]
