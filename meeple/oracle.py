@@ -313,6 +313,10 @@ FROM (SELECT user_id, unnest(range(1, kk + 1)) AS n
        DATE '2024-01-15' AS event_date
 FROM raw_users WHERE {_h('user_id', _gen_seed('purchase'))} < {buy_cut}"""
         ),
+        "random_choice": _q(
+            f"SELECT user_id, ['iOS', 'Android', 'Web'][1 + {_h('user_id', _gen_seed('device'))} % 3] AS device_type "
+            "FROM raw_users"
+        ),
         "leaderboard_snapshot": _q(
             f"""SELECT user_id, game_type, CAST(rk AS INTEGER) AS rank, DATE '2024-01-15' AS event_date FROM (
   SELECT user_id, game_type, row_number() OVER (

@@ -13,7 +13,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from meeple.operators import tables
+from meeple.operators import sampling, tables
 from meeple.plans import bronze, gold, questions, segments, silver
 from meeple.session import shared_dir
 from meeple.sources import ingest
@@ -252,4 +252,7 @@ QUERIES: dict[str, Query] = {
     "session_fanout": lambda s, sf: bronze.generate_sessions(_raw(s, sf, "users"), RUN_DATE),
     "sampled_purchases": lambda s, sf: bronze.generate_purchases(_raw(s, sf, "users"), RUN_DATE),
     "leaderboard_snapshot": lambda s, sf: bronze.generate_leaderboard(_raw(s, sf, "users"), RUN_DATE),
+    "random_choice": lambda s, sf: _raw(s, sf, "users").select(
+        "user_id", sampling.choice(sampling.DEVICE_TYPES, ["user_id"], "device|0|2024-01-15").alias("device_type")
+    ),
 }
