@@ -214,3 +214,24 @@ def test_upsert_table_swaps_in_a_new_version(spark, tmp_dir):
         assert sorted(map(tuple, spark.read.parquet(old_path).collect())) == [(1, "a"), (2, "b")]
     finally:
         spark.sql("DROP TABLE IF EXISTS meeple_upsert_test")
+
+
+def test_days_filter_and_lake_exists(spark, tmp_dir):
+    from meeple.plans.jobs import Lake
+
+    sessions = load_raw(spark, SF_SMALL).sessions
+    two = readers.days(sessions, ["2024-01-10", dt.date(2024, 1, 11)])
+    assert {r[0] for r in two.select("event_date").distinct().collect()} <= {dt.date(2024, 1, 10), dt.date(2024, 1, 11)}
+    lake = Lake(tmp_dir)
+    assert not lake.exists(spark, "raw_users")
+    sessions.limit(1).write.parquet(lake.path("raw_users"))
+    assert lake.exists(spark, "raw_users")
+
+
+def test_cluster_settings_size_partitions():
+    from meeple.session import cluster_settings
+
+    conf = cluster_settings(100 * 1024**4)  # 100 TB of shuffle
+    assert int(conf["spark.sql.shuffle.partitions"]) == 409_600
+    assert conf["spark.sql.adaptive.enabled"] == "true"
+    assert int(cluster_settings(1)["spark.sql.shuffle.partitions"]) == 200
