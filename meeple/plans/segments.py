@@ -209,8 +209,8 @@ def checkpointed(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.parquet(path)
 
 
-def _split_stable(df: DataFrame, condition: Column) -> tuple[DataFrame, DataFrame]:
-    return split_inactive(checkpointed(df), condition)
+def _split_stable(df: DataFrame, condition: Column, stage: bool = True) -> tuple[DataFrame, DataFrame]:
+    return split_inactive(checkpointed(df) if stage else df, condition)
 
 
 def _finish(clustered: DataFrame, inactive: DataFrame) -> DataFrame:
@@ -225,14 +225,16 @@ def train_segments(
     seed: int = DEFAULT_SEED,
     min_rate: float = RATE_RULE_MIN_RATE,
     min_minutes: float = TRAIN_MIN_MINUTES,
+    stage: bool = True,
 ) -> tuple[DataFrame, PipelineModel]:
     """Q6/M7: split, fit assembler + scaler + K-means on the active users, label, union.
 
     Returns the segmented users (demographics columns, ``user_age_days``,
-    ``user_segment``) and the fitted three-stage pipeline.
+    ``user_segment``) and the fitted three-stage pipeline. ``stage=False`` skips writing
+    the per-user table first, for input that is already a stored table.
     """
     df = with_account_age(demographics, as_of)
-    active, inactive = _split_stable(df, inactive_condition("rate", min_rate, min_minutes))
+    active, inactive = _split_stable(df, inactive_condition("rate", min_rate, min_minutes), stage)
     model = segmentation_pipeline(k, seed).fit(active)
     return _finish(model.transform(active), inactive), model
 
@@ -244,14 +246,16 @@ def score_segments(
     refit_scaler: bool = False,
     min_rate: float = RATE_RULE_MIN_RATE,
     min_minutes: float = SCORE_MIN_MINUTES,
+    stage: bool = True,
 ) -> DataFrame:
     """Q7/M8: segment users with a saved pipeline.
 
     ``refit_scaler=True`` reproduces the reference: the scaler is fitted again on the day's
-    active users and the saved centroids are applied to that scaling.
+    active users and the saved centroids are applied to that scaling. ``stage=False`` as
+    in :func:`train_segments`.
     """
     df = with_account_age(demographics, as_of)
-    active, inactive = _split_stable(df, inactive_condition("rate", min_rate, min_minutes))
+    active, inactive = _split_stable(df, inactive_condition("rate", min_rate, min_minutes), stage)
     if refit_scaler:
         centroids = [s for s in model.stages if isinstance(s, KMeansModel)][-1]
         scaled = Pipeline(stages=[assembler(), scaler()]).fit(active).transform(active)

@@ -81,10 +81,12 @@ def _scored(spark: SparkSession, sf: str) -> DataFrame:
     """Train, save with a production pointer, load it back and score (the demographics
     both steps read are computed once)."""
     demographics = segments.checkpointed(_demographics(spark, sf))
-    _, model = segments.train_segments(demographics, AS_OF)
+    _, model = segments.train_segments(demographics, AS_OF, stage=False)
     base = shared_dir(spark, "models", "user_segmentation")
     segments.save_model(model, base, "v1")
-    return segments.score_segments(demographics, AS_OF, segments.load_model(base), refit_scaler=True)
+    return segments.score_segments(
+        demographics, AS_OF, segments.load_model(base), refit_scaler=True, stage=False
+    )
 
 
 def _simple(spark: SparkSession, sf: str) -> DataFrame:
