@@ -20,6 +20,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from meeple.functions.exprs import half_up_mean, round_decimal, scaled_units
+from meeple.operators import tables
 from meeple.sources.readers import as_date
 
 FEATURES = ["total_sessions", "avg_session_duration", "total_spent", "num_purchases"]
@@ -193,24 +194,10 @@ def feature_zscores(active: DataFrame) -> DataFrame:
     )
 
 
-def checkpointed(df: DataFrame) -> DataFrame:
-    """Cut the lineage of a frame that several passes read: write it as Parquet to a fresh
-    folder under the session's shared ``spark.checkpoint.dir`` and read it back.
-
-    The rows are computed once and survive executor loss. Columnar files are smaller
-    than serialised checkpoint rows, and reading them back gives the planner real sizes.
-    Used on the per-user table the jobs split, so the scans and aggregations behind it
-    run once, not once per split and per model pass.
-    """
-    from meeple.session import unique_path
-
-    path = unique_path(df.sparkSession, "meeple-stages")
-    df.write.parquet(path)
-    return df.sparkSession.read.parquet(path)
-
-
 def _split_stable(df: DataFrame, condition: Column, stage: bool = True) -> tuple[DataFrame, DataFrame]:
-    return split_inactive(checkpointed(df) if stage else df, condition)
+    # the per-user table is read by the split, every model pass and the labelling: store it
+    # once so the scans and aggregations behind it run once
+    return split_inactive(tables.stage(df) if stage else df, condition)
 
 
 def _finish(clustered: DataFrame, inactive: DataFrame) -> DataFrame:
@@ -300,7 +287,7 @@ def k_sweep(
     spark: SparkSession, scaled: DataFrame, ks=range(2, 9), seed: int = DEFAULT_SEED
 ) -> DataFrame:
     """Silhouette per k (the data of the elbow plot). Each k is a distributed fit
-    over the same checkpointed input."""
+    over the same staged input."""
     evaluator = ClusteringEvaluator(
         predictionCol="cluster", featuresCol="scaled_features", metricName="silhouette"
     )

@@ -80,7 +80,7 @@ def _trained(spark: SparkSession, sf: str):
 def _scored(spark: SparkSession, sf: str) -> DataFrame:
     """Train, save with a production pointer, load it back and score (the demographics
     both steps read are computed once)."""
-    demographics = segments.checkpointed(_demographics(spark, sf))
+    demographics = tables.stage(_demographics(spark, sf))
     _, model = segments.train_segments(demographics, AS_OF, stage=False)
     base = shared_dir(spark, "models", "user_segmentation")
     segments.save_model(model, base, "v1")

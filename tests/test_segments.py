@@ -2,6 +2,7 @@
 
 from pyspark.sql import functions as F
 
+from meeple.operators import tables
 from meeple.plans import gold, segments, silver
 from meeple.sources.adapters import AS_OF, load_raw
 from meeple.session import unique_path
@@ -99,7 +100,7 @@ def test_kmeans_and_labels_match_brute_force(spark):
     import pandas as pd
 
     demo = segments.with_account_age(demographics(spark, SF_SMALL), AS_OF)
-    active, _ = segments.split_inactive(segments.checkpointed(demo), segments.inactive_condition("rate"))
+    active, _ = segments.split_inactive(tables.stage(demo), segments.inactive_condition("rate"))
     model = segments.segmentation_pipeline().fit(active)
     clustered = model.transform(active)
     pdf = clustered.select("user_id", *segments.FEATURES, "cluster").toPandas()
