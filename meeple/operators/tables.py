@@ -232,7 +232,8 @@ def zorder(df: DataFrame, columns: Sequence[str], num_files: int, bits: int | No
     (one heavy user on one day) is split over several files instead of filling one. The
     hash is deterministic, so a retried task places every row exactly as before. Without
     ``bits``, each column gets enough buckets for the Z-key to tell ``num_files`` ranges
-    apart (4 to 8 bits per column).
+    apart (4 to 8 bits per column). The input is read twice (cut points, then the rewrite):
+    :func:`stage` an expensive input first.
     """
     if bits is None:
         bits = min(8, max(4, math.ceil(math.log2(max(num_files, 2)) / len(columns)) + 1))

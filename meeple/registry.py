@@ -247,7 +247,7 @@ QUERIES: dict[str, Query] = {
     "daily_changes": lambda s, sf: tables.changes(*_summary_versions(s, sf), ["event_date"]),
     "clustered_users": lambda s, sf: tables.clustered(_raw(s, sf, "users"), "signup_date"),
     "zordered_sessions": lambda s, sf: tables.zorder(
-        _silver_sessions(s, sf), ["user_id", "event_date"], num_files=8
+        tables.stage(_silver_sessions(s, sf)), ["user_id", "event_date"], num_files=8
     ),
     # G1-G4, W5 generated raw rows for one day
     "sampled_logins": lambda s, sf: bronze.generate_logins(_raw(s, sf, "users"), RUN_DATE),
