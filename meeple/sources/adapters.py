@@ -17,7 +17,7 @@ from functools import cached_property
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from meeple.operators.sampling import GAME_TYPES, ranked_sample
+from meeple.operators.sampling import DEVICE_TYPES, GAME_TYPES, GENDERS, ranked_sample
 
 # Fixed parameters of the test runs.
 RUN_DATE = dt.date(2024, 1, 15)
@@ -62,7 +62,7 @@ def raw_users(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(F.pmod(key, F.lit(41)) == 0, F.lit(None).cast("int"))
         .otherwise((F.pmod(key, F.lit(40)) + 10).cast("int"))
         .alias("age"),
-        _case(key, ["Male", "Female", "Other"]).alias("gender"),
+        _case(key, GENDERS).alias("gender"),
     )
 
 
@@ -72,7 +72,7 @@ def raw_logins(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ev.select(
         F.col("user_id").cast("string").alias("user_id"),
         F.col("ts").alias("timestamp"),
-        _case(eid, ["iOS", "Android", "Web"]).alias("device_type"),
+        _case(eid, DEVICE_TYPES).alias("device_type"),
         F.concat(F.lit("City_"), F.pmod(eid, F.lit(50)).cast("string")).alias("location"),
         F.col("ts").cast("date").alias("event_date"),
     )
@@ -88,11 +88,11 @@ def raw_game_sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(F.pmod(eid, F.lit(89)) == 0, F.lit(None).cast("string"))
         .otherwise(uid.cast("string"))
         .alias("user_id"),
-        _case(eid, ["Arcade", "Ranked", "Practice"]).alias("game_type"),
+        _case(eid, GAME_TYPES).alias("game_type"),
         F.col("ts").alias("start_time"),
         (F.col("ts") + F.make_dt_interval(F.lit(0), F.lit(0), minutes, seconds)).alias("end_time"),
         F.pmod(eid * 37, F.lit(1001)).cast("int").alias("score"),
-        _case(eid, ["WIN", "lose"]).alias("result"),
+        _case(eid, ["WIN", "lose"]).alias("result"),  # mixed case on purpose
         F.col("ts").cast("date").alias("event_date"),
     )
 
@@ -105,7 +105,7 @@ def raw_purchases(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(F.pmod(eid, F.lit(97)) == 0, F.lit(None).cast("string"))
         .otherwise(F.col("user_id").cast("string"))
         .alias("user_id"),
-        _case(eid, ["Skin", "Coins", "boost", "PASS"]).alias("item"),
+        _case(eid, ["Skin", "Coins", "boost", "PASS"]).alias("item"),  # mixed case on purpose
         (F.col("value") - 10).alias("amount"),
         F.col("ts").alias("timestamp"),
         F.col("ts").cast("date").alias("event_date"),
