@@ -16,6 +16,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from meeple.operators import tables
 from meeple.plans import bronze, gold, segments, silver
@@ -35,9 +36,17 @@ class Lake:
     def read(self, spark: SparkSession, table: str) -> DataFrame:
         return spark.read.parquet(self.path(table))
 
-    def exists(self, spark: SparkSession, table: str) -> bool:
+    def read_day(self, spark: SparkSession, table: str, run_date, schema: T.StructType) -> DataFrame:
+        """One day of a table written by this job, read with its known schema: a table
+        that has received no rows yet (an empty first day) reads as empty."""
+        if not self.exists(spark, table, schema):
+            return spark.createDataFrame([], schema)
+        return day(spark.read.schema(schema).parquet(self.path(table)), run_date)
+
+    def exists(self, spark: SparkSession, table: str, schema: T.StructType | None = None) -> bool:
         try:
-            self.read(spark, table).schema
+            reader = spark.read.schema(schema) if schema is not None else spark.read
+            reader.parquet(self.path(table)).schema
             return True
         except Exception:  # noqa: BLE001 - a missing folder raises an AnalysisException
             return False
@@ -91,9 +100,10 @@ def run_day(
     # The day's session cells (per user, hour and login device, weighted by logins) are
     # stored once; the summary, its distinct users and the per-user metrics all read
     # them, so the raw day is scanned once for silver and once for the cells.
-    tables.replace_partitions(gold.weighted_session_cells(sessions, logins), lake.path("gold_session_cells"))
-    cells = day(lake.read(spark, "gold_session_cells"), d)
-    purchases_written = day(lake.read(spark, "silver_purchases_enriched"), d)
+    new_cells = gold.weighted_session_cells(sessions, logins)
+    tables.replace_partitions(new_cells, lake.path("gold_session_cells"))
+    cells = lake.read_day(spark, "gold_session_cells", d, new_cells.schema)
+    purchases_written = lake.read_day(spark, "silver_purchases_enriched", d, sil_purchases.schema)
     # MERGE INTO gold ON event_date: the key is the partition column, so replacing the
     # day's partition is the upsert (matched day updated, new day inserted).
     summary = conform(gold.daily_summary_from_cells(cells, purchases_written), "gold_daily_summary")
@@ -102,7 +112,7 @@ def run_day(
     tables.replace_partitions(
         gold.user_day_metrics_from_cells(cells, purchases_written), lake.path("gold_user_day_metrics")
     )
-    return day(lake.read(spark, "gold_daily_summary"), d)
+    return lake.read_day(spark, "gold_daily_summary", d, summary.schema)
 
 
 def demographics_from_lake(spark: SparkSession, lake: Lake) -> DataFrame:

@@ -103,3 +103,11 @@ def test_generated_day_flows_to_gold(spark, tmp_dir):
     assert len(g) == 1 and g[0]["total_sessions"] >= lake.read(spark, "raw_game_sessions").count()
     assert 0 < g[0]["unique_active_users"] <= n_users
     assert lake.read(spark, "silver_leaderboard_enriched").select("rank").distinct().count() <= 20
+
+
+def test_first_day_without_activity(spark, tmp_dir):
+    """The first run is a day without rows: silver and gold tables do not exist yet."""
+    lake, _ = build_lake(spark, tmp_dir, DAYS[:1])
+    quiet = dt.date(2024, 1, 1) - dt.timedelta(days=30)  # no rows in any raw table
+    assert jobs.run_day(spark, lake, quiet).count() == 0
+    assert jobs.run_day(spark, lake, DAYS[0]).count() == 1
