@@ -411,6 +411,9 @@ ORACLE: dict[str, str] = {
 FROM segmented GROUP BY user_segment"""
     ),
     "segment_sizes": _q("SELECT user_segment, count(*) AS count FROM segmented GROUP BY user_segment"),
+    "whales_by_country_given_clusters": _q(
+        "SELECT country, count(*) AS whales FROM segmented WHERE user_segment = 'Whale' GROUP BY country"
+    ),
     "user_categories": _q(
         f"SELECT CASE WHEN coalesce({RULES['rate_15']}, false) THEN 'Inactive' ELSE 'Active' END "
         "AS category, count(*) AS users FROM aged GROUP BY 1"

@@ -209,6 +209,7 @@ QUERIES: dict[str, Query] = {
     "segment_profile": lambda s, sf: segments.segment_profile(_synthetic_segments(s, sf)),
     "segment_sizes": lambda s, sf: segments.segment_sizes(_synthetic_segments(s, sf)),
     "user_categories": lambda s, sf: questions.user_categories(_aged(s, sf)),
+    "whales_by_country_given_clusters": lambda s, sf: segments.whales_by_country(_synthetic_segments(s, sf)),
     # Q6-Q8, Q11, M2, M4, M7-M12 (Spark ML: rows-only checks)
     "kmeans_segments": lambda s, sf: _trained(s, sf)[0],
     "scored_segments": _scored,
