@@ -24,6 +24,8 @@ SCALE_PLAN_QUERIES = [
     "silver_user_sessions", "silver_leaderboard_enriched", "daily_summary_backfill", "daily_summary_from_silver",
     "user_demographics", "user_demographics_from_daily", "active_users", "cluster_labels", "upsert_daily",
     "daily_changes", "zordered_sessions", "leaderboard_snapshot", "hourly_activity",
+    "silver_purchases_enriched", "segment_profile", "user_categories", "earnings_by_day", "device_usage",
+    "clustered_users", "whales_by_country_given_clusters", "silver_user_sessions_one_login",
 ]
 
 
