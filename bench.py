@@ -52,27 +52,33 @@ def main() -> None:
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
 
-    timings: dict[str, float] = {}
+    timings: dict[str, float | None] = {}
+    failed: dict[str, str] = {}
     for label, name in HEADLINE.items():
         runs = []
-        for _ in range(1 + warm_runs):
-            t0 = time.perf_counter()
-            QUERIES[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
-            runs.append(time.perf_counter() - t0)
-        timings[label] = round(statistics.median(runs[1:] or runs), 3)
+        try:
+            for _ in range(1 + warm_runs):
+                t0 = time.perf_counter()
+                QUERIES[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
+                runs.append(time.perf_counter() - t0)
+            timings[label] = round(statistics.median(runs[1:] or runs), 3)
+        except Exception as exc:  # noqa: BLE001 - report and keep timing the others
+            timings[label] = None
+            failed[label] = repr(exc)[:300]
 
     match = re.search(r"sf([0-9.]+)", sf_dir)
     print(
         json.dumps(
             {
                 "metric": "headline_q1_q8_total",
-                "value": round(sum(timings.values()), 3),
+                "value": round(sum(t for t in timings.values() if t is not None), 3),
                 "unit": "sec",
                 "queries": timings,
                 "sf": float(match.group(1)) if match else sf_dir,
                 "cpus": cpus,
                 "spark": spark.version,
                 "warm_runs": warm_runs,
+                **({"failed": failed} if failed else {}),
             }
         )
     )
