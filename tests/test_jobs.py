@@ -6,6 +6,7 @@ import datetime as dt
 from pyspark.sql import functions as F
 
 from meeple.plans import gold, jobs, silver
+from meeple.sources.schemas import contract_violations
 from meeple.sources.adapters import AS_OF, load_raw
 from meeple.streaming import start_daily_refresh
 from tests.conftest import SF_SMALL
@@ -88,10 +89,12 @@ def test_segmentation_jobs(spark, tmp_dir):
     assert path.endswith("/v1")
     demo = lake.read(spark, "gold_user_demographics")
     assert demo.count() == lake.read(spark, "raw_users").count()
+    assert contract_violations(demo, "gold_user_demographics_written") == []
     jobs.run_scoring(spark, lake, AS_OF)
     assert lake.read(spark, "gold_user_scores").count() == demo.count()
     jobs.run_simple_segments(spark, lake)
-    assert lake.read(spark, "gold_user_segments").columns[-1] == "user_segment"
+    assert contract_violations(lake.read(spark, "gold_user_segments"), "gold_user_segments") == []
+    assert contract_violations(lake.read(spark, "gold_daily_summary"), "gold_daily_summary") == []
 
 
 def test_generated_day_flows_to_gold(spark, tmp_dir):
