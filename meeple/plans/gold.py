@@ -219,8 +219,8 @@ def purchase_metrics(purchases: DataFrame) -> DataFrame:
     )
 
 
-def _demographics(users: DataFrame, metrics: DataFrame, purchases: DataFrame) -> DataFrame:
-    joined = users.join(metrics, "user_id", "left").join(purchase_metrics(purchases), "user_id", "left")
+def _demographic_columns(joined: DataFrame) -> DataFrame:
+    """The published demographics columns of users left-joined to their metrics."""
     return joined.select(
         "user_id",
         "gender",
@@ -234,6 +234,11 @@ def _demographics(users: DataFrame, metrics: DataFrame, purchases: DataFrame) ->
     )
 
 
+def _demographics(users: DataFrame, metrics: DataFrame, purchases: DataFrame) -> DataFrame:
+    joined = users.join(metrics, "user_id", "left").join(purchase_metrics(purchases), "user_id", "left")
+    return _demographic_columns(joined)
+
+
 def user_demographics(
     users: DataFrame, sessions: DataFrame, logins: DataFrame, purchases: DataFrame
 ) -> DataFrame:
@@ -246,11 +251,6 @@ def user_demographics(
     return _demographics(users, session_metrics(sessions, logins), purchases)
 
 
-USER_DAY_COLUMNS = [
-    "user_id", "event_date", "sessions", "dur_tenths", "n_dur", "spent_cents", "purchases",
-]
-
-
 def user_day_metrics(sessions: DataFrame, logins: DataFrame, purchases: DataFrame) -> DataFrame:
     """Per (user, day): enriched session rows, duration total (tenths) and count, spend
     (cents) and purchases. Every field is an integer sum, so any set of days adds up to
@@ -303,18 +303,7 @@ def user_demographics_from_daily(users: DataFrame, daily: DataFrame) -> DataFram
         F.when(F.col("p") > 0, units_to_double("c", 2)).alias("total_spent"),
         F.when(F.col("p") > 0, F.col("p")).alias("num_purchases"),
     )
-    joined = users.join(metrics, "user_id", "left")
-    return joined.select(
-        "user_id",
-        "gender",
-        age_bracket("age").alias("age_bracket"),
-        "country",
-        F.col("signup_date").alias("registration_date"),
-        F.coalesce("total_sessions", F.lit(0).cast("long")).alias("total_sessions"),
-        F.coalesce("avg_session_duration", F.lit(0.0)).alias("avg_session_duration"),
-        F.coalesce("total_spent", F.lit(0.0)).alias("total_spent"),
-        F.coalesce("num_purchases", F.lit(0).cast("long")).alias("num_purchases"),
-    )
+    return _demographic_columns(users.join(metrics, "user_id", "left"))
 
 
 def user_demographics_from_silver(
