@@ -3,7 +3,8 @@
 Environment: ``BENCH_SF_DIR`` (default /root/testdata/sf0.1), ``BENCH_CPUS`` (default 8),
 ``BENCH_RUNS`` (warm runs after one cold run, default 3). Each query is run to completion
 with a no-op sink (every row computed, nothing collected). Prints one JSON line:
-per-query median of the warm runs, and their sum as the headline value.
+per-query median of the warm runs, and their sum as the headline value. A product that
+fails is reported under ``failed`` (its time is null) and the others are still timed.
 """
 
 from __future__ import annotations
