@@ -145,3 +145,31 @@ def run_simple_segments(spark: SparkSession, lake: Lake) -> None:
     """The older segmentation of the gold table into ``gold_user_segments`` (9 columns)."""
     segs = segments.simple_segments(lake.read(spark, "gold_user_demographics"))
     tables.overwrite_keeping_schema(segs, lake.path("gold_user_segments"), segs.schema)
+
+
+LAKE_TABLES = [
+    "raw_users", "raw_logins", "raw_game_sessions", "raw_purchases", "raw_leaderboard_snapshots",
+    "silver_user_sessions", "silver_purchases_enriched", "silver_leaderboard_enriched",
+    "gold_session_cells", "gold_daily_summary", "gold_user_day_metrics", "gold_user_demographics",
+    "gold_user_scores", "gold_user_segments",
+]
+
+
+def register_tables(spark: SparkSession, lake: Lake, database: str = "analytics") -> list[str]:
+    """Expose the lake's existing tables as external catalog tables of ``database``, so SQL
+    such as ``SELECT * FROM analytics.silver_user_sessions LIMIT 100`` runs unchanged.
+    Only metadata is written: the day folders present are registered as partitions (call
+    again after new days are written). Returns the registered names."""
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
+    registered = []
+    for table in LAKE_TABLES:
+        if not lake.exists(spark, table):
+            continue
+        name = f"{database}.{table}"
+        if not spark.catalog.tableExists(name):
+            spark.catalog.createTable(name, path=lake.path(table), source="parquet")
+        if any(c.isPartition for c in spark.catalog.listColumns(name)):
+            spark.catalog.recoverPartitions(name)  # day folders written since the last call
+        spark.catalog.refreshTable(name)
+        registered.append(name)
+    return registered

@@ -114,3 +114,21 @@ def test_first_day_without_activity(spark, tmp_dir):
     quiet = dt.date(2024, 1, 1) - dt.timedelta(days=30)  # no rows in any raw table
     assert jobs.run_day(spark, lake, quiet).count() == 0
     assert jobs.run_day(spark, lake, DAYS[0]).count() == 1
+
+
+def test_register_tables_for_sql(spark, tmp_dir):
+    lake, _ = build_lake(spark, tmp_dir, DAYS[:1])
+    jobs.run_day(spark, lake, DAYS[0])
+    names = jobs.register_tables(spark, lake, database="meeple_sql_test")
+    try:
+        assert "meeple_sql_test.gold_daily_summary" in names
+        n = spark.sql("SELECT count(*) FROM meeple_sql_test.gold_daily_summary").first()[0]
+        assert n == 1
+        preview = spark.sql("SELECT * FROM meeple_sql_test.silver_user_sessions LIMIT 100").count()
+        assert 0 < preview <= 100
+        day_rows = spark.sql(
+            f"SELECT count(*) FROM meeple_sql_test.raw_game_sessions WHERE event_date = DATE'{DAYS[0]}'"
+        ).first()[0]
+        assert day_rows > 0
+    finally:
+        spark.sql("DROP DATABASE IF EXISTS meeple_sql_test CASCADE")
