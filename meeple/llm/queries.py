@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from meeple.llm import language
+from meeple.llm import bpe, language
 from meeple.llm.common import table
 
 LLM_QUERIES = {
     "op7_language_id": lambda s, sf: language.op7_language(table(s, sf, "documents")),
+    "op9_byte_bpe": lambda s, sf: bpe.op9_bpe(table(s, sf, "documents")),
 }
 
 #: DuckDB SQL per query, where SQL can express it.
