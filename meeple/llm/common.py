@@ -172,7 +172,7 @@ def word_hashes(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     starts, ends = runs(~_WHITE[data])
     if not len(starts):
         return np.zeros(0, np.uint64), np.zeros(len(texts) + 1, np.int64)
-    hashes = span_hashes(_BYTE_CODES[data], starts, ends)
+    hashes = SpanHasher(_BYTE_CODES[data])(starts, ends)
     return hashes, np.searchsorted(starts, offsets)
 
 
@@ -186,15 +186,44 @@ def runs(mask: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return edge[0::2], edge[1::2]
 
 
-def span_hashes(codes: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """64-bit hash of each span of ``codes`` (uint64 values): a polynomial modulo 2**64 by
-    prefix sums, shifted to the span's start, mixed with the span's length."""
-    n = len(codes)
-    prefix = np.empty(n + 1, dtype=np.uint64)
-    prefix[0] = 0
-    np.cumsum(codes * _powers(_BASE, "up", n), out=prefix[1:])
-    value = (prefix[ends] - prefix[starts]) * _powers(_BASE_INVERSE, "down", n)[starts]
-    return mix64(value + (ends - starts).astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93))
+class SpanHasher:
+    """64-bit hashes of spans of ``codes`` (uint64 values): a polynomial modulo 2**64 by prefix
+    sums, shifted to the span's start, mixed with the span's length."""
+
+    def __init__(self, codes: np.ndarray):
+        n = len(codes)
+        self.prefix = np.empty(n + 1, dtype=np.uint64)
+        self.prefix[0] = 0
+        np.cumsum(codes * _powers(_BASE, "up", n), out=self.prefix[1:])
+        self.down = _powers(_BASE_INVERSE, "down", n + 1)
+
+    def __call__(self, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        value = (self.prefix[ends] - self.prefix[starts]) * self.down[starts]
+        return mix64(value + (ends - starts).astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93))
+
+
+def letters(cp: np.ndarray) -> np.ndarray:
+    """Mask of letters: ASCII by range, everything else by Python's character classes."""
+    mask = ((cp | 32) >= 97) & ((cp | 32) <= 122)
+    high = cp >= 128
+    if high.any():
+        kinds = np.unique(cp[high])
+        good = np.array([chr(c).isalpha() for c in kinds])
+        mask[high] = good[np.searchsorted(kinds, cp[high])]
+    return mask
+
+
+def lowered(cp: np.ndarray) -> np.ndarray:
+    """Lower-case code points, one for one."""
+    out = cp.copy()
+    out[(cp >= 65) & (cp <= 90)] += 32
+    out[(cp >= 0xC0) & (cp <= 0xDE) & (cp != 0xD7)] += 32
+    high = out >= 0x100
+    if high.any():
+        kinds = np.unique(out[high])
+        low = np.array([ord(chr(c).lower()[0]) for c in kinds], dtype=np.uint32)
+        out[high] = low[np.searchsorted(kinds, out[high])]
+    return out
 
 
 # --- connected components -------------------------------------------------------------------

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from meeple.llm import bpe, language
+from meeple.llm import bpe, language, toxicity
 from meeple.llm.common import table
 
 LLM_QUERIES = {
+    "op5_toxicity": lambda s, sf: toxicity.op5_toxicity(table(s, sf, "documents"), table(s, sf, "labels")),
     "op7_language_id": lambda s, sf: language.op7_language(table(s, sf, "documents")),
     "op9_byte_bpe": lambda s, sf: bpe.op9_bpe(table(s, sf, "documents")),
 }
