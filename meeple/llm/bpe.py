@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from meeple.llm.common import code_points, map_slices, row_ids
+from meeple.llm.common import code_points, map_slices, row_ids, ship_code
 
 # --- the automaton ----------------------------------------------------------------------------
 
@@ -400,6 +400,7 @@ def encode(docs: DataFrame, rank_path: str | None = None, id_col: str = "doc_id"
 
 def decode(encoded: DataFrame, rank_path: str | None = None, id_col: str = "doc_id") -> DataFrame:
     """``id_col`` and decoded (binary) for every row with ``ids``."""
+    ship_code(encoded.sparkSession)
     sent, kind = _sent(encoded.sparkSession, rank_path), encoded.schema[id_col].dataType
     from pyspark.sql.pandas.types import to_arrow_type
 

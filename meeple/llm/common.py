@@ -7,13 +7,17 @@ that are read more than once are written below the cluster's shared folder (:fun
 
 from __future__ import annotations
 
+import tempfile
+import zipfile
 from collections.abc import Callable, Iterable, Iterator
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+import meeple
 from meeple.session import unique_path
 
 CHARS_PER_SLICE = 1 << 20
@@ -55,6 +59,20 @@ def unstage(*frames: DataFrame) -> None:
             target.getFileSystem(conf).delete(target, True)
 
 
+def ship_code(spark: SparkSession) -> None:
+    """Make this package importable in the Python workers of any cluster (once per context)."""
+    sc = spark.sparkContext
+    if getattr(sc, "_meeple_shipped", False):
+        return
+    root = Path(meeple.__file__).resolve().parent
+    archive = Path(tempfile.mkdtemp(prefix="meeple-code-")) / "meeple_code.zip"
+    with zipfile.ZipFile(archive, "w", zipfile.ZIP_DEFLATED) as z:
+        for file in sorted(root.rglob("*.py")):
+            z.write(file, file.relative_to(root.parent))
+    sc.addPyFile(str(archive))
+    sc._meeple_shipped = True
+
+
 def slices(lengths: Iterable[int], limit: int = CHARS_PER_SLICE) -> Iterator[tuple[int, int]]:
     """Consecutive row ranges (start, end) with at most ``limit`` characters each; a longer
     text is a range of its own."""
@@ -78,6 +96,7 @@ def map_slices(
     """``compute(texts, rows)`` over slices of Arrow batches of ``df``; it returns one array per
     column of ``schema``. NULL texts arrive as empty ones."""
     spark = df.sparkSession
+    ship_code(spark)
     names = [f.name for f in spark.createDataFrame([], schema).schema.fields]
     arrow = _arrow_schema(spark, schema)
 
