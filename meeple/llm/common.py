@@ -7,6 +7,7 @@ that are read more than once are written below the cluster's shared folder (:fun
 
 from __future__ import annotations
 
+import gc
 import tempfile
 import zipfile
 from collections.abc import Callable, Iterable, Iterator
@@ -14,6 +15,7 @@ from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -286,3 +288,44 @@ def _fingerprint(edges: DataFrame) -> tuple:
     h = F.xxhash64("lo", "hi")
     row = edges.agg(F.count("*"), F.bit_xor(h), F.sum(F.shiftright(h, 24))).first()
     return tuple(row)
+
+
+def release(spark: SparkSession) -> None:
+    """Let Spark delete the shuffle files of frames that are out of reach. It does so after a
+    collection of the driver's heap, which on a large heap may be hours away."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
+def shards(spark: SparkSession, per_partition: int = 4) -> int:
+    """Number of hash shards that data is packed into for one shuffle."""
+    return per_partition * max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
+
+
+def batches_of(batches: Iterator[pa.RecordBatch], text: str, limit: int) -> Iterator[tuple[int, list[str], pa.RecordBatch]]:
+    """(batch number, texts, rows): a task's rows in consecutive batches of about ``limit``
+    characters, at most 65,536 rows each. Numbers are unique over the tasks of a stage, and a
+    task that runs again makes the same batches."""
+    number = TaskContext.get().partitionId() << 32
+    held: list[pa.RecordBatch] = []
+    texts: list[str] = []
+    size = 0
+
+    def flush():
+        return number, texts, pa.Table.from_batches(held).combine_chunks().to_batches()[0]
+
+    for batch in batches:
+        got = [t or "" for t in batch.column(batch.schema.get_field_index(text)).to_pylist()]
+        rest = batch.drop_columns([text]) if batch.num_columns > 1 else batch
+        for a, b in slices(map(len, got), min(limit, CHARS_PER_SLICE)):
+            for c in range(a, b, 1 << 15):
+                d = min(b, c + (1 << 15))
+                if texts and (size >= limit or len(texts) + d - c > 1 << 16):
+                    yield flush()
+                    number += 1
+                    held, texts, size = [], [], 0
+                held.append(rest.slice(c, d - c))
+                texts += got[c:d]
+                size += sum(map(len, got[c:d]))
+    if texts:
+        yield flush()

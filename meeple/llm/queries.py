@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from meeple.llm import bpe, language, pii, toxicity
+from meeple.llm import bpe, jaccard, language, pii, toxicity
 from meeple.llm.common import table
 
 LLM_QUERIES = {
     "op2_pii": lambda s, sf: pii.op2_pii(table(s, sf, "documents")),
     "op5_toxicity": lambda s, sf: toxicity.op5_toxicity(table(s, sf, "documents"), table(s, sf, "labels")),
     "op7_language_id": lambda s, sf: language.op7_language(table(s, sf, "documents")),
+    "op8_ngram_jaccard": lambda s, sf: jaccard.op8_jaccard(table(s, sf, "documents")),
     "op9_byte_bpe": lambda s, sf: bpe.op9_bpe(table(s, sf, "documents")),
 }
 
