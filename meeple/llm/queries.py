@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from meeple.llm import bpe, jaccard, language, pii, toxicity
+from meeple.llm import bpe, embeddings, jaccard, language, pii, toxicity
 from meeple.llm.common import table
 
 LLM_QUERIES = {
@@ -11,6 +11,7 @@ LLM_QUERIES = {
     "op7_language_id": lambda s, sf: language.op7_language(table(s, sf, "documents")),
     "op8_ngram_jaccard": lambda s, sf: jaccard.op8_jaccard(table(s, sf, "documents")),
     "op9_byte_bpe": lambda s, sf: bpe.op9_bpe(table(s, sf, "documents")),
+    "op10_embedding_dedup": lambda s, sf: embeddings.op10_embeddings(table(s, sf, "embeddings")),
 }
 
 #: DuckDB SQL per query, where SQL can express it.
