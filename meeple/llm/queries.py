@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from meeple.llm import bpe, embeddings, fingerprint, jaccard, language, pii, toxicity
+from meeple.llm import bpe, embeddings, fingerprint, jaccard, language, pii, scoring, toxicity
 from meeple.llm.common import table
 
 LLM_QUERIES = {
     "op2_pii": lambda s, sf: pii.op2_pii(table(s, sf, "documents")),
+    "op4_lm_score": lambda s, sf: scoring.op4_lm_score(table(s, sf, "documents")),
     "op5_toxicity": lambda s, sf: toxicity.op5_toxicity(table(s, sf, "documents"), table(s, sf, "labels")),
     "op6_fingerprint": lambda s, sf: fingerprint.op6_fingerprint(table(s, sf, "documents")),
     "op7_language_id": lambda s, sf: language.op7_language(table(s, sf, "documents")),
