@@ -139,7 +139,7 @@ def code_points(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
 
 
 _RNG = np.random.default_rng(20240117)
-_BYTE_CODES = _RNG.integers(1, 2**63, size=256, dtype=np.uint64) | np.uint64(1)
+BYTE_CODES = _RNG.integers(1, 2**63, size=256, dtype=np.uint64) | np.uint64(1)
 _BASE = 0x9E3779B97F4A7C15 | 1
 _BASE_INVERSE = pow(_BASE, -1, 2**64)
 _POWERS: dict[str, np.ndarray] = {}
@@ -193,7 +193,7 @@ def word_hashes(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     starts, ends = runs(~_WHITE[data])
     if not len(starts):
         return np.zeros(0, np.uint64), np.zeros(len(texts) + 1, np.int64)
-    hashes = SpanHasher(_BYTE_CODES[data])(starts, ends)
+    hashes = SpanHasher(BYTE_CODES[data])(starts, ends)
     return hashes, np.searchsorted(starts, offsets)
 
 
@@ -254,14 +254,14 @@ def connected_components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFr
     """(node, component) for every node of ``edges``; component is the smallest node reachable.
 
     Alternating large-star and small-star steps: every node's neighbours are linked to the
-    smallest one. Minima are map-side combined and written, so that the join back on a node with
-    very many neighbours is a plain join of two shuffles, which adaptive execution can split.
+    smallest one, until only stars are left. Minima are map-side combined and written, so that
+    the join back on a node with very many neighbours is a plain join of two shuffles, which
+    adaptive execution can split.
     """
     cur = stage(
         edges.select(F.least(a, b).alias("lo"), F.greatest(a, b).alias("hi")).filter("lo < hi").distinct(), "cc"
     )
-    mark = _fingerprint(cur)
-    while True:
+    while not _only_stars(cur):
         both = cur.select(F.col("lo").alias("u"), F.col("hi").alias("v")).unionByName(
             cur.select(F.col("hi").alias("u"), F.col("lo").alias("v"))
         )
@@ -274,20 +274,19 @@ def connected_components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFr
         small = large.join(lowest, "hi").filter("lo <> m").select(F.col("m").alias("lo"), F.col("lo").alias("hi"))
         nxt = stage(small.unionByName(lowest.select(F.col("m").alias("lo"), "hi")).distinct(), "cc")
         unstage(least, large, lowest, cur)
-        now = _fingerprint(nxt)
         cur = nxt
-        if now == mark:
-            break
-        mark = now
-    stars = cur.groupBy("hi").agg(F.min("lo").alias("component")).withColumnRenamed("hi", "node")
-    roots = cur.groupBy("lo").agg(F.min("lo").alias("component")).withColumnRenamed("lo", "node")
-    return stars.unionByName(roots)
-
-
-def _fingerprint(edges: DataFrame) -> tuple:
-    h = F.xxhash64("lo", "hi")
-    row = edges.agg(F.count("*"), F.bit_xor(h), F.sum(F.shiftright(h, 24))).first()
-    return tuple(row)
+    return cur.select(F.col("hi").alias("node"), F.col("lo").alias("component")).unionByName(
+        cur.select(F.col("lo").alias("node"), F.col("lo").alias("component")).distinct()
+    )
+
+
+def _only_stars(edges: DataFrame) -> bool:
+    """No node has two smaller neighbours, or a smaller and a larger one."""
+    ends = edges.select(F.col("hi").alias("node"), F.lit(1).alias("up"), F.lit(0).alias("down")).unionByName(
+        edges.select(F.col("lo").alias("node"), F.lit(0).alias("up"), F.lit(1).alias("down"))
+    )
+    roles = ends.groupBy("node").agg(F.sum("up").alias("up"), F.max("down").alias("down"))
+    return roles.filter("up > 1 OR (up = 1 AND down = 1)").isEmpty()
 
 
 def release(spark: SparkSession) -> None:

@@ -8,8 +8,9 @@ Two documents link when the Jaccard similarity of their sets of 5-word shingles
 2. Every set is ordered by global frequency, rare first; only a prefix of it is indexed. An
    index entry's position bounds the sizes its partners may have, so the list of a shingle is
    cut into blocks by size, and blocks outside that range are skipped whole.
-3. Each list's smallest set is its pivot: all others are compared with it first. What is linked
-   to one pivot is one component already; only pairs across components remain.
+3. Each list's pivot is the set with the fewest rarer tokens (the original among edited copies):
+   all others are compared with it first. What is linked to one pivot is one component already;
+   only pairs across components remain.
 4. Of those, a pair that shares a pivot is decided from the overlaps with the pivot where the
    bounds they give are enough, and by intersection otherwise.
 
@@ -282,20 +283,27 @@ def components(docs: DataFrame, id_col: str = "doc_id") -> DataFrame:
         .select(F.col("col").alias("token"), "cid", "n", (F.col("before") + F.col("pos")).alias("pos")), "index",
     )
     pivots = stage(
-        entries.groupBy("token").agg(F.min(F.struct("cid", "n", "pos")).alias("p"), F.count("*").alias("size"))
+        entries.groupBy("token").agg(F.min(F.struct("pos", "cid", "n")).alias("p"), F.count("*").alias("size"))
         .filter("size > 1").select("token", "p.*"), "pivots",
     )
     star = (
-        entries.alias("e").join(pivots.alias("p"), "token").filter((F.col("p.cid") < F.col("e.cid")) & _admissible("p", "e"))
+        entries.alias("e").join(pivots.alias("p"), "token").filter((F.col("p.cid") != F.col("e.cid")) & _admissible("p", "e"))
         .select(F.col("p.cid").alias("x"), F.col("e.cid").alias("y")).distinct()
     )
     known = stage(_verified(star, own), "pivot-overlaps")
-    first = stage(connected_components(known.filter("linked"), "x", "y"), "components")
-
-    placed = stage(
-        entries.join(first.withColumnRenamed("node", "cid"), "cid", "left")
-        .withColumn("comp", F.coalesce("component", "cid")).drop("component"), "placed",
+    # what is linked to one pivot is together: every set goes to its pivot with the most links, and
+    # with it to that one's (sets apart here may be linked all the same: their pairs are looked
+    # at again, and all links meet in the end)
+    tied = known.filter("linked").select("x", "y")
+    degree = stage(tied.groupBy("x").agg(F.count("*").alias("degree")), "pivot-degrees")
+    offers = tied.join(degree, "x").select(F.col("y").alias("cid"), F.struct("degree", "x").alias("to")).unionByName(
+        degree.select(F.col("x").alias("cid"), F.struct("degree", "x").alias("to"))
+    )
+    near = stage(offers.groupBy("cid").agg(F.max("to").alias("to")).select("cid", F.col("to.x").alias("comp")), "near-pivot")
+    first = near.join(near.select(F.col("cid").alias("comp"), F.col("comp").alias("next")), "comp", "left").select(
+        "cid", F.coalesce("next", "comp").alias("comp")
     )
+    placed = stage(entries.join(first, "cid", "left").withColumn("comp", F.coalesce("comp", "cid")), "placed")
     parts = placed.groupBy("token", "comp").agg(F.count("*").alias("size"))
     main = stage(
         parts.groupBy("token").agg(F.max_by("comp", F.struct("size", "comp")).alias("main"), F.count("*").alias("parts"))
@@ -305,11 +313,11 @@ def components(docs: DataFrame, id_col: str = "doc_id") -> DataFrame:
     minor, major = split.filter("comp <> main"), split.filter("comp = main")
     rest = stage(
         _across(minor, split).unionByName(_across(major, minor)).distinct()
-        .join(known.select("x", "y"), ["x", "y"], "left_anti"), "open-pairs",
+        .join(known.select(F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y")), ["x", "y"], "left_anti"), "open-pairs",
     )
     links = stage(
         _decided(rest, known, own).filter("linked").select("x", "y")
-        .unionByName(first.filter("node <> component").select(F.col("component").alias("x"), F.col("node").alias("y"))), "links",
+        .unionByName(known.filter("linked").select("x", "y")), "links",
     )
     joined = connected_components(links, "x", "y").withColumnRenamed("node", "cid")
     named = classes.select("digest", "cid", "rep").join(joined, "cid", "left").withColumn("component", F.coalesce("component", "cid"))
@@ -320,7 +328,7 @@ def components(docs: DataFrame, id_col: str = "doc_id") -> DataFrame:
         F.col("id").alias(id_col), F.col("n").alias("n_shingles"),
         F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("id")).alias("component_id"),
     )
-    unstage(entries, pivots, known, first, placed, main, split, rest, links, own, named, smallest)
+    unstage(entries, pivots, known, degree, near, placed, main, split, rest, links, own, named, smallest)
     release(spark)
     return out
 
