@@ -1,0 +1,90 @@
+"""Operator 1: the exponent, the budgets, and what is drawn."""
+
+import collections
+import random
+
+import numpy as np
+import pytest
+
+from meeple.llm import mixing
+
+
+def corpus():
+    rng = random.Random(1)
+    rows = []
+    for i in range(600):
+        source = rng.choice(["big"] * 6 + ["mid"] * 2 + ["small"])
+        rows.append((i, "w " * rng.randint(1, 40), "en", source))
+    return rows + [(700, None, "en", "mid"), (701, "", "en", "hollow"), (702, "a b", "en", None), (703, "a\nb  c", "en", None), (5, "w w", "en", "big")]
+
+
+def test_bisection():
+    p = np.array([0.7, 0.2, 0.1])
+    assert mixing.bisect_alpha(p, repetition_limit=100.0) == 0.0
+    a = mixing.bisect_alpha(p, repetition_limit=2.0)
+    assert abs(mixing.repetition(p, a) - 2.0) < 1e-6
+    a = mixing.bisect_alpha(p, target_entropy=1.0, repetition_limit=None)
+    assert abs(mixing.entropy(mixing.weights(p, a)) - 1.0) < 1e-6
+    assert mixing.bisect_alpha(p, target_entropy=0.1, repetition_limit=None) == 1.0
+    assert mixing.bisect_alpha(np.array([1.0]), 0.5, 2.0) in (0.0, 1.0)
+
+
+def drawn(rows, got):
+    tokens = {}
+    for doc_id, text, _, source in rows:
+        tokens.setdefault((doc_id, source), []).append(len((text or "").split()))
+    out = collections.Counter()
+    for r in got:
+        out[r["source"]] += r["n_tokens"]
+    return out
+
+
+@pytest.mark.parametrize("limit,budget", [(2.0, None), (4.0, None), (3.0, 5000), (2.0, 100_000)])
+def test_budgets_are_met(docs, limit, budget):
+    rows = corpus()
+    df = docs(rows)
+    plan = mixing.plan(df, budget_tokens=budget, repetition_limit=limit)
+    got = mixing.apply(df.select("doc_id", "source", mixing.tokens().alias("n_tokens")), plan).collect()
+    total = drawn(rows, got)
+    longest = 40
+    for b in plan:
+        if b.tokens:
+            assert b.budget - longest < total[b.source] <= b.budget
+    shares = np.array([b.tokens for b in plan if b.tokens], float)
+    w = np.array([b.weight for b in plan if b.tokens])
+    assert abs(w.sum() - 1) < 1e-9
+    assert (w / (shares / shares.sum())).max() / (w / (shares / shares.sum())).min() <= limit + 1e-6
+    # without a budget nothing is left out; passes are whole but for the last one
+    seen = collections.Counter((r["doc_id"], r["source"], r["epoch"]) for r in got)
+    if budget is None:
+        assert {(r[0], r[3]) for r in rows} == {(r["doc_id"], r["source"]) for r in got}
+    for b in plan:
+        own = {e for (_, s, e) in seen if s == b.source}
+        assert not own or own == set(range(max(own) + 1))
+        for e in range(b.passes):
+            assert sum(1 for k in seen if k[1] == b.source and k[2] == e) == len({r[0] for r in rows if r[3] == b.source})
+
+
+def test_turns_interleave_sources(docs):
+    rows = corpus()
+    got = sorted(mixing.op1_temperature_mix(docs(rows)).collect(), key=lambda r: r["turn"])
+    assert all(0 <= r["turn"] <= 1 for r in got)
+    half = got[: len(got) // 2]
+    whole, first = (collections.Counter() for _ in range(2))
+    for c, part in ((whole, got), (first, half)):
+        for r in part:
+            c[r["source"]] += r["n_tokens"]
+    for s in ("big", "mid", "small"):
+        assert 0.35 < first[s] / whole[s] < 0.65
+
+
+def test_same_mixture_again_and_in_other_partitions(docs):
+    df = docs(corpus())
+    a = sorted(map(str, mixing.op1_temperature_mix(df).collect()))
+    assert a == sorted(map(str, mixing.op1_temperature_mix(df.repartition(7)).collect()))
+
+
+def test_empty_tables_and_texts(docs):
+    assert mixing.op1_temperature_mix(docs([])).count() == 0
+    got = mixing.op1_temperature_mix(docs([(1, None, "en", "a"), (2, "", "en", "b")])).collect()
+    assert {(r["doc_id"], r["n_tokens"], r["epoch"]) for r in got} == {(1, 0, 0), (2, 0, 0)}
