@@ -1,4 +1,4 @@
-"""Reproducible sampling operators (the distributed form of the bronze row generators).
+"""Reproducible samples of given rows.
 
 Every draw is a pure function of the row's key and a seed: ``md5(key | seed)`` read as a
 32-bit number. Results do not depend on partitioning, executor count or retries, so a
@@ -14,16 +14,13 @@ from pyspark.sql import functions as F
 
 _TWO_32 = 2**32
 
-# Fixed values of the reference: the choice sets of the generators.
+# Fixed values of the reference: label sets, the share of users drawn for a day's logins, and the
+# players drawn per game and day.
 DEVICE_TYPES = ["iOS", "Android", "Web"]
 GAME_TYPES = ["Arcade", "Ranked", "Practice"]
-RESULTS = ["Win", "Lose"]
-ITEMS = ["Skin", "Coins", "Boost", "Pass"]
 GENDERS = ["Male", "Female", "Other"]
-LOGIN_RATE = 0.80  # share of users logging in on a day
-PURCHASE_RATE = 0.20  # share of users buying on a day
-MAX_SESSIONS_PER_DAY = 3  # 0..3 sessions per user and day
-LEADERBOARD_SIZE = 20  # players per game and day
+LOGIN_RATE = 0.80
+LEADERBOARD_SIZE = 20
 
 
 def key_hash(keys: Sequence[Column | str], seed: str | int | Column) -> Column:
@@ -39,28 +36,6 @@ def bernoulli(df: DataFrame, keys: Sequence[str], p: float, seed: str | int) ->
     return df.filter(key_hash(keys, seed) < F.lit(int(p * _TWO_32)))
 
 
-def choice(options: Sequence[str], keys: Sequence[Column | str], seed: str | int) -> Column:
-    """One of ``options`` per row, uniformly by key hash."""
-    arr = F.array(*[F.lit(o) for o in options])
-    return F.element_at(arr, (F.pmod(key_hash(keys, seed), F.lit(len(options))) + 1).cast("int"))
-
-
-def fan_out(
-    df: DataFrame, keys: Sequence[str], max_n: int, seed: str | int, index_col: str = "n"
-) -> DataFrame:
-    """Replace each row by 0..max_n copies numbered 1..k, k drawn by key.
-
-    ``explode`` runs inside the partition that holds the row: no shuffle.
-    """
-    k = F.pmod(key_hash(keys, seed), F.lit(max_n + 1)).cast("int")
-    return (
-        df.withColumn("_k", k)
-        .filter(F.col("_k") > 0)
-        .withColumn(index_col, F.explode(F.sequence(F.lit(1), F.col("_k"))))
-        .drop("_k")
-    )
-
-
 def ranked_sample(
     df: DataFrame,
     group_cols: Sequence[str],

@@ -4,20 +4,27 @@
 * ``upsert`` / ``upsert_table``: MERGE by key (update matched rows, insert the others),
   as a DataFrame or as a new table version swapped in through the catalog
 * ``changes`` / ``apply_changes``: the change feed between two versions of a table
-* ``zorder``: rewrite rows in Z-order of several columns (compaction + clustering)
+* ``compacted``: rewrite a day's rows in a few files by ranges of a column
 * ``clustered``: rows of equal key next to each other (CLUSTER BY)
 * ``add_columns`` / ``drop_columns``: schema evolution on read and on rewrite
 """
 
 from __future__ import annotations
 
-import math
+import datetime as dt
 from collections.abc import Sequence
+from contextlib import contextmanager
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+# Casts that lose nothing.
+_WIDENINGS = {
+    (T.IntegerType, T.LongType), (T.IntegerType, T.DoubleType), (T.FloatType, T.DoubleType),
+    (T.ShortType, T.IntegerType), (T.ShortType, T.LongType), (T.TimestampType, T.TimestampNTZType),
+}
+
 CHANGE_TYPE = "_change_type"
 INSERT, DELETE = "insert", "delete"
 UPDATE_PRE, UPDATE_POST = "update_preimage", "update_postimage"
@@ -55,6 +62,34 @@ def replace_partitions(df: DataFrame, path: str, partition_by: Sequence[str] = (
     )
 
 
+def replace_days(
+    df: DataFrame, path: str, days: Sequence[dt.date], column: str = "event_date", rebalance: bool = True
+) -> None:
+    """S9 for a known set of days: afterwards the table holds exactly ``df``'s rows on those
+    days, and a day for which ``df`` has none is empty (its folder goes). Other days stay.
+
+    Rows are first dealt by day (``rebalance``), so a day is written by few tasks whatever the
+    partitioning behind ``df``; adaptive execution splits a large day. Which days got rows is
+    counted while they are written."""
+    observed = Observation()
+    flags = [F.count(F.when(F.col(column) == F.lit(d), 1)).alias(f"d{i}") for i, d in enumerate(days)]
+    if not flags:
+        return
+    dealt = df.hint("rebalance", column) if rebalance else df
+    replace_partitions(dealt.observe(observed, *flags), path, [column])
+    counts = observed.get
+    spark = df.sparkSession
+    for i, d in enumerate(days):
+        if not counts[f"d{i}"]:
+            delete_path(spark, f"{path.rstrip('/')}/{column}={d.isoformat()}")
+
+
+def delete_path(spark: SparkSession, path: str) -> None:
+    """Delete a folder on the storage it is on; a missing one is fine."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
 def overwrite(df: DataFrame, path: str, partition_by: Sequence[str] | None = None) -> None:
     """Replace the table, schema included."""
     writer = df.write.mode("overwrite")
@@ -64,18 +99,39 @@ def overwrite(df: DataFrame, path: str, partition_by: Sequence[str] | None = Non
 
 
 def overwrite_keeping_schema(df: DataFrame, path: str, schema: T.StructType) -> None:
-    """Replace the rows, but only with rows of the table's existing schema."""
+    """Replace the rows, but only with rows of the table's existing schema: the same columns,
+    and types that widen to it without loss (an INT into a BIGINT, not the other way round)."""
     names = [f.name for f in schema.fields]
     if sorted(df.columns) != sorted(names):
         raise ValueError(f"columns {df.columns} do not match the table schema {names}")
+    for field in schema.fields:
+        have = df.schema[field.name].dataType
+        if have != field.dataType and (type(have), type(field.dataType)) not in _WIDENINGS:
+            raise ValueError(f"{field.name}: {have.simpleString()} does not fit {field.dataType.simpleString()}")
     df.select(*[F.col(f.name).cast(f.dataType) for f in schema.fields]).write.mode(
         "overwrite"
     ).parquet(path)
 
 
+_STAGED: list[list[tuple[SparkSession, str]]] = []
+
+
+@contextmanager
+def staging():
+    """Within this block, everything :func:`stage` writes is deleted at the end: use it around a
+    job that has written its results by then."""
+    _STAGED.append([])
+    try:
+        yield
+    finally:
+        for spark, path in _STAGED.pop():
+            delete_path(spark, path)
+
+
 def stage(df: DataFrame) -> DataFrame:
     """Cut the lineage of a frame that several passes read: write it as Parquet to a fresh
-    folder under the session's shared ``spark.checkpoint.dir`` and read it back.
+    folder under the session's shared ``spark.checkpoint.dir`` and read it back. The folder is
+    deleted at the end of the :func:`staging` block around the call, if there is one.
 
     The rows are computed once and survive executor loss. Columnar files are smaller
     than serialised checkpoint rows, and reading them back gives the planner real sizes.
@@ -83,6 +139,8 @@ def stage(df: DataFrame) -> DataFrame:
     from meeple.session import unique_path
 
     path = unique_path(df.sparkSession, "meeple-stages")
+    if _STAGED:
+        _STAGED[-1].append((df.sparkSession, path))
     df.write.parquet(path)
     return df.sparkSession.read.parquet(path)
 
@@ -113,27 +171,28 @@ def upsert(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataFra
     return kept.unionByName(src.select(*target.columns))
 
 
-def upsert_table(
-    spark: SparkSession, table: str, source: DataFrame, keys: Sequence[str], location: str | None = None
-) -> str:
-    """S12 end to end on a catalog table: write the merged rows to a new version folder
-    (by default a fresh one under the shared ``spark.checkpoint.dir`` folder), then point
-    the table at it with ``ALTER TABLE ... SET LOCATION``. The catalog change is one
-    step, so readers see the old version or the new one, never a mix, and a failed merge
-    leaves the table untouched. The old version's files stay readable by path.
-
-    For a table partitioned by its key use :func:`replace_partitions` instead.
-    """
-    from meeple.session import unique_path
-
+def rewrite_table(spark: SparkSession, table: str, rows: DataFrame, location: str) -> None:
+    """Give an unpartitioned catalog table new contents (and columns): write ``rows`` to
+    ``location``, a new folder beside the table's present one, then point the table at it. Readers
+    see the old contents until the last step, and a failed write leaves the table untouched.
+    The old folder stays, readable by path."""
     if any(c.isPartition for c in spark.catalog.listColumns(table)):
         raise ValueError(f"{table} is partitioned: replace its partitions instead")
-    merged = upsert(spark.table(table), source, keys)
-    path = location or unique_path(spark, "tables", table)
-    merged.write.parquet(path)
-    spark.sql(f"ALTER TABLE {table} SET LOCATION '{path}'")
+    names = {f.name: f.dataType for f in rows.schema.fields}
+    have = {f.name: f.dataType for f in spark.table(table).schema.fields}
+    rows.write.parquet(location)
+    if names == have:
+        spark.sql(f"ALTER TABLE {table} SET LOCATION '{location}'")
+    else:
+        spark.sql(f"DROP TABLE {table}")  # external: the files stay
+        spark.catalog.createTable(table, path=location, source="parquet")
     spark.catalog.refreshTable(table)
-    return path
+
+
+def upsert_table(spark: SparkSession, table: str, source: DataFrame, keys: Sequence[str], location: str) -> None:
+    """S12 end to end on a catalog table: :func:`upsert`, written to ``location`` and swapped in by
+    :func:`rewrite_table`. For a table partitioned by its key use :func:`replace_days`."""
+    rewrite_table(spark, table, upsert(spark.table(table), source, keys), location)
 
 
 # ------------------------------------------------------------------------- change feed
@@ -155,6 +214,7 @@ def changes(old: DataFrame, new: DataFrame, keys: Sequence[str]) -> DataFrame:
     yields 0, 1 or 2 output rows through ``inline`` (no second pass over either version).
     """
     columns = list(new.columns)
+    old = add_columns(old, {c: new.schema[c].dataType for c in columns if c not in old.columns})
     old, new = _unique_keys(old, keys), _unique_keys(new, keys)
     o = old.select(*[F.col(c).alias(f"o_{c}") for c in columns], F.lit(True).alias("o_present"))
     n = new.select(*[F.col(c).alias(f"n_{c}") for c in columns], F.lit(True).alias("n_present"))
@@ -186,64 +246,21 @@ def apply_changes(old: DataFrame, feed: DataFrame, keys: Sequence[str]) -> DataF
 # ----------------------------------------------------------------------------- layout
 
 
-def _sortable_number(df: DataFrame, c: str) -> Column:
-    """A number that orders like the column (strings by their first 7 bytes)."""
-    dtype = df.schema[c].dataType
-    col = F.col(c)
-    if isinstance(dtype, T.DateType):
-        return F.unix_date(col).cast("double")
-    if isinstance(dtype, (T.TimestampType, T.TimestampNTZType)):
-        return F.unix_timestamp(col).cast("double")  # zone-independent for both flavours
-    if isinstance(dtype, T.StringType):
-        head = F.rpad(F.substring(F.hex(F.encode(col, "UTF-8")), 1, 14), 14, "0")
-        return F.conv(head, 16, 10).cast("double")
-    return col.cast("double")
+def compacted(df: DataFrame, column: str, num_files: int) -> DataFrame:
+    """OPTIMIZE of one day's rows: ``num_files`` partitions by ranges of ``column``, each
+    sorted by it. Same rows; write the result to compact the table, whose files then hold
+    (nearly) disjoint ranges of ``column``, so a filter on it skips the others by their footers.
 
-
-def zorder_key(df: DataFrame, columns: Sequence[str], bits: int = 4, rel_error: float = 0.001) -> Column:
-    """An interleaved (Morton) key over range buckets of each column.
-
-    Each column is cut into ``2**bits`` buckets at approximate quantiles (one distributed
-    pass; only the ``2**bits - 1`` cut points per column reach the driver), then the
-    bucket numbers' bits are interleaved, so rows close in every column get close keys.
-    """
-    nums = {c: _sortable_number(df, c) for c in columns}
-    probe = df.select(*[nums[c].alias(c) for c in columns])
-    buckets = 2**bits
-    probs = [i / buckets for i in range(1, buckets)]
-    cuts = probe.approxQuantile(list(columns), probs, rel_error)
-    key = F.lit(0).cast("long")
-    for j, c in enumerate(columns):
-        bucket = F.lit(0)
-        for cut in sorted(set(x for x in cuts[j] if x is not None)):
-            bucket = bucket + F.when(nums[c] > F.lit(cut), 1).otherwise(0)
-        bucket = F.coalesce(bucket, F.lit(0)).cast("long")
-        for b in range(bits):
-            bit = F.shiftright(bucket, b).bitwiseAND(F.lit(1))
-            key = key.bitwiseOR(F.shiftleft(bit, b * len(columns) + j))
-    return key
-
-
-def zorder(df: DataFrame, columns: Sequence[str], num_files: int, bits: int | None = None) -> DataFrame:
-    """OPTIMIZE ... ZORDER BY: ``num_files`` partitions by ranges of the Z-key, each
-    sorted by it. Same rows; write the result to compact the table.
-
-    The range key is (Z-key, row hash), so a Z-value that holds a large share of the rows
-    (one heavy user on one day) is split over several files instead of filling one. The
-    hash is deterministic, so a retried task places every row exactly as before. Without
-    ``bits``, each column gets enough buckets for the Z-key to tell ``num_files`` ranges
-    apart (4 to 8 bits per column). The input is read twice (cut points, then the rewrite):
-    :func:`stage` an expensive input first.
-    """
-    if bits is None:
-        bits = min(8, max(4, math.ceil(math.log2(max(num_files, 2)) / len(columns)) + 1))
-    key = zorder_key(df, columns, bits)
+    Ranges are cut on (column, row hash) with the column's full value, so ids with a common
+    prefix are told apart, and a value that holds a large share of the rows is split over
+    several files instead of filling one. The hash is deterministic: a retried task places every
+    row exactly as before."""
     row_hash = F.xxhash64(*[F.col(c) for c in df.columns])
     return (
-        df.withColumns({"_z": key, "_h": row_hash})
-        .repartitionByRange(num_files, "_z", "_h")
-        .sortWithinPartitions("_z", "_h")
-        .drop("_z", "_h")
+        df.withColumn("_h", row_hash)
+        .repartitionByRange(num_files, column, "_h")
+        .sortWithinPartitions(column, "_h")
+        .drop("_h")
     )
 
 
@@ -258,10 +275,11 @@ def clustered(df: DataFrame, column: str) -> DataFrame:
 
 
 def add_columns(df: DataFrame, columns: dict[str, str | T.DataType]) -> DataFrame:
-    """ALTER TABLE ADD COLUMNS: new columns read NULL on existing rows."""
+    """ALTER TABLE ADD COLUMNS: new columns read NULL on existing rows. On a stored table:
+    ``rewrite_table(spark, table, add_columns(spark.table(table), ...), location)``."""
     return df.withColumns({name: F.lit(None).cast(dtype) for name, dtype in columns.items()})
 
 
 def drop_columns(df: DataFrame, *columns: str) -> DataFrame:
-    """ALTER TABLE DROP COLUMN (then rewrite with :func:`overwrite`)."""
+    """ALTER TABLE DROP COLUMN. On a stored table: :func:`rewrite_table` with the result."""
     return df.drop(*columns)

@@ -26,14 +26,16 @@ def _half_up_mean(total: str, n: str, places: int) -> str:
 
 RAW = f"""
 raw_users AS (
-  SELECT CAST(c_custkey AS VARCHAR) AS user_id, c_name AS username, n_name AS country,
+  SELECT CAST(c_custkey AS VARCHAR) AS user_id,
+         c_name || CASE WHEN copy = 2 THEN '_2' ELSE '' END AS username, n_name AS country,
          CAST(DATE '2023-10-01' + CAST(c_custkey % 119 AS INTEGER) AS DATE) AS signup_date,
          CASE WHEN c_custkey % 41 = 0 THEN NULL ELSE CAST(10 + c_custkey % 40 AS INTEGER) END AS age,
          CASE c_custkey % 3 WHEN 0 THEN 'Male' WHEN 1 THEN 'Female' ELSE 'Other' END AS gender
   FROM customer JOIN nation ON c_nationkey = n_nationkey
+       JOIN (VALUES (1), (2)) AS twice(copy) ON copy = 1 OR c_custkey % 53 = 0
 ),
 raw_logins AS (
-  SELECT CAST(user_id AS VARCHAR) AS user_id, ts AS "timestamp",
+  SELECT CAST(user_id AS VARCHAR) AS user_id, CASE WHEN event_id % 31 <> 0 THEN ts END AS "timestamp",
          CASE event_id % 3 WHEN 0 THEN 'iOS' WHEN 1 THEN 'Android' ELSE 'Web' END AS device_type,
          'City_' || CAST(event_id % 50 AS VARCHAR) AS location,
          CAST(ts AS DATE) AS event_date
@@ -41,7 +43,9 @@ raw_logins AS (
 ),
 raw_game_sessions AS (
   SELECT CAST(event_id AS VARCHAR) AS session_id,
-         CASE WHEN event_id % 89 = 0 THEN NULL ELSE CAST(user_id AS VARCHAR) END AS user_id,
+         CASE WHEN event_id % 89 = 0 THEN NULL
+              WHEN user_id % 10 = 3 AND event_id % 16 <> 0 THEN CAST(user_id - 1 AS VARCHAR)
+              ELSE CAST(user_id AS VARCHAR) END AS user_id,
          CASE event_id % 3 WHEN 0 THEN 'Arcade' WHEN 1 THEN 'Ranked' ELSE 'Practice' END AS game_type,
          ts AS start_time,
          ts + to_minutes(CAST(2 + event_id % (1 + (user_id % 8) * 8) AS INTEGER))
@@ -55,7 +59,7 @@ raw_purchases AS (
   SELECT CAST(event_id AS VARCHAR) AS purchase_id,
          CASE WHEN event_id % 97 = 0 THEN NULL ELSE CAST(user_id AS VARCHAR) END AS user_id,
          CASE event_id % 4 WHEN 0 THEN 'Skin' WHEN 1 THEN 'Coins' WHEN 2 THEN 'boost' ELSE 'PASS' END AS item,
-         value - 10 AS amount, ts AS "timestamp", CAST(ts AS DATE) AS event_date
+         CASE WHEN user_id % 4 = 1 THEN value - 10 ELSE -abs(value) END AS amount, ts AS "timestamp", CAST(ts AS DATE) AS event_date
   FROM events WHERE event_type = 'purchase'
 ),
 raw_leaderboard_snapshots AS (
@@ -95,37 +99,47 @@ SILVER_PURCHASES = f"""
   FROM raw_purchases p LEFT JOIN raw_users u ON p.user_id = u.user_id
   WHERE p.user_id IS NOT NULL AND p.amount > 0"""
 
+# The players of a day with the scores of each game gathered into a list (a list with one NULL
+# where a player has none), then unnested again.
 SILVER_LEADERBOARD = """
-  SELECT l.user_id, l.game_type, l.rank, s.score, u.age, u.gender, u.country, l.event_date
-  FROM raw_leaderboard_snapshots l
-  LEFT JOIN raw_users u ON l.user_id = u.user_id
-  LEFT JOIN raw_game_sessions s
-    ON l.user_id = s.user_id AND l.game_type = s.game_type AND l.event_date = s.event_date
-  WHERE l.user_id IS NOT NULL AND l.rank > 0"""
-
+  WITH played AS (
+    SELECT user_id, game_type, event_date, list(score) AS scores
+    FROM raw_game_sessions GROUP BY ALL),
+  listed AS (
+    SELECT * FROM raw_leaderboard_snapshots WHERE rank > 0 AND user_id IS NOT NULL)
+  SELECT b.user_id, b.game_type, b.rank, unnest(coalesce(p.scores, [NULL])) AS score,
+         a.age, a.gender, a.country, b.event_date
+  FROM listed b LEFT JOIN played p USING (user_id, game_type, event_date)
+                LEFT JOIN raw_users a USING (user_id)"""
+
+# Every silver row is a contribution (sessions, tenths of minutes, timed sessions, cents,
+# purchases) to its user; one grouped UNION ALL adds them up. Age brackets are ranges of a table.
 DEMOGRAPHICS = f"""
+contributions AS (
+  SELECT user_id, 1 AS n, CAST(round(session_duration_minutes * 10) AS BIGINT) AS tenths,
+         CAST(session_duration_minutes IS NOT NULL AS BIGINT) AS timed, NULL AS cents, 0 AS bought
+  FROM silver_user_sessions
+  UNION ALL
+  SELECT user_id, 0, NULL, 0, CAST(round(amount * 100) AS BIGINT), 1 FROM silver_purchases_enriched),
+user_totals AS (
+  SELECT user_id, sum(n) AS n, sum(tenths) AS tenths, sum(timed) AS timed, sum(cents) AS cents, sum(bought) AS bought
+  FROM contributions GROUP BY user_id),
 session_metrics AS (
-  SELECT user_id, count(*) AS total_sessions,
-         {_half_up_mean('sum(CAST(round(session_duration_minutes * 10) AS BIGINT))', 'count(session_duration_minutes)', 1)} AS avg_session_duration
-  FROM silver_user_sessions GROUP BY user_id),
+  SELECT user_id, CAST(n AS BIGINT) AS total_sessions, {_half_up_mean('CAST(tenths AS BIGINT)', 'CAST(timed AS BIGINT)', 1)} AS avg_session_duration
+  FROM user_totals WHERE n > 0),
 purchase_metrics AS (
-  SELECT user_id, CAST(sum(CAST(round(amount * 100) AS BIGINT)) AS DOUBLE) / 100 AS total_spent,
-         count(*) AS num_purchases
-  FROM silver_purchases_enriched GROUP BY user_id),
+  SELECT user_id, CAST(cents AS DOUBLE) / 100 AS total_spent, CAST(bought AS BIGINT) AS num_purchases
+  FROM user_totals WHERE bought > 0),
+brackets(lowest, highest, age_bracket) AS (
+  VALUES (13, 17, '13-17'), (18, 25, '18-25'), (26, 35, '26-35'), (36, 45, '36-45')),
 demographics AS (
-  SELECT u.user_id, u.gender,
-         CASE WHEN u.age BETWEEN 13 AND 17 THEN '13-17'
-              WHEN u.age BETWEEN 18 AND 25 THEN '18-25'
-              WHEN u.age BETWEEN 26 AND 35 THEN '26-35'
-              WHEN u.age BETWEEN 36 AND 45 THEN '36-45'
-              ELSE '45+' END AS age_bracket,
-         u.country, u.signup_date AS registration_date,
-         COALESCE(s.total_sessions, 0) AS total_sessions,
-         COALESCE(s.avg_session_duration, 0) AS avg_session_duration,
-         COALESCE(p.total_spent, 0.0) AS total_spent,
-         COALESCE(p.num_purchases, 0) AS num_purchases
-  FROM raw_users u LEFT JOIN session_metrics s ON u.user_id = s.user_id
-                   LEFT JOIN purchase_metrics p ON u.user_id = p.user_id),
+  SELECT person.user_id, person.gender, ifnull(b.age_bracket, '45+') AS age_bracket, person.country,
+         person.signup_date AS registration_date, CAST(ifnull(t.n, 0) AS BIGINT) AS total_sessions,
+         ifnull({_half_up_mean('CAST(t.tenths AS BIGINT)', 'CAST(t.timed AS BIGINT)', 1)}, 0.0) AS avg_session_duration,
+         ifnull(CAST(t.cents AS DOUBLE), 0.0) / 100 AS total_spent, CAST(ifnull(t.bought, 0) AS BIGINT) AS num_purchases
+  FROM raw_users person
+  LEFT JOIN brackets b ON person.age >= b.lowest AND person.age <= b.highest
+  LEFT JOIN user_totals t USING (user_id)),
 aged AS (
   SELECT *, CAST(datediff('day', registration_date, {AS_OF}) AS INTEGER) AS user_age_days
   FROM demographics)"""
@@ -181,40 +195,35 @@ def _q(body: str, extra_ctes: str = "") -> str:
 
 
 def _summary_ctes(name: str, sessions: str, where: str = "") -> str:
-    """CTEs ending in ``name``: the daily summary over a silver sessions CTE."""
-    mean_dur = _half_up_mean(
-        "sum(CAST(round(session_duration_minutes * 10) AS BIGINT))", "count(session_duration_minutes)", 1
-    )
-    mean_amount = _half_up_mean("sum(CAST(round(amount * 100) AS BIGINT))", "count(amount)", 2)
+    """CTEs ending in ``name``: the daily summary over a silver sessions CTE. A day's winners are
+    the first of its hours (devices) by count, then value, in an ordered aggregate."""
+    mean_dur = _half_up_mean("CAST(sum(tenths) AS BIGINT)", "CAST(count(tenths) AS BIGINT)", 1)
+    mean_amount = _half_up_mean("CAST(sum(cents) AS BIGINT)", "count(cents)", 2)
     return f"""
-{name}_s AS (SELECT * FROM {sessions} {where}),
-{name}_p AS (SELECT * FROM silver_purchases_enriched {where}),
-{name}_sess AS (
+{name}_rows AS (
+  SELECT event_date, user_id, login_device, CAST(hour(start_time) AS INTEGER) AS started,
+         CAST(round(session_duration_minutes * 10) AS BIGINT) AS tenths
+  FROM {sessions} {where}),
+{name}_totals AS (
   SELECT event_date, count(*) AS total_sessions, {mean_dur} AS avg_session_duration,
          count(DISTINCT user_id) AS unique_active_users
-  FROM {name}_s GROUP BY event_date),
-{name}_ph AS (
-  SELECT event_date, hour_val AS peak_hour FROM (
-    SELECT event_date, hour_val, row_number() OVER (
-             PARTITION BY event_date ORDER BY cnt DESC, hour_val ASC NULLS LAST) AS rn
-    FROM (SELECT event_date, CAST(hour(start_time) AS INTEGER) AS hour_val, count(*) AS cnt
-          FROM {name}_s GROUP BY 1, 2)) WHERE rn = 1),
-{name}_td AS (
-  SELECT event_date, login_device AS top_device_type FROM (
-    SELECT event_date, login_device, row_number() OVER (
-             PARTITION BY event_date ORDER BY cnt DESC, login_device ASC NULLS LAST) AS rn
-    FROM (SELECT event_date, login_device, count(*) AS cnt FROM {name}_s GROUP BY 1, 2)) WHERE rn = 1),
-{name}_rev AS (
+  FROM {name}_rows GROUP BY event_date),
+{name}_winners AS (
   SELECT event_date,
-         CAST(sum(CAST(round(amount * 100) AS BIGINT)) AS DOUBLE) / 100 AS total_revenue,
-         {mean_amount} AS avg_purchase_amount
-  FROM {name}_p GROUP BY event_date),
+         first(started ORDER BY size DESC, started NULLS LAST) FILTER (kind = 'hour') AS peak_hour,
+         first(login_device ORDER BY size DESC, login_device NULLS LAST) FILTER (kind = 'device') AS top_device_type
+  FROM (SELECT event_date, started, login_device, count(*) AS size,
+               CASE WHEN grouping(started) = 0 THEN 'hour' ELSE 'device' END AS kind
+        FROM {name}_rows GROUP BY GROUPING SETS ((event_date, started), (event_date, login_device)))
+  GROUP BY event_date),
+{name}_rev AS (
+  SELECT event_date, CAST(sum(cents) AS DOUBLE) / 100 AS total_revenue, {mean_amount} AS avg_purchase_amount
+  FROM (SELECT event_date, CAST(round(amount * 100) AS BIGINT) AS cents FROM silver_purchases_enriched {where})
+  GROUP BY event_date),
 {name} AS (
-  SELECT a.event_date, a.total_sessions, a.avg_session_duration, a.unique_active_users,
-         r.total_revenue, r.avg_purchase_amount, d.top_device_type, h.peak_hour
-  FROM {name}_sess a JOIN {name}_td d ON a.event_date = d.event_date
-                     JOIN {name}_ph h ON a.event_date = h.event_date
-                     LEFT JOIN {name}_rev r ON a.event_date = r.event_date)"""
+  SELECT event_date, total_sessions, avg_session_duration, unique_active_users,
+         total_revenue, avg_purchase_amount, top_device_type, peak_hour
+  FROM {name}_totals JOIN {name}_winners USING (event_date) LEFT JOIN {name}_rev USING (event_date))"""
 
 
 def _daily_summary(where: str = "") -> str:
@@ -226,15 +235,16 @@ SUMMARY_COLUMNS = [
     "total_revenue", "avg_purchase_amount", "top_device_type", "peak_hour",
 ]
 
-# Two versions of the gold table: computed from one-login silver up to 2024-01-20 (old),
-# and from the full silver from 2024-01-10 (new).
+# Two versions of the gold table: from one-login silver without the last third of the days (old),
+# and from the full silver without the first third (new).
 VERSIONS = (
     _summary_ctes("old_all", "silver_user_sessions_one_login")
     + ","
     + _summary_ctes("new_all", "silver_user_sessions")
     + """,
-old_v AS (SELECT * FROM old_all WHERE event_date <= DATE '2024-01-20'),
-new_v AS (SELECT * FROM new_all WHERE event_date >= DATE '2024-01-10')"""
+span AS (SELECT min(event_date) AS first_day, datediff('day', min(event_date), max(event_date)) AS days FROM raw_game_sessions),
+old_v AS (SELECT * FROM old_all WHERE event_date <= (SELECT first_day + CAST(days - days // 3 AS INTEGER) FROM span)),
+new_v AS (SELECT * FROM new_all WHERE event_date >= (SELECT first_day + CAST(days // 3 AS INTEGER) FROM span))"""
 )
 
 
@@ -268,67 +278,71 @@ def _earnings(key: str | None) -> str:
     )
 
 
-def _h(keys: str, seed: str) -> str:
+def _draw(keys: str, seed: str) -> str:
     """The 32-bit draw md5(keys|seed) read as an unsigned number."""
     return f"('0x' || substr(md5(concat_ws('|', {keys}, '{seed}')), 1, 8))::BIGINT"
 
 
-def _gen_seed(name: str) -> str:
-    return f"{name}|0|2024-01-15"
-
-
-GEN_DAY = "CAST(DATE '2024-01-15' AS TIMESTAMP)"
-
-
-def _generated() -> dict[str, str]:
-    login_cut = int(0.80 * 2**32)
-    buy_cut = int(0.20 * 2**32)
-    k = "user_id, CAST(n AS VARCHAR)"
-    start = f"({GEN_DAY} + to_seconds(CAST({_h(k, _gen_seed('start'))} % 86400 AS INTEGER)))"
-    return {
-        "sampled_logins": _q(
-            f"""SELECT user_id,
-       {GEN_DAY} + to_seconds(CAST({_h('user_id', _gen_seed('login_time'))} % 86400 AS INTEGER)) AS "timestamp",
-       ['iOS', 'Android', 'Web'][1 + {_h('user_id', _gen_seed('device'))} % 3] AS device_type,
-       country AS location, DATE '2024-01-15' AS event_date
-FROM raw_users WHERE {_h('user_id', _gen_seed('login'))} < {login_cut}"""
-        ),
-        "session_fanout": _q(
-            f"""SELECT md5(concat_ws('|', {k}, '{_gen_seed('session_id')}')) AS session_id, user_id,
-       ['Arcade', 'Ranked', 'Practice'][1 + {_h(k, _gen_seed('game'))} % 3] AS game_type,
-       {start} AS start_time,
-       {start} + to_minutes(CAST(5 + {_h(k, _gen_seed('length'))} % 56 AS INTEGER)) AS end_time,
-       CAST({_h(k, _gen_seed('score'))} % 1001 AS INTEGER) AS score,
-       ['Win', 'Lose'][1 + {_h(k, _gen_seed('result'))} % 2] AS result,
-       DATE '2024-01-15' AS event_date
-FROM (SELECT user_id, unnest(range(1, kk + 1)) AS n
-      FROM (SELECT user_id, {_h('user_id', _gen_seed('sessions'))} % 4 AS kk FROM raw_users)
-      WHERE kk > 0)"""
-        ),
-        "sampled_purchases": _q(
-            f"""SELECT md5(concat_ws('|', user_id, '{_gen_seed('purchase_id')}')) AS purchase_id, user_id,
-       ['Skin', 'Coins', 'Boost', 'Pass'][1 + {_h('user_id', _gen_seed('item'))} % 4] AS item,
-       CAST(99 + {_h('user_id', _gen_seed('amount'))} % 4901 AS DOUBLE) / 100 AS amount,
-       {GEN_DAY} + to_seconds(CAST({_h('user_id', _gen_seed('purchase_time'))} % 86400 AS INTEGER)) AS "timestamp",
-       DATE '2024-01-15' AS event_date
-FROM raw_users WHERE {_h('user_id', _gen_seed('purchase'))} < {buy_cut}"""
-        ),
-        "random_choice": _q(
-            f"SELECT user_id, ['iOS', 'Android', 'Web'][1 + {_h('user_id', _gen_seed('device'))} % 3] AS device_type "
-            "FROM raw_users"
-        ),
-        "leaderboard_snapshot": _q(
-            f"""SELECT user_id, game_type, CAST(rk AS INTEGER) AS rank, DATE '2024-01-15' AS event_date FROM (
-  SELECT user_id, game_type, row_number() OVER (
-           PARTITION BY game_type
-           ORDER BY md5(concat_ws('|', user_id, game_type, '{_gen_seed('leaderboard')}')), user_id) AS rk
-  FROM (SELECT user_id, unnest(['Arcade', 'Ranked', 'Practice']) AS game_type FROM raw_users))
-WHERE rk <= 20"""
-        ),
-    }
+FEATURE_COLUMNS = ["total_sessions", "avg_session_duration", "total_spent", "num_purchases"]
 
 
-FEATURE_COLUMNS = ["total_sessions", "avg_session_duration", "total_spent", "num_purchases"]
+
+def _scaled(source: str) -> str:
+    """``source`` with z_<feature> columns: zero mean, unit sample deviation."""
+    return (
+        "SELECT *, "
+        + ", ".join(f"CASE WHEN sd_{c} = 0 THEN 0 ELSE ({c} - m_{c}) / sd_{c} END AS z_{c}" for c in FEATURE_COLUMNS)
+        + " FROM (SELECT *, "
+        + ", ".join(f"avg({c}) OVER () AS m_{c}, stddev_samp({c}) OVER () AS sd_{c}" for c in FEATURE_COLUMNS)
+        + f" FROM {source})"
+    )
+
+
+GIVEN_CENTROIDS = [(-0.5, -0.5, -0.5, -0.5), (0.5, 1.0, -0.25, -0.25), (0.25, 0.0, 1.5, 1.5)]
+
+
+def _given_scores() -> str:
+    points = ", ".join(f"({i}, {', '.join(map(str, p))})" for i, p in enumerate(GIVEN_CENTROIDS))
+    distance = " + ".join(f"(z_{c} - p{i}) ** 2" for i, c in enumerate(FEATURE_COLUMNS))
+    cents = "CAST(round({} * 100) AS BIGINT)"
+    kept = "user_id, gender, age_bracket, country, registration_date, total_sessions, avg_session_duration, total_spent, num_purchases, user_age_days"
+    return _q(
+        f"""SELECT {kept}, CASE WHEN cluster = whale THEN 'Whale' WHEN cluster = hardcore THEN 'Hardcore' ELSE 'Casual' END AS user_segment
+FROM given_nearest, given_names
+UNION ALL SELECT {kept}, 'Inactive' FROM given_inactive""",
+        f"""
+given_inactive AS (SELECT * FROM aged WHERE {RULES['rate_5']}),
+given_active AS (SELECT * FROM aged EXCEPT SELECT * FROM given_inactive),
+given_points(cluster, p0, p1, p2, p3) AS (VALUES {points}),
+given_nearest AS (
+  SELECT {kept}, arg_min(cluster, {distance}) AS cluster
+  FROM ({_scaled('given_active')}), given_points GROUP BY ALL),
+given_means AS (
+  SELECT cluster, sum({cents.format('total_spent')}) / count(*) AS spent, sum({cents.format('avg_session_duration')}) / count(*) AS minutes
+  FROM given_nearest GROUP BY cluster),
+given_whale AS (SELECT arg_max(cluster, spent) AS whale FROM given_means),
+given_names AS (
+  SELECT whale, (SELECT arg_max(cluster, minutes) FROM given_means WHERE cluster <> whale) AS hardcore FROM given_whale)""",
+    )
+
+
+def _given_silhouette() -> str:
+    """Mean over users of (b - a) / max(a, b): a the mean squared distance to the other users of the
+    own cluster, b the least mean to another cluster; 0 for a user alone in its cluster."""
+    distance = " + ".join(f"(x.z_{c} - y.z_{c}) ** 2" for c in FEATURE_COLUMNS)
+    return _q(
+        """SELECT CAST(round(avg(CASE WHEN own IS NULL THEN 0 WHEN own < other THEN 1 - own / other
+                             WHEN own > other THEN other / own - 1 ELSE 0 END), 6) AS DOUBLE) AS silhouette
+FROM (SELECT id, max(total / CASE WHEN n > 1 THEN n - 1 END) FILTER (same) AS own, min(total / n) FILTER (NOT same) AS other
+      FROM (SELECT x.id, x.cluster = y.cluster AS same, y.cluster, sum("""
+        + distance
+        + """) AS total, count(*) AS n
+            FROM given_scaled x, given_scaled y GROUP BY x.id, x.cluster, y.cluster) GROUP BY id)""",
+        f"""
+given_scaled AS (
+  SELECT *, row_number() OVER () AS id, CAST(user_id AS BIGINT) % 3 AS cluster FROM ({_scaled('active')}))""",
+    )
+
 
 RAW_TABLES = {
     "users": "raw_users",
@@ -359,6 +373,7 @@ ORACLE: dict[str, str] = {
     "daily_summary_one_day": _daily_summary(f"WHERE event_date = {RUN_DATE}"),
     "daily_summary_from_silver": _daily_summary(),
     "daily_summary_from_cells": _daily_summary(),
+    "daily_summary_one_login": _q("SELECT * FROM summary", _summary_ctes("summary", "silver_user_sessions_one_login")),
     "daily_revenue": _q("SELECT * FROM summary_rev", _summary_ctes("summary", "silver_user_sessions")),
     "peak_hour_per_day": _q(
         """SELECT event_date, peak_hour, cnt FROM (
@@ -428,6 +443,9 @@ FROM segmented GROUP BY user_segment"""
     "user_base_makeup": _q(
         "SELECT age_bracket, gender, count(*) AS users FROM demographics GROUP BY 1, 2"
     ),
+    "user_base_by_country": _q(
+        "SELECT age_bracket, gender, country, count(*) AS users FROM demographics GROUP BY ALL"
+    ),
     "users_by_country": _q("SELECT country, count(*) AS users FROM demographics GROUP BY 1"),
     "earnings_by_item": _earnings("item"),
     "earnings_by_day": _earnings("event_date"),
@@ -457,7 +475,17 @@ FROM segmented GROUP BY user_segment"""
     ),
     "daily_changes": _changes_sql(),
     "clustered_users": _q("SELECT * FROM raw_users"),
-    "zordered_sessions": _q("SELECT * FROM silver_user_sessions"),
-    # generated raw rows
-    **_generated(),
+    "compacted_sessions": _q("SELECT * FROM silver_user_sessions"),
+    # samples of given rows
+    "sampled_users": _q(f"SELECT * FROM raw_users WHERE {_draw('user_id', 'logins')} < {int(0.80 * 2**32)}"),
+    "ranked_players": _q(
+        """SELECT user_id, game_type, event_date, CAST(place AS INTEGER) AS rank FROM (
+  SELECT *, row_number() OVER (PARTITION BY game_type, event_date ORDER BY md5(concat_ws('|', user_id, game_type,
+           CAST(event_date AS VARCHAR), 'players')), user_id) AS place
+  FROM (SELECT DISTINCT user_id, game_type, event_date FROM raw_game_sessions WHERE user_id IS NOT NULL))
+WHERE place <= 20"""
+    ),
+    # the model with given centroids, and the silhouette of given clusters
+    "scored_given_centroids": _given_scores(),
+    "silhouette_given_clusters": _given_silhouette(),
 }

@@ -2,14 +2,16 @@
 
 The reference computes both from the silver sessions table, whose rows fan out: a
 session appears once per login of its user that day. Its counts and means are therefore
-weighted by the number of logins. Materialising that fan-out costs sessions x logins rows
-per (user, day), which explodes for a heavy user.
+weighted by the number of logins (and a repeated user id counts everything of that user
+once per repetition). Materialising that fan-out costs sessions x logins rows per (user,
+day), which explodes for a heavy user.
 
 :func:`daily_summary` and :func:`user_demographics` give exactly the same numbers without
 it. Sessions are pre-aggregated per (user, day, start hour) and logins per (user, day,
 device). Joining those small cells gives each cell its weight (the login count, 1 when
-there is none). Both sides collapse map-side before the shuffle, so a user holding a
-third of all rows ships a few dozen rows per day.
+there is none, times the user's rows in the user table, 1 when there is none). Both sides
+collapse map-side before the shuffle, so a user holding a third of all rows ships a few
+dozen rows per day. Purchases are weighted likewise, without reading user attributes.
 
 :func:`daily_summary_from_silver` and :func:`user_demographics_from_silver` read a
 materialised silver table instead, as the reference does.
@@ -31,6 +33,7 @@ from meeple.functions.exprs import (
     units_to_double,
 )
 from meeple.operators.topk import top_by_count
+from meeple.plans.silver import earliest_login_per_day, valid_purchases
 from meeple.sources.readers import day
 
 DAILY_SUMMARY_COLUMNS = [
@@ -47,6 +50,22 @@ DAILY_SUMMARY_COLUMNS = [
 # ----------------------------------------------------------------------- session cells
 
 
+def repeated_users(users: DataFrame) -> DataFrame:
+    """(user_id, copies) of the ids that the user table holds more than once: the joins of the
+    silver tables repeat a row once per copy."""
+    counted = users.filter(F.col("user_id").isNotNull()).groupBy("user_id").agg(F.count(F.lit(1)).alias("copies"))
+    return counted.filter(F.col("copies") > 1)
+
+
+def _times_copies(cells: DataFrame, users: DataFrame | None, amounts: list[str]) -> DataFrame:
+    """``cells`` with ``amounts`` multiplied by the number of the user's rows in the user table."""
+    if users is None:
+        return cells
+    copies = F.coalesce(F.col("copies"), F.lit(1).cast("long"))
+    joined = cells.join(repeated_users(users), "user_id", "left")
+    return joined.select(*[(F.col(c) * copies).alias(c) if c in amounts else F.col(c) for c in cells.columns])
+
+
 def login_cells(logins: DataFrame) -> DataFrame:
     """Logins counted per (user, day, normalised device)."""
     return logins.groupBy(
@@ -54,14 +73,20 @@ def login_cells(logins: DataFrame) -> DataFrame:
     ).agg(F.count(F.lit(1)).alias("logins"))
 
 
-def weighted_session_cells(sessions: DataFrame, logins: DataFrame) -> DataFrame:
+def weighted_session_cells(
+    sessions: DataFrame, logins: DataFrame, users: DataFrame | None, one_login_per_day: bool = False
+) -> DataFrame:
     """Per (user, day, start hour, login device): the number of enriched session rows the
     reference's silver table holds (``n``), their duration total in tenths of a minute and
     the number of non-NULL durations, computed from the raw tables.
 
     A session matches every login of its user and day (weight = that device's login
-    count), or none (weight 1, device NULL). NULL users and days never match.
+    count), or none (weight 1, device NULL). NULL users and days never match. A user listed
+    several times in ``users`` counts as often. With ``one_login_per_day`` a session matches
+    the earliest login only, as in the silver table of that mode.
     """
+    if one_login_per_day:
+        logins = earliest_login_per_day(logins)
     minutes = duration_minutes("start_time", "end_time")
     cells = sessions.groupBy("user_id", "event_date", F.hour("start_time").alias("hour")).agg(
         F.count(F.lit(1)).alias("s_n"),
@@ -70,7 +95,7 @@ def weighted_session_cells(sessions: DataFrame, logins: DataFrame) -> DataFrame:
     )
     joined = cells.join(login_cells(logins), ["user_id", "event_date"], "left")
     weight = F.coalesce(F.col("logins"), F.lit(1).cast("long"))
-    return joined.select(
+    weighted = joined.select(
         "user_id",
         "event_date",
         "hour",
@@ -79,6 +104,24 @@ def weighted_session_cells(sessions: DataFrame, logins: DataFrame) -> DataFrame:
         (F.col("s_dur") * weight).alias("dur_tenths"),
         (F.col("s_ndur") * weight).alias("n_dur"),
     )
+    return _times_copies(weighted, users, ["n", "dur_tenths", "n_dur"])
+
+
+def purchase_cells(purchases: DataFrame, users: DataFrame | None) -> DataFrame:
+    """Per (user, day): spend in cents and number of the silver purchases, from the raw
+    purchases (no user attribute is read)."""
+    cells = valid_purchases(purchases).groupBy("user_id", "event_date").agg(
+        F.sum(scaled_units("amount", 2)).alias("spent_cents"), F.count("amount").alias("purchases")
+    )
+    return _times_copies(cells, users, ["spent_cents", "purchases"])
+
+
+def silver_purchase_cells(silver_purchases: DataFrame) -> DataFrame:
+    """The same columns read off a materialised silver purchases table (one per row)."""
+    return silver_purchases.select(
+        "user_id", "event_date", scaled_units("amount", 2).alias("spent_cents"),
+        F.col("amount").isNotNull().cast("long").alias("purchases"),
+    )
 
 
 def silver_session_cells(silver_sessions: DataFrame) -> DataFrame:
@@ -102,9 +145,9 @@ def _most_then_smallest(count_col: str, value_col: str) -> Column:
     return F.struct(-F.col(count_col), F.col(value_col).isNull(), F.col(value_col))
 
 
-def _summary(cells: DataFrame, sessions: DataFrame, purchases: DataFrame) -> DataFrame:
-    """The daily summary from session cells, any frame with the days' (event_date,
-    user_id) pairs for the distinct-user count, and the silver purchases."""
+def _summary(cells: DataFrame, bought: DataFrame) -> DataFrame:
+    """The daily summary from session cells (their users are the day's distinct users) and
+    purchase cells."""
     # Per (day, hour, device) first: at most days x 24 x devices rows, combined map-side.
     per_cell = cells.groupBy("event_date", "hour", "login_device").agg(
         F.sum("n").alias("n"), F.sum("dur_tenths").alias("dur_tenths"), F.sum("n_dur").alias("n_dur")
@@ -125,18 +168,18 @@ def _summary(cells: DataFrame, sessions: DataFrame, purchases: DataFrame) -> Dat
             "top_device_type"
         ),
     )
-    users = sessions.groupBy("event_date").agg(
-        F.count_distinct("user_id").alias("unique_active_users")
-    )
-    out = per_day.join(users, "event_date").join(daily_revenue(purchases), "event_date", "left")
+    users = cells.groupBy("event_date").agg(F.count_distinct("user_id").alias("unique_active_users"))
+    out = per_day.join(users, "event_date").join(_daily_revenue(bought), "event_date", "left")
     return out.select(*DAILY_SUMMARY_COLUMNS)
 
 
 def daily_revenue(purchases: DataFrame) -> DataFrame:
-    """Per day with purchases: total revenue and mean purchase (exact cents, half-up)."""
-    revenue = purchases.groupBy("event_date").agg(
-        F.sum(scaled_units("amount", 2)).alias("cents"), F.count("amount").alias("n_buy")
-    )
+    """Per day with silver purchases: total revenue and mean purchase (exact cents, half-up)."""
+    return _daily_revenue(silver_purchase_cells(purchases))
+
+
+def _daily_revenue(bought: DataFrame) -> DataFrame:
+    revenue = bought.groupBy("event_date").agg(F.sum("spent_cents").alias("cents"), F.sum("purchases").alias("n_buy"))
     return revenue.select(
         "event_date",
         units_to_double("cents", 2).alias("total_revenue"),
@@ -148,11 +191,13 @@ def daily_summary(
     sessions: DataFrame,
     logins: DataFrame,
     purchases: DataFrame,
+    users: DataFrame,
     run_date: dt.date | str | None = None,
+    one_login_per_day: bool = False,
 ) -> DataFrame:
     """Q4: per day, sessions, mean duration, active users, revenue, top device, peak hour.
 
-    ``sessions`` and ``logins`` are the raw tables, ``purchases`` the silver purchases.
+    All four are raw tables; of ``users`` only the ids that occur more than once matter.
     With ``run_date`` only that day is computed (the daily job); without it, every day
     (backfill). Both give identical rows, and the same rows as the reference computes
     from its silver table:
@@ -166,7 +211,8 @@ def daily_summary(
     """
     if run_date is not None:
         sessions, logins, purchases = (day(t, run_date) for t in (sessions, logins, purchases))
-    return _summary(weighted_session_cells(sessions, logins), sessions, purchases)
+    cells = weighted_session_cells(sessions, logins, users, one_login_per_day)
+    return _summary(cells, purchase_cells(purchases, users))
 
 
 def daily_summary_from_silver(
@@ -175,18 +221,17 @@ def daily_summary_from_silver(
     """Q4 read off materialised silver tables (one count per silver row), as the reference."""
     if run_date is not None:
         silver_sessions, purchases = day(silver_sessions, run_date), day(purchases, run_date)
-    return _summary(silver_session_cells(silver_sessions), silver_sessions, purchases)
+    return _summary(silver_session_cells(silver_sessions), silver_purchase_cells(purchases))
 
 
 def daily_summary_from_cells(
-    cells: DataFrame, purchases: DataFrame, run_date: dt.date | str | None = None
+    cells: DataFrame, bought: DataFrame, run_date: dt.date | str | None = None
 ) -> DataFrame:
-    """Q4 from stored :func:`weighted_session_cells` (they keep ``user_id``, so they also
-    give the distinct users): the daily job computes the cells once per day and reads
-    them for both the summary and the per-user metrics."""
+    """Q4 from stored :func:`weighted_session_cells` and purchase cells: the daily job computes
+    the cells once per day and reads them for both the summary and the per-user metrics."""
     if run_date is not None:
-        cells, purchases = day(cells, run_date), day(purchases, run_date)
-    return _summary(cells, cells, purchases)
+        cells, bought = day(cells, run_date), day(bought, run_date)
+    return _summary(cells, bought)
 
 
 def top_per_day(sessions: DataFrame, value: Column, name: str) -> DataFrame:
@@ -206,19 +251,39 @@ def _session_metrics(cells: DataFrame) -> DataFrame:
     )
 
 
-def session_metrics(sessions: DataFrame, logins: DataFrame) -> DataFrame:
+def session_metrics(sessions: DataFrame, logins: DataFrame, users: DataFrame) -> DataFrame:
     """Per user: enriched session rows and their mean duration (2 decimals, half-up)."""
-    return _session_metrics(weighted_session_cells(sessions, logins))
+    return _session_metrics(weighted_session_cells(sessions, logins, users))
 
 
 def purchase_metrics(purchases: DataFrame) -> DataFrame:
-    """Per user: total spent (exact cents) and number of purchases."""
+    """Per user of the silver purchases: total spent (exact cents) and number of purchases."""
     return purchases.groupBy("user_id").agg(
         units_to_double(F.sum(scaled_units("amount", 2)), 2).alias("total_spent"),
         F.count(F.lit(1)).alias("num_purchases"),
     )
 
 
+def _demographics_of_cells(users: DataFrame, cells: DataFrame, bought: DataFrame, copies: DataFrame | None) -> DataFrame:
+    """Users joined to their sums. ``copies``: (user_id, copies) by which the sums still have to be
+    multiplied; the mean duration and nothing else is unchanged by it."""
+    sessions = cells.groupBy("user_id").agg(
+        F.sum("n").alias("n"), half_up_mean(F.sum("dur_tenths"), F.sum("n_dur"), 1).alias("avg_session_duration")
+    )
+    spent = bought.groupBy("user_id").agg(F.sum("spent_cents").alias("cents"), F.sum("purchases").alias("purchases"))
+    joined = users.join(sessions, "user_id", "left").join(spent, "user_id", "left")
+    times = F.lit(1).cast("long")
+    if copies is not None:
+        joined = joined.join(copies, "user_id", "left")
+        times = F.coalesce(F.col("copies"), times)
+    return _demographic_columns(
+        joined.withColumns({
+            "total_sessions": F.col("n") * times, "total_spent": units_to_double(F.col("cents") * times, 2),
+            "num_purchases": F.col("purchases") * times,
+        })
+    )
+
+
 def _demographic_columns(joined: DataFrame) -> DataFrame:
     """The published demographics columns of users left-joined to their metrics."""
     return joined.select(
@@ -244,35 +309,33 @@ def user_demographics(
 ) -> DataFrame:
     """Q5: every user with age bracket, activity and spend (zeros when none).
 
-    ``sessions``/``logins`` are raw, ``purchases`` silver. Session metrics equal the
-    reference's (counted over enriched rows). Both sides are aggregated per user before
-    the joins (joining first would multiply the two fan-outs).
+    All four are raw tables. Session metrics equal the reference's (counted over enriched
+    rows). Both sides are aggregated per user before the joins (joining first would multiply
+    the two fan-outs); the copies of repeated ids are multiplied in at the end.
     """
-    return _demographics(users, session_metrics(sessions, logins), purchases)
+    return _demographics_of_cells(
+        users, weighted_session_cells(sessions, logins, None), purchase_cells(purchases, None), repeated_users(users)
+    )
 
 
-def user_day_metrics(sessions: DataFrame, logins: DataFrame, purchases: DataFrame) -> DataFrame:
+def user_day_metrics(sessions: DataFrame, logins: DataFrame, purchases: DataFrame, users: DataFrame) -> DataFrame:
     """Per (user, day): enriched session rows, duration total (tenths) and count, spend
     (cents) and purchases. Every field is an integer sum, so any set of days adds up to
     exactly the all-history figures; the daily job appends one partition per day and the
     demographics never rescan raw history.
 
-    ``sessions``/``logins`` raw, ``purchases`` silver.
+    All four are raw tables.
     """
-    return user_day_metrics_from_cells(weighted_session_cells(sessions, logins), purchases)
+    return user_day_metrics_from_cells(weighted_session_cells(sessions, logins, users), purchase_cells(purchases, users))
 
 
-def user_day_metrics_from_cells(cells: DataFrame, purchases: DataFrame) -> DataFrame:
-    """:func:`user_day_metrics` from stored session cells."""
+def user_day_metrics_from_cells(cells: DataFrame, bought: DataFrame) -> DataFrame:
+    """:func:`user_day_metrics` from stored session cells and purchase cells."""
     cells = cells.groupBy("user_id", "event_date").agg(
         F.sum("n").alias("sessions"),
         F.sum("dur_tenths").alias("dur_tenths"),
         F.sum("n_dur").alias("n_dur"),
     )
-    bought = purchases.groupBy("user_id", "event_date").agg(
-        F.sum(scaled_units("amount", 2)).alias("spent_cents"),
-        F.count(F.lit(1)).alias("purchases"),
-    )
     both = cells.join(bought, ["user_id", "event_date"], "full_outer")
     zero = F.lit(0).cast("long")
     return both.select(

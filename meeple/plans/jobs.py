@@ -1,9 +1,9 @@
 """Scheduled jobs over a folder of Parquet tables (the reference's notebook sequence).
 
-``run_day``: raw tables of one day -> silver sessions, purchases, leaderboard (whole-day
-partitions replaced, silver sessions optionally Z-ordered) -> the day's session cells ->
-gold daily summary upserted by day, and the day's per-user metrics. Rerunning a day
-leaves every table as one run would.
+``run_days``: raw tables of a set of days -> silver sessions, purchases, leaderboard (whole
+days replaced, silver sessions optionally compacted) -> the days' session and purchase cells
+-> gold daily summary upserted by day, and the per-user metrics by day. Rerunning a day
+leaves every table as one run would, also where its corrected raw rows give none.
 
 ``run_segmentation``: gold user demographics -> K-means segments (full overwrite) and the
 fitted model saved with a production pointer; ``run_scoring`` re-segments with it.
@@ -14,14 +14,15 @@ from __future__ import annotations
 import datetime as dt
 from dataclasses import dataclass
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from meeple.operators import tables
-from meeple.plans import bronze, gold, segments, silver
-from meeple.sources.readers import as_date, day
-from meeple.sources.schemas import PARTITION_COLUMNS, conform
+from meeple.plans import gold, segments, silver
+from meeple.sources import ingest
+from meeple.sources.readers import as_date, days
+from meeple.sources.schemas import PARTITION_COLUMNS, SCHEMAS, conform, schema_of
 
 
 @dataclass(frozen=True)
@@ -36,20 +37,24 @@ class Lake:
     def read(self, spark: SparkSession, table: str) -> DataFrame:
         return spark.read.parquet(self.path(table))
 
-    def read_day(self, spark: SparkSession, table: str, run_date, schema: T.StructType) -> DataFrame:
-        """One day of a table written by this job, read with its known schema: a table
+    def read_days(self, spark: SparkSession, table: str, run_dates, schema: T.StructType) -> DataFrame:
+        """Some days of a table written by this job, read with its known schema: a table
         that has received no rows yet (an empty first day) reads as empty."""
         if not self.exists(spark, table, schema):
             return spark.createDataFrame([], schema)
-        return day(spark.read.schema(schema).parquet(self.path(table)), run_date)
+        return days(spark.read.schema(schema).parquet(self.path(table)), run_dates)
 
     def exists(self, spark: SparkSession, table: str, schema: T.StructType | None = None) -> bool:
+        """Is there a folder (with files, if the schema has to come from them)? Any other trouble,
+        such as a storage or permission error, is raised."""
         try:
             reader = spark.read.schema(schema) if schema is not None else spark.read
             reader.parquet(self.path(table)).schema
             return True
-        except Exception:  # noqa: BLE001 - a missing folder raises an AnalysisException
-            return False
+        except AnalysisException as error:
+            if error.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+                return False
+            raise
 
 
 def write_raw(df: DataFrame, lake: Lake, table: str) -> None:
@@ -57,62 +62,67 @@ def write_raw(df: DataFrame, lake: Lake, table: str) -> None:
     tables.append(conform(df, table), lake.path(table), PARTITION_COLUMNS[table])
 
 
-def ingest_generated_day(spark: SparkSession, lake: Lake, run_date: dt.date | str, seed: str = "0") -> None:
-    """Bronze: draw one day of raw activity for every user and append it to the raw
-    tables (the reference's generator notebooks, as one distributed job per table)."""
-    users = lake.read(spark, "raw_users")
-    for table, rows in bronze.generate_day(users, run_date, seed).items():
-        write_raw(rows, lake, table)
+def ingest_crm(spark: SparkSession, lake: Lake, exports: dict[str, DataFrame]) -> None:
+    """Append CRM exports (columns suffixed ``__c``), by raw table name, to the raw tables."""
+    for table, export in exports.items():
+        tables.append(ingest.from_crm(export, table), lake.path(table), PARTITION_COLUMNS.get(table))
 
 
-def run_day(
+def run_days(
     spark: SparkSession,
     lake: Lake,
-    run_date: dt.date | str,
-    zorder_files: int | None = None,
+    run_dates,
+    compact_files: int | None = None,
     one_login_per_day: bool = False,
 ) -> DataFrame:
-    """Refresh silver and gold for one day; returns the gold row(s) written.
+    """Refresh silver and gold for a set of days (a day, a backfill) in one pass; returns the gold
+    rows written.
 
-    ``one_login_per_day=True`` writes one silver row per session (earliest login) instead
-    of the reference's one row per session and login; gold is the same either way, as it
-    is computed from the raw tables.
+    ``one_login_per_day=True`` matches a session with its day's earliest login only, in silver
+    and in gold, instead of every login as the reference does. ``compact_files`` rewrites each
+    day of silver sessions in that many files by user.
     """
-    d = as_date(run_date)
+    wanted = sorted({as_date(d) for d in run_dates})
     users = lake.read(spark, "raw_users")
-    sessions = day(lake.read(spark, "raw_game_sessions"), d)
-    logins = day(lake.read(spark, "raw_logins"), d)
-    purchases = day(lake.read(spark, "raw_purchases"), d)
-    board = day(lake.read(spark, "raw_leaderboard_snapshots"), d)
-
-    sil_sessions = silver.user_sessions(sessions, users, logins, d, one_login_per_day)
-    if zorder_files:
-        # Z-order reads its input twice (cut points, then the rewrite): stage the day's
-        # enriched rows so the joins behind them run once
-        sil_sessions = tables.zorder(tables.stage(sil_sessions), ["user_id", "event_date"], zorder_files)
-    tables.replace_partitions(sil_sessions, lake.path("silver_user_sessions"))
-    sil_purchases = silver.purchases_enriched(purchases, users, d)
-    tables.replace_partitions(sil_purchases, lake.path("silver_purchases_enriched"))
-    tables.replace_partitions(
-        silver.leaderboard_enriched(board, users, sessions, d), lake.path("silver_leaderboard_enriched")
+    sessions, logins, purchases, board = (
+        days(lake.read(spark, t), wanted)
+        for t in ("raw_game_sessions", "raw_logins", "raw_purchases", "raw_leaderboard_snapshots")
     )
 
-    # The day's session cells (per user, hour and login device, weighted by logins) are
-    # stored once; the summary, its distinct users and the per-user metrics all read
-    # them, so the raw day is scanned once for silver and once for the cells.
-    new_cells = gold.weighted_session_cells(sessions, logins)
-    tables.replace_partitions(new_cells, lake.path("gold_session_cells"))
-    cells = lake.read_day(spark, "gold_session_cells", d, new_cells.schema)
-    purchases_written = lake.read_day(spark, "silver_purchases_enriched", d, sil_purchases.schema)
-    # MERGE INTO gold ON event_date: the key is the partition column, so replacing the
-    # day's partition is the upsert (matched day updated, new day inserted).
-    summary = conform(gold.daily_summary_from_cells(cells, purchases_written), "gold_daily_summary")
-    tables.replace_partitions(summary, lake.path("gold_daily_summary"))
-    # The day's per-user metrics: demographics add these up instead of rescanning history.
-    tables.replace_partitions(
-        gold.user_day_metrics_from_cells(cells, purchases_written), lake.path("gold_user_day_metrics")
+    sil_sessions = silver.user_sessions(sessions, users, logins, None, one_login_per_day)
+    if compact_files:
+        with tables.staging():
+            joined = tables.stage(sil_sessions)  # cut points, then the rewrite: joined once
+            for d in wanted:
+                one = tables.compacted(days(joined, [d]), "user_id", compact_files)
+                tables.replace_days(one, lake.path("silver_user_sessions"), [d], rebalance=False)
+    else:
+        tables.replace_days(sil_sessions, lake.path("silver_user_sessions"), wanted)
+    tables.replace_days(silver.purchases_enriched(purchases, users), lake.path("silver_purchases_enriched"), wanted)
+    tables.replace_days(
+        silver.leaderboard_enriched(board, users, sessions), lake.path("silver_leaderboard_enriched"), wanted
     )
-    return lake.read_day(spark, "gold_daily_summary", d, summary.schema)
+
+    # The days' session and purchase cells (per user, weighted) are stored once; the summary,
+    # its distinct users and the per-user metrics all read them.
+    new_cells = gold.weighted_session_cells(sessions, logins, users, one_login_per_day)
+    new_bought = gold.purchase_cells(purchases, users)
+    tables.replace_days(new_cells, lake.path("gold_session_cells"), wanted)
+    tables.replace_days(new_bought, lake.path("gold_purchase_cells"), wanted)
+    cells = lake.read_days(spark, "gold_session_cells", wanted, new_cells.schema)
+    bought = lake.read_days(spark, "gold_purchase_cells", wanted, new_bought.schema)
+    # MERGE INTO gold ON event_date: the key is the partition column, so replacing the
+    # days' partitions is the upsert (matched day updated, new day inserted).
+    summary = conform(gold.daily_summary_from_cells(cells, bought), "gold_daily_summary")
+    tables.replace_days(summary, lake.path("gold_daily_summary"), wanted)
+    # The per-user metrics by day: demographics add these up instead of rescanning history.
+    tables.replace_days(gold.user_day_metrics_from_cells(cells, bought), lake.path("gold_user_day_metrics"), wanted)
+    return lake.read_days(spark, "gold_daily_summary", wanted, summary.schema)
+
+
+def run_day(spark: SparkSession, lake: Lake, run_date: dt.date | str, **options) -> DataFrame:
+    """:func:`run_days` for one day (the scheduled job)."""
+    return run_days(spark, lake, [run_date], **options)
 
 
 def demographics_from_lake(spark: SparkSession, lake: Lake) -> DataFrame:
@@ -124,34 +134,57 @@ def demographics_from_lake(spark: SparkSession, lake: Lake) -> DataFrame:
 
 
 def run_segmentation(
-    spark: SparkSession, lake: Lake, as_of: dt.date | str, model_version: str, k: int = 3, seed: int = 42
+    spark: SparkSession, lake: Lake, as_of: dt.date | str, model_version: str, k: int = 3, seed: int = 42,
+    rule: str = "rate",
 ) -> str:
     """Train on today's demographics, overwrite ``gold_user_demographics`` (schema
     replaced), save the model as ``model_version`` and point production at it."""
-    segs, model = segments.train_segments(demographics_from_lake(spark, lake), as_of, k, seed)
-    tables.overwrite(segs, lake.path("gold_user_demographics"))
-    return segments.save_model(model, lake.path("models/user_segmentation"), model_version)
+    with tables.staging():
+        segs, model = segments.train_segments(demographics_from_lake(spark, lake), as_of, k, seed, rule=rule)
+        tables.overwrite(segs, lake.path("gold_user_demographics"))
+        return segments.save_model(model, lake.path("models/user_segmentation"), model_version)
 
 
 def run_scoring(spark: SparkSession, lake: Lake, as_of: dt.date | str, refit_scaler: bool = True) -> None:
-    """Re-segment with the production model; writes to a new folder and never reads the
-    table it overwrites."""
-    model = segments.load_model(lake.path("models/user_segmentation"))
-    segs = segments.score_segments(demographics_from_lake(spark, lake), as_of, model, refit_scaler)
-    tables.overwrite(segs.withColumn("scored_as_of", F.lit(as_date(as_of))), lake.path("gold_user_scores"))
+    """Re-segment with the production model and overwrite ``gold_user_demographics`` (it is not
+    read here: demographics come from the users and their metrics by day)."""
+    with tables.staging():
+        model = segments.load_model(lake.path("models/user_segmentation"))
+        segs = segments.score_segments(demographics_from_lake(spark, lake), as_of, model, refit_scaler)
+        tables.overwrite(segs, lake.path("gold_user_demographics"))
 
 
 def run_simple_segments(spark: SparkSession, lake: Lake) -> None:
     """The older segmentation of the gold table into ``gold_user_segments`` (9 columns)."""
-    segs = segments.simple_segments(lake.read(spark, "gold_user_demographics"))
-    tables.overwrite_keeping_schema(segs, lake.path("gold_user_segments"), segs.schema)
+    with tables.staging():
+        segs = segments.simple_segments(lake.read(spark, "gold_user_demographics"))
+        tables.overwrite_keeping_schema(segs, lake.path("gold_user_segments"), schema_of("gold_user_segments"))
+
+
+def create_tables(spark: SparkSession, lake: Lake, database: str = "analytics") -> list[str]:
+    """The schema with its typed tables, empty where there are no files yet (S1). Returns the
+    names. Existing tables stay as they are."""
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
+    created = []
+    for table, schema in SCHEMAS.items():
+        if table not in LAKE_TABLES:
+            continue
+        parts = PARTITION_COLUMNS.get(table)
+        columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
+        spark.sql(
+            f"CREATE TABLE IF NOT EXISTS {database}.{table} ({columns}) USING parquet "
+            + (f"PARTITIONED BY ({', '.join(parts)}) " if parts else "")
+            + f"LOCATION '{lake.path(table)}'"
+        )
+        created.append(f"{database}.{table}")
+    return created
 
 
 LAKE_TABLES = [
     "raw_users", "raw_logins", "raw_game_sessions", "raw_purchases", "raw_leaderboard_snapshots",
     "silver_user_sessions", "silver_purchases_enriched", "silver_leaderboard_enriched",
-    "gold_session_cells", "gold_daily_summary", "gold_user_day_metrics", "gold_user_demographics",
-    "gold_user_scores", "gold_user_segments",
+    "gold_session_cells", "gold_purchase_cells", "gold_daily_summary", "gold_user_day_metrics",
+    "gold_user_demographics", "gold_user_segments",
 ]
 
 

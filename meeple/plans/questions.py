@@ -40,6 +40,11 @@ def user_base_makeup(demographics: DataFrame) -> DataFrame:
     return demographics.groupBy("age_bracket", "gender").agg(F.count(F.lit(1)).alias("users"))
 
 
+def user_base_by_country(demographics: DataFrame) -> DataFrame:
+    """Q12: users per age bracket, gender and country."""
+    return demographics.groupBy("age_bracket", "gender", "country").agg(F.count(F.lit(1)).alias("users"))
+
+
 def users_by_country(demographics: DataFrame) -> DataFrame:
     """Q12: users per country."""
     return demographics.groupBy("country").agg(F.count(F.lit(1)).alias("users"))

@@ -39,6 +39,10 @@ DRAFT_RULE_MIN_SESSIONS = 4
 DRAFT_RULE_MIN_MINUTES = 10.0
 DEFAULT_K = 3
 DEFAULT_SEED = 42
+# Partitions in which the model sees the users. K-means draws its starting points by partition
+# and row, so this is a model parameter: with it fixed, the segments do not depend on the
+# cluster's settings.
+DEFAULT_PLACEMENT = 8
 
 
 # ---------------------------------------------------------------------------- rules (M1)
@@ -194,10 +198,27 @@ def feature_zscores(active: DataFrame) -> DataFrame:
     )
 
 
-def _split_stable(df: DataFrame, condition: Column, stage: bool = True) -> tuple[DataFrame, DataFrame]:
-    # the per-user table is read by the split, every model pass and the labelling: store it
-    # once so the scans and aggregations behind it run once
-    return split_inactive(tables.stage(df) if stage else df, condition)
+def _placed(active: DataFrame, placement: int) -> DataFrame:
+    """The rows in a fixed number of partitions and a fixed order inside them (an explicit count
+    is never coalesced)."""
+    first = [c for c in ("user_id",) if c in active.columns]
+    return active.repartition(placement, "user_id").sortWithinPartitions(*first, *[c for c in active.columns if c not in first])
+
+
+def _split_stable(df: DataFrame, condition: Column, placement: int) -> tuple[DataFrame, DataFrame]:
+    """(active, inactive), both stored: the model passes and the labelling read the active users
+    many times, and neither the joins behind the per-user table nor the EXCEPT run again."""
+    active, inactive = split_inactive(tables.stage(df), condition)
+    return _placed(tables.stage(active), placement), inactive
+
+
+def _clusters(active: DataFrame, k: int) -> int:
+    """``k``, or fewer where there are fewer different users than that (K-means needs as many
+    points as clusters)."""
+    different = active.select(*FEATURES).distinct().limit(k).count()
+    if different < 2:
+        raise ValueError("segmentation needs at least two different active users")
+    return min(k, different)
 
 
 def _finish(clustered: DataFrame, inactive: DataFrame) -> DataFrame:
@@ -212,17 +233,18 @@ def train_segments(
     seed: int = DEFAULT_SEED,
     min_rate: float = RATE_RULE_MIN_RATE,
     min_minutes: float = TRAIN_MIN_MINUTES,
-    stage: bool = True,
+    rule: str = "rate",
+    placement: int = DEFAULT_PLACEMENT,
 ) -> tuple[DataFrame, PipelineModel]:
     """Q6/M7: split, fit assembler + scaler + K-means on the active users, label, union.
 
     Returns the segmented users (demographics columns, ``user_age_days``,
-    ``user_segment``) and the fitted three-stage pipeline. ``stage=False`` skips writing
-    the per-user table first, for input that is already a stored table.
+    ``user_segment``) and the fitted three-stage pipeline. ``rule`` is any inactive rule
+    (``draft`` is the older trainer's). ``placement``: see ``DEFAULT_PLACEMENT``.
     """
     df = with_account_age(demographics, as_of)
-    active, inactive = _split_stable(df, inactive_condition("rate", min_rate, min_minutes), stage)
-    model = segmentation_pipeline(k, seed).fit(active)
+    active, inactive = _split_stable(df, inactive_condition(rule, min_rate, min_minutes), placement)
+    model = segmentation_pipeline(_clusters(active, k), seed).fit(active)
     return _finish(model.transform(active), inactive), model
 
 
@@ -233,16 +255,15 @@ def score_segments(
     refit_scaler: bool = False,
     min_rate: float = RATE_RULE_MIN_RATE,
     min_minutes: float = SCORE_MIN_MINUTES,
-    stage: bool = True,
+    placement: int = DEFAULT_PLACEMENT,
 ) -> DataFrame:
     """Q7/M8: segment users with a saved pipeline.
 
     ``refit_scaler=True`` reproduces the reference: the scaler is fitted again on the day's
-    active users and the saved centroids are applied to that scaling. ``stage=False`` as
-    in :func:`train_segments`.
+    active users and the saved centroids are applied to that scaling.
     """
     df = with_account_age(demographics, as_of)
-    active, inactive = _split_stable(df, inactive_condition("rate", min_rate, min_minutes), stage)
+    active, inactive = _split_stable(df, inactive_condition("rate", min_rate, min_minutes), placement)
     if refit_scaler:
         centroids = [s for s in model.stages if isinstance(s, KMeansModel)][-1]
         scaled = Pipeline(stages=[assembler(), scaler()]).fit(active).transform(active)
@@ -253,7 +274,7 @@ def score_segments(
 
 
 def simple_segments(
-    gold_demographics: DataFrame, k: int = DEFAULT_K, seed: int = DEFAULT_SEED
+    gold_demographics: DataFrame, k: int = DEFAULT_K, seed: int = DEFAULT_SEED, placement: int = DEFAULT_PLACEMENT
 ) -> DataFrame:
     """Re-segment a gold demographics table with the ``simple`` rule; 9 columns.
 
@@ -261,17 +282,19 @@ def simple_segments(
     same steps run on Spark ML.
     """
     base = gold_demographics.select(*SEGMENT_COLUMNS[:-1])
-    active, inactive = _split_stable(base, inactive_condition("simple"))
-    clustered = segmentation_pipeline(k, seed).fit(active).transform(active)
+    active, inactive = _split_stable(base, inactive_condition("simple"), placement)
+    clustered = segmentation_pipeline(_clusters(active, k), seed).fit(active).transform(active)
     return _finish(clustered, inactive).select(*SEGMENT_COLUMNS)
 
 
 def active_features(
-    demographics: DataFrame, as_of: dt.date | str, min_minutes: float = SCORE_MIN_MINUTES
+    demographics: DataFrame, as_of: dt.date | str, min_minutes: float = SCORE_MIN_MINUTES,
+    placement: int = DEFAULT_PLACEMENT,
 ) -> DataFrame:
-    """Scaled features of the active users (input of the model-quality checks)."""
+    """Scaled features of the active users (input of the model-quality checks), over the stored
+    active users."""
     df = with_account_age(demographics, as_of)
-    active, _ = _split_stable(df, inactive_condition("rate", RATE_RULE_MIN_RATE, min_minutes))
+    active, _ = _split_stable(df, inactive_condition("rate", RATE_RULE_MIN_RATE, min_minutes), placement)
     return Pipeline(stages=[assembler(), scaler()]).fit(active).transform(active)
 
 
@@ -287,7 +310,7 @@ def k_sweep(
     spark: SparkSession, scaled: DataFrame, ks=range(2, 9), seed: int = DEFAULT_SEED
 ) -> DataFrame:
     """Silhouette per k (the data of the elbow plot). Each k is a distributed fit
-    over the same staged input."""
+    over the same stored active users."""
     evaluator = ClusteringEvaluator(
         predictionCol="cluster", featuresCol="scaled_features", metricName="silhouette"
     )

@@ -9,7 +9,8 @@ Joins are plain equi-joins without hints. Spark broadcasts a side only when its
 is known to be below ``spark.sql.autoBroadcastJoinThreshold`` (statically or, with
 adaptive execution, from the actual shuffle size) and falls back to a sort-merge join
 otherwise, so a user table that grows with the business never has to fit in memory.
-Adaptive skew handling splits a hot user (or the NULL user) on the fact side.
+Adaptive skew handling splits a hot user on the fact side; rows without a user can match
+nothing, so they bypass the joins instead of meeting in one task.
 """
 
 from __future__ import annotations
@@ -26,12 +27,16 @@ USER_ATTRS = ["user_id", "age", "gender", "country"]
 
 
 def earliest_login_per_day(logins: DataFrame) -> DataFrame:
-    """One login per (user, day): the earliest, ties broken by device then location.
+    """One login per (user, day): the earliest (one without a time only if there is no other),
+    ties broken by device then location.
 
     Aggregates with a partial (map-side) step, so a user with millions of logins ships
     one row per map task.
     """
-    first = F.min(F.struct("timestamp", "device_type", "location")).alias("first")
+    order = [F.col("timestamp").isNull(), F.col("timestamp"), F.col("device_type").isNull(), F.col("device_type"),
+             F.col("location").isNull(), F.col("location")]
+    names = ["no_time", "timestamp", "no_device", "device_type", "no_location", "location"]
+    first = F.min(F.struct(*[c.alias(n) for c, n in zip(order, names)])).alias("first")
     return logins.groupBy("user_id", "event_date").agg(first).select(
         "user_id", "event_date", "first.device_type", "first.location"
     )
@@ -58,10 +63,15 @@ def user_sessions(
         if one_login_per_day
         else logins.select("user_id", "event_date", "device_type", "location")
     )
-    joined = sessions.join(users.select(*USER_ATTRS), "user_id", "left").join(
+    known = sessions.filter(F.col("user_id").isNotNull())
+    joined = known.join(users.select(*USER_ATTRS), "user_id", "left").join(
         login_side, ["user_id", "event_date"], "left"
     )
-    return joined.select(
+    added = [f for f in joined.schema.fields if f.name not in sessions.columns]
+    unknown = sessions.filter(F.col("user_id").isNull()).select(
+        "*", *[F.lit(None).cast(f.dataType).alias(f.name) for f in added]
+    )
+    return joined.unionByName(unknown).select(
         "session_id",
         "user_id",
         "game_type",
@@ -79,19 +89,24 @@ def user_sessions(
     )
 
 
+def valid_purchases(purchases: DataFrame) -> DataFrame:
+    """Purchases of a known user with a positive amount, amounts rounded to cents."""
+    valid = purchases.filter(F.col("user_id").isNotNull() & (F.col("amount") > 0))
+    return valid.withColumn("amount", money("amount").cast("double"))
+
+
 def purchases_enriched(
     purchases: DataFrame, users: DataFrame, run_date: dt.date | str | None = None
 ) -> DataFrame:
     """Q2: valid purchases (known user, positive amount) with user attributes."""
     if run_date is not None:
         purchases = day(purchases, run_date)
-    valid = purchases.filter(F.col("user_id").isNotNull() & (F.col("amount") > 0))
-    joined = valid.join(users.select(*USER_ATTRS, "signup_date"), "user_id", "left")
+    joined = valid_purchases(purchases).join(users.select(*USER_ATTRS, "signup_date"), "user_id", "left")
     return joined.select(
         "purchase_id",
         "user_id",
         title_case("item").alias("item"),
-        money("amount").cast("double").alias("amount"),
+        "amount",
         "timestamp",
         "age",
         "gender",

@@ -10,11 +10,13 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Callable
 
+from pyspark.ml import Pipeline, PipelineModel
+from pyspark.ml.linalg import Vectors
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from meeple.operators import sampling, tables
-from meeple.plans import bronze, gold, questions, segments, silver
+from meeple.plans import gold, questions, segments, silver
 from meeple.session import shared_dir
 from meeple.sources import ingest
 from meeple.sources.adapters import AS_OF, RUN_DATE, RawTables, load_raw
@@ -38,18 +40,15 @@ def _silver_leaderboard(spark: SparkSession, sf: str, run_date=None) -> DataFram
     return silver.leaderboard_enriched(r.leaderboard, r.users, r.sessions, run_date)
 
 
-def _daily_summary(spark: SparkSession, sf: str, run_date=None) -> DataFrame:
+def _daily_summary(spark: SparkSession, sf: str, run_date=None, one_login=False) -> DataFrame:
     r = load_raw(spark, sf)
-    return gold.daily_summary(
-        r.sessions, r.logins, silver.purchases_enriched(r.purchases, r.users), run_date
-    ).orderBy("event_date")
+    summary = gold.daily_summary(r.sessions, r.logins, r.purchases, r.users, run_date, one_login)
+    return summary.orderBy("event_date")
 
 
 def _demographics(spark: SparkSession, sf: str) -> DataFrame:
     r = load_raw(spark, sf)
-    return gold.user_demographics(
-        r.users, r.sessions, r.logins, silver.purchases_enriched(r.purchases, r.users)
-    )
+    return gold.user_demographics(r.users, r.sessions, r.logins, r.purchases)
 
 
 def _aged(spark: SparkSession, sf: str) -> DataFrame:
@@ -81,12 +80,36 @@ def _scored(spark: SparkSession, sf: str) -> DataFrame:
     """Train, save with a production pointer, load it back and score (the demographics
     both steps read are computed once)."""
     demographics = tables.stage(_demographics(spark, sf))
-    _, model = segments.train_segments(demographics, AS_OF, stage=False)
+    _, model = segments.train_segments(demographics, AS_OF)
     base = shared_dir(spark, "models", "user_segmentation")
     segments.save_model(model, base, "v1")
-    return segments.score_segments(
-        demographics, AS_OF, segments.load_model(base), refit_scaler=True, stage=False
-    )
+    return segments.score_segments(demographics, AS_OF, segments.load_model(base), refit_scaler=True)
+
+
+# Points in the scaled feature space, as centroids of a model whose result SQL can compute.
+GIVEN_CENTROIDS = [(-0.5, -0.5, -0.5, -0.5), (0.5, 1.0, -0.25, -0.25), (0.25, 0.0, 1.5, 1.5)]
+
+
+def _given_model(spark: SparkSession) -> PipelineModel:
+    """The three-stage pipeline with K-means fitted to the given points (k of them, so each is its
+    own centroid), its scaler fitted to rows that scoring never sees."""
+    points = spark.createDataFrame([(Vectors.dense(p),) for p in GIVEN_CENTROIDS], ["scaled_features"])
+    centroids = segments.kmeans(k=len(GIVEN_CENTROIDS)).fit(points.coalesce(1))
+    rows = spark.createDataFrame([(1, 1.0, 1.0, 1), (2, 3.0, 5.0, 4)], "total_sessions long, avg_session_duration double, total_spent double, num_purchases long")
+    scaled = Pipeline(stages=[segments.assembler(), segments.scaler()]).fit(rows)
+    return PipelineModel([*scaled.stages, centroids])
+
+
+def _scored_given_centroids(spark: SparkSession, sf: str) -> DataFrame:
+    """The scoring job with known centroids: the scaler is fitted again on the active users."""
+    return segments.score_segments(_demographics(spark, sf), AS_OF, _given_model(spark), refit_scaler=True)
+
+
+def _silhouette_given_clusters(spark: SparkSession, sf: str) -> DataFrame:
+    """Silhouette of the active users under the stand-in clusters (6 decimals)."""
+    scaled = segments.active_features(_demographics(spark, sf), AS_OF, segments.TRAIN_MIN_MINUTES)
+    clustered = scaled.withColumn("cluster", F.pmod(F.col("user_id").cast("long"), F.lit(3)).cast("int"))
+    return segments.silhouette(spark, clustered).select(F.round("silhouette", 6).alias("silhouette"))
 
 
 def _simple(spark: SparkSession, sf: str) -> DataFrame:
@@ -141,16 +164,17 @@ def _crm(kind: str) -> Query:
 
 
 def _summary_versions(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
-    """Two versions of the gold daily table: one-login silver up to 2024-01-20 (old) and
-    the full silver from 2024-01-10 (new): updated, deleted and inserted days."""
+    """Two versions of the gold daily table: the one-login summary without its last third of days
+    (old) and the full summary without its first third (new), so that there are updated, deleted
+    and inserted days whatever dates the data have."""
     r: RawTables = load_raw(spark, sf)
-    purchases = silver.purchases_enriched(r.purchases, r.users)
-    old = gold.daily_summary(r.sessions, silver.earliest_login_per_day(r.logins), purchases)
-    new = gold.daily_summary(r.sessions, r.logins, purchases)
-    return (
-        old.filter(F.col("event_date") <= F.lit(dt.date(2024, 1, 20))),
-        new.filter(F.col("event_date") >= F.lit(dt.date(2024, 1, 10))),
-    )
+    old = gold.daily_summary(r.sessions, r.logins, r.purchases, r.users, one_login_per_day=True)
+    new = gold.daily_summary(r.sessions, r.logins, r.purchases, r.users)
+    span = r.sessions.agg(F.min("event_date").alias("first"), F.datediff(F.max("event_date"), F.min("event_date")).alias("days")).first()
+    third = span["days"] // 3
+    first_third = span["first"] + dt.timedelta(days=third)
+    last_third = span["first"] + dt.timedelta(days=span["days"] - third)
+    return old.filter(F.col("event_date") <= F.lit(last_third)), new.filter(F.col("event_date") >= F.lit(first_third))
 
 
 QUERIES: dict[str, Query] = {
@@ -169,8 +193,10 @@ QUERIES: dict[str, Query] = {
         _silver_sessions(s, sf), _silver_purchases(s, sf)
     ),
     "daily_summary_from_cells": lambda s, sf: gold.daily_summary_from_cells(
-        gold.weighted_session_cells(_raw(s, sf, "sessions"), _raw(s, sf, "logins")), _silver_purchases(s, sf)
+        gold.weighted_session_cells(_raw(s, sf, "sessions"), _raw(s, sf, "logins"), _raw(s, sf, "users")),
+        gold.purchase_cells(_raw(s, sf, "purchases"), _raw(s, sf, "users")),
     ),
+    "daily_summary_one_login": lambda s, sf: _daily_summary(s, sf, one_login=True),
     "daily_revenue": lambda s, sf: gold.daily_revenue(_silver_purchases(s, sf)),
     "peak_hour_per_day": lambda s, sf: gold.top_per_day(
         _silver_sessions(s, sf), F.hour("start_time"), "peak_hour"
@@ -180,13 +206,15 @@ QUERIES: dict[str, Query] = {
     ),
     # Q5 demographics
     "user_session_metrics": lambda s, sf: gold.session_metrics(
-        _raw(s, sf, "sessions"), _raw(s, sf, "logins")
+        _raw(s, sf, "sessions"), _raw(s, sf, "logins"), _raw(s, sf, "users")
     ),
     "user_purchase_metrics": lambda s, sf: gold.purchase_metrics(_silver_purchases(s, sf)),
     "user_demographics": _demographics,
     "user_demographics_from_daily": lambda s, sf: gold.user_demographics_from_daily(
         _raw(s, sf, "users"),
-        gold.user_day_metrics(_raw(s, sf, "sessions"), _raw(s, sf, "logins"), _silver_purchases(s, sf)),
+        gold.user_day_metrics(
+            _raw(s, sf, "sessions"), _raw(s, sf, "logins"), _raw(s, sf, "purchases"), _raw(s, sf, "users")
+        ),
     ),
     "user_demographics_from_silver": lambda s, sf: gold.user_demographics_from_silver(
         _raw(s, sf, "users"), _silver_sessions(s, sf), _silver_purchases(s, sf)
@@ -213,6 +241,8 @@ QUERIES: dict[str, Query] = {
     # Q6-Q8, Q11, M2, M4, M7-M12 (Spark ML: rows-only checks)
     "kmeans_segments": lambda s, sf: _trained(s, sf)[0],
     "scored_segments": _scored,
+    "scored_given_centroids": _scored_given_centroids,
+    "silhouette_given_clusters": _silhouette_given_clusters,
     "simple_segments": _simple,
     "silhouette": _silhouette,
     "k_sweep": _k_sweep,
@@ -223,6 +253,7 @@ QUERIES: dict[str, Query] = {
     "hourly_activity": lambda s, sf: questions.hourly_activity(load_raw(s, sf).sessions),
     "device_usage": lambda s, sf: questions.device_usage(load_raw(s, sf).logins),
     "user_base_makeup": lambda s, sf: questions.user_base_makeup(_demographics(s, sf)),
+    "user_base_by_country": lambda s, sf: questions.user_base_by_country(_demographics(s, sf)),
     "users_by_country": lambda s, sf: questions.users_by_country(_demographics(s, sf)),
     "earnings_by_item": lambda s, sf: questions.earnings_by_item(_silver_purchases(s, sf)),
     "earnings_by_day": lambda s, sf: questions.earnings_by_day(_silver_purchases(s, sf)),
@@ -247,15 +278,11 @@ QUERIES: dict[str, Query] = {
     "upsert_daily": lambda s, sf: tables.upsert(*_summary_versions(s, sf), ["event_date"]),
     "daily_changes": lambda s, sf: tables.changes(*_summary_versions(s, sf), ["event_date"]),
     "clustered_users": lambda s, sf: tables.clustered(_raw(s, sf, "users"), "signup_date"),
-    "zordered_sessions": lambda s, sf: tables.zorder(
-        tables.stage(_silver_sessions(s, sf)), ["user_id", "event_date"], num_files=8
-    ),
-    # G1-G4, W5 generated raw rows for one day
-    "sampled_logins": lambda s, sf: bronze.generate_logins(_raw(s, sf, "users"), RUN_DATE),
-    "session_fanout": lambda s, sf: bronze.generate_sessions(_raw(s, sf, "users"), RUN_DATE),
-    "sampled_purchases": lambda s, sf: bronze.generate_purchases(_raw(s, sf, "users"), RUN_DATE),
-    "leaderboard_snapshot": lambda s, sf: bronze.generate_leaderboard(_raw(s, sf, "users"), RUN_DATE),
-    "random_choice": lambda s, sf: _raw(s, sf, "users").select(
-        "user_id", sampling.choice(sampling.DEVICE_TYPES, ["user_id"], "device|0|2024-01-15").alias("device_type")
+    "compacted_sessions": lambda s, sf: tables.compacted(tables.stage(_silver_sessions(s, sf)), "user_id", num_files=8),
+    # G1, G3, W5 samples of given rows
+    "sampled_users": lambda s, sf: sampling.bernoulli(_raw(s, sf, "users"), ["user_id"], sampling.LOGIN_RATE, "logins"),
+    "ranked_players": lambda s, sf: sampling.ranked_sample(
+        _raw(s, sf, "sessions").filter("user_id IS NOT NULL").select("user_id", "game_type", "event_date").distinct(),
+        ["game_type", "event_date"], ["user_id"], sampling.LEADERBOARD_SIZE, "players",
     ),
 }

@@ -8,6 +8,7 @@ Library functions never build a session; tests, ``bench.py`` and scripts call
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 
@@ -60,11 +61,15 @@ def local_session(cpus: int | str = 8, shuffle_partitions: int = 8, app: str = "
 def shared_dir(spark: SparkSession, *parts: str) -> str:
     """A path under the cluster's shared ``spark.checkpoint.dir``.
 
-    The folder named by the session wins. Only when it is unset (local tests) a fresh
-    folder is created and registered as the checkpoint dir, so later calls agree.
+    The folder named by the session wins. Where it is unset, a local session (one process,
+    so one disk) gets a fresh folder, registered as the checkpoint dir so that later calls
+    agree; a cluster has no folder that all executors share by default, so that is an error.
     """
     base = spark.sparkContext.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
     if not base:
+        master = spark.sparkContext.master
+        if not re.match(r"local(\[|$)", master):
+            raise RuntimeError(f"spark.checkpoint.dir is not set (master {master}): name a folder that all executors share")
         spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="meeple-shared-"))
         base = spark.sparkContext.getCheckpointDir()
     base = base.rstrip("/")

@@ -3,8 +3,9 @@
 The test data has no game tables, so these views give rows in the raw-table schemas.
 They only shape input; every job downstream runs unchanged on any data of these
 schemas. They deliberately include the awkward cases the jobs must handle: NULL users,
-NULL and out-of-range ages, non-positive amounts, rank 0, mixed-case labels, several
-logins per user and day, sessions without a login, sessions ending after midnight.
+NULL and out-of-range ages, repeated users, users who never spend, users with few or short
+sessions, non-positive amounts, rank 0, mixed-case labels, several logins per user and day,
+logins without a time, sessions without a login, sessions ending after midnight.
 
 The DuckDB twin of each view lives in :mod:`meeple.oracle`.
 """
@@ -26,19 +27,8 @@ SIGNUP_EPOCH = dt.date(2023, 10, 1)
 LEADERBOARD_SEED = "lb"
 
 
-_READS: dict[tuple[int, str], tuple[SparkSession, DataFrame]] = {}
-
-
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """One read (file listing, footer, schema) per table file and session; the
-    DataFrame is a lazy plan, so sharing it shares no data."""
-    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
-    key = (id(spark), path)
-    cached = _READS.get(key)
-    if cached is None or cached[0] is not spark:
-        cached = (spark, spark.read.parquet(path))
-        _READS[key] = cached
-    return cached[1]
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def _case(col: F.Column, labels: list[str]) -> F.Column:
@@ -54,9 +44,12 @@ def raw_users(spark: SparkSession, sf_dir: str) -> DataFrame:
     customer = _table(spark, sf_dir, "customer")
     nation = _table(spark, sf_dir, "nation")
     key = F.col("c_custkey")
-    return customer.join(nation, customer.c_nationkey == nation.n_nationkey).select(
+    joined = customer.join(nation, customer.c_nationkey == nation.n_nationkey)
+    # some users are listed twice
+    listed = joined.withColumn("copy", F.explode(F.sequence(F.lit(1), F.when(key % 53 == 0, 2).otherwise(1))))
+    return listed.select(
         key.cast("string").alias("user_id"),
-        F.col("c_name").alias("username"),
+        F.when(F.col("copy") == 1, F.col("c_name")).otherwise(F.concat("c_name", F.lit("_2"))).alias("username"),
         F.col("n_name").alias("country"),
         F.date_add(F.lit(SIGNUP_EPOCH), F.pmod(key, F.lit(119)).cast("int")).alias("signup_date"),
         F.when(F.pmod(key, F.lit(41)) == 0, F.lit(None).cast("int"))
@@ -71,7 +64,7 @@ def raw_logins(spark: SparkSession, sf_dir: str) -> DataFrame:
     eid = F.col("event_id")
     return ev.select(
         F.col("user_id").cast("string").alias("user_id"),
-        F.col("ts").alias("timestamp"),
+        F.when(F.pmod(eid, F.lit(31)) != 0, F.col("ts")).alias("timestamp"),
         _case(eid, DEVICE_TYPES).alias("device_type"),
         F.concat(F.lit("City_"), F.pmod(eid, F.lit(50)).cast("string")).alias("location"),
         F.col("ts").cast("date").alias("event_date"),
@@ -81,12 +74,14 @@ def raw_logins(spark: SparkSession, sf_dir: str) -> DataFrame:
 def raw_game_sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
     ev = _table(spark, sf_dir, "events").filter(F.col("event_type").isin("click", "view"))
     eid, uid = F.col("event_id"), F.col("user_id")
+    # some users play rarely: most of their sessions go to the user before
+    player = F.when((F.pmod(uid, F.lit(10)) == 3) & (F.pmod(eid, F.lit(16)) != 0), uid - 1).otherwise(uid)
     minutes = (F.pmod(eid, F.pmod(uid, F.lit(8)) * 8 + 1) + 2).cast("int")
     seconds = F.pmod(eid, F.lit(60)).cast("int")
     return ev.select(
         eid.cast("string").alias("session_id"),
         F.when(F.pmod(eid, F.lit(89)) == 0, F.lit(None).cast("string"))
-        .otherwise(uid.cast("string"))
+        .otherwise(player.cast("string"))
         .alias("user_id"),
         _case(eid, GAME_TYPES).alias("game_type"),
         F.col("ts").alias("start_time"),
@@ -106,7 +101,8 @@ def raw_purchases(spark: SparkSession, sf_dir: str) -> DataFrame:
         .otherwise(F.col("user_id").cast("string"))
         .alias("user_id"),
         _case(eid, ["Skin", "Coins", "boost", "PASS"]).alias("item"),  # mixed case on purpose
-        (F.col("value") - 10).alias("amount"),
+        # one user in four spends; the others' amounts are refunds
+        F.when(F.pmod("user_id", F.lit(4)) == 1, F.col("value") - 10).otherwise(-F.abs("value")).alias("amount"),
         F.col("ts").alias("timestamp"),
         F.col("ts").cast("date").alias("event_date"),
     )

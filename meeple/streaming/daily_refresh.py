@@ -3,8 +3,8 @@
 The reference reran its daily notebooks for a ``run_date``. Here file-source streams
 watch the raw fact table folders (sessions, logins, purchases, leaderboard), unioned into
 one query with one checkpoint; each micro-batch finds the days its new files touch, in
-any of the tables, and reruns :func:`meeple.plans.jobs.run_day` for those days.
-``run_day`` replaces whole day partitions, so replaying a micro-batch after a failure
+any of the tables, and reruns :func:`meeple.plans.jobs.run_days` for those days, all of them
+in one pass. ``run_days`` replaces whole day partitions, so replaying a micro-batch after a failure
 (the checkpoint decides what is replayed) rewrites the same rows: the sink is idempotent
 and the result exactly-once.
 
@@ -17,7 +17,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
-from meeple.plans.jobs import Lake, run_day
+from meeple.plans.jobs import Lake, run_days
 
 
 def touched_days(batch: DataFrame, column: str = "event_date") -> list:
@@ -33,29 +33,32 @@ def start_daily_refresh(
     lake: Lake,
     checkpoint_location: str,
     source_tables: tuple[str, ...] = RAW_FACT_TABLES,
-    max_files_per_trigger: int = 1000,
+    max_files_per_trigger: int | None = None,
     available_now: bool = True,
-    zorder_files: int | None = None,
+    compact_files: int | None = None,
 ) -> StreamingQuery:
     """Start the refresh stream over the folders of ``source_tables``.
 
     ``available_now=True`` processes everything present and stops (a scheduled run);
-    ``False`` keeps polling for new files every minute.
+    ``False`` keeps polling for new files every minute. All new files make one batch, so a
+    day is rewritten once however many files it received; ``max_files_per_trigger`` (per
+    table) splits a backlog, at the price of rewriting days that span several batches.
     """
-    streams = [
-        spark.readStream.schema(lake.read(spark, table).schema)
-        .option("maxFilesPerTrigger", max_files_per_trigger)
-        .parquet(lake.path(table))
-        .select("event_date")
-        for table in source_tables
-    ]
+    def stream(table: str) -> DataFrame:
+        reader = spark.readStream.schema(lake.read(spark, table).schema)
+        if max_files_per_trigger is not None:
+            reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
+        return reader.parquet(lake.path(table)).select("event_date")
+
+    streams = [stream(table) for table in source_tables]
     days = streams[0]
     for other in streams[1:]:
         days = days.unionByName(other)
 
     def refresh(batch: DataFrame, epoch_id: int) -> None:
-        for d in touched_days(batch):
-            run_day(spark, lake, d, zorder_files=zorder_files)
+        touched = touched_days(batch)
+        if touched:
+            run_days(spark, lake, touched, compact_files=compact_files)
 
     writer = (
         days.writeStream.queryName("refresh_daily_tables")

@@ -23,7 +23,7 @@ def test_query_matches_oracle(spark, duck, name):
 SCALE_PLAN_QUERIES = [
     "silver_user_sessions", "silver_leaderboard_enriched", "daily_summary_backfill", "daily_summary_from_silver",
     "user_demographics", "user_demographics_from_daily", "active_users", "cluster_labels", "upsert_daily",
-    "daily_changes", "zordered_sessions", "leaderboard_snapshot", "hourly_activity",
+    "daily_changes", "compacted_sessions", "ranked_players", "hourly_activity", "daily_summary_one_login",
     "silver_purchases_enriched", "segment_profile", "user_categories", "earnings_by_day", "device_usage",
     "clustered_users", "whales_by_country_given_clusters", "silver_user_sessions_one_login",
 ]

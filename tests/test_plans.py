@@ -30,7 +30,7 @@ def test_day_filter_reaches_both_fact_scans(spark, tmp_dir):
     p = plan(silver.user_sessions(s, r.users, lg, RUN_DATE))
     # the filter is written once on sessions; Catalyst prunes the partitions of both tables
     pruned = re.findall(r"PartitionFilters: \[[^\]]*event_date#\d+ = 2024-01-15", p)
-    assert len(pruned) == 2
+    assert len(pruned) == 3  # sessions with and without a user, logins
 
 
 def test_projection_is_pruned_at_scan(spark):
@@ -53,6 +53,29 @@ def test_ranked_sample_limits_groups_before_shuffle(spark):
     assert "WindowGroupLimit" in p
 
 
+def test_daily_summary_shuffles_and_scans(spark):
+    """The cluster's plan: no attribute of a user is read, sessions are scanned once."""
+    r = load_raw(spark, SF_SMALL)
+    keys = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.enabled": "false"}
+    before = {k: spark.conf.get(k) for k in keys}
+    try:
+        for k, v in keys.items():
+            spark.conf.set(k, v)
+        p = plan(gold.daily_summary(r.sessions, r.logins, r.purchases, r.users))
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert "c_name" not in p.split("== ")[0] or "c_name" not in "".join(re.findall(r"ReadSchema: struct<[^>]*>", p))
+    reused = p.count("ReusedExchange")
+    assert p.count("Exchange hashpartitioning") - reused <= 16
+
+
+def test_sessions_without_a_user_bypass_the_joins(spark):
+    r = load_raw(spark, SF_SMALL)
+    p = optimized(silver.user_sessions(r.sessions, r.users, r.logins))
+    assert "Union" in p and p.count("Join LeftOuter") == 2
+
+
 def test_daily_summary_reads_sessions_twice_at_most(spark, tmp_dir):
     r = load_raw(spark, SF_SMALL)
     path = f"{tmp_dir}/silver"

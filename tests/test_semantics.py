@@ -257,7 +257,7 @@ def test_demographics_aggregates_before_joining(spark):
     u = users(spark, U)
     s = sessions(spark, [session("s1", "u1", ts(D, 10), minutes=10), session("s2", "u1", ts(D, 11), minutes=15)])
     p = purchases(spark, [("p1", "u1", "Skin", 2.5, ts(D, 1), D), ("p2", "u1", "Skin", 1.25, ts(D, 1), D), ("p3", "u1", "Coins", 1.0, ts(D, 1), D)])
-    demo = gold.user_demographics(u, s, logins(spark, []), silver.purchases_enriched(p, u))
+    demo = gold.user_demographics(u, s, logins(spark, []), p)
     rows = {r["user_id"]: r for r in demo.collect()}
     assert (rows["u1"]["total_sessions"], rows["u1"]["avg_session_duration"]) == (2, 12.5)
     assert (rows["u1"]["total_spent"], rows["u1"]["num_purchases"]) == (4.75, 3)
@@ -265,27 +265,41 @@ def test_demographics_aggregates_before_joining(spark):
     assert rows["u1"]["age_bracket"] == "18-25" and rows["u2"]["age_bracket"] == "36-45"
 
 
-def test_weighted_cells_equal_the_fanned_out_silver(spark):
-    """Gold from raw sessions + logins (no fan-out rows) equals gold from the silver table."""
-    u = users(spark, U)
+def test_login_without_a_time_comes_last(spark):
+    lg = logins(spark, [("u1", None, "Web", "A", D), ("u1", ts(D, 0), "iOS", "B", D), ("u2", None, "Web", "A", D)])
+    got = {r["user_id"]: r["device_type"] for r in silver.earliest_login_per_day(lg).collect()}
+    assert got == {"u1": "iOS", "u2": "Web"}
+
+
+@pytest.mark.parametrize("repeated", [False, True])
+@pytest.mark.parametrize("one_login", [False, True])
+def test_gold_equals_gold_from_silver(spark, repeated, one_login):
+    """Gold from raw sessions + logins + purchases (no fan-out rows) equals gold from the silver
+    tables: with several logins, without any, without a time, with repeated users."""
+    u = users(spark, U + [("u1", "ann2", "Chile", dt.date(2024, 2, 1), 21, "Female")] * repeated)
     lg = logins(
         spark,
         [("u1", ts(D, 1), "Web", "A", D), ("u1", ts(D, 2), "web", "B", D), ("u1", ts(D, 3), "iOS", "C", D),
-         ("u2", ts(D2, 3), "Android", "C", D2)],
+         ("u2", ts(D2, 3), "Android", "C", D2), ("u2", None, "Web", "C", D2)],
     )
     s = sessions(
         spark,
         [session("s1", "u1", ts(D, 10), 7), session("s2", "u1", ts(D, 10, 30), 9), session("s3", "u1", ts(D, 22), 11),
-         session("s4", "u2", ts(D, 9), 13), session("s5", None, ts(D, 9), 1), session("s6", "u2", ts(D2, 9), 2)],
+         session("s4", "u2", ts(D, 9), 13), session("s5", None, ts(D, 9), 1), session("s6", "u2", ts(D2, 9), 2),
+         session("s7", "stranger", ts(D2, 9), 2)],
     )
-    p = silver.purchases_enriched(purchases(spark, [("p1", "u1", "Skin", 2.0, ts(D, 1), D)]), u)
-    sil = silver.user_sessions(s, u, lg)
+    raw = purchases(spark, [("p1", "u1", "Skin", 2.005, ts(D, 1), D), ("p2", None, "Skin", 2.0, ts(D, 1), D), ("p3", "u2", "Skin", -2.0, ts(D, 1), D)])
+    p = silver.purchases_enriched(raw, u)
+    sil = silver.user_sessions(s, u, lg, one_login_per_day=one_login)
     for run_date in (None, D):
-        direct = sorted(map(tuple, gold.daily_summary(s, lg, p, run_date).collect()))
+        direct = sorted(map(tuple, gold.daily_summary(s, lg, raw, u, run_date, one_login).collect()))
         via_silver = sorted(map(tuple, gold.daily_summary_from_silver(sil, p, run_date).collect()))
         assert direct == via_silver
-    row = [r for r in gold.daily_summary(s, lg, p).collect() if r["event_date"] == D][0]
-    assert (row["total_sessions"], row["top_device_type"], row["peak_hour"]) == (11, "Web", 10)
-    d1 = sorted(map(tuple, gold.user_demographics(u, s, lg, p).collect()))
-    d2 = sorted(map(tuple, gold.user_demographics_from_silver(u, sil, p).collect()))
-    assert d1 == d2
+    row = [r for r in gold.daily_summary(s, lg, raw, u, one_login_per_day=one_login).collect() if r["event_date"] == D][0]
+    per_session = (1 if one_login else 3) * (2 if repeated else 1)
+    assert row["total_sessions"] == 3 * per_session + 2
+    assert row["peak_hour"] == (9 if per_session == 1 else 10)  # one each: 2 sessions at 9 and at 10
+    if not one_login:
+        d1 = sorted(map(tuple, gold.user_demographics(u, s, lg, raw).collect()))
+        d2 = sorted(map(tuple, gold.user_demographics_from_silver(u, sil, p).collect()))
+        assert d1 == d2 and len(d1) == 2 + repeated

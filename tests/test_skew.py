@@ -30,32 +30,34 @@ def skewed(spark):
         F.when(F.col("id") % 4 == 0, "Web").otherwise("iOS").alias("device_type"),
         F.lit("X").alias("location"), F.lit(D).alias("event_date"),
     )
-    purchases = spark.createDataFrame([], ntz(schemas.SILVER_PURCHASES_ENRICHED))
+    purchases = spark.createDataFrame([], ntz(schemas.RAW_PURCHASES))
     return sessions, logins, purchases
 
 
+def hot_users(spark, copies=1):
+    return spark.createDataFrame([("hot", f"n{i}", "C", D, 20, "Male") for i in range(copies)], schemas.RAW_USERS)
+
+
 def test_hot_user_collapses_before_the_join(spark):
     sessions, logins, _ = skewed(spark)
-    cells = gold.weighted_session_cells(sessions, logins)
+    cells = gold.weighted_session_cells(sessions, logins, hot_users(spark))
     hot_rows = cells.filter(F.col("user_id") == "hot").count()
     assert hot_rows <= 24 * 2  # hours x devices, not sessions x logins
 
 
 def test_skewed_day_summary_is_exact(spark):
     sessions, logins, purchases = skewed(spark)
-    row = gold.daily_summary(sessions, logins, purchases, D).collect()[0]
+    row = gold.daily_summary(sessions, logins, purchases, hot_users(spark), D).collect()[0]
     hot = N_SESSIONS // HOT_SHARE
     # brute force: each hot session appears once per hot login, every other session once
     assert row["total_sessions"] == hot * HOT_LOGINS + (N_SESSIONS - hot)
     assert row["avg_session_duration"] == 10.0
     assert row["top_device_type"] == "Ios"  # 750 of the 1000 logins
     assert row["unique_active_users"] == 1 + sessions.filter(F.col("user_id") != "hot").select("user_id").distinct().count()
-    demo_users = spark.createDataFrame([("hot", "n", "C", D, 20, "Male")], schemas.RAW_USERS)
-    demo = gold.user_demographics(demo_users, sessions, logins, purchases).first()
+    demo = gold.user_demographics(hot_users(spark), sessions, logins, purchases).first()
     assert demo["total_sessions"] == hot * HOT_LOGINS
 
 
 def test_one_login_silver_is_linear(spark):
     sessions, logins, _ = skewed(spark)
-    users = spark.createDataFrame([("hot", "n", "C", D, 20, "Male")], schemas.RAW_USERS)
-    assert silver.user_sessions(sessions, users, logins, D, one_login_per_day=True).count() == N_SESSIONS
+    assert silver.user_sessions(sessions, hot_users(spark), logins, D, one_login_per_day=True).count() == N_SESSIONS

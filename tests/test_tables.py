@@ -1,7 +1,6 @@
 """Sources, sinks and table maintenance in temporary folders."""
 
 import datetime as dt
-import glob
 import os
 
 import pytest
@@ -13,8 +12,6 @@ from meeple.sources import ingest, readers, schemas
 from meeple.sources.adapters import load_raw
 from tests.conftest import SF_SMALL
 
-# Folder of the five sample raw-table exports (raw_users.csv, ...), when available.
-FIXTURES = os.environ.get("MEEPLE_SAMPLE_CSVS", "")
 D = dt.date(2024, 3, 1)
 
 
@@ -42,29 +39,31 @@ def test_conform_and_violations(spark):
     assert schemas.describe(typed)[4] == ("age", "int")
 
 
-@pytest.mark.skipif(not FIXTURES or not os.path.isdir(FIXTURES), reason="set MEEPLE_SAMPLE_CSVS")
-@pytest.mark.parametrize(
-    "table,rows",
-    [("raw_users", 100), ("raw_logins", 100), ("raw_game_sessions", 100), ("raw_purchases", 100),
-     ("raw_leaderboard_snapshots", 100)],
-)
-def test_read_fixture_csv(spark, table, rows):
-    name = "raw_leaderboard_snapshots" if table == "raw_leaderboard_snapshots" else table
-    df = readers.read_csv(spark, f"{FIXTURES}/{name}.csv", table)
-    assert df.count() == rows
-    assert schemas.contract_violations(df, table) == []
-    null_cells = df.select([F.sum(F.col(c).isNull().cast("int")) for c in df.columns]).first()
-    assert all(v == 0 for v in null_cells)
+CSV = {
+    "raw_users": ("user_id,username,country,signup_date,age,gender", "u1,ann,Chile,2025-06-05,20,Female", "u2,bob,Iran (Islamic Republic of),2025-06-23,,Other"),
+    "raw_logins": ("user_id,timestamp,device_type,location,event_date", "u1,2025-06-22T03:04:05.123456,iOS,Lake Ann,2025-06-22", "u2,2025-06-22 03:04:05,Web,X,2025-06-22"),
+    "raw_game_sessions": ("session_id,user_id,game_type,start_time,end_time,score,result,event_date", "s1,u1,Practice,2025-07-10 23:50:00.5,2025-07-11 00:10:00,7,Win,2025-07-10"),
+    "raw_purchases": ("purchase_id,user_id,item,amount,timestamp,event_date", "p1,u1,Boost,1.52,2025-07-09 10:00:00,2025-07-09", "p2,u2,Boost,47.73,2025-07-09 11:00:00,2025-07-09"),
+    "raw_leaderboard_snapshots": ("user_id,game_type,rank,event_date", "u1,Arcade,1,2025-06-20", "u2,Arcade,20,2025-06-24"),
+}
 
 
-@pytest.mark.skipif(not FIXTURES or not os.path.isdir(FIXTURES), reason="set MEEPLE_SAMPLE_CSVS")
-def test_fixture_values(spark):
-    p = readers.read_csv(spark, f"{FIXTURES}/raw_purchases.csv", "raw_purchases")
-    total = p.agg(F.sum(ingest.F.col("amount")).alias("s")).first()["s"]
-    assert round(total, 2) == 2584.73
-    s = readers.read_csv(spark, f"{FIXTURES}/raw_game_sessions.csv", "raw_game_sessions")
-    over_midnight = s.filter(F.to_date("end_time") > F.col("event_date")).count()
-    assert over_midnight == 3
+@pytest.mark.parametrize("table", sorted(CSV))
+def test_read_csv(spark, tmp_dir, table):
+    with open(f"{tmp_dir}/{table}.csv", "w") as f:
+        f.write("\n".join(CSV[table]) + "\n")
+    df = readers.read_csv(spark, f"{tmp_dir}/{table}.csv", table)
+    assert df.count() == len(CSV[table]) - 1
+    assert schemas.contract_violations(df, table) == []
+    first = df.first()
+    if table == "raw_game_sessions":
+        assert first["end_time"].date() > first["event_date"] and first["score"] == 7
+    if table == "raw_purchases":
+        assert round(sum(r["amount"] for r in df.collect()), 2) == 49.25
+    if table == "raw_users":
+        assert [r["age"] for r in df.collect()] == [20, None]
+    if table == "raw_logins":
+        assert first["timestamp"].microsecond == 123456 and df.filter("timestamp IS NULL").count() == 0
 
 
 def test_csv_export_round_trip(spark, tmp_dir):
@@ -105,7 +104,9 @@ def test_overwrite_and_overwrite_keeping_schema(spark, tmp_dir):
     assert spark.read.parquet(path).columns == ["x", "y", "z"]
     with pytest.raises(ValueError):
         tables.overwrite_keeping_schema(df, path, spark.read.parquet(path).schema)
-    tables.overwrite_keeping_schema(df.withColumn("z", F.lit("7")), path, spark.read.parquet(path).schema)
+    with pytest.raises(ValueError):
+        tables.overwrite_keeping_schema(df.withColumn("z", F.lit("7")), path, spark.read.parquet(path).schema)
+    tables.overwrite_keeping_schema(df.withColumn("z", F.lit(7)), path, spark.read.parquet(path).schema)
     assert spark.read.parquet(path).first()["z"] == 7
 
 
@@ -157,18 +158,21 @@ def test_change_feed_replays_to_new_version(spark):
     assert bag(tables.apply_changes(old, feed, ["k"])) == bag(new)
 
 
-def test_zorder_keeps_rows_and_narrows_files(spark, tmp_dir):
-    sessions = load_raw(spark, SF_SMALL).sessions
-    path = f"{tmp_dir}/z"
-    tables.zorder(sessions, ["user_id", "event_date"], num_files=4).write.parquet(path)
-    assert len(glob.glob(f"{path}/part-*.parquet")) <= 4
-    back = spark.read.parquet(path)
-    assert bag(back) == bag(sessions)
-    per_file = back.groupBy(F.input_file_name().alias("f")).agg(
-        F.countDistinct("event_date").alias("days")
+def ranges(spark, path):
+    rows = spark.read.parquet(path).groupBy(F.input_file_name().alias("f")).agg(
+        F.min("user_id").alias("lo"), F.max("user_id").alias("hi"), F.count("*").alias("n"), F.countDistinct("user_id").alias("users")
     ).collect()
-    all_days = sessions.select("event_date").distinct().count()
-    assert max(r["days"] for r in per_file) < all_days  # each file covers a narrower date range
+    return sorted(rows, key=lambda r: r["lo"])
+
+
+def test_compacted_files_hold_disjoint_users_with_a_common_prefix(spark, tmp_dir):
+    ids = spark.range(8000).select(F.format_string("user_%012d", F.col("id") % 1000).alias("user_id"), F.lit(D).alias("event_date"), "id")
+    path = f"{tmp_dir}/t"
+    tables.replace_days(tables.compacted(ids, "user_id", 8), path, [D], rebalance=False)
+    files = ranges(spark, path)
+    assert len(files) == 8 and max(r["users"] for r in files) < 250
+    assert all(a["hi"] <= b["lo"] for a, b in zip(files, files[1:]))
+    assert bag(spark.read.parquet(path).select("user_id", "event_date", "id")) == bag(ids)
 
 
 def test_clustered_keeps_rows(spark):
@@ -181,23 +185,60 @@ def test_missing_table_path_raises(spark, tmp_dir):
         readers.read_table(spark, f"{tmp_dir}/missing").count()
 
 
-def test_zorder_splits_a_hot_value_over_files(spark, tmp_dir):
-    # one user on one day holds most rows: the files must still be of similar size
+def test_compaction_splits_a_hot_user_over_files(spark, tmp_dir):
     base = spark.range(0, 4000).select(
         F.when(F.col("id") < 3000, F.lit("hot")).otherwise(F.col("id").cast("string")).alias("user_id"),
         F.lit(D).alias("event_date"),
         F.col("id"),
     )
     path = f"{tmp_dir}/hot"
-    tables.zorder(base, ["user_id", "event_date"], num_files=4).write.parquet(path)
-    sizes = [r["n"] for r in spark.read.parquet(path).groupBy(F.input_file_name()).agg(F.count("*").alias("n")).collect()]
+    tables.compacted(base, "user_id", num_files=4).write.parquet(path)
+    sizes = [r["n"] for r in ranges(spark, path)]
     assert sum(sizes) == 4000 and max(sizes) < 2000
 
 
-def test_zorder_on_timestamps(spark, tmp_dir):
-    sessions = load_raw(spark, SF_SMALL).sessions
-    out = tables.zorder(sessions, ["start_time", "score"], num_files=3)
-    assert bag(out) == bag(sessions)
+def test_replace_days_empties_days_without_rows(spark, tmp_dir):
+    df = spark.createDataFrame([(1, D), (2, D), (3, dt.date(2024, 3, 2)), (4, dt.date(2024, 3, 3))], "v int, event_date date")
+    path = f"{tmp_dir}/t"
+    days = [D, dt.date(2024, 3, 2), dt.date(2024, 3, 3)]
+    tables.replace_days(df, path, days)
+    tables.replace_days(df.filter("v = 2"), path, days[:2])
+    assert sorted(r["v"] for r in spark.read.parquet(path).collect()) == [2, 4]
+    tables.replace_days(df, path, [])
+    assert spark.read.parquet(path).count() == 2
+
+
+def test_staging_deletes_what_it_wrote(spark):
+    with tables.staging():
+        staged = tables.stage(spark.range(3))
+        path = staged.inputFiles()[0].rsplit("/", 1)[0].removeprefix("file:")
+        assert staged.count() == 3 and os.path.isdir(path)
+    assert not os.path.exists(path)
+
+
+def test_keeping_a_schema_refuses_narrower_types(spark, tmp_dir):
+    schema = spark.createDataFrame([], "x int, y bigint").schema
+    tables.overwrite_keeping_schema(spark.createDataFrame([(1, 2)], "y int, x int"), f"{tmp_dir}/t", schema)
+    assert spark.read.parquet(f"{tmp_dir}/t").first() == (2, 1)
+    with pytest.raises(ValueError):
+        tables.overwrite_keeping_schema(spark.createDataFrame([(1, 2)], "x bigint, y int"), f"{tmp_dir}/t", schema)
+
+
+def test_change_feed_across_a_new_column(spark):
+    old = spark.createDataFrame([(1, "a")], "k int, s string")
+    new = spark.createDataFrame([(1, "a", None), (2, "b", 1)], "k int, s string, extra int")
+    assert [(r["k"], r["_change_type"]) for r in tables.changes(old, new, ["k"]).collect()] == [(2, "insert")]
+
+
+def test_columns_of_a_stored_table(spark, tmp_dir):
+    spark.createDataFrame([(1, "a", D)], "k int, v string, date date").write.option("path", f"{tmp_dir}/v0").saveAsTable("meeple_columns_test")
+    try:
+        stored = spark.table("meeple_columns_test")
+        tables.rewrite_table(spark, "meeple_columns_test", tables.add_columns(tables.drop_columns(stored, "date"), {"event_date": "date"}), f"{tmp_dir}/v1")
+        assert spark.table("meeple_columns_test").columns == ["k", "v", "event_date"]
+        assert spark.read.parquet(f"{tmp_dir}/v0").columns == ["k", "v", "date"]
+    finally:
+        spark.sql("DROP TABLE IF EXISTS meeple_columns_test")
 
 
 def test_upsert_table_swaps_in_a_new_version(spark, tmp_dir):
@@ -207,8 +248,7 @@ def test_upsert_table_swaps_in_a_new_version(spark, tmp_dir):
     )
     try:
         src = spark.createDataFrame([(1, "A"), (3, "c")], "k int, v string")
-        new_path = tables.upsert_table(spark, "meeple_upsert_test", src, ["k"])
-        assert new_path != old_path
+        tables.upsert_table(spark, "meeple_upsert_test", src, ["k"], f"{tmp_dir}/v1")
         got = sorted(map(tuple, spark.table("meeple_upsert_test").collect()))
         assert got == [(1, "A"), (2, "b"), (3, "c")]
         assert sorted(map(tuple, spark.read.parquet(old_path).collect())) == [(1, "a"), (2, "b")]
