@@ -171,7 +171,7 @@ def token_starts(texts: list[str]) -> tuple[str, np.ndarray, np.ndarray]:
 
 # --- merging ------------------------------------------------------------------------------------
 
-_CACHE_ENTRIES = 200_000
+_CACHE_ENTRIES = 50_000
 _HEAP_FROM = 49  # longer pre-tokens are merged one by one, with a heap
 _NO_RANK = np.int32(2**31 - 1)
 

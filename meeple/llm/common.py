@@ -7,6 +7,8 @@ that are read more than once are written below the cluster's shared folder (:fun
 
 from __future__ import annotations
 
+import ctypes
+import functools
 import gc
 import tempfile
 import zipfile
@@ -15,6 +17,7 @@ from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -22,7 +25,8 @@ from pyspark.sql import functions as F
 import meeple
 from meeple.session import unique_path
 
-CHARS_PER_SLICE = 1 << 20
+_BATCH_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
+CHARS_PER_SLICE = 1 << 19
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -61,9 +65,17 @@ def unstage(*frames: DataFrame) -> None:
             target.getFileSystem(conf).delete(target, True)
 
 
+#: Rows of an Arrow batch. Spark's default of 10,000 suits narrow rows; so many whole texts, in
+#: the executor's and the worker's memory at once, may be gigabytes.
+ROWS_PER_BATCH = 500
+
+
 def ship_code(spark: SparkSession) -> None:
-    """Make this package importable in the Python workers of any cluster (once per context)."""
+    """Make this package importable in the Python workers of any cluster (once per context), and
+    Arrow batches small enough for texts where the session has Spark's default."""
     sc = spark.sparkContext
+    if spark.conf.get(_BATCH_ROWS) == "10000":
+        spark.conf.set(_BATCH_ROWS, str(ROWS_PER_BATCH))
     if getattr(sc, "_meeple_shipped", False):
         return
     root = Path(meeple.__file__).resolve().parent
@@ -75,6 +87,28 @@ def ship_code(spark: SparkSession) -> None:
     sc._meeple_shipped = True
 
 
+def lean(function):
+    """A mapInArrow function that gives freed memory back to the system when its task ends: Python
+    workers are kept for later tasks, beside the executor's own memory."""
+
+    @functools.wraps(function)
+    def run(batches):
+        try:
+            yield from function(batches)
+        finally:
+            give_back_memory()
+
+    return run
+
+
+def give_back_memory() -> None:
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (OSError, AttributeError):  # not a GNU C library
+        pass
+
+
 def slices(lengths: Iterable[int], limit: int = CHARS_PER_SLICE) -> Iterator[tuple[int, int]]:
     """Consecutive row ranges (start, end) with at most ``limit`` characters each; a longer
     text is a range of its own."""
@@ -104,13 +138,18 @@ def map_slices(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = [t or "" for t in batch.column(batch.schema.get_field_index(text)).to_pylist()]
-            for a, b in slices(map(len, texts), limit):
-                out = compute(texts[a:b], batch.slice(a, b - a))
+            column = batch.column(batch.schema.get_field_index(text))
+            for a, b in slices(text_bytes(column), limit):
+                out = compute([t or "" for t in column.slice(a, b - a).to_pylist()], batch.slice(a, b - a))
                 columns = [_as_arrow(out[n], arrow.field(n).type) for n in names]
                 yield pa.RecordBatch.from_arrays(columns, schema=arrow)
 
-    return df.mapInArrow(run, schema)
+    return df.mapInArrow(lean(run), schema)
+
+
+def text_bytes(column: pa.Array) -> list[int]:
+    """UTF-8 bytes of each text (NULL: 0)."""
+    return pc.binary_length(column).fill_null(0).to_pylist()
 
 
 def _as_arrow(values, kind: pa.DataType) -> pa.Array:
@@ -314,9 +353,9 @@ def batches_of(batches: Iterator[pa.RecordBatch], text: str, limit: int) -> Iter
         return number, texts, pa.Table.from_batches(held).combine_chunks().to_batches()[0]
 
     for batch in batches:
-        got = [t or "" for t in batch.column(batch.schema.get_field_index(text)).to_pylist()]
+        column = batch.column(batch.schema.get_field_index(text))
         rest = batch.drop_columns([text]) if batch.num_columns > 1 else batch
-        for a, b in slices(map(len, got), min(limit, CHARS_PER_SLICE)):
+        for a, b in slices(text_bytes(column), min(limit, CHARS_PER_SLICE)):
             for c in range(a, b, 1 << 15):
                 d = min(b, c + (1 << 15))
                 if texts and (size >= limit or len(texts) + d - c > 1 << 16):
@@ -324,7 +363,8 @@ def batches_of(batches: Iterator[pa.RecordBatch], text: str, limit: int) -> Iter
                     number += 1
                     held, texts, size = [], [], 0
                 held.append(rest.slice(c, d - c))
-                texts += got[c:d]
-                size += sum(map(len, got[c:d]))
+                got = [t or "" for t in column.slice(c, d - c).to_pylist()]
+                texts += got
+                size += sum(map(len, got))
     if texts:
         yield flush()

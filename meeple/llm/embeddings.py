@@ -21,7 +21,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from meeple.llm.common import connected_components, release, ship_code, stage, unstage
+from meeple.llm.common import connected_components, lean, release, ship_code, stage, unstage
 
 THRESHOLD = 0.93
 WINDOW = 32
@@ -134,7 +134,7 @@ def _edges(classes: DataFrame, passes: int, window: int, threshold: float) -> Da
 
     kind = classes.schema["embedding"].dataType.simpleString()
     keyed = classes.select("place", "cid", "embedding").mapInArrow(
-        project, f"pass int, place int, dim int, key long, cid long, embedding {kind}"
+        lean(project), f"pass int, place int, dim int, key long, cid long, embedding {kind}"
     )
     order = ["pass", "place", "dim", "key", "cid"]
     ordered = keyed.repartitionByRange(n, *order).sortWithinPartitions(*order)
@@ -163,7 +163,7 @@ def _edges(classes: DataFrame, passes: int, window: int, threshold: float) -> Da
         for a in range(0, len(lo), 10_000):
             yield _edge_rows(lo[a : a + 10_000], hi[a : a + 10_000], rows.schema.field("embedding").type)
 
-    result = stage(ordered.mapInArrow(compare, out_schema), "projection-passes")
+    result = stage(ordered.mapInArrow(lean(compare), out_schema), "projection-passes")
     release(spark)
     border = result.filter("part IS NOT NULL")
     parts = sorted(r["part"] for r in border.select("part").distinct().collect())  # one number a task

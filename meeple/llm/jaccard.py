@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from meeple.llm.common import (
-    batches_of, connected_components, mix64, release, shards, ship_code, stage, unstage, word_hashes,
+    batches_of, connected_components, give_back_memory, lean, mix64, release, shards, ship_code, stage, unstage, word_hashes,
 )
 
 WORDS = 5
@@ -141,12 +141,13 @@ def sets(docs: DataFrame, id_col: str) -> DataFrame:
             at += len(t)
             keep = c > 1
             data.append(b"".join([np.array([keep.sum()], np.int64).tobytes(), t[keep].tobytes(), c[keep].tobytes(), r[keep].tobytes()]))
+        give_back_memory()
         return pa.Table.from_arrays(
             [group.column("shard"), pa.array(numbers, pa.int64()), pa.array(data, pa.binary())], schema=row
         )
 
     # the batch limit needs the whole partition: ids first, text second
-    packed = docs.select(F.col(id_col).cast("long").alias("id"), "text").mapInArrow(split, _ROW)
+    packed = docs.select(F.col(id_col).cast("long").alias("id"), "text").mapInArrow(lean(split), _ROW)
     answers = stage(packed.groupBy("shard").applyInArrow(count, _ROW), "shingle-counts")
     release(spark)
     out = stage(answers.groupBy("batch").applyInArrow(_gather, "id long, n long, digest binary, tokens array<long>"), "sets")
@@ -181,6 +182,7 @@ def _gather(key, group):
             shared = tokens[edges[i] : edges[i + 1]]
             if first[i] and sizes[i] - len(shared) < prefix_length(int(sizes[i])):
                 kept[i] = shared.tolist()
+    give_back_memory()
     return pa.Table.from_arrays(
         [
             pa.array(ids, pa.int64(), mask=known == 0), pa.array(sizes, pa.int64()),

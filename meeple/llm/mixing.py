@@ -176,7 +176,7 @@ def apply(docs: DataFrame, mixture: list[Budget]) -> DataFrame:
     out = placed.withColumn("epoch", F.explode(F.when(times > 0, F.sequence(F.lit(0), times - 1)))).withColumn("_h", _hash(F.col("epoch")))
     out = out.withColumn("block", F.pmod("_h", "blocks").cast("int"))
     turn = (F.col("epoch") + (F.col("block") + F.col("_h") / F.lit(2.0**63)) / F.col("blocks")) / F.col("repeats")
-    return out.withColumn("turn", turn).select(*names, "epoch", "block", "turn", "weight")
+    return out.withColumn("turn", F.least(turn, F.lit(1.0))).select(*names, "epoch", "block", "turn", "weight")
 
 
 def op1_temperature_mix(docs: DataFrame) -> DataFrame:

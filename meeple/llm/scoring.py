@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from meeple.llm.common import batches_of, in_fold, mix64, release, shards, ship_code, stage, word_hashes
+from meeple.llm.common import batches_of, give_back_memory, in_fold, lean, mix64, release, shards, ship_code, stage, word_hashes
 
 FILTER_BYTES = 64 << 20
 LEAST_COUNT = 2
@@ -244,10 +244,11 @@ def _count(docs: DataFrame, n_shards: int) -> DataFrame:
         out.append((1, shard, histogram.tobytes(), int(count.sum()), int((count > 0).sum())))
         out.append((2, shard, b"".join(kept), 0, 0))
         columns = list(zip(*out))
+        give_back_memory()
         kinds = (pa.int32(), pa.int64(), pa.binary(), pa.int64(), pa.int64())
         return pa.table([pa.array(c, k) for c, k in zip(columns, kinds)], names=["kind", "batch", "data", "n", "v"])
 
-    packed = docs.select("train", "text").mapInArrow(pack, "shard int, batch long, words binary, pairs binary")
+    packed = docs.select("train", "text").mapInArrow(lean(pack), "shard int, batch long, words binary, pairs binary")
     return packed.groupBy("shard").applyInArrow(answer, "kind int, batch long, data binary, n long, v long")
 
 
@@ -338,7 +339,7 @@ def score(docs: DataFrame, train) -> DataFrame:
                 names=["batch", "place", "doc_id", "n_tokens", "score"],
             )
 
-    scored = rows.select("doc_id", "text").mapInArrow(run, f"batch long, place int, doc_id {kind}, n_tokens long, score double")
+    scored = rows.select("doc_id", "text").mapInArrow(lean(run), f"batch long, place int, doc_id {kind}, n_tokens long, score double")
     exact = answers.filter("kind = 0").select("batch", "data").groupBy("batch").applyInArrow(_sum_up, "batch long, place int, logs double, n_known long")
     space = float(math.log10(counts.tokens + counts.words + 1))
     return scored.join(exact, ["batch", "place"], "left").select(
