@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from meeple.llm import bpe, jaccard, mixing, pii, toxicity
-from meeple.llm.common import stage, table
+from meeple.llm.common import few_files, stage, table
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
@@ -37,7 +37,7 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
         groups.join(rows.select("_row", "doc_id"), "_row").groupBy("component_id")
         .agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "_row")).alias("first")).select(F.col("first._row").alias("_row"))
     )
-    return rows.join(chosen, "_row", "left_semi").select(*COLUMNS)
+    return few_files(rows.join(chosen, "_row", "left_semi").select(*COLUMNS))
 
 
 def mask_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

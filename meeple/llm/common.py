@@ -25,6 +25,7 @@ from pyspark.sql import functions as F
 import meeple
 from meeple.session import unique_path
 
+FILES_PER_CORE = 4
 _BATCH_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
 CHARS_PER_SLICE = 1 << 19
 
@@ -48,12 +49,18 @@ def stage(df: DataFrame, label: str) -> DataFrame:
     executor costs only its unfinished tasks."""
     spark = df.sparkSession
     path = unique_path(spark, "llm", label)
-    df.write.parquet(path)
+    few_files(df).write.parquet(path)
     out = spark.read.schema(df.schema).parquet(path)
     out._staged_path = path
     return out
 
 
+def few_files(df: DataFrame) -> DataFrame:
+    """``df`` in a few partitions for each core at most, to be written: a task works through several
+    partitions one after another rather than leave a tiny file of each."""
+    return df.coalesce(FILES_PER_CORE * df.sparkSession.sparkContext.defaultParallelism)
+
+
 def unstage(*frames: DataFrame) -> None:
     """Delete what :func:`stage` wrote for these frames; they can't be read afterwards."""
     for df in frames:

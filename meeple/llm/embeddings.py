@@ -21,7 +21,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from meeple.llm.common import connected_components, lean, release, ship_code, stage, unstage
+from meeple.llm.common import connected_components, few_files, lean, release, ship_code, stage, unstage
 
 THRESHOLD = 0.93
 WINDOW = 32
@@ -288,7 +288,7 @@ def near_duplicates(vectors: DataFrame, threshold: float = THRESHOLD, window: in
         rows.filter(usable()).join(named, ["label", "embedding"], "left").select("vec_id", "n_links", "component_id")
         .unionByName(rows.filter(~usable()).select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id")))
     )
-    return out.withColumn("kept", F.col("vec_id") == F.col("component_id"))
+    return few_files(out).withColumn("kept", F.col("vec_id") == F.col("component_id"))
 
 
 def op10_embeddings(vectors: DataFrame) -> DataFrame:

@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from meeple.llm.common import (
-    batches_of, connected_components, give_back_memory, lean, mix64, release, shards, ship_code, stage, unstage, word_hashes,
+    batches_of, connected_components, few_files, give_back_memory, lean, mix64, release, shards, ship_code, stage, unstage, word_hashes,
 )
 
 WORDS = 5
@@ -332,7 +332,7 @@ def components(docs: DataFrame, id_col: str = "doc_id") -> DataFrame:
     )
     unstage(entries, pivots, known, degree, near, placed, main, split, rest, links, own, named, smallest)
     release(spark)
-    return out
+    return few_files(out)
 
 
 def op8_jaccard(docs: DataFrame) -> DataFrame:

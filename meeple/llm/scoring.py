@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from meeple.llm.common import batches_of, give_back_memory, in_fold, lean, mix64, release, shards, ship_code, stage, word_hashes
+from meeple.llm.common import batches_of, few_files, give_back_memory, in_fold, lean, mix64, release, shards, ship_code, stage, word_hashes
 
 FILTER_BYTES = 64 << 20
 LEAST_COUNT = 2
@@ -342,7 +342,7 @@ def score(docs: DataFrame, train) -> DataFrame:
     scored = rows.select("doc_id", "text").mapInArrow(lean(run), f"batch long, place int, doc_id {kind}, n_tokens long, score double")
     exact = answers.filter("kind = 0").select("batch", "data").groupBy("batch").applyInArrow(_sum_up, "batch long, place int, logs double, n_known long")
     space = float(math.log10(counts.tokens + counts.words + 1))
-    return scored.join(exact, ["batch", "place"], "left").select(
+    return few_files(scored.join(exact, ["batch", "place"], "left")).select(
         "doc_id", "n_tokens", F.coalesce("n_known", F.lit(0)).alias("n_known"), F.lit(counts.tokens).cast("long").alias("train_tokens"),
         (F.coalesce("logs", F.lit(0.0)) - F.col("n_tokens") * F.lit(space)).alias("base_score"), "score",
     )
