@@ -1,7 +1,8 @@
 """Benchmark of the headline products (Q1-Q8) on one test-data folder.
 
 Environment: ``BENCH_SF_DIR`` (default /root/testdata/sf0.1), ``BENCH_CPUS`` (default 8),
-``BENCH_RUNS`` (warm runs after one cold run, default 3). Each query is run to completion
+``BENCH_RUNS`` (warm runs after one cold run, default 3), ``BENCH_SHARED_DIR`` (for staged tables;
+default a fresh temporary folder, as the run is local). Each query is run to completion
 with a no-op sink (every row computed, nothing collected). Prints one JSON line:
 per-query median of the warm runs, and their sum as the headline value. A product that
 fails is reported under ``failed`` (its time is null) and the others are still timed.
@@ -14,6 +15,7 @@ import os
 import re
 import statistics
 import sys
+import tempfile
 import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
@@ -46,6 +48,7 @@ def main() -> None:
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.shuffle.partitions", str(max(8, int(cpus) if cpus.isdigit() else 8)))
+        .config("spark.checkpoint.dir", os.environ.get("BENCH_SHARED_DIR") or tempfile.mkdtemp(prefix="meeple-bench-"))
         .config("spark.driver.memory", os.environ.get("MEEPLE_DRIVER_MEMORY", "8g"))
     )
     for key, value in CORE_CONF.items():
