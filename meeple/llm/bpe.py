@@ -436,5 +436,9 @@ def digests(docs: DataFrame, rank_path: str | None = None) -> DataFrame:
 
 
 def op9_bpe(docs: DataFrame) -> DataFrame:
-    """doc_id, n_tokens, ids_sha256, decoded_sha256 of every document."""
+    """doc_id, n_tokens, ids_sha256, decoded_sha256 of every document.
+
+    NULL and empty texts have no tokens (digests of nothing). Very long pre-tokens are merged with
+    a heap and not cached. Repeated rows give equal rows; other columns are not read; no rows give
+    no rows."""
     return digests(docs.select(F.col("doc_id"), F.col("text")))

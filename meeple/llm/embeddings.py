@@ -292,5 +292,5 @@ def near_duplicates(vectors: DataFrame, threshold: float = THRESHOLD, window: in
 
 
 def op10_embeddings(vectors: DataFrame) -> DataFrame:
-    """vec_id, n_links, component_id, kept of every vector."""
+    """vec_id, n_links, component_id, kept of every vector; odd rows as in :func:`near_duplicates`."""
     return near_duplicates(vectors)

@@ -231,5 +231,9 @@ def compare_with_next(docs: DataFrame) -> DataFrame:
 
 def op6_fingerprint(docs: DataFrame) -> DataFrame:
     """doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next of
-    every document."""
+    every document.
+
+    NULL texts are empty ones. Rows with equal ids are ordered by text, NULL ids come first; a
+    single row follows itself. Equal fingerprints, empty ones too, have likeness 1. Other columns
+    are not read; no rows give no rows."""
     return compare_with_next(docs)

@@ -336,5 +336,6 @@ def components(docs: DataFrame, id_col: str = "doc_id") -> DataFrame:
 
 
 def op8_jaccard(docs: DataFrame) -> DataFrame:
-    """doc_id, n_shingles, component_id of every document."""
+    """doc_id, n_shingles, component_id of every document; odd rows as in :func:`components`. Rows
+    with a NULL id are members of their component, and it is named by its smallest other id."""
     return components(docs)

@@ -206,7 +206,10 @@ def _labels(column):
 
 def op3_license_scan(docs: DataFrame) -> DataFrame:
     """doc_id, n_words, n_base, first_word, last_word, base_labels, labels, score, n_blocks of every
-    document. The score is the highest containment of a template in a block, 1 with a phrase."""
+    document. The score is the highest containment of a template in a block, 1 with a phrase.
+
+    NULL and empty texts: no words, nothing found, score 0. Templates that match equally well are
+    all reported. Repeated rows give equal rows; other columns are not read; no rows give none."""
     found = scan(docs)
     base, more, at = F.col("phrases.label"), F.col("matches.label"), F.col("phrases.word")
     best = F.coalesce(F.array_max("matches.containment"), F.lit(0.0))

@@ -181,6 +181,11 @@ def apply(docs: DataFrame, mixture: list[Budget]) -> DataFrame:
 
 def op1_temperature_mix(docs: DataFrame) -> DataFrame:
     """doc_id, source, n_tokens, epoch, block, turn, weight of every document drawn, once for each
-    time it is drawn."""
+    time it is drawn.
+
+    NULL and empty texts have no tokens and come along with their source; a source without any
+    token is passed once. A NULL source is a source of its own. Repeated rows are drawn together
+    (a document's place in a pass follows from its id). Other columns are not read; no rows give
+    no rows."""
     rows = docs.select("doc_id", "source", "text")
     return apply(rows.select("doc_id", "source", tokens().alias("n_tokens")), plan(rows))

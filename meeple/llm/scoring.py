@@ -349,7 +349,11 @@ def score(docs: DataFrame, train) -> DataFrame:
 
 
 def op4_lm_score(docs: DataFrame) -> DataFrame:
-    """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score of every document."""
+    """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score of every document.
+
+    NULL and empty texts have one token, the end. A NULL id is in no fold: its row is learnt from.
+    Repeated rows count as often as they occur; rows that share an id keep their own scores. Other
+    columns are not read; no rows give no rows."""
     out = score(docs, ~in_fold(7, 2))
     return out.withColumn("held_out", in_fold(7, 2)).select(
         "doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"
