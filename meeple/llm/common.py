@@ -44,12 +44,13 @@ def in_fold(modulus: int, remainder: int, col: str = "doc_id"):
     return F.coalesce(fold(modulus, col) == remainder, F.lit(False))
 
 
-def stage(df: DataFrame, label: str) -> DataFrame:
+def stage(df: DataFrame, label: str, as_is: bool = False) -> DataFrame:
     """``df`` written below the shared folder and read back: the lineage ends here, and a lost
-    executor costs only its unfinished tasks."""
+    executor costs only its unfinished tasks. ``as_is`` keeps one task for each partition, which
+    a frame needs whose functions use the number of their task."""
     spark = df.sparkSession
     path = unique_path(spark, "llm", label)
-    few_files(df).write.parquet(path)
+    (df if as_is else few_files(df)).write.parquet(path)
     out = spark.read.schema(df.schema).parquet(path)
     out._staged_path = path
     return out

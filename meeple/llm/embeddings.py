@@ -163,7 +163,7 @@ def _edges(classes: DataFrame, passes: int, window: int, threshold: float) -> Da
         for a in range(0, len(lo), 10_000):
             yield _edge_rows(lo[a : a + 10_000], hi[a : a + 10_000], rows.schema.field("embedding").type)
 
-    result = stage(ordered.mapInArrow(lean(compare), out_schema), "projection-passes")
+    result = stage(ordered.mapInArrow(lean(compare), out_schema), "projection-passes", as_is=True)
     release(spark)
     border = result.filter("part IS NOT NULL")
     parts = sorted(r["part"] for r in border.select("part").distinct().collect())  # one number a task

@@ -205,7 +205,7 @@ def compare_with_next(docs: DataFrame) -> DataFrame:
         if held is not None:
             yield batch_of(None, tail=held[:2])
 
-    done = stage(ordered.mapInArrow(lean(run), schema), "fingerprints")
+    done = stage(ordered.mapInArrow(lean(run), schema), "fingerprints", as_is=True)
     release(spark)
     parts = sorted(r["part"] for r in done.filter("part IS NOT NULL").select("part").distinct().collect())  # one number a task
     step = spark.createDataFrame(list(zip(parts, parts[1:] + parts[:1])), "part int, following int") if parts else None
