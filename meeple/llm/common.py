@@ -18,7 +18,6 @@ from pathlib import Path
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -350,9 +349,10 @@ def shards(spark: SparkSession, per_partition: int = 4) -> int:
 
 def batches_of(batches: Iterator[pa.RecordBatch], text: str, limit: int) -> Iterator[tuple[int, list[str], pa.RecordBatch]]:
     """(batch number, texts, rows): a task's rows in consecutive batches of about ``limit``
-    characters, at most 65,536 rows each. Numbers are unique over the tasks of a stage, and a
-    task that runs again makes the same batches."""
-    number = TaskContext.get().partitionId() << 32
+    characters, at most 65,536 rows each. ``batches`` have a column ``part``, the number of their
+    partition (``spark_partition_id``; a task may work through several): batch numbers are unique
+    in the frame, and a task that runs again makes the same batches."""
+    number = None
     held: list[pa.RecordBatch] = []
     texts: list[str] = []
     size = 0
@@ -361,8 +361,12 @@ def batches_of(batches: Iterator[pa.RecordBatch], text: str, limit: int) -> Iter
         return number, texts, pa.Table.from_batches(held).combine_chunks().to_batches()[0]
 
     for batch in batches:
+        if not batch.num_rows:
+            continue
+        if number is None:
+            number = batch.column(batch.schema.get_field_index("part"))[0].as_py() << 32
         column = batch.column(batch.schema.get_field_index(text))
-        rest = batch.drop_columns([text]) if batch.num_columns > 1 else batch
+        rest = batch.drop_columns([text, "part"])
         for a, b in slices(text_bytes(column), min(limit, CHARS_PER_SLICE)):
             for c in range(a, b, 1 << 15):
                 d = min(b, c + (1 << 15))

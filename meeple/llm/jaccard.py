@@ -147,7 +147,7 @@ def sets(docs: DataFrame, id_col: str) -> DataFrame:
         )
 
     # the batch limit needs the whole partition: ids first, text second
-    packed = docs.select(F.col(id_col).cast("long").alias("id"), "text").mapInArrow(lean(split), _ROW)
+    packed = docs.select(F.spark_partition_id().alias("part"), F.col(id_col).cast("long").alias("id"), "text").mapInArrow(lean(split), _ROW)
     answers = stage(packed.groupBy("shard").applyInArrow(count, _ROW), "shingle-counts")
     release(spark)
     out = stage(answers.groupBy("batch").applyInArrow(_gather, "id long, n long, digest binary, tokens array<long>"), "sets")

@@ -248,7 +248,7 @@ def _count(docs: DataFrame, n_shards: int) -> DataFrame:
         kinds = (pa.int32(), pa.int64(), pa.binary(), pa.int64(), pa.int64())
         return pa.table([pa.array(c, k) for c, k in zip(columns, kinds)], names=["kind", "batch", "data", "n", "v"])
 
-    packed = docs.select("train", "text").mapInArrow(lean(pack), "shard int, batch long, words binary, pairs binary")
+    packed = docs.select(F.spark_partition_id().alias("part"), "train", "text").mapInArrow(lean(pack), "shard int, batch long, words binary, pairs binary")
     return packed.groupBy("shard").applyInArrow(answer, "kind int, batch long, data binary, n long, v long")
 
 
@@ -339,7 +339,7 @@ def score(docs: DataFrame, train) -> DataFrame:
                 names=["batch", "place", "doc_id", "n_tokens", "score"],
             )
 
-    scored = rows.select("doc_id", "text").mapInArrow(lean(run), f"batch long, place int, doc_id {kind}, n_tokens long, score double")
+    scored = rows.select(F.spark_partition_id().alias("part"), "doc_id", "text").mapInArrow(lean(run), f"batch long, place int, doc_id {kind}, n_tokens long, score double")
     exact = answers.filter("kind = 0").select("batch", "data").groupBy("batch").applyInArrow(_sum_up, "batch long, place int, logs double, n_known long")
     space = float(math.log10(counts.tokens + counts.words + 1))
     return few_files(scored.join(exact, ["batch", "place"], "left")).select(
