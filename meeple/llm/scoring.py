@@ -1,13 +1,14 @@
 """Language-model scores from a log-frequency Bloom filter (operator 4).
 
 All training texts are counted, by hash shards in one shuffle: words exactly, and pairs of
-neighbouring words. A count c is kept as its logarithm, level 1 + floor(log2(c / least)); the
-filter holds every kept n-gram once for each level up to its own. It has ``FILTER_BYTES`` at
-most and is broadcast. A count is read back by probing levels 1, 2, ... until one is absent;
-probabilities interpolate the pair's and the word's counts.
+neighbouring words. A count c is kept as its logarithm, level floor(log2(c)); the filter holds
+every n-gram seen in training, once for each level from 0 up to its own. A count is read back by
+probing levels 0, 1, ... until one is absent; probabilities interpolate the pair's and the word's
+counts.
 
-N-grams seen once are not kept, at any size. If the filter's bound is reached, the least count
-doubles until what is kept fills half of its bits; :class:`CountFilter` says which it is.
+The filter grows with what was seen: each shard has a region of bits that its n-grams fill to one
+half. It is broadcast; one of more than ``SEGMENT_BYTES`` in several broadcasts one after another,
+each of the regions of some shards, and the levels found in each are put together for every text.
 
 The same shuffle gives the exact add-one unigram score: a shard knows the counts of its words
 and answers each batch of texts with their partial sums.
@@ -25,8 +26,8 @@ from pyspark.sql import functions as F
 
 from meeple.llm.common import batches_of, few_files, give_back_memory, in_fold, lean, mix64, release, shards, ship_code, stage, word_hashes
 
-FILTER_BYTES = 64 << 20
-LEAST_COUNT = 2
+#: Bytes of one broadcast of the filter (a shard's region is never divided).
+SEGMENT_BYTES = 64 << 20
 #: Probes of an n-gram's first level and of every further one.
 FIRST_PROBES, MORE_PROBES = 6, 2
 #: Weight of the pair's relative frequency where the first word is known.
@@ -139,60 +140,90 @@ def _unpack_pairs(data: bytes) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _levels(counts: np.ndarray) -> np.ndarray:
-    return np.floor(np.log2(np.maximum(counts, 1) / LEAST_COUNT)).astype(np.int64) + 1
+    return np.floor(np.log2(np.maximum(counts, 1))).astype(np.int64)
 
 
 @dataclass
 class CountFilter:
-    """The broadcast filter: n-gram -> quantised training count."""
+    """The broadcast filter, or some shards' part of it: n-gram -> quantised training count."""
 
-    bits: np.ndarray  # uint8, one region of ``region`` bits for each shard
-    region: int
+    bits: np.ndarray  # uint8, the shards' regions one after another
+    region: int | np.ndarray  # bits of each shard's region, 0 for a shard that is not here
     n_shards: int
     least: int  # smallest count that is kept
     tokens: int  # N
     words: int  # V
     texts: int
 
-    def counts(self, grams: np.ndarray, kind: int) -> np.ndarray:
-        """Estimated counts, 0 where the first level is absent."""
+    def marks(self, grams: np.ndarray, kind: int) -> np.ndarray:
+        """1 + the highest level found for each n-gram, 0 where the first one is absent."""
         unique, at = np.unique(grams, return_inverse=True)
-        level = np.zeros(len(unique), dtype=np.int64)
-        alive = np.arange(len(unique))
+        mark = np.zeros(len(unique), dtype=np.uint8)
         shard, key = _shard(unique, self.n_shards), unique & _LOW
-        j = 1
-        while len(alive) and self.region and j < 64:
-            probes = FIRST_PROBES if j == 1 else MORE_PROBES
-            for i in range(probes):
-                where = _places(shard[alive], key[alive], kind, j, i, self.region)
+        region = np.broadcast_to(np.asarray(self.region, dtype=np.int64), self.n_shards)
+        start = np.cumsum(region) - region
+        alive = np.flatnonzero(region[shard] > 0)
+        first = j = int(math.log2(self.least))
+        while len(alive) and j < 64:
+            for i in range(FIRST_PROBES if j == first else MORE_PROBES):
+                own = shard[alive]
+                where = start[own] + _places(0, key[alive], kind, j, i, region[own])
                 alive = alive[(self.bits[where >> 3] >> (where & 7).astype(np.uint8)) & 1 > 0]
-            level[alive] = j
+            mark[alive] = j + 1
             j += 1
-        low = self.least * 2.0 ** (level - 1)
-        return np.where(level > 0, low * 1.4142135623730951, 0.0)[at]
+        return mark[at]
+
+    def counts(self, grams: np.ndarray, kind: int) -> np.ndarray:
+        """Estimated counts, 0 where the first level is absent."""
+        return _estimate(self.marks(grams, kind))
 
     def score(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """(number of tokens, log10 probability) of every text."""
         token, offsets = tokens(texts)
-        own = self.counts(token, _WORD)
+        return np.diff(offsets), self.likelihood(self.marks(token, _WORD), self.marks(pairs(token, offsets), _PAIR), offsets)
+
+    def likelihood(self, word_marks: np.ndarray, pair_marks: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+        """log10 probability of every text from the marks of its words and pairs."""
+        own = _estimate(word_marks)
         before = np.empty_like(own)
         before[1:] = own[:-1]
         before[offsets[:-1]] = self.texts
-        pair = np.minimum(self.counts(pairs(token, offsets), _PAIR), np.maximum(own, self.least))
+        pair = np.minimum(_estimate(pair_marks), np.maximum(own, self.least))
         alone = (own + 1) / (self.tokens + self.words + 1)
         ratio = np.where(before > 0, np.minimum(pair / np.maximum(before, 1), 1.0), 0.0)
         weight = np.where(before > 0, PAIR_WEIGHT, 0.0)
         p = np.minimum(weight * ratio + (1 - weight) * alone, 1.0)
-        return np.diff(offsets), np.add.reduceat(np.log10(p), offsets[:-1])
+        return np.add.reduceat(np.log10(p), offsets[:-1])
+
+
+def _estimate(marks: np.ndarray) -> np.ndarray:
+    """Counts that stand for the marks: the middle of a level on the log scale; level 0 is 1."""
+    middle = 2.0 ** (marks.astype(np.float64) - 0.5)
+    return np.where(marks > 1, middle, (marks > 0).astype(np.float64))
 
 
 def _places(shard, key, kind: int, level: int, probe: int, region: int) -> np.ndarray:
     salt = np.uint64((kind * 64 + level) * 64 + probe) * np.uint64(0xA0761D6478BD642F)
-    return shard * region + (mix64(key ^ salt) % np.uint64(region)).astype(np.int64)
+    return shard * region + (mix64(key ^ salt) % np.asarray(region, dtype=np.uint64)).astype(np.int64)
+
+
+def _region(grams: list[tuple[int, np.ndarray, np.ndarray]]) -> bytes:
+    """A shard's region for (kind, keys, counts): bits that these fill to one half."""
+    levels = [_levels(counts) for _, _, counts in grams]
+    probes = sum(FIRST_PROBES * len(level) + MORE_PROBES * int(level.sum()) for level in levels)
+    region = (math.ceil(probes / math.log(2)) + 7) // 8 * 8
+    bits = np.zeros(region, dtype=np.uint8)
+    for (kind, key, _), level in zip(grams, levels):
+        for j in range(int(level.max(initial=-1)) + 1):
+            own = key[level >= j]
+            for i in range(FIRST_PROBES if j == 0 else MORE_PROBES):
+                bits[_places(0, own, kind, j, i, region)] = 1
+    return np.packbits(bits, bitorder="little").tobytes()
 
 
 def _count(docs: DataFrame, n_shards: int) -> DataFrame:
-    """One shuffle of packed words and pairs; rows of three kinds come back (see ``answer``)."""
+    """One shuffle of packed words and pairs; rows of two kinds come back (see ``answer``):
+    partial sums of a batch's texts, and the shard's region of the filter."""
 
     def pack(batches):
         for number, texts, rows in batches_of(batches, "text", _BATCH_CHARS):
@@ -234,15 +265,9 @@ def _count(docs: DataFrame, n_shards: int) -> DataFrame:
         pair, at = np.unique(grams, return_inverse=True)
         n = np.concatenate([p[1] for p in pair_parts]) if pair_parts else np.zeros(0, np.uint8)
         pair_count = np.bincount(at, weights=n, minlength=len(pair)).astype(np.int64)
-        histogram = np.zeros(64, dtype=np.int64)
-        kept = []
-        for kind, g, c in ((_WORD, unique & _LOW, count), (_PAIR, pair, pair_count)):
-            keep = c >= LEAST_COUNT
-            level = _levels(c[keep])
-            histogram += np.bincount(level, minlength=64)[:64]
-            kept.append(np.array([keep.sum()], np.int64).tobytes() + g[keep].tobytes() + level.astype(np.uint8).tobytes())
-        out.append((1, shard, histogram.tobytes(), int(count.sum()), int((count > 0).sum())))
-        out.append((2, shard, b"".join(kept), 0, 0))
+        seen_words = count > 0
+        bits = _region([(_WORD, unique[seen_words] & _LOW, count[seen_words]), (_PAIR, pair, pair_count)])
+        out.append((1, shard, bits, int(count.sum()), int(seen_words.sum())))
         columns = list(zip(*out))
         give_back_memory()
         kinds = (pa.int32(), pa.int64(), pa.binary(), pa.int64(), pa.int64())
@@ -252,47 +277,79 @@ def _count(docs: DataFrame, n_shards: int) -> DataFrame:
     return packed.groupBy("shard").applyInArrow(answer, "kind int, batch long, data binary, n long, v long")
 
 
-def _build(answers: DataFrame, n_shards: int, texts: int) -> CountFilter:
-    """Choose the least count from the levels' histogram, set each shard's region of bits in a
-    task of its own, and put the regions together."""
-    spark = answers.sparkSession
-    rows = answers.filter("kind = 1").select("data", "n", "v").collect()  # one small row a shard
-    histogram = sum((np.frombuffer(bytes(r["data"]), np.int64) for r in rows), np.zeros(64, np.int64))
-    room = FILTER_BYTES * 8 * math.log(2)
-    cut = 1
-    while True:
-        above = histogram[cut:]
-        probes = int((above * (FIRST_PROBES + MORE_PROBES * np.arange(len(above)))).sum())
-        if probes <= room or cut >= 63:
-            break
-        cut += 1
-    region = (math.ceil(probes / math.log(2) / max(n_shards, 1)) + 7) // 8 * 8
-
-    def fill(batches):
-        for batch in batches:
-            for shard, data in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                bits, at = np.zeros(region, dtype=np.uint8), 0
-                for kind in (_WORD, _PAIR):
-                    n = int(np.frombuffer(data, np.int64, 1, at)[0])
-                    key = np.frombuffer(data, np.uint64, n, at + 8)
-                    level = np.frombuffer(data, np.uint8, n, at + 8 + 8 * n).astype(np.int64) - (cut - 1)
-                    at += 8 + 9 * n
-                    for j in range(1, int(level.max(initial=0)) + 1):
-                        own = key[level >= j]
-                        for i in range(FIRST_PROBES if j == 1 else MORE_PROBES):
-                            bits[_places(np.zeros(len(own), np.int64), own, kind, j, i, region)] = 1
-                yield pa.RecordBatch.from_pydict({
-                    "shard": pa.array([shard], pa.int64()), "bits": pa.array([np.packbits(bits, bitorder="little").tobytes()], pa.binary()),
-                })
-
-    bits = np.zeros(n_shards * region // 8, dtype=np.uint8)
-    if region:
-        # at most FILTER_BYTES in all
-        for r in answers.filter("kind = 2").select("batch", "data").mapInArrow(fill, "shard long, bits binary").collect():
-            a = r["shard"] * region // 8
-            bits[a : a + region // 8] = np.frombuffer(bytes(r["bits"]), np.uint8)
-    release(spark)
-    return CountFilter(bits, region, n_shards, LEAST_COUNT << (cut - 1), sum(r["n"] for r in rows), sum(r["v"] for r in rows), texts)
+def _segments(answers: DataFrame, n_shards: int, texts: int):
+    """The filter in parts of whole shards, of ``SEGMENT_BYTES`` at most (or one shard): a list with
+    the first and last shard of each, and a function that fetches the part."""
+    regions = answers.filter("kind = 1")
+    rows = regions.select("batch", F.octet_length("data").alias("size"), "n", "v").collect()  # one small row a shard
+    size = np.zeros(n_shards, dtype=np.int64)
+    for r in rows:
+        size[r["batch"]] = r["size"]
+    n_tokens, n_words = sum(r["n"] for r in rows), sum(r["v"] for r in rows)
+    bounds, held = [0], 0
+    for s in range(n_shards):
+        if held and held + size[s] > SEGMENT_BYTES:
+            bounds.append(s)
+            held = 0
+        held += int(size[s])
+    bounds.append(n_shards)
+
+    def fetch(a: int, b: int) -> CountFilter:
+        own = np.zeros(n_shards, dtype=np.int64)
+        own[a:b] = size[a:b]
+        start = np.cumsum(own) - own
+        bits = np.zeros(int(own.sum()), dtype=np.uint8)
+        # at most SEGMENT_BYTES in all
+        for r in regions.filter(F.col("batch").between(a, b - 1)).select("batch", "data").collect():
+            bits[start[r["batch"]] : start[r["batch"]] + own[r["batch"]]] = np.frombuffer(bytes(r["data"]), np.uint8)
+        return CountFilter(bits, own * 8, n_shards, 1, n_tokens, n_words, texts)
+
+    return list(zip(bounds, bounds[1:])), fetch
+
+
+def _score_in_parts(numbered: DataFrame, parts: list[tuple[int, int]], fetch, kind: str) -> DataFrame:
+    """Scores with a filter too large for one broadcast: a pass over the texts for each part keeps
+    the marks found in it; an n-gram is in one part only, so marks of all parts are added."""
+    spark = numbered.sparkSession
+    passes = []
+    for k, part in enumerate(parts):
+        counts = fetch(*part)
+        sent = spark.sparkContext.broadcast(counts)
+
+        def probe(batches, sent=sent):
+            for number, texts, rows in batches_of(batches, "text", _BATCH_CHARS):
+                words, spans = [], []
+                for a in range(0, len(texts), 256):
+                    token, offsets = tokens(texts[a : a + 256])
+                    for out, grams, which in ((words, token, _WORD), (spans, pairs(token, offsets), _PAIR)):
+                        mark = sent.value.marks(grams, which)
+                        out += [mark[x:y].tobytes() for x, y in zip(offsets[:-1], offsets[1:])]
+                size = len(texts)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.full(size, number)), pa.array(np.arange(size, dtype=np.int32)), rows.column(0), pa.array(words, pa.binary()), pa.array(spans, pa.binary())],
+                    names=["batch", "place", "doc_id", "words", "pairs"],
+                )
+
+        found = stage(numbered.mapInArrow(lean(probe), f"batch long, place int, doc_id {kind}, words binary, pairs binary"), "filter-marks")
+        passes.append(found.withColumn("pass", F.lit(k)))
+        sent.unpersist()
+    small = spark.sparkContext.broadcast(CountFilter(np.zeros(0, np.uint8), 0, 1, 1, counts.tokens, counts.words, counts.texts))
+    union, n_passes = passes[0], len(passes)
+    for found in passes[1:]:
+        union = union.unionByName(found)
+
+    def put_together(key, group):
+        group = group.sort_by([("pass", "ascending"), ("place", "ascending")])
+        marks = []
+        for name in ("words", "pairs"):
+            flat = np.frombuffer(b"".join(group.column(name).to_pylist()), np.uint8)
+            marks.append(flat.reshape(n_passes, -1).sum(axis=0, dtype=np.int64))
+        one = group.slice(0, group.num_rows // n_passes)
+        n = np.array([len(w) for w in one.column("words").to_pylist()], dtype=np.int64)
+        logs = small.value.likelihood(*marks, np.concatenate([[0], np.cumsum(n)]))
+        return pa.table([one.column("batch"), one.column("place"), one.column("doc_id"), pa.array(n), pa.array(logs)], names=["batch", "place", "doc_id", "n_tokens", "score"])
+
+    return union.groupBy("batch").applyInArrow(put_together, f"batch long, place int, doc_id {kind}, n_tokens long, score double")
 
 
 def _sum_up(key, group):
@@ -322,24 +379,30 @@ def score(docs: DataFrame, train) -> DataFrame:
     answers = stage(_count(rows, n_shards), "ngram-counts")
     release(spark)
     texts = rows.filter("train").count()
-    counts = _build(answers, n_shards, texts)
-    sent = spark.sparkContext.broadcast(counts)
+    parts, fetch = _segments(answers, n_shards, texts)
+    counts = fetch(*parts[0])
+    release(spark)
     kind = rows.schema["doc_id"].dataType.simpleString()
-
-    def run(batches):
-        for number, texts, part in batches_of(batches, "text", _BATCH_CHARS):
-            n, logs = [], []
-            for a in range(0, len(texts), 256):
-                some_n, some = sent.value.score(texts[a : a + 256])
-                n.append(some_n)
-                logs.append(some)
-            size = len(texts)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(np.full(size, number)), pa.array(np.arange(size, dtype=np.int32)), part.column(0), pa.array(np.concatenate(n)), pa.array(np.concatenate(logs))],
-                names=["batch", "place", "doc_id", "n_tokens", "score"],
-            )
-
-    scored = rows.select(F.spark_partition_id().alias("part"), "doc_id", "text").mapInArrow(lean(run), f"batch long, place int, doc_id {kind}, n_tokens long, score double")
+    numbered = rows.select(F.spark_partition_id().alias("part"), "doc_id", "text")
+    if len(parts) == 1:
+        sent = spark.sparkContext.broadcast(counts)
+
+        def run(batches):
+            for number, texts, part in batches_of(batches, "text", _BATCH_CHARS):
+                n, logs = [], []
+                for a in range(0, len(texts), 256):
+                    some_n, some = sent.value.score(texts[a : a + 256])
+                    n.append(some_n)
+                    logs.append(some)
+                size = len(texts)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.full(size, number)), pa.array(np.arange(size, dtype=np.int32)), part.column(0), pa.array(np.concatenate(n)), pa.array(np.concatenate(logs))],
+                    names=["batch", "place", "doc_id", "n_tokens", "score"],
+                )
+
+        scored = numbered.mapInArrow(lean(run), f"batch long, place int, doc_id {kind}, n_tokens long, score double")
+    else:
+        scored = _score_in_parts(numbered, parts, fetch, kind)
     exact = answers.filter("kind = 0").select("batch", "data").groupBy("batch").applyInArrow(_sum_up, "batch long, place int, logs double, n_known long")
     space = float(math.log10(counts.tokens + counts.words + 1))
     return few_files(scored.join(exact, ["batch", "place"], "left")).select(

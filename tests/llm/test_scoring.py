@@ -72,3 +72,21 @@ def test_known_texts_are_likelier(docs):
     rows = [(i, text) for i in range(60)] + [(100, "zeta alpha epsilon beta delta gamma")]
     got = {r["doc_id"]: r["score"] for r in scoring.score(docs(rows), scoring.F.col("doc_id") < 100).collect()}
     assert got[3] > got[100]
+
+
+def test_every_seen_ngram_is_kept_at_any_size(docs, monkeypatch):
+    """A word seen once counts once, and a filter in many broadcasts scores as one in a single one."""
+    rng = random.Random(2)
+    rows = [(i, " ".join("v%d" % rng.randrange(4000) for _ in range(60))) for i in range(200)]
+    rows += [(1000, "once seen"), (1001, None), (1002, "once"), (1003, "never")]
+    train = scoring.F.col("doc_id") < 1001
+    whole = {r["doc_id"]: r for r in scoring.score(docs(rows), train).collect()}
+    assert whole[1002]["n_known"] == 2 and whole[1003]["n_known"] == 1  # the end is known
+    assert whole[1002]["score"] > whole[1003]["score"] + 0.2
+    monkeypatch.setattr(scoring, "SEGMENT_BYTES", 3000)
+    parts = {r["doc_id"]: r for r in scoring.score(docs(rows), train).collect()}
+    assert set(parts) == set(whole)
+    for i, r in whole.items():
+        assert (parts[i]["n_tokens"], parts[i]["n_known"]) == (r["n_tokens"], r["n_known"])
+        assert abs(parts[i]["score"] - r["score"]) < 1e-9
+    assert len(whole) == len(rows)
