@@ -29,9 +29,9 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     """The first document (smallest doc_id, then place in the table) of each group linked by
     5-word shingles at Jaccard 0.75 or more (operator 8). Texts without a word are no duplicates.
 
-    Rows are told apart by their place in the table, so that a repeated doc_id is no obstacle;
-    the table is a written one, whose scan numbers its rows alike each time."""
-    rows = docs.select(*COLUMNS).withColumn("_row", F.monotonically_increasing_id())
+    Rows are told apart by a number, so that a repeated doc_id is no obstacle; it is written with
+    them once, since a later scan may be split otherwise and number them anew."""
+    rows = stage(docs.select(*COLUMNS).withColumn("_row", F.monotonically_increasing_id()), "numbered-rows")
     groups = jaccard.components(rows.select("_row", "text"), "_row")
     chosen = (
         groups.join(rows.select("_row", "doc_id"), "_row").groupBy("component_id")

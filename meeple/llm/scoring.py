@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from meeple.llm.common import batches_of, few_files, give_back_memory, in_fold, lean, mix64, release, shards, ship_code, stage, word_hashes
+from meeple.llm.common import CHARS_PER_SLICE, few_files, give_back_memory, in_fold, lean, mix64, release, shards, ship_code, slices, stage, text_bytes, word_hashes
 
 #: Bytes of one broadcast of the filter (a shard's region is never divided).
 SEGMENT_BYTES = 64 << 20
@@ -38,6 +38,8 @@ _W1, _W2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
 _LOW = np.uint64((1 << 40) - 1)
 _WORD, _PAIR = 1, 2
 _BATCH_CHARS = 8 << 20
+#: Rows of a batch: its number is the stored row number without the lowest bits, which are the place.
+_BATCH_BITS = 14
 
 
 def tokens(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
@@ -221,18 +223,52 @@ def _region(grams: list[tuple[int, np.ndarray, np.ndarray]]) -> bytes:
     return np.packbits(bits, bitorder="little").tobytes()
 
 
+def _batches(batches):
+    """(batch number, places, texts, rows) of consecutive rows of one batch, about ``_BATCH_CHARS``
+    characters at most; a batch may come in several pieces, also in several tasks. ``batches`` have
+    the columns ``row``, the stored number, and ``text``."""
+    number, held, places, texts, size = None, [], [], [], 0
+
+    def flush():
+        return number, np.concatenate(places), texts, pa.Table.from_batches(held).combine_chunks().to_batches()[0]
+
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        row = batch.column("row").to_numpy()
+        column = batch.column("text")
+        rest = batch.drop_columns(["row", "text"])
+        own = row >> _BATCH_BITS
+        edges = [0, *(np.flatnonzero(np.diff(own)) + 1).tolist(), len(row)]
+        for x, y in zip(edges, edges[1:]):
+            for a, b in slices(text_bytes(column.slice(x, y - x)), CHARS_PER_SLICE):
+                a, b = x + a, x + b
+                if texts and (size >= _BATCH_CHARS or number != own[a]):
+                    yield flush()
+                    held, places, texts, size = [], [], [], 0
+                number = int(own[a])
+                held.append(rest.slice(a, b - a))
+                places.append(row[a:b] & ((1 << _BATCH_BITS) - 1))
+                got = [t or "" for t in column.slice(a, b - a).to_pylist()]
+                texts += got
+                size += sum(map(len, got))
+    if texts:
+        yield flush()
+
+
 def _count(docs: DataFrame, n_shards: int) -> DataFrame:
     """One shuffle of packed words and pairs; rows of two kinds come back (see ``answer``):
     partial sums of a batch's texts, and the shard's region of the filter."""
 
     def pack(batches):
-        for number, texts, rows in batches_of(batches, "text", _BATCH_CHARS):
-            train = np.array(rows.column(0).fill_null(False).to_pylist(), dtype=np.int64)
+        for number, place, texts, rows in _batches(batches):
+            train = np.zeros(1 << _BATCH_BITS, dtype=np.int64)
+            train[place] = rows.column("train").fill_null(False).to_pylist()
             words, spans, doc = [], [], []
             for a in range(0, len(texts), 256):
                 token, offsets = tokens(texts[a : a + 256])
                 words.append(token)
-                doc.append(a + np.repeat(np.arange(len(offsets) - 1), np.diff(offsets)))
+                doc.append(np.repeat(place[a : a + 256], np.diff(offsets)))
                 spans.append(pairs(token, offsets))
             token, doc, pair = np.concatenate(words), np.concatenate(doc), np.concatenate(spans)
             by_word = _pack_words(token, doc, train, n_shards)
@@ -273,7 +309,7 @@ def _count(docs: DataFrame, n_shards: int) -> DataFrame:
         kinds = (pa.int32(), pa.int64(), pa.binary(), pa.int64(), pa.int64())
         return pa.table([pa.array(c, k) for c, k in zip(columns, kinds)], names=["kind", "batch", "data", "n", "v"])
 
-    packed = docs.select(F.spark_partition_id().alias("part"), "train", "text").mapInArrow(lean(pack), "shard int, batch long, words binary, pairs binary")
+    packed = docs.select("row", "train", "text").mapInArrow(lean(pack), "shard int, batch long, words binary, pairs binary")
     return packed.groupBy("shard").applyInArrow(answer, "kind int, batch long, data binary, n long, v long")
 
 
@@ -317,16 +353,15 @@ def _score_in_parts(numbered: DataFrame, parts: list[tuple[int, int]], fetch, ki
         sent = spark.sparkContext.broadcast(counts)
 
         def probe(batches, sent=sent):
-            for number, texts, rows in batches_of(batches, "text", _BATCH_CHARS):
+            for number, place, texts, rows in _batches(batches):
                 words, spans = [], []
                 for a in range(0, len(texts), 256):
                     token, offsets = tokens(texts[a : a + 256])
                     for out, grams, which in ((words, token, _WORD), (spans, pairs(token, offsets), _PAIR)):
                         mark = sent.value.marks(grams, which)
                         out += [mark[x:y].tobytes() for x, y in zip(offsets[:-1], offsets[1:])]
-                size = len(texts)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.full(size, number)), pa.array(np.arange(size, dtype=np.int32)), rows.column(0), pa.array(words, pa.binary()), pa.array(spans, pa.binary())],
+                    [pa.array(np.full(len(texts), number)), pa.array(place.astype(np.int32)), rows.column(0), pa.array(words, pa.binary()), pa.array(spans, pa.binary())],
                     names=["batch", "place", "doc_id", "words", "pairs"],
                 )
 
@@ -371,11 +406,12 @@ def score(docs: DataFrame, train) -> DataFrame:
     boolean column expression) says which rows are learnt from. NULL texts: as empty ones, which
     have one token, the end.
 
-    ``docs`` is read twice, in the same batches: it must be a table or a file scan."""
+    ``docs`` is read once. Its rows are numbered as they are written to the shared folder, and all
+    passes use the written numbers: how a later scan is split does not matter."""
     spark = docs.sparkSession
     ship_code(spark)
     n_shards = shards(spark, 1)
-    rows = docs.select("doc_id", F.coalesce(train, F.lit(False)).alias("train"), "text")
+    rows = stage(docs.select(F.monotonically_increasing_id().alias("row"), "doc_id", F.coalesce(train, F.lit(False)).alias("train"), "text"), "numbered-texts")
     answers = stage(_count(rows, n_shards), "ngram-counts")
     release(spark)
     texts = rows.filter("train").count()
@@ -383,20 +419,19 @@ def score(docs: DataFrame, train) -> DataFrame:
     counts = fetch(*parts[0])
     release(spark)
     kind = rows.schema["doc_id"].dataType.simpleString()
-    numbered = rows.select(F.spark_partition_id().alias("part"), "doc_id", "text")
+    numbered = rows.select("row", "doc_id", "text")
     if len(parts) == 1:
         sent = spark.sparkContext.broadcast(counts)
 
         def run(batches):
-            for number, texts, part in batches_of(batches, "text", _BATCH_CHARS):
+            for number, place, texts, part in _batches(batches):
                 n, logs = [], []
                 for a in range(0, len(texts), 256):
                     some_n, some = sent.value.score(texts[a : a + 256])
                     n.append(some_n)
                     logs.append(some)
-                size = len(texts)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.full(size, number)), pa.array(np.arange(size, dtype=np.int32)), part.column(0), pa.array(np.concatenate(n)), pa.array(np.concatenate(logs))],
+                    [pa.array(np.full(len(texts), number)), pa.array(place.astype(np.int32)), part.column(0), pa.array(np.concatenate(n)), pa.array(np.concatenate(logs))],
                     names=["batch", "place", "doc_id", "n_tokens", "score"],
                 )
 

@@ -45,6 +45,28 @@ def test_stages(spark, tmp_dir):
         assert r["decoded_sha256"] == hashlib.sha256((masked[r["doc_id"]]["text"] or "").encode()).hexdigest()
 
 
+def test_near_duplicates_are_dropped_when_a_later_scan_is_split_otherwise(spark, tmp_dir, monkeypatch):
+    rng = random.Random(4)
+    words = ["w%d" % i for i in range(300)]
+    texts = [" ".join(rng.choice(words) for _ in range(30)) for _ in range(200)]
+    rows = [(i, texts[i % 200], "en", "s", 1) for i in range(400)]
+    spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long").repartition(16).write.parquet(f"{tmp_dir}/texts")
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    components = corpus_pipeline.jaccard.components
+
+    def then_split(*args):
+        out = components(*args)
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "3000")  # as cores come or go
+        return out
+
+    monkeypatch.setattr(corpus_pipeline.jaccard, "components", then_split)
+    try:
+        got = corpus_pipeline.drop_near_duplicates(spark, spark.read.parquet(f"{tmp_dir}/texts"), tmp_dir).collect()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    assert sorted(r["doc_id"] for r in got) == list(range(200))
+
+
 def test_registered():
     import __spark_entry__
 

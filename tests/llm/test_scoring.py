@@ -90,3 +90,27 @@ def test_every_seen_ngram_is_kept_at_any_size(docs, monkeypatch):
         assert (parts[i]["n_tokens"], parts[i]["n_known"]) == (r["n_tokens"], r["n_known"])
         assert abs(parts[i]["score"] - r["score"]) < 1e-9
     assert len(whole) == len(rows)
+
+
+def test_rows_keep_their_scores_when_a_later_scan_is_split_otherwise(spark, docs, tmp_dir, monkeypatch):
+    rows = [(i, "w%d " % (i % 50) * (1 + i % 7)) for i in range(400)]
+    docs(rows).repartition(16).write.parquet(f"{tmp_dir}/texts")
+    table = spark.read.parquet(f"{tmp_dir}/texts")
+    train = scoring.F.col("doc_id") < 300
+    whole = {r["doc_id"]: r for r in scoring.score(table, train).collect()}
+    count = scoring._count
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+
+    def then_split(*args):
+        out = scoring.stage(count(*args), "counted")
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "3000")  # as cores come or go
+        return out
+
+    monkeypatch.setattr(scoring, "_count", then_split)
+    try:
+        got = {r["doc_id"]: r for r in scoring.score(table, train).collect()}
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    assert got.keys() == whole.keys() and len(whole) == len(rows)
+    for i, r in whole.items():
+        assert got[i]["n_known"] == r["n_known"] == r["n_tokens"] and abs(got[i]["base_score"] - r["base_score"]) < 1e-9
