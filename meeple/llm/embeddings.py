@@ -4,7 +4,7 @@ Equal vectors form one class first. In every pass a vector's key is a sequence o
 hyperplane signs; the classes of a label are ordered by it and each is compared, by cosine in
 double precision, with the next ``WINDOW`` ones. Passes are independent, so they are one job:
 a range shuffle over (pass, label, key), with the rows at partition edges compared in a second,
-small step. Links of all passes are united, and the links within a component are then counted
+small step (over as many short partitions as a window reaches). Links of all passes are united, and the links within a component are then counted
 by blocked matrix products, so that a group larger than the window is counted whole.
 
 The number of passes follows the size of the largest label (:func:`passes_for`): two vectors at
@@ -166,16 +166,18 @@ def _edges(classes: DataFrame, passes: int, window: int, threshold: float) -> Da
     result = stage(ordered.mapInArrow(lean(compare), out_schema), "projection-passes", as_is=True)
     release(spark)
     border = result.filter("part IS NOT NULL")
-    parts = sorted(r["part"] for r in border.select("part").distinct().collect())  # one number a task
-    before = dict(zip(parts[1:], parts))
-    sent = spark.sparkContext.broadcast(before)
+    heads = border.filter("head").groupBy("part").count().collect()  # one number a task
+    sent = spark.sparkContext.broadcast(_reaches({r["part"]: r["count"] for r in heads}, window))
 
     def reborder(batches):
         for batch in batches:
-            part = np.array(batch.column("part"))
-            head = np.array(batch.column("head"))
-            at = pa.array([sent.value.get(p, -1) if h else p for p, h in zip(part.tolist(), head.tolist())], pa.int32())
-            yield batch.set_column(0, "part", at)
+            part, head, pos = (np.array(batch.column(c)) for c in ("part", "head", "pos"))
+            to = [sent.value[p][1] if h else [p] for p, h in zip(part.tolist(), head.tolist())]
+            rows = np.repeat(np.arange(len(to)), [len(t) for t in to])
+            place = np.where(head, [sent.value[p][0] for p in part.tolist()] + pos, pos)
+            batch = batch.take(pa.array(rows))
+            batch = batch.set_column(0, "part", pa.array([p for t in to for p in t], pa.int32()))
+            yield batch.set_column(2, "pos", pa.array(place[rows], pa.int32()))
 
     def across(key, group):
         table = group.sort_by([("head", "ascending"), ("pos", "ascending")])
@@ -186,10 +188,27 @@ def _edges(classes: DataFrame, passes: int, window: int, threshold: float) -> Da
         lo, hi = united.edges()
         return pa.table({"a": pa.array(lo, pa.int64()), "b": pa.array(hi, pa.int64())})
 
-    edge = border.mapInArrow(reborder, out_schema).filter("part >= 0").groupBy("part").applyInArrow(across, "a long, b long")
+    edge = border.mapInArrow(reborder, out_schema).groupBy("part").applyInArrow(across, "a long, b long")
     return result.filter("part IS NULL").select("a", "b").unionByName(edge)
 
 
+def _reaches(heads: dict[int, int], window: int) -> dict[int, tuple[int, list[int]]]:
+    """For each partition, from the rows in its head: where its head's first row stands among all
+    heads, and the partitions before it whose windows reach it, over short ones between."""
+    parts = sorted(heads)
+    out, at = {}, 0
+    for k, part in enumerate(parts):
+        before, between = [], 0
+        for p in reversed(parts[:k]):
+            if between >= window:
+                break
+            before.append(p)
+            between += heads[p]
+        out[part] = (at, before)
+        at += heads[part]
+    return out
+
+
 def _linked(table: pa.Table, window: int, threshold: float, split: int | None = None, name: str = "cid"):
     """Pairs of ids of ordered rows that are near enough and similar."""
     group = np.stack([np.array(table.column(c)) for c in ("pass", "place", "dim")], axis=1)

@@ -57,6 +57,26 @@ def test_links_and_components(spark, partitions):
     assert all(r["kept"] == (r["component_id"] == i) for i, r in got.items())
 
 
+def test_window_reaches_over_short_partitions(spark):
+    """Links of one pass are those of the sorted order, however many partitions it is cut into."""
+    rows = [(i, v, 1, "a", "b") for i, (_, v, _) in enumerate(corpus(seed=3))]
+    classes = spark.createDataFrame(rows, SCHEMA).select("embedding", embeddings.F.col("vec_id").alias("cid"), embeddings.F.lit(1).alias("place")).cache()
+    unit = embeddings._unit(np.array([r[1] for r in rows]))
+    key = embeddings._keys(unit, 1)[:, 0]
+    order = np.lexsort((np.arange(len(rows)), key))
+    near = unit[order] @ unit[order].T >= 0.93
+    links = [(int(order[i]), int(order[j])) for i in range(len(rows)) for j in range(i + 1, min(len(rows), i + 33)) if near[i, j]]
+    want = roots(list(range(len(rows))), links)
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        for partitions in ("8", "200"):
+            spark.conf.set("spark.sql.shuffle.partitions", partitions)
+            got = [(r["a"], r["b"]) for r in embeddings._edges(classes, 1, 32, 0.93).collect()]
+            assert roots(list(range(len(rows))), got) == want
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
 def test_odd_rows(spark):
     nan, inf = float("nan"), float("inf")
     rows = [
