@@ -8,7 +8,10 @@ small step (over as many short partitions as a window reaches). Links of all pas
 by blocked matrix products, so that a group larger than the window is counted whole.
 
 The number of passes follows the size of the largest label (:func:`passes_for`): two vectors at
-the threshold miss each other in all passes with probability ``MISS`` at most.
+the threshold miss each other in all passes with probability ``MISS``, if signs halve the vectors.
+Where vectors crowd they do not, so every pass also measures how many signs a pair must share to
+be within the window. A row whose measured chance to miss such a pair is above ``CROWDED`` is
+compared with all vectors of its label, by blocked products: exact, and quadratic in a crowd.
 """
 
 from __future__ import annotations
@@ -27,8 +30,13 @@ THRESHOLD = 0.93
 WINDOW = 32
 BITS = 48
 MISS = 0.001
+CROWDED = 0.01
 #: Members of one block of a component when its links are counted.
 BLOCK = 512
+#: Vectors of one block when a crowd is compared with its label.
+CROWD_BLOCK = 4096
+#: Signs asked for where the neighbours are beyond the partition: no chance is counted there.
+_UNKNOWN = 1000
 
 
 def passes_for(n: int, threshold: float = THRESHOLD, window: int = WINDOW) -> int:
@@ -36,10 +44,33 @@ def passes_for(n: int, threshold: float = THRESHOLD, window: int = WINDOW) -> in
     1 - MISS. With n vectors, those that agree on log2(2n / window) signs are about half a
     window; each sign agrees with probability 1 - angle / pi."""
     bits = max(1.0, math.log2(max(2.0, 2 * n / window)))
-    hit = (1 - math.acos(threshold) / math.pi) ** bits
+    hit = _sign_agrees(threshold) ** bits
     return max(4, math.ceil(math.log(MISS) / math.log(1 - hit)))
 
 
+def _sign_agrees(threshold: float) -> float:
+    return 1 - math.acos(threshold) / math.pi
+
+
+def _signs_needed(group: np.ndarray, key: np.ndarray, window: int, a: int, b: int) -> np.ndarray:
+    """For rows a to b in order, the first signs that another vector must share to be within the
+    window for sure: one more than are shared with the rows ``window`` places before and behind."""
+    at = np.arange(a, b)
+    needed = np.zeros(b - a, dtype=np.int64)
+    for other, edge in ((at - window, 0), (at + window, len(key) - 1)):
+        inside = (other >= 0) & (other < len(key))
+        end = np.where(inside, other, edge)
+        same = (group[at] == group[end]).all(axis=1)
+        shared = BITS - np.frexp((key[at] ^ key[end]).astype(np.float64))[1]
+        needed = np.maximum(needed, np.where(same, np.where(inside, shared + 1, _UNKNOWN), 0))
+    return needed
+
+
+def _usual_signs(n: int, window: int) -> int:
+    """Signs that a pass asks for where vectors do not crowd, rounded up."""
+    return math.floor(math.log2(max(2.0, 2 * n / window))) + 2
+
+
 def _unit(vectors: np.ndarray) -> np.ndarray:
     v = vectors.astype(np.float64)
     scale = np.abs(v).max(axis=1, keepdims=True)  # large components must not overflow
@@ -109,8 +140,9 @@ def usable():
     return F.coalesce(F.col("label").isNotNull() & fine & F.exists(e, lambda x: x != 0), F.lit(False))
 
 
-def _edges(classes: DataFrame, passes: int, window: int, threshold: float) -> DataFrame:
-    """(a, b) links between classes of all passes; a spanning set of them for each task."""
+def _edges(classes: DataFrame, passes: int, window: int, threshold: float, usual: int = BITS) -> DataFrame:
+    """(a, b) links between classes of all passes; a spanning set of them for each task. With b NULL:
+    a needed ``pos`` signs in a pass, more than ``usual``."""
     spark = classes.sparkSession
     ship_code(spark)
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
@@ -141,7 +173,17 @@ def _edges(classes: DataFrame, passes: int, window: int, threshold: float) -> Da
     out_schema = f"part int, head boolean, pos int, pass int, place int, dim int, a long, b long, embedding {kind}"
 
     def compare(batches):
-        part, united, held, first, seen = TaskContext.get().partitionId(), _Union(), None, [], 0
+        part, united, held, first, seen, done = TaskContext.get().partitionId(), _Union(), None, [], 0, 0
+
+        def crowd(table, end):
+            group = np.stack([np.array(table.column(c)) for c in ("pass", "place", "dim")], axis=1)
+            base = seen - table.num_rows
+            needed = _signs_needed(group, np.array(table.column("key")), window, done - base, end - base)
+            at = np.flatnonzero(needed > usual)
+            if len(at):
+                ids = np.array(table.column("cid"))[done - base : end - base]
+                yield _edge_rows(ids[at].tolist(), [None] * len(at), table.schema.field("embedding").type, needed[at])
+
         for batch in batches:
             if not batch.num_rows:
                 continue
@@ -150,13 +192,18 @@ def _edges(classes: DataFrame, passes: int, window: int, threshold: float) -> Da
                 if seen < window:
                     first.append(table.slice(0, window - seen))
                 seen += table.num_rows
+                old = 0 if held is None else held.num_rows
                 table = table if held is None else pa.concat_tables([held, table])
-                for x, y in _linked(table, window, threshold):
+                for x, y in _linked(table.slice(max(0, old - window)), window, threshold):
                     united.join(x, y)
-                held = table.slice(max(0, table.num_rows - window))
+                if seen - window > done:
+                    yield from crowd(table, seen - window)
+                    done = seen - window
+                held = table.slice(max(0, table.num_rows - 2 * window))
         if held is None:
             return
-        for head, rows in ((True, pa.concat_tables(first)), (False, held)):
+        yield from crowd(held, seen)
+        for head, rows in ((True, pa.concat_tables(first)), (False, held.slice(max(0, held.num_rows - window)))):
             rows = rows.combine_chunks()
             yield _row(rows, part, head)
         lo, hi = united.edges()
@@ -189,7 +236,7 @@ def _edges(classes: DataFrame, passes: int, window: int, threshold: float) -> Da
         return pa.table({"a": pa.array(lo, pa.int64()), "b": pa.array(hi, pa.int64())})
 
     edge = border.mapInArrow(reborder, out_schema).groupBy("part").applyInArrow(across, "a long, b long")
-    return result.filter("part IS NULL").select("a", "b").unionByName(edge)
+    return result.filter("part IS NULL").select("a", "b", "pos").unionByName(edge.withColumn("pos", F.lit(None).cast("int")))
 
 
 def _reaches(heads: dict[int, int], window: int) -> dict[int, tuple[int, list[int]]]:
@@ -237,15 +284,66 @@ def _row(rows: pa.Table, part: int, head: bool) -> pa.RecordBatch:
     ).combine_chunks().to_batches()[0]
 
 
-def _edge_rows(lo: list[int], hi: list[int], kind: pa.DataType) -> pa.RecordBatch:
+def _edge_rows(lo: list[int], hi: list[int | None], kind: pa.DataType, pos: np.ndarray | None = None) -> pa.RecordBatch:
     n = len(lo)
     none = [pa.nulls(n, t) for t in (pa.int32(), pa.bool_(), pa.int32(), pa.int32(), pa.int32(), pa.int32())]
+    if pos is not None:
+        none[2] = pa.array(pos, pa.int32())
     return pa.RecordBatch.from_arrays(
         [*none, pa.array(lo, pa.int64()), pa.array(hi, pa.int64()), pa.nulls(n, kind)],
         names=["part", "head", "pos", "pass", "place", "dim", "a", "b", "embedding"],
     )
 
 
+def _crowded(found: DataFrame, passes: int, threshold: float, usual: int) -> DataFrame:
+    """(cid) of the rows that would miss a pair at the threshold with a chance above ``CROWDED``."""
+    p = F.lit(_sign_agrees(threshold))
+    credit = math.log1p(-_sign_agrees(threshold) ** usual)
+    lost = F.sum(F.log1p(-F.pow(p, F.col("pos"))) - credit)
+    return (
+        found.filter("b IS NULL").groupBy(F.col("a").alias("cid")).agg(lost.alias("lost"))
+        .filter(F.col("lost") + passes * credit > math.log(CROWDED)).select("cid")
+    )
+
+
+def _crowd_edges(classes: DataFrame, crowded: DataFrame, threshold: float) -> DataFrame:
+    """(a, b) links between crowded rows and all classes of their label, exactly; a spanning set for
+    each product of blocks."""
+    rows = classes.select("place", "cid", "embedding", F.size("embedding").alias("dim"))
+    own = stage(rows.join(crowded, "cid"), "crowd")
+    number = lambda df, name: df.groupBy("place", "dim").agg(F.ceil(F.count("*") / CROWD_BLOCK).cast("int").alias(name))
+    blocks = stage(number(own, "lefts").join(number(rows, "rights"), ["place", "dim"]), "crowd-blocks")
+
+    def dealt(df, left):
+        mine, others = ("lefts", "rights") if left else ("rights", "lefts")
+        block = F.pmod(F.xxhash64("cid"), F.col(mine)).cast("int")
+        all_others = F.explode(F.sequence(F.lit(0), F.col(others) - 1))
+        return df.join(blocks, ["place", "dim"]).select(
+            "place", "dim", (block if left else all_others).alias("i"), (all_others if left else block).alias("j"), F.lit(left).alias("left"), "cid", "embedding"
+        )
+
+    def product(key, group):
+        left, ids = np.array(group.column("left")), np.array(group.column("cid"))
+        column = group.column("embedding").combine_chunks()
+        column = column.chunk(0) if isinstance(column, pa.ChunkedArray) else column
+        unit = _unit(_matrix(column))
+        node, at = np.unique(ids, return_inverse=True)
+        root = np.arange(len(node))
+        a, b = np.flatnonzero(left), np.flatnonzero(~left)
+        for x in range(0, len(a), BLOCK):
+            near = unit[a[x : x + BLOCK]] @ unit[b].T >= threshold
+            for i in np.flatnonzero(near.any(axis=1)).tolist():
+                joined = np.unique(np.append(root[at[b[near[i]]]], root[at[a[x + i]]]))
+                if len(joined) > 1:
+                    table = np.arange(len(node))
+                    table[joined] = joined[0]
+                    root = table[root]
+        other = np.flatnonzero(root != np.arange(len(node)))
+        return pa.table({"a": pa.array(node[root[other]], pa.int64()), "b": pa.array(node[other], pa.int64())})
+
+    return dealt(own, True).unionByName(dealt(rows, False)).groupBy("place", "dim", "i", "j").applyInArrow(product, "a long, b long")
+
+
 def _link_counts(members: DataFrame, threshold: float, block: int) -> DataFrame:
     """(cid, links) within components: members are dealt into blocks by a hash, every pair of
     blocks of a component is one matrix product."""
@@ -291,7 +389,13 @@ def near_duplicates(vectors: DataFrame, threshold: float = THRESHOLD, window: in
         .withColumn("cid", F.monotonically_increasing_id()).withColumn("place", F.hash("label")), "classes",
     )
     largest = classes.groupBy("label").count().agg(F.max("count")).first()[0] or 0
-    edges = stage(_edges(classes, passes_for(largest, threshold, window), window, threshold), "links")
+    passes, usual = passes_for(largest, threshold, window), _usual_signs(largest, window)
+    found = stage(_edges(classes, passes, window, threshold, usual), "links")
+    crowded = stage(_crowded(found, passes, threshold, usual), "crowded")
+    edges = found.filter("b IS NOT NULL").select("a", "b")
+    if crowded.first() is not None:
+        edges = edges.unionByName(_crowd_edges(classes, crowded, threshold))
+    edges = stage(edges, "all-links")
     joined = stage(connected_components(edges, "a", "b").withColumnRenamed("node", "cid"), "components")
     members = stage(classes.join(joined, "cid"), "members")
     counts = stage(_link_counts(members, threshold, BLOCK), "link-counts")
@@ -301,7 +405,7 @@ def near_duplicates(vectors: DataFrame, threshold: float = THRESHOLD, window: in
         .select("label", "embedding", (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"), F.coalesce("component_id", "rep").alias("component_id")),
         "named",
     )
-    unstage(classes, edges, joined, members, counts, smallest)
+    unstage(classes, found, crowded, edges, joined, members, counts, smallest)
     release(spark)
     out = (
         rows.filter(usable()).join(named, ["label", "embedding"], "left").select("vec_id", "n_links", "component_id")

@@ -71,7 +71,7 @@ def test_window_reaches_over_short_partitions(spark):
     try:
         for partitions in ("8", "200"):
             spark.conf.set("spark.sql.shuffle.partitions", partitions)
-            got = [(r["a"], r["b"]) for r in embeddings._edges(classes, 1, 32, 0.93).collect()]
+            got = [(r["a"], r["b"]) for r in embeddings._edges(classes, 1, 32, 0.93).filter("b IS NOT NULL").collect()]
             assert roots(list(range(len(rows))), got) == want
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", before)
@@ -103,3 +103,34 @@ def test_group_larger_than_window_and_block(spark):
 def test_more_vectors_more_passes():
     counts = [embeddings.passes_for(n) for n in (10, 10**3, 10**5, 10**7)]
     assert counts == sorted(counts) and counts[0] < counts[-1]
+
+
+def test_links_among_crowded_vectors(spark):
+    """Pairs just above the threshold inside a label whose vectors have cosine 0.85 with each other."""
+    rng = np.random.default_rng(8)
+    unit = lambda v: v / np.linalg.norm(v)
+    centre, vectors = unit(rng.normal(size=128)), []
+    for _ in range(700):
+        own = rng.normal(size=128)
+        v = math.sqrt(0.85) * centre + math.sqrt(0.15) * unit(own - (own @ centre) * centre)
+        side = rng.normal(size=128)
+        side = unit(side - (side @ v) * v)
+        vectors += [v, 0.935 * v + math.sqrt(1 - 0.935**2) * side]
+    rows = [(i, [float(np.float32(x)) for x in v], 0) for i, v in enumerate(vectors)]
+    u = embeddings._unit(np.array([r[1] for r in rows]))
+    near = u @ u.T >= 0.93
+    links = [(int(a), int(b)) for a, b in np.argwhere(near) if a < b]
+    part = roots([r[0] for r in rows], links)
+    got = {r["vec_id"]: r for r in embeddings.op10_embeddings(spark.createDataFrame([(*r, "a", "b") for r in rows], SCHEMA)).collect()}
+    assert len(links) >= 650
+    assert sum(r["n_links"] for r in got.values()) == 2 * len(links)
+    assert all(got[i]["component_id"] == part[i] for i in got)
+
+
+def test_evenly_spread_vectors_are_not_crowded(spark):
+    rng = np.random.default_rng(9)
+    rows = [(i, [float(x) for x in rng.normal(size=64)], 0) for i in range(6000)]
+    classes = spark.createDataFrame(rows, "cid long, embedding array<float>, place int").cache()
+    passes, usual = embeddings.passes_for(6000), embeddings._usual_signs(6000, 32)
+    found = embeddings._edges(classes, passes, 32, 0.93, usual).cache()
+    assert embeddings._crowded(found, passes, 0.93, usual).count() < 300
