@@ -1,7 +1,10 @@
 """License scans: an exact set-similarity join of text blocks with notice templates (operator 3).
 
-A block (line) matches a template when it holds at least ``THRESHOLD`` of the template's
-distinct words. Words are put into one global order: those outside all templates first, then
+A block matches a template when it holds at least ``THRESHOLD`` of the template's distinct words.
+Blocks are lines and, for notices that are wrapped, runs of words across line ends: as many words
+as the template has, and a share of 1 - ``THRESHOLD`` more. Wrapping keeps the order, so a run must
+have them in the template's order; words of different notices on neighbouring lines, together all
+of a third one's, do not match it. Words are put into one global order: those outside all templates first, then
 the templates' words by how many blocks of the corpus have them, rare ones first. A template's
 prefix in that order must share a word with every block that matches (prefix filter); the
 places of the first shared word bound the overlap from both sides (positional filter); short
@@ -79,21 +82,26 @@ class Index:
     labels: list[str]
     needed: list[int]  # words a matching block must share
     prefixes: dict[int, list[tuple[int, int]]]  # rank -> (template, place) where it is in a prefix
+    orders: list[list[int]]  # ranks of each template's words as they are written
+    runs: list[int]  # words of a run that may match, repeated ones included
 
     @classmethod
     def build(cls, templates: list[tuple[str, str]], threshold: float, hashes: np.ndarray, frequency: np.ndarray) -> "Index":
         order = np.lexsort((hashes, frequency))
         rank = np.empty(len(hashes), dtype=np.int64)
         rank[order] = np.arange(len(hashes))
-        sets, needed, prefixes = [], [], {}
+        sets, needed, prefixes, orders, lengths = [], [], {}, [], []
         for k, (_, text) in enumerate(templates):
-            own = sorted(rank[np.searchsorted(hashes, np.unique(words([text])[0]))].tolist())
+            word = words([text])[0]
+            lengths.append(math.ceil(len(word) / threshold - 1e-9))
+            orders.append(rank[np.searchsorted(hashes, word)].tolist())
+            own = sorted(set(orders[-1]))
             need = max(1, math.ceil(threshold * len(own) - 1e-9))
             for place, r in enumerate(own[: len(own) - need + 1]):
                 prefixes.setdefault(r, []).append((k, place))
             sets.append(frozenset(own))
             needed.append(need)
-        return cls(hashes, rank, sets, [label for label, _ in templates], needed, prefixes)
+        return cls(hashes, rank, sets, [label for label, _ in templates], needed, prefixes, orders, lengths)
 
     def matches(self, word: np.ndarray, line: np.ndarray) -> list[tuple[int, int, float]]:
         """(line, template, containment) of every match among words given line by line."""
@@ -131,6 +139,69 @@ class Index:
                     out.append((row, k, overlap / len(self.templates[k])))
         return out
 
+    def run_matches(self, word: np.ndarray, line: np.ndarray, text: np.ndarray, matched: set[tuple[int, int]]) -> list[tuple[int, int, float]]:
+        """(first line, template, containment) of runs across line ends that match, among words
+        given with their lines and texts; none where a line of the run matches by itself (``matched``
+        has (line, template)). Runs that overlap count once, the best one."""
+        if not len(self.hashes) or not len(word):
+            return []
+        at = np.minimum(np.searchsorted(self.hashes, word), len(self.hashes) - 1)
+        hit = np.flatnonzero(self.hashes[at] == word)
+        rank, out = self.rank[at[hit]], []
+        member = np.zeros(len(self.hashes), dtype=bool)
+        for k, own in enumerate(self.templates):
+            need, size = self.needed[k], self.runs[k]
+            if not own or need < 2:
+                continue  # one word is on one line
+            member[:] = False
+            member[list(own)] = True
+            mine = member[rank]
+            place, r = hit[mine], rank[mine]  # the template's words
+            member[:] = False
+            member[sorted(own)[: len(own) - need + 1]] = True
+            rare = np.flatnonzero(member[r])
+            # length filter: enough of the words, across a line end and in one text, around a rare one
+            lo = np.maximum(np.searchsorted(place, place[rare] - size, side="right"), np.searchsorted(text[place], text[place[rare]]))
+            hi = np.minimum(np.searchsorted(place, place[rare] + size), np.searchsorted(text[place], text[place[rare]], side="right"))
+            likely = (hi - lo >= need) & (line[place[lo]] != line[place[hi - 1]])
+            found: dict[tuple[int, int], int] = {}
+            checked = -1
+            for i, a, b in zip(rare[likely].tolist(), lo[likely].tolist(), hi[likely].tolist()):
+                a = max(a, checked + 1)  # runs from earlier words have been looked at
+                for x in range(a, i + 1):
+                    y = min(int(np.searchsorted(place, place[x] + size)), b)
+                    if y - x < need or line[place[x]] == line[place[y - 1]]:
+                        continue
+                    run = r[x:y].tolist()
+                    if len(set(run)) >= need and (overlap := _in_order(run, self.orders[k])) >= need:
+                        found[(x, y)] = overlap
+                checked = max(checked, i)
+            taken = np.zeros(len(place), dtype=bool)
+            for (x, y), overlap in sorted(found.items(), key=lambda f: (-f[1], f[0][1] - f[0][0], f[0])):
+                if taken[x:y].any() or any((n, k) in matched for n in line[place[x:y]].tolist()):
+                    continue
+                taken[x:y] = True
+                out.append((int(line[place[x]]), k, overlap / len(own)))
+        return out
+
+
+def _in_order(run: list[int], order: list[int]) -> int:
+    """Distinct words of a longest common subsequence."""
+    best = [[0] * (len(order) + 1) for _ in range(len(run) + 1)]
+    for i in range(len(run) - 1, -1, -1):
+        for j in range(len(order) - 1, -1, -1):
+            best[i][j] = best[i + 1][j + 1] + 1 if run[i] == order[j] else max(best[i + 1][j], best[i][j + 1])
+    i, j, words = 0, 0, set()
+    while i < len(run) and j < len(order):
+        if run[i] == order[j]:
+            words.add(run[i])
+            i, j = i + 1, j + 1
+        elif best[i + 1][j] >= best[i][j + 1]:
+            i += 1
+        else:
+            j += 1
+    return len(words)
+
 
 def _vocabulary(templates: list[tuple[str, str]]) -> np.ndarray:
     return np.unique(np.concatenate([words([text])[0] for _, text in templates] or [np.zeros(0, np.uint64)]))
@@ -164,7 +235,7 @@ MATCH_TYPE = "array<struct<label: string, line: int, containment: double>>"
 
 def scan(docs: DataFrame, templates: list[tuple[str, str]] = TEMPLATES, threshold: float = THRESHOLD) -> DataFrame:
     """Every text's doc_id, n_words, ``phrases`` (label and first word of each place of a phrase)
-    and ``matches`` (label, line, containment of each block and template that match). NULL and
+    and ``matches`` (label, first line, containment of each block and template that match). NULL and
     empty texts: no words, nothing found."""
     vocabulary = _vocabulary(templates)
     index = Index.build(templates, threshold, vocabulary, block_frequencies(docs, vocabulary))
@@ -190,7 +261,8 @@ def scan(docs: DataFrame, templates: list[tuple[str, str]] = TEMPLATES, threshol
         if len(word):
             # lines are numbered through all texts of the slice
             first_line = np.concatenate([[0], np.cumsum([t.count("\n") + 1 for t in texts])])
-            for row, k, share in sent.value.matches(word, line):
+            own = sent.value.matches(word, line)
+            for row, k, share in own + sent.value.run_matches(word, line, text_of, {(row, k) for row, k, _ in own}):
                 t = int(np.searchsorted(first_line, row, side="right")) - 1
                 matched[t].append({"label": sent.value.labels[k], "line": row - int(first_line[t]), "containment": share})
         return {"doc_id": row_ids(rows), "n_words": np.diff(offsets), "phrases": found, "matches": matched}

@@ -2,6 +2,7 @@
 
 import random
 import re
+import textwrap
 
 from meeple.llm import licenses
 
@@ -68,3 +69,26 @@ def test_query_equals_brute_force(docs):
 def test_empty_table_and_templates(docs):
     assert licenses.op3_license_scan(docs([])).count() == 0
     assert licenses.scan(docs([(1, "a b")]), []).first()["matches"] == []
+
+
+def test_wrapped_notices_match(docs):
+    """Every template wrapped at 40 columns, as in a source file's comment, is found as on one line."""
+    rows, labels = [], {}
+    for i, (label, text) in enumerate(licenses.TEMPLATES):
+        lines = textwrap.wrap(text, 40)
+        rows.append((i, "import os\n\n# " + "\n# ".join(lines) + "\n\nprint(os.getcwd())"))
+        rows.append((100 + i, text))
+        rows.append((200 + i, "\n".join(w + " x" * 40 for w in text.split())))  # too far apart
+        rows.append((300 + i, lines[0]))  # the rest is in the next text
+        labels[i] = (label, len(lines))
+    got = {r["doc_id"]: r for r in licenses.op3_license_scan(docs(rows)).collect()}
+    for i, (label, n) in labels.items():
+        assert label in got[i]["labels"].split(",") and got[i]["score"] == 1.0
+        assert set(got[100 + i]["labels"].split(",")) <= set(got[i]["labels"].split(","))
+        assert got[200 + i]["labels"] == "" and got[200 + i]["score"] == 0.0
+        if n > 1:
+            assert got[i]["n_blocks"] >= 1
+    words = licenses.TEMPLATES[7][1].split()
+    wrapped = " ".join(words[:9]) + "\n" + " ".join(words[9:-1])  # one word is missing
+    r = licenses.op3_license_scan(docs([(1, wrapped), (2, wrapped.replace("\n", " "))])).collect()
+    assert r[0]["labels"] == r[1]["labels"] == "bsd" and r[0]["score"] == r[1]["score"] < 1
