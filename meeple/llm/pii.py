@@ -14,7 +14,7 @@ import re
 from dataclasses import dataclass
 
 import numpy as np
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from meeple.llm.common import SpanHasher, code_points, letters, lowered, map_slices, mix64, row_ids
@@ -22,6 +22,7 @@ from meeple.llm.common import SpanHasher, code_points, letters, lowered, map_sli
 KINDS = ("email", "ip", "card", "phone")
 LABELS = ["O", *(f"{p}-{k}" for k in KINDS for p in "BI")]
 SAMPLE_TEXTS = 300
+LINES_PER_TEXT = 10
 SPAN_TYPE = "array<struct<kind: string, begin: int, stop: int, base: boolean>>"
 
 # --- the rules ----------------------------------------------------------------------------------
@@ -64,7 +65,7 @@ def base_spans(text: str) -> list[tuple[str, int, int]]:
     if not _DIGIT.search(text):
         return out
     for m in _IP.finditer(text):
-        if all(int(p) <= 255 if len(p) < 10 else not p.strip("0") for p in m.group().split(".")):
+        if all(len(p) <= 3 and int(p or "0") <= 255 for p in (q.lstrip("0") for q in m.group().split("."))):
             out.append(("ip", *m.span()))
     for m in _CARD.finditer(text):
         if m.end() - m.start() >= 13:
@@ -414,15 +415,18 @@ def _without_overlaps(spans: list[tuple[str, int, int]]) -> list[tuple[str, int,
 def labelled_table(docs: DataFrame, texts: int = SAMPLE_TEXTS) -> list[tuple[str, list[tuple[str, int, int]]]]:
     """The training table: hand-labelled lines, and the lines (up to 1,000 characters) with a
     digit or an @ of the ``texts`` corpus texts with the least hashes of their ids, labelled by the
-    rules. Only hashes are compared; texts stay where they are."""
+    rules: of each text the ``LINES_PER_TEXT`` different ones with the least hashes, wherever they
+    are stored. Only hashes are compared; texts stay where they are."""
     marked = docs.filter(F.col("text").rlike("[0-9@]")).withColumn("h", F.xxhash64(F.lit("pii"), "doc_id"))
     last = marked.select("h").orderBy("h").limit(texts).agg(F.max("h")).first()[0]
     sample = marked.filter(F.col("h") <= F.lit(last))
     # lines are cut by the executors: only short ones come back
-    lines = sample.select("doc_id", F.explode(F.split("text", "\n")).alias("line")).filter(
+    lines = sample.select("h", F.explode(F.split("text", "\n")).alias("line")).filter(
         F.col("line").rlike("[0-9@]") & (F.length("line") <= 1000)
     )
-    rows = sorted({r["line"] for r in lines.select("line").limit(10 * texts).collect()})
+    order = Window.partitionBy("h").orderBy(F.xxhash64("h", "line"), "line")
+    chosen = lines.distinct().withColumn("at", F.row_number().over(order)).filter(F.col("at") <= LINES_PER_TEXT)
+    rows = sorted({r["line"] for r in chosen.select("line").collect()})  # LINES_PER_TEXT * texts at most
     return hand_labelled() * 3 + [(line, _without_overlaps(base_spans(line))) for line in rows]
 
 
