@@ -5,9 +5,10 @@ Two documents link when the Jaccard similarity of their sets of 5-word shingles
 
 1. Sets are packed into hash shards once; a shard counts its shingles and answers with those
    that more than one set has. A set with too few of them has no partner.
-2. Every set is ordered by global frequency, rare first; only a prefix of it is indexed. An
-   index entry's position bounds the sizes its partners may have, so the list of a shingle is
-   cut into blocks by size, and blocks outside that range are skipped whole.
+2. Every set is ordered by global frequency, rare first; only a prefix of it is indexed. A set's
+   size bounds the sizes its partners may have, so the list of a shingle is cut into blocks by
+   size, and blocks outside that range are skipped whole, except in the pivot join (3), which has
+   no blocks. Positions choose no blocks; they filter the joined pairs.
 3. Each list's pivot is the set with the fewest rarer tokens (the original among edited copies):
    all others are compared with it first. What is linked to one pivot is one component already;
    only pairs across components remain.
@@ -229,8 +230,8 @@ def _band(size):
 
 def _across(probe: DataFrame, index: DataFrame) -> DataFrame:
     """Pairs of admissible entries of one shingle and different components, the probe's set being
-    the larger one (ties: the larger cid). The probe's position bounds its partners' sizes to
-    those of two blocks at most; other blocks are never touched."""
+    the larger one (ties: the larger cid). The probe's size bounds its partners' sizes to
+    those of two blocks at most; other blocks are never touched. Positions filter joined pairs."""
     left = probe.withColumn("band", F.explode(F.sequence(_band(F.ceil(F.col("n") * NUM / DEN)), _band(F.col("n"))))).alias("p")
     right = index.withColumn("band", _band(F.col("n"))).alias("q")
     return (
