@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import corpus_pipeline
-from meeple.llm import bpe, embeddings, fingerprint, jaccard, language, licenses, mixing, pii, scoring, toxicity
+from meeple.llm import (
+    bpe, clustering, embeddings, fingerprint, jaccard, language, licenses, mixing, negatives, pii, quality, scoring, toxicity,
+)
 from meeple.llm.common import table
 
 LLM_QUERIES = {
@@ -17,8 +19,14 @@ LLM_QUERIES = {
     "op8_ngram_jaccard": lambda s, sf: jaccard.op8_jaccard(table(s, sf, "documents")),
     "op9_byte_bpe": lambda s, sf: bpe.op9_bpe(table(s, sf, "documents")),
     "op10_embedding_dedup": lambda s, sf: embeddings.op10_embeddings(table(s, sf, "embeddings")),
+    "op11_centroid_clusters": lambda s, sf: clustering.op11_clusters(table(s, sf, "embeddings")),
+    "op12_hard_negatives": lambda s, sf: negatives.op12_negatives(table(s, sf, "embeddings")),
+    "op13_rule_quality": lambda s, sf: quality.op13_quality(table(s, sf, "documents"), table(s, sf, "labels")),
     "pipeline": corpus_pipeline.run,
 }
 
 #: DuckDB SQL per query, where SQL can express it.
-LLM_ORACLE: dict[str, str] = {}
+LLM_ORACLE: dict[str, str] = {
+    "op11_centroid_clusters": clustering.ORACLE_SQL,
+    "op12_hard_negatives": negatives.ORACLE_SQL,
+}
