@@ -344,6 +344,161 @@ given_scaled AS (
     )
 
 
+# The K-means of whole numbers. Each step is a table expression: features in units, the scaler from
+# their sums, a farthest-point walk over the candidates, and the rounds, all k side by side.
+_XS, _QS = ["x0", "x1", "x2", "x3"], ["q0", "q1", "q2", "q3"]
+USER_COLUMNS = (
+    "user_id, gender, age_bracket, country, registration_date, total_sessions, avg_session_duration, total_spent, "
+    "num_purchases, user_age_days"
+)
+
+
+def _floor(a: str, b: str) -> str:
+    return f"((({a}) - ((({a}) % ({b})) + ({b})) % ({b})) // ({b}))"
+
+
+def _root(v: str) -> str:
+    """The whole square root of a whole number."""
+    r = f"CAST(floor(sqrt(CAST({v} AS DOUBLE))) AS HUGEINT)"
+    return f"(CASE WHEN {r} * {r} > {v} THEN {r} - 1 WHEN ({r} + 1) * ({r} + 1) <= {v} THEN {r} + 1 ELSE {r} END)"
+
+
+def _away(a: str, b: str) -> str:
+    return " + ".join(f"({a}.{q} - {b}.{q}) * ({a}.{q} - {b}.{q})" for q in _QS)
+
+
+def _features(name: str, source: str) -> str:
+    """``name``: the users of ``source`` with q0..q3."""
+    variance = "1000000 * (n * t{0} - s{0} * s{0}) // (n * greatest(n - 1, 1))"
+    q = lambda i: (
+        f"CASE WHEN d{i} = 0 THEN 0 ELSE CAST({_floor(f'(x{i} * n - s{i}) * 1000000', f'n * d{i}')} AS BIGINT) END AS q{i}"
+    )
+    return f"""
+{name}_units AS MATERIALIZED (
+  SELECT *, CAST(total_sessions AS HUGEINT) AS x0, CAST(round(avg_session_duration * 100) AS HUGEINT) AS x1,
+         CAST(round(total_spent * 100) AS HUGEINT) AS x2, CAST(num_purchases AS HUGEINT) AS x3 FROM {source}),
+{name}_sums AS MATERIALIZED (
+  SELECT CAST(count(*) AS HUGEINT) AS n, {', '.join(f'CAST(sum(x{i}) AS HUGEINT) AS s{i}, CAST(sum(x{i} * x{i}) AS HUGEINT) AS t{i}' for i in range(4))}
+  FROM {name}_units),
+{name}_variances AS MATERIALIZED (SELECT *, {', '.join(f'{variance.format(i)} AS v{i}' for i in range(4))} FROM {name}_sums),
+{name}_scaler AS MATERIALIZED (SELECT n, s0, s1, s2, s3, {', '.join(f'{_root(f"v{i}")} AS d{i}' for i in range(4))} FROM {name}_variances),
+{name} AS MATERIALIZED (SELECT {name}_units.*, {', '.join(q(i) for i in range(4))} FROM {name}_units, {name}_scaler)"""
+
+
+def _centres(name: str, users: str, ks: list[int], rounds: int = 20) -> str:
+    """``name``: k, cluster, q0..q3 of the models fitted to ``users`` (of :func:`_features`)."""
+    ctes = [
+        f"""
+{name}_points AS MATERIALIZED (SELECT {', '.join(_XS + _QS)}, count(*) AS w FROM {users} GROUP BY ALL),
+{name}_candidates AS MATERIALIZED (
+  SELECT row_number() OVER (ORDER BY md5(concat_ws('|', {', '.join(f'CAST({x} AS BIGINT)' for x in _XS)})), {', '.join(_XS)}) AS place, {', '.join(_QS)}
+  FROM {name}_points QUALIFY place <= 1000),
+{name}_start0 AS MATERIALIZED (SELECT {', '.join(_QS)} FROM {name}_candidates WHERE place = 1),
+{name}_far0 AS MATERIALIZED (SELECT c.*, {_away('c', 's')} AS away FROM {name}_candidates c, {name}_start0 s)"""
+    ]
+    for i in range(1, max(ks)):
+        ctes.append(
+            f"""
+{name}_start{i} AS MATERIALIZED (SELECT {', '.join(_QS)} FROM {name}_far{i - 1} WHERE away > 0 ORDER BY away DESC, place LIMIT 1),
+{name}_far{i} AS MATERIALIZED (
+  SELECT f.place, {', '.join(f'f.{q}' for q in _QS)}, least(f.away, {_away('f', 's')}) AS away FROM {name}_far{i - 1} f, {name}_start{i} s)"""
+        )
+    starts = " UNION ALL ".join(f"SELECT {i} AS cluster, * FROM {name}_start{i}" for i in range(max(ks)))
+    wanted = ", ".join(f"({k})" for k in ks)
+    ctes.append(
+        f"""
+{name}_round0 AS MATERIALIZED (SELECT k, cluster, {', '.join(_QS)} FROM ({starts}) s, (VALUES {wanted}) AS asked(k) WHERE cluster < k)"""
+    )
+    for i in range(rounds):
+        mean = ", ".join(_floor(f"CAST(2 * sum({q} * w) + sum(w) AS HUGEINT)", "CAST(2 * sum(w) AS HUGEINT)") + f" AS {q}" for q in _QS)
+        ctes.append(
+            f"""
+{name}_means{i} AS MATERIALIZED (
+  SELECT k, cluster, {mean} FROM (
+    SELECT c.k, {', '.join(f'p.{q}' for q in _QS)}, p.w, arg_min(c.cluster, ({_away('p', 'c')}, c.cluster)) AS cluster
+    FROM {name}_points p, {name}_round{i} c GROUP BY {', '.join(f'p.{x}' for x in _XS + _QS)}, p.w, c.k)
+  GROUP BY k, cluster),
+{name}_round{i + 1} AS MATERIALIZED (
+  SELECT c.k, c.cluster, {', '.join(f'CAST(coalesce(m.{q}, c.{q}) AS BIGINT) AS {q}' for q in _QS)}
+  FROM {name}_round{i} c LEFT JOIN {name}_means{i} m ON m.k = c.k AND m.cluster = c.cluster)"""
+        )
+    ctes.append(f"\n{name} AS MATERIALIZED (SELECT * FROM {name}_round{rounds})")
+    return ",".join(ctes)
+
+
+def _segmented(name: str, users: str, centres: str, inactive: str, columns: str = USER_COLUMNS) -> str:
+    """``name``: ``users`` labelled by their nearest centre, and the inactive ones."""
+    cents = "CAST(round({} * 100) AS BIGINT)"
+    keyed = f"SELECT row_number() OVER () AS rid, * FROM {users}"
+    return f"""
+{name}_nearest AS MATERIALIZED (
+  SELECT rid, arg_min(c.cluster, ({_away('u', 'c')}, c.cluster)) AS cluster FROM {name}_keyed u, {centres} c GROUP BY rid),
+{name}_clustered AS MATERIALIZED (SELECT u.*, n.cluster FROM {name}_keyed u JOIN {name}_nearest n USING (rid)),
+{name}_means AS (
+  SELECT cluster, sum({cents.format('total_spent')}) / count(*) AS spent, sum({cents.format('avg_session_duration')}) / count(*) AS minutes
+  FROM {name}_clustered GROUP BY cluster),
+{name}_whale AS (SELECT cluster AS whale FROM {name}_means ORDER BY spent DESC, cluster LIMIT 1),
+{name}_hardcore AS (SELECT cluster AS hardcore FROM {name}_means, {name}_whale WHERE cluster <> whale ORDER BY minutes DESC, cluster LIMIT 1),
+{name} AS (
+  SELECT {columns}, CASE WHEN cluster = (SELECT whale FROM {name}_whale) THEN 'Whale'
+         WHEN cluster = (SELECT hardcore FROM {name}_hardcore) THEN 'Hardcore' ELSE 'Casual' END AS user_segment FROM {name}_clustered
+  UNION ALL SELECT {columns}, 'Inactive' FROM {inactive})""".replace(f"\n{name}_nearest", f"\n{name}_keyed AS MATERIALIZED ({keyed}),\n{name}_nearest", 1)
+
+
+TRAINED = (
+    _features("trained_users", "active") + "," + _centres("trained_centres", "trained_users", [3])
+    + "," + _segmented("trained", "trained_users", "trained_centres", "inactive")
+)
+SCORED = (
+    _features("trained_users", "active") + "," + _centres("trained_centres", "trained_users", [3])
+    + f""",
+scored_inactive AS (SELECT * FROM aged WHERE {RULES['rate_5']}),
+scored_active AS (SELECT * FROM aged EXCEPT SELECT * FROM scored_inactive),"""
+    + _features("scored_users", "scored_active") + "," + _segmented("scored", "scored_users", "trained_centres", "scored_inactive")
+)
+SIMPLE_COLUMNS = USER_COLUMNS.replace(" registration_date,", "").replace(", user_age_days", "")
+SIMPLE = (
+    TRAINED
+    + f""",
+simple_base AS (SELECT {SIMPLE_COLUMNS} FROM trained),
+simple_inactive AS (SELECT * FROM simple_base WHERE {RULES['simple']}),
+simple_active AS (SELECT * FROM simple_base EXCEPT SELECT * FROM simple_inactive),"""
+    + _features("simple_users", "simple_active") + "," + _centres("simple_centres", "simple_users", [3])
+    + "," + _segmented("simple", "simple_users", "simple_centres", "simple_inactive", SIMPLE_COLUMNS)
+)
+
+
+def _profile_of(source: str) -> str:
+    return f"""SELECT user_segment,
+       {_half_up_mean('sum(total_sessions)', 'count(user_id)', 0)} AS avg_sessions,
+       {_half_up_mean('sum(CAST(round(avg_session_duration * 100) AS BIGINT))', 'count(user_id)', 2)} AS avg_duration,
+       {_half_up_mean('sum(CAST(round(total_spent * 100) AS BIGINT))', 'count(user_id)', 2)} AS avg_spent,
+       {_half_up_mean('sum(num_purchases)', 'count(user_id)', 0)} AS avg_purchases,
+       count(user_id) AS count
+FROM {source} GROUP BY user_segment"""
+
+
+def _sweep(ks: list[int], columns: str) -> str:
+    """Silhouettes by all pairs of users, each pair's distance computed."""
+    return _q(
+        f"""SELECT {columns} FROM (
+  SELECT k, CAST(round(sum(CAST(floor(value * 1e9 + 0.5) AS HUGEINT)) / (count(*) * 1e9), 6) AS DOUBLE) AS silhouette
+  FROM (SELECT k, id, CASE WHEN own IS NULL OR greatest(own, other) = 0 THEN 0 ELSE (other - own) / greatest(own, other) END AS value
+        FROM (SELECT k, id, max(CAST(total AS DOUBLE) / CASE WHEN n > 1 THEN n - 1 END) FILTER (same) AS own,
+                     min(CAST(total AS DOUBLE) / n) FILTER (NOT same) AS other
+              FROM (SELECT a.k, a.id, a.cluster = b.cluster AS same, b.cluster, CAST(sum({_away('a', 'b')}) AS HUGEINT) AS total, count(*) AS n
+                    FROM sweep_placed a JOIN sweep_placed b ON a.k = b.k GROUP BY a.k, a.id, a.cluster, b.cluster)
+              GROUP BY k, id))
+  GROUP BY k)""",
+        _features("sweep_users", "active") + "," + _centres("sweep_centres", "sweep_users", ks)
+        + f""",
+sweep_keyed AS MATERIALIZED (SELECT row_number() OVER () AS id, {', '.join(_QS)} FROM sweep_users),
+sweep_placed AS MATERIALIZED (
+  SELECT c.k, u.id, {', '.join(f'u.{q}' for q in _QS)}, arg_min(c.cluster, ({_away('u', 'c')}, c.cluster)) AS cluster
+  FROM sweep_keyed u, sweep_centres c GROUP BY c.k, u.id, {', '.join(f'u.{q}' for q in _QS)})""",
+    )
+
+
 RAW_TABLES = {
     "users": "raw_users",
     "logins": "raw_logins",
@@ -488,4 +643,13 @@ WHERE place <= 20"""
     # the model with given centroids, and the silhouette of given clusters
     "scored_given_centroids": _given_scores(),
     "silhouette_given_clusters": _given_silhouette(),
+    # the K-means of whole numbers
+    "kmeans_segments": _q("SELECT * FROM trained", TRAINED),
+    "scored_segments": _q("SELECT * FROM scored", SCORED),
+    "simple_segments": _q("SELECT * FROM simple", SIMPLE),
+    "whales_by_country": _q("SELECT country, count(*) AS whales FROM trained WHERE user_segment = 'Whale' GROUP BY country", TRAINED),
+    "simple_segment_sizes": _q("SELECT user_segment, count(*) AS count FROM simple GROUP BY user_segment", SIMPLE),
+    "simple_segment_profile": _q(_profile_of("simple"), SIMPLE),
+    "silhouette": _sweep([3], "silhouette"),
+    "k_sweep": _sweep(list(range(2, 9)), "CAST(k AS INTEGER) AS k, silhouette"),
 }

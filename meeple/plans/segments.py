@@ -11,6 +11,7 @@ from __future__ import annotations
 import datetime as dt
 import json
 
+from pyspark.errors import AnalysisException
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.clustering import KMeans, KMeansModel
 from pyspark.ml.evaluation import ClusteringEvaluator
@@ -334,27 +335,52 @@ def whales_by_country(segments: DataFrame) -> DataFrame:
 # ---------------------------------------------------------------- persistence (M9)
 
 
-def save_model(model: PipelineModel, base_path: str, version: str, production: bool = True) -> str:
-    """Save ``model`` under ``base_path/version``; optionally point ``production`` at it.
+def save_model(model, base_path: str, version: str, production: bool = True) -> str:
+    """Save ``model`` (a Spark ML pipeline, or a segmentation in whole numbers) under
+    ``base_path/version``; optionally make it the production model.
 
-    The pointer is a one-line JSON file written through Spark, so it lives on the same
-    shared storage as the model.
-    """
+    Every publication adds a line to ``base_path/production`` (a file of its own, committed by the
+    write), and nothing is overwritten there: a reader finds the old pointer or the new one, never
+    none. All on the shared storage, through Spark."""
     path = f"{base_path.rstrip('/')}/{version}"
-    model.write().overwrite().save(path)
+    spark = SparkSession.getActiveSession()
+    exact = hasattr(model, "to_json")
+    if exact:
+        spark.createDataFrame([(model.to_json(),)], "value string").coalesce(1).write.mode("overwrite").text(path)
+    else:
+        model.write().overwrite().save(path)
     if production:
-        spark = SparkSession.getActiveSession()
-        pointer = json.dumps({"version": version, "path": path})
-        spark.createDataFrame([(pointer,)], "value string").coalesce(1).write.mode(
-            "overwrite"
-        ).text(f"{base_path.rstrip('/')}/production")
+        folder = f"{base_path.rstrip('/')}/production"
+        before = _pointers(spark, folder)
+        line = {"number": 1 + max((p["number"] for p in before), default=0), "version": version, "path": path, "exact": exact}
+        spark.createDataFrame([(json.dumps(line),)], "value string").coalesce(1).write.mode("append").text(folder)
     return path
 
 
-def load_model(base_path: str, version: str | None = None) -> PipelineModel:
-    """Load a saved version, or the one the ``production`` pointer names."""
+def _pointers(spark: SparkSession, folder: str) -> list[dict]:
+    """All publications, one a line."""
+    try:
+        return [json.loads(r["value"]) for r in spark.read.text(folder).collect()]
+    except AnalysisException as error:
+        if error.getCondition() == "PATH_NOT_FOUND":
+            return []
+        raise
+
+
+def load_model(base_path: str, version: str | None = None):
+    """Load a saved version, or the one published last (of equal numbers, from publishers at one
+    time, the greater version)."""
+    from meeple.plans.exact_segments import ExactModel
+
+    spark = SparkSession.getActiveSession()
+    lines = _pointers(spark, f"{base_path.rstrip('/')}/production")
     if version is None:
-        spark = SparkSession.getActiveSession()
-        line = spark.read.text(f"{base_path.rstrip('/')}/production").first()["value"]
-        return PipelineModel.load(json.loads(line)["path"])
-    return PipelineModel.load(f"{base_path.rstrip('/')}/{version}")
+        if not lines:
+            raise FileNotFoundError(f"no production model under {base_path}")
+        path = max(lines, key=lambda p: (p["number"], p["version"]))["path"]
+    else:
+        path = f"{base_path.rstrip('/')}/{version}"
+    try:
+        return PipelineModel.load(path)
+    except Exception:  # noqa: BLE001 - not a pipeline: a model in whole numbers is one line of text
+        return ExactModel.from_json(spark.read.text(path).first()["value"])

@@ -16,8 +16,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from meeple.operators import sampling, tables
-from meeple.plans import gold, questions, segments, silver
-from meeple.session import shared_dir
+from meeple.plans import exact_segments, gold, questions, segments, silver
+from meeple.session import unique_path
 from meeple.sources import ingest
 from meeple.sources.adapters import AS_OF, RUN_DATE, RawTables, load_raw
 from meeple.sources.readers import day
@@ -73,15 +73,28 @@ def _synthetic_segments(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _trained(spark: SparkSession, sf: str):
-    return segments.train_segments(_demographics(spark, sf), AS_OF)
+    return exact_segments.train_segments(_demographics(spark, sf), AS_OF)
 
 
 def _scored(spark: SparkSession, sf: str) -> DataFrame:
     """Train, save with a production pointer, load it back and score (the demographics
     both steps read are computed once)."""
     demographics = tables.stage(_demographics(spark, sf))
+    _, model = exact_segments.train_segments(demographics, AS_OF)
+    base = unique_path(spark, "models", "user_segmentation")
+    segments.save_model(model, base, "v1")
+    return exact_segments.score_segments(demographics, AS_OF, segments.load_model(base), refit_scaler=True)
+
+
+def _trained_ml(spark: SparkSession, sf: str):
+    return segments.train_segments(_demographics(spark, sf), AS_OF)
+
+
+def _scored_ml(spark: SparkSession, sf: str) -> DataFrame:
+    """:func:`_scored` with the Spark ML trainer."""
+    demographics = tables.stage(_demographics(spark, sf))
     _, model = segments.train_segments(demographics, AS_OF)
-    base = shared_dir(spark, "models", "user_segmentation")
+    base = unique_path(spark, "models", "user_segmentation")
     segments.save_model(model, base, "v1")
     return segments.score_segments(demographics, AS_OF, segments.load_model(base), refit_scaler=True)
 
@@ -114,16 +127,25 @@ def _silhouette_given_clusters(spark: SparkSession, sf: str) -> DataFrame:
 
 def _simple(spark: SparkSession, sf: str) -> DataFrame:
     trained, _ = _trained(spark, sf)
+    return exact_segments.simple_segments(trained)
+
+
+def _exact_active(spark: SparkSession, sf: str) -> DataFrame:
+    return exact_segments.active_users(_demographics(spark, sf), AS_OF)
+
+
+def _simple_ml(spark: SparkSession, sf: str) -> DataFrame:
+    trained, _ = _trained_ml(spark, sf)
     return segments.simple_segments(trained)
 
 
-def _silhouette(spark: SparkSession, sf: str) -> DataFrame:
+def _silhouette_ml(spark: SparkSession, sf: str) -> DataFrame:
     scaled = segments.active_features(_demographics(spark, sf), AS_OF, segments.TRAIN_MIN_MINUTES)
     clustered = segments.kmeans().fit(scaled).transform(scaled)
     return segments.silhouette(spark, clustered)
 
 
-def _k_sweep(spark: SparkSession, sf: str) -> DataFrame:
+def _k_sweep_ml(spark: SparkSession, sf: str) -> DataFrame:
     scaled = segments.active_features(_demographics(spark, sf), AS_OF, segments.TRAIN_MIN_MINUTES)
     return segments.k_sweep(spark, scaled)
 
@@ -238,17 +260,22 @@ QUERIES: dict[str, Query] = {
     "segment_sizes": lambda s, sf: segments.segment_sizes(_synthetic_segments(s, sf)),
     "user_categories": lambda s, sf: questions.user_categories(_aged(s, sf)),
     "whales_by_country_given_clusters": lambda s, sf: segments.whales_by_country(_synthetic_segments(s, sf)),
-    # Q6-Q8, Q11, M2, M4, M7-M12 (Spark ML: rows-only checks)
+    # K-means of whole numbers, then the Spark ML trainer (rows-only checks)
     "kmeans_segments": lambda s, sf: _trained(s, sf)[0],
     "scored_segments": _scored,
     "scored_given_centroids": _scored_given_centroids,
     "silhouette_given_clusters": _silhouette_given_clusters,
     "simple_segments": _simple,
-    "silhouette": _silhouette,
-    "k_sweep": _k_sweep,
+    "silhouette": lambda s, sf: exact_segments.silhouette(s, _exact_active(s, sf)),
+    "k_sweep": lambda s, sf: exact_segments.k_sweep(s, _exact_active(s, sf)),
     "whales_by_country": lambda s, sf: segments.whales_by_country(_trained(s, sf)[0]),
     "simple_segment_sizes": lambda s, sf: segments.segment_sizes(_simple(s, sf)),
     "simple_segment_profile": lambda s, sf: segments.segment_profile(_simple(s, sf)),
+    "kmeans_segments_ml": lambda s, sf: _trained_ml(s, sf)[0],
+    "scored_segments_ml": _scored_ml,
+    "simple_segments_ml": _simple_ml,
+    "silhouette_ml": _silhouette_ml,
+    "k_sweep_ml": _k_sweep_ml,
     # Q10, Q12-Q14 questions
     "hourly_activity": lambda s, sf: questions.hourly_activity(load_raw(s, sf).sessions),
     "device_usage": lambda s, sf: questions.device_usage(load_raw(s, sf).logins),

@@ -1,0 +1,163 @@
+"""Segmentation in whole numbers: against plain loops, under any partitioning, saved and loaded."""
+
+import hashlib
+import math
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
+from meeple.plans import exact_segments as exact
+from meeple.plans import segments
+from meeple.session import unique_path
+
+USERS = (
+    "user_id string, gender string, age_bracket string, country string, registration_date date, total_sessions long, "
+    "avg_session_duration double, total_spent double, num_purchases long"
+)
+
+
+def users(spark, rows):
+    """Rows of (sessions, minutes, spent, purchases)."""
+    full = [(str(i), "Male", "18-25", "C%d" % (i % 3), None, *r) for i, r in enumerate(rows)]
+    return spark.createDataFrame(full, USERS).withColumn("registration_date", F.lit("2024-01-01").cast("date"))
+
+
+def some_rows(seed, n=120):
+    rng = random.Random(seed)
+    rows = []
+    for i in range(n):
+        kind = i % 3
+        rows.append((
+            rng.randint(1, 9) + 40 * (kind == 1), round(rng.uniform(5, 20) + 30 * (kind == 1), 2),
+            round(rng.uniform(1, 9) + 200 * (kind == 2), 2), rng.randint(1, 4) + 5 * (kind == 2),
+        ))
+    return rows + rows[:10]  # equal users
+
+
+def plain(rows, ks, rounds=20):
+    """The same steps in Python: (points with counts and clusters by k, centres by k)."""
+    units = [(s, round(m * 100), round(c * 100), p) for s, m, c, p in rows]
+    n = len(units)
+    scaled = []
+    for j in range(4):
+        column = [u[j] for u in units]
+        variance = (n * sum(x * x for x in column) - sum(column) ** 2) * 10**6 // (n * (n - 1))
+        d = math.isqrt(variance)
+        scaled.append({x: (x * n - sum(column)) * 10**6 // (n * d) if d else 0 for x in column})
+    q = {u: tuple(scaled[j][u[j]] for j in range(4)) for u in set(units)}
+    away = lambda a, b: sum((x - y) ** 2 for x, y in zip(a, b))
+    order = sorted(q, key=lambda u: (hashlib.md5("|".join(map(str, u)).encode()).hexdigest(), u))[:1000]
+    chosen = [q[order[0]]]
+    while len(chosen) < max(ks):
+        best = max(order, key=lambda u: (min(away(q[u], c) for c in chosen), -order.index(u)))
+        if min(away(q[best], c) for c in chosen) == 0:
+            break
+        chosen.append(q[best])
+    out = {}
+    for k in ks:
+        centres = chosen[:k]
+        for _ in range(rounds):
+            groups = {}
+            for u in units:
+                groups.setdefault(min(range(len(centres)), key=lambda i: (away(q[u], centres[i]), i)), []).append(q[u])
+            centres = [
+                tuple((2 * sum(x) + len(x)) // (2 * len(x)) for x in zip(*groups[i])) if i in groups else c for i, c in enumerate(centres)
+            ]
+        out[k] = centres
+    place = lambda u, k: min(range(len(out[k])), key=lambda i: (away(q[u], out[k][i]), i))
+    return units, q, out, place
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_centres_and_clusters_equal_plain_loops(spark, seed):
+    rows = some_rows(seed)
+    units, q, centres, place = plain(rows, [3])
+    model = exact.fit(users(spark, rows))
+    assert model.centres == centres[3]
+    got = {r["user_id"]: r["cluster"] for r in model.cluster(users(spark, rows)).collect()}
+    assert got == {str(i): place(u, 3) for i, u in enumerate(units)}
+
+
+def test_silhouettes_equal_all_pairs(spark):
+    rows = some_rows(3, 60)
+    units, q, centres, place = plain(rows, range(2, 9))
+    got = {r["k"]: r["silhouette"] for r in exact.k_sweep(spark, users(spark, rows)).collect()}
+    assert sorted(got) == list(range(2, 9))
+    for k in got:
+        of = [place(u, k) for u in units]
+        total = 0.0
+        for i, u in enumerate(units):
+            by = {}
+            for j, v in enumerate(units):
+                if i != j:
+                    by.setdefault(of[j], []).append(sum((a - b) ** 2 for a, b in zip(q[u], q[v])))
+            own = by.get(of[i])
+            others = [sum(d) / len(d) for c, d in by.items() if c != of[i]]
+            if own and others:
+                a, b = sum(own) / len(own), min(others)
+                total += (b - a) / max(a, b) if max(a, b) else 0.0
+        assert got[k] == pytest.approx(total / len(units), abs=2e-6)
+
+
+def test_one_aggregate_a_round_for_all_models(spark, monkeypatch):
+    calls = []
+    plain_sums = exact._sums
+    monkeypatch.setattr(exact, "_sums", lambda *a, **k: calls.append(sorted(a[1])) or plain_sums(*a, **k))
+    exact.k_sweep(spark, users(spark, some_rows(4)), range(2, 9), rounds=20).collect()
+    assert len(calls) <= 20 + 1 and all(c == list(range(2, 9)) for c in calls)
+
+
+def test_segments_do_not_depend_on_partitions_or_order(spark):
+    frame = users(spark, some_rows(5))
+    before = {k: spark.conf.get(k) for k in ("spark.sql.shuffle.partitions", "spark.sql.adaptive.enabled")}
+    got = []
+    try:
+        for n, df in (("1", frame), ("7", frame.repartition(5)), ("16", frame.orderBy(F.rand(1)))):
+            spark.conf.set("spark.sql.shuffle.partitions", n)
+            spark.conf.set("spark.sql.adaptive.enabled", str(n == "1").lower())
+            segs, _ = exact.train_segments(df, "2024-02-01")
+            got.append(sorted(map(tuple, segs.select("user_id", "user_segment").collect())))
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert got[0] == got[1] == got[2]
+    assert {s for _, s in got[0]} == {"Whale", "Hardcore", "Casual"}
+
+
+def test_few_users_and_none(spark):
+    one = users(spark, [(5, 20.0, 3.0, 1)] * 4)
+    segs, model = exact.train_segments(one, "2024-01-10")
+    assert len(model.centres) == 1
+    assert [r["user_segment"] for r in segs.collect()] == ["Whale"] * 4
+    idle = users(spark, [(0, 0.0, 0.0, 0)] * 3)
+    segs, model = exact.train_segments(idle, "2024-03-10")
+    assert model.centres == [] and [r["user_segment"] for r in segs.collect()] == ["Inactive"] * 3
+    empty = idle.limit(0)
+    assert exact.train_segments(empty, "2024-03-10")[0].collect() == []
+    assert [r["silhouette"] for r in exact.k_sweep(spark, empty, [2, 3]).collect()] == [None, None]
+    assert exact.simple_segments(empty).columns == segments.SEGMENT_COLUMNS
+
+
+def test_large_values_stay_exact(spark):
+    """Sums of squares beyond 2**63."""
+    rows = [(1, 5.0, 9e13, 1), (2, 6.0, 1.0, 2), (3, 7.0, 8e13, 3), (4, 8.0, 2.0, 4)]
+    units, _, centres, place = plain(rows, [2])
+    model = exact.fit(users(spark, rows), k=2)
+    assert model.centres == centres[2]
+
+
+def test_saved_models_and_the_production_pointer(spark):
+    base = unique_path(spark, "test-exact-models")
+    with pytest.raises(FileNotFoundError):
+        segments.load_model(base)
+    first, second = exact.fit(users(spark, some_rows(6))), exact.fit(users(spark, some_rows(7)))
+    segments.save_model(first, base, "v1")
+    segments.save_model(second, base, "v2", production=False)
+    assert segments.load_model(base) == first and segments.load_model(base, "v2") == second
+    segments.save_model(second, base, "v2")
+    assert segments.load_model(base) == second
+    pointers = spark.read.text(f"{base}/production").count()
+    assert pointers == 2  # the older line is still there: no reader is ever without one
+    scored = exact.score_segments(users(spark, some_rows(6)), "2024-02-01", segments.load_model(base))
+    assert scored.count() == 130
