@@ -17,14 +17,14 @@ import hashlib
 import heapq
 import unicodedata
 from functools import lru_cache
-from itertools import chain, product
+from itertools import product
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from meeple.llm.common import code_points, map_slices, row_ids, ship_code
+from meeple.llm.common import BYTE_CODES, SpanHasher, code_points, map_slices, row_ids, ship_code
 
 # --- the automaton ----------------------------------------------------------------------------
 
@@ -171,7 +171,7 @@ def token_starts(texts: list[str]) -> tuple[str, np.ndarray, np.ndarray]:
 
 # --- merging ------------------------------------------------------------------------------------
 
-_CACHE_ENTRIES = 50_000
+_CACHE_ENTRIES = 200_000
 _HEAP_FROM = 49  # longer pre-tokens are merged one by one, with a heap
 _NO_RANK = np.int32(2**31 - 1)
 
@@ -225,10 +225,76 @@ class PairTable:
         return out
 
 
+class PieceCache:
+    """Ids of byte strings, in flat arrays ordered by the strings' 64-bit hashes. A hit is checked
+    byte by byte."""
+
+    def __init__(self):
+        self.keys = np.zeros(0, np.uint64)
+        # per entry: first byte, number of bytes, first id, number of ids
+        self.table = np.zeros((4, 0), np.int64)
+        self.raw, self.ids = np.zeros(0, np.uint8), np.zeros(0, np.int32)
+
+    def __len__(self) -> int:
+        return len(self.keys)
+
+    def find(self, keys: np.ndarray, data: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+        """Entry of each string, or -1."""
+        if not len(self.keys):
+            return np.full(len(keys), -1, dtype=np.int64)
+        at = np.minimum(np.searchsorted(self.keys, keys), len(self.keys) - 1)
+        hit = np.flatnonzero((self.keys[at] == keys) & (self.table[1, at] == sizes))
+        same = equal_spans(self.raw, self.table[0, at[hit]], data, starts[hit], sizes[hit])
+        out = np.full(len(keys), -1, dtype=np.int64)
+        out[hit[same]] = at[hit[same]]
+        return out
+
+    def add(self, keys, data, starts, sizes, ids: np.ndarray, counts: np.ndarray) -> None:
+        """Enter strings with their ids, which lie one after another."""
+        order = np.argsort(keys, kind="stable")
+        rows = np.stack([
+            len(self.raw) + np.cumsum(sizes) - sizes, sizes, len(self.ids) + np.cumsum(counts) - counts, counts
+        ])
+        place = np.searchsorted(self.keys, keys[order])
+        self.keys = np.insert(self.keys, place, keys[order])
+        self.table = np.insert(self.table, place, rows[:, order], axis=1)
+        self.raw = np.concatenate([self.raw, data[ragged(starts, sizes)]])
+        self.ids = np.concatenate([self.ids, ids.astype(np.int32)])
+
+    def ids_of(self, entries: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The entries' ids, one after another, and their numbers."""
+        _, _, at, n = self.table[:, entries]
+        return self.ids[ragged(at, n)], n
+
+
+def ragged(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """starts[0], starts[0] + 1, ... (sizes[0] of them), then those of starts[1], and so on."""
+    ends = np.cumsum(sizes)
+    return np.repeat(starts - ends + sizes, sizes) + np.arange(ends[-1] if len(ends) else 0)
+
+
+def equal_spans(a: np.ndarray, a_starts: np.ndarray, b: np.ndarray, b_starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """Mask: are a[a_start : a_start + size] and b[b_start : b_start + size] the same?"""
+    same = np.ones(len(sizes), dtype=bool)
+    index = ragged(b_starts, sizes)
+    wrong = np.flatnonzero(a[index + np.repeat(a_starts - b_starts, sizes)] != b[index])
+    if len(wrong):
+        same[np.searchsorted(np.cumsum(sizes), wrong, side="right")] = False
+    return same
+
+
+def _flat(strings: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """Byte strings one after another, and len+1 offsets."""
+    offsets = np.zeros(len(strings) + 1, dtype=np.int64)
+    np.cumsum([len(x) for x in strings], out=offsets[1:])
+    return np.frombuffer(b"".join(strings), dtype=np.uint8), offsets
+
+
 class Codec:
-    """Ranks of byte strings; encodes pre-tokens with a bounded two-generation cache."""
+    """Ranks of byte strings. Encodes a slice of texts at once: equal pre-tokens are looked up or
+    merged once, in numpy, behind a bounded two-generation cache; their ids are then gathered."""
 
-    def __init__(self, rank_file: bytes):
+    def __init__(self, rank_file: bytes, cache_entries: int = _CACHE_ENTRIES):
         self.ranks = {
             base64.b64decode(token): int(rank) for token, rank in (line.split() for line in rank_file.splitlines() if line)
         }
@@ -236,20 +302,26 @@ class Codec:
         self.bytes_of = [b""] * size
         for token, rank in self.ranks.items():
             self.bytes_of[rank] = token
-        self.text_of = [str(i) for i in range(size)]
+        self.raw, self.raw_at = _flat(self.bytes_of)
+        self.digits, self.digits_at = _flat([b"%d," % i for i in range(size)])
         self.single = np.array([self.ranks[bytes([i])] for i in range(256)], dtype=np.int32)
         self.pairs = PairTable(self.ranks)
-        self._young: dict[str, tuple[int, ...]] = {}
-        self._old: dict[str, tuple[int, ...]] = {}
-
-    def _merge_many(self, raws: list[bytes]) -> list[tuple[int, ...]]:
+        self.cache_entries = cache_entries
+        self.known = PieceCache()  # the vocabulary itself: such a pre-token is one token
+        data, offsets = _flat(list(self.ranks))
+        keys = SpanHasher(BYTE_CODES[data])(offsets[:-1], offsets[1:])
+        ranks = np.array(list(self.ranks.values()))
+        self.known.add(keys, data, offsets[:-1], np.diff(offsets), ranks, np.ones(len(ranks), np.int64))
+        self._young, self._old = PieceCache(), PieceCache()
+
+    def _merge_many(self, data: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Ids of short byte strings, all at once: in every round each string merges its pair of
         least rank (leftmost first). Parts are linked by position, so nothing moves."""
-        n, width = len(raws), max(map(len, raws))
-        grid = np.frombuffer(b"".join([r.ljust(width, b"\0") for r in raws]), dtype=np.uint8).reshape(n, width)
-        length = np.array([len(r) for r in raws])
-        ids = self.single[grid]
+        n, width = len(starts), int(sizes.max())
         column = np.arange(width)
+        grid = np.take(data, starts[:, None] + column, mode="clip")
+        length = sizes
+        ids = self.single[grid]
         alive = column[None, :] < length[:, None]
         stop = np.broadcast_to(column + 1, (n, width)).astype(np.int64)  # start of the next part
         prev = np.broadcast_to(column - 1, (n, width)).astype(np.int64)
@@ -278,9 +350,7 @@ class Codec:
             left = prev[rows, at]
             has = left >= 0
             rank[rows[has], left[has]] = self.pairs.ranks(ids[rows[has], left[has]], least[has])
-        flat = ids[alive].tolist()
-        ends = np.cumsum(alive.sum(axis=1)).tolist()
-        return [tuple(flat[a:b]) for a, b in zip([0, *ends[:-1]], ends)]
+        return ids[alive], alive.sum(axis=1)
 
     def _merge_long(self, raw: bytes) -> tuple[int, ...]:
         """The same order of merges with a heap and links, for very long pre-tokens."""
@@ -310,48 +380,93 @@ class Codec:
             i = stop[i]
         return tuple(out)
 
-    def pieces(self, pieces: list[str]) -> list[tuple[int, ...]]:
-        """Ids of every pre-token. New short ones enter the cache; when it is full, the older
+    def _merged(self, data: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of different byte strings, one after another, and their numbers."""
+        parts, counts = [np.zeros(0, np.int32)], np.zeros(len(starts), dtype=np.int64)
+        order = np.argsort(sizes, kind="stable")  # similar widths together
+        short = int(np.searchsorted(sizes[order], _HEAP_FROM))
+        for i in range(0, short, 4096):
+            rows = order[i : min(short, i + 4096)]
+            ids, counts[rows] = self._merge_many(data, starts[rows], sizes[rows])
+            parts.append(ids)
+        for row in order[short:]:
+            ids = self._merge_long(data[starts[row] : starts[row] + sizes[row]].tobytes())
+            counts[row] = len(ids)
+            parts.append(np.array(ids, dtype=np.int32))
+        ids, of = np.concatenate(parts), counts[order]
+        at = np.empty(len(starts), dtype=np.int64)
+        at[order] = np.cumsum(of) - of
+        return ids[ragged(at, counts)], counts
+
+    def _pieces(self, keys, data, starts, sizes) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of different pre-tokens. New short ones enter the cache; when it is full, the older
         half of it goes."""
-        found = list(map(self._young.get, pieces))
-        missing = {p for p, f in zip(pieces, found) if f is None}
-        if not missing:
-            return found
-        extra: dict[str, tuple[int, ...]] = {}
-        merge: list[tuple[str, bytes]] = []
-        for p in missing:
-            ids = self._old.get(p)
-            if ids is None:
-                raw = p.encode("utf-8")
-                rank = self.ranks.get(raw)
-                if rank is not None:
-                    ids = (rank,)
-                elif len(raw) >= _HEAP_FROM:
-                    extra[p] = self._merge_long(raw)
-                    continue
-                else:
-                    merge.append((p, raw))
-                    continue
-            extra[p] = ids
-        merge.sort(key=lambda x: len(x[1]))  # similar widths together
-        for i in range(0, len(merge), 4096):
-            part = merge[i : i + 4096]
-            extra.update(zip([p for p, _ in part], self._merge_many([r for _, r in part])))
-        if len(self._young) + len(extra) > _CACHE_ENTRIES:
-            self._old, self._young = self._young, {}
-        self._young.update((p, i) for p, i in extra.items() if len(p) < _HEAP_FROM)
-        return [extra[p] if f is None else f for p, f in zip(pieces, found)]
+        at = np.zeros(len(keys), dtype=np.int64)  # where their ids start in the parts below
+        counts = np.zeros(len(keys), dtype=np.int64)
+        parts, done = [], 0
+        open_ = np.arange(len(keys))
+        for cache in (self.known, self._young, self._old, None):
+            if cache is None:
+                rows = open_
+                ids, n = self._merged(data, starts[rows], sizes[rows])
+            else:
+                entries = cache.find(keys[open_], data, starts[open_], sizes[open_])
+                rows, open_ = open_[entries >= 0], open_[entries < 0]
+                ids, n = cache.ids_of(entries[entries >= 0])
+            at[rows], counts[rows] = done + np.cumsum(n) - n, n
+            parts.append(ids)
+            done += len(ids)
+            if cache in (self._old, None):
+                keep = sizes[rows] < _HEAP_FROM
+                if cache is None and len(self._young) + keep.sum() > self.cache_entries:
+                    self._old, self._young = self._young, PieceCache()
+                self._young.add(keys[rows[keep]], data, starts[rows[keep]], sizes[rows[keep]], ids[np.repeat(keep, n)], n[keep])
+        return np.concatenate(parts)[ragged(at, counts)], counts
+
+    def encode_flat(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts, one after another, and the first id of each (len+1 offsets)."""
+        if not texts:
+            return np.zeros(0, np.int32), np.zeros(1, np.int64)
+        joined, starts, offsets = token_starts(texts)
+        data = np.frombuffer(joined.encode("utf-8"), dtype=np.uint8)
+        if len(data) > len(joined):  # from code points to bytes
+            byte_at = np.append(np.flatnonzero(data & 0xC0 != 0x80), len(data))
+            starts, offsets = byte_at[starts], byte_at[offsets]
+        ends = np.append(starts[1:], len(data))
+        piece = ~np.isin(starts, offsets[1:] - 1)  # the last start of every text is its end mark
+        starts, ends = starts[piece], ends[piece]
+        sizes = ends - starts
+        keys = SpanHasher(BYTE_CODES[data])(starts, ends)
+        _, first, which = np.unique(keys, return_index=True, return_inverse=True)
+        same = (sizes == sizes[first[which]]) if len(starts) else np.zeros(0, bool)
+        like = np.flatnonzero(same)
+        same[like] = equal_spans(data, starts[first[which[like]]], data, starts[like], sizes[like])
+        other = np.flatnonzero(~same)  # equal hashes of different bytes: pieces of their own
+        which[other] = len(first) + np.arange(len(other))
+        first = np.concatenate([first, other])
+        ids, counts = self._pieces(keys[first], data, starts[first], sizes[first])
+        at = np.cumsum(counts) - counts
+        n = counts[which]
+        total = np.concatenate([[0], np.cumsum(n)])
+        return ids[ragged(at[which], n)], total[np.searchsorted(starts, offsets)]
 
     def encode(self, texts: list[str]) -> list[list[int]]:
         """Ids of every text."""
-        if not texts:
-            return []
-        joined, starts, offsets = token_starts(texts)
-        bounds = starts.tolist()
-        first = np.searchsorted(starts, offsets).tolist()
-        ids = self.pieces([joined[a:b] for a, b in zip(bounds, [*bounds[1:], len(joined)])])
-        # the last piece of every text is its end mark
-        return [list(chain.from_iterable(ids[first[k] : first[k + 1] - 1])) for k in range(len(texts))]
+        ids, at = self.encode_flat(texts)
+        return [ids[a:b].tolist() for a, b in zip(at, at[1:])]
+
+    def digests(self, texts: list[str]) -> tuple[np.ndarray, list[str], list[str]]:
+        """Of every text: the number of ids, the digest of the decimal ids joined by commas, and
+        that of the bytes which the ids decode to."""
+        ids, at = self.encode_flat(texts)
+
+        def gathered(flat, offsets, drop):
+            size = offsets[ids + 1] - offsets[ids]
+            ends = np.concatenate([[0], np.cumsum(size)])[at]
+            raw = flat[ragged(offsets[ids], size)].tobytes()
+            return [hashlib.sha256(raw[a : max(a, b - drop)]).hexdigest() for a, b in zip(ends.tolist(), ends[1:].tolist())]
+
+        return np.diff(at), gathered(self.digits, self.digits_at, 1), gathered(self.raw, self.raw_at, 0)
 
     def offsets(self, ids: list[int]) -> list[int]:
         """Byte offset of each id's token in the decoded bytes, and the total length."""
@@ -420,15 +535,8 @@ def digests(docs: DataFrame, rank_path: str | None = None) -> DataFrame:
     sent = _sent(docs.sparkSession, rank_path)
 
     def run(texts, rows):
-        codec = _codec(sent.value)
-        encoded = codec.encode(texts)
-        name = codec.text_of.__getitem__
-        return {
-            "doc_id": row_ids(rows),
-            "n_tokens": [len(i) for i in encoded],
-            "ids_sha256": [hashlib.sha256(",".join(map(name, i)).encode()).hexdigest() for i in encoded],
-            "decoded_sha256": [hashlib.sha256(codec.decode(i)).hexdigest() for i in encoded],
-        }
+        n, ids, decoded = _codec(sent.value).digests(texts)
+        return {"doc_id": row_ids(rows), "n_tokens": n, "ids_sha256": ids, "decoded_sha256": decoded}
 
     kind = docs.schema["doc_id"].dataType.simpleString()
     schema = f"doc_id {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string"

@@ -40,17 +40,52 @@ def test_decoding_and_offsets(codec):
         assert offsets[0] == 0 and offsets[-1] == len(text.encode())
 
 
+def test_every_code_point_is_classed_as_in_the_library(codec, library):
+    """Each code point between a letter, a digit, a mark and a blank."""
+    for plane in range(0, 0x110000, 0x10000):
+        points = [c for c in range(plane, plane + 0x10000) if not 0xD800 <= c < 0xE000]
+        texts = ["".join(f"x{chr(c)}1{chr(c)}!{chr(c)} {chr(c)}" for c in points[i : i + 64]) for i in range(0, len(points), 64)]
+        for text, ids in zip(texts, codec.encode(texts)):
+            assert ids == library.encode_ordinary(text), hex(ord(text[1]))
+
+
 def test_a_full_cache_changes_nothing(library):
     with open(bpe.default_ranks(), "rb") as f:
-        small = bpe.Codec(f.read())
-    bpe._CACHE_ENTRIES, before = 50, bpe._CACHE_ENTRIES
-    try:
-        rng = random.Random(2)
-        for _ in range(20):
-            text = " ".join("".join(rng.choice("abcdefgh") for _ in range(6)) for _ in range(60))
-            assert small.encode([text]) == [library.encode_ordinary(text)]
-    finally:
-        bpe._CACHE_ENTRIES = before
+        small = bpe.Codec(f.read(), cache_entries=50)
+    rng = random.Random(2)
+    for _ in range(20):
+        text = " ".join("".join(rng.choice("abcdefgh") for _ in range(6)) for _ in range(60))
+        assert small.encode([text, text]) == [library.encode_ordinary(text)] * 2
+        assert len(small._young) <= 50 + 120 and len(small._old) <= 50 + 120
+
+
+@pytest.mark.parametrize("hashes", [lambda s, e: s * 0, lambda s, e: (e - s) % 3, lambda s, e: e - s])
+def test_equal_hashes_of_different_pieces(library, hashes, monkeypatch):
+    class Poor:
+        def __init__(self, codes):
+            pass
+
+        def __call__(self, starts, ends):
+            return hashes(starts, ends).astype("uint64")
+
+    monkeypatch.setattr(bpe, "SpanHasher", Poor)
+    with open(bpe.default_ranks(), "rb") as f:
+        poor = bpe.Codec(f.read(), cache_entries=40)
+    texts = ["the cat sat on the mat's end, in 1999", "Ünï 中文 zzzqqq the the zqzqz", "", "end in the cat zqzqz"]
+    for _ in range(3):
+        assert poor.encode(texts) == [library.encode_ordinary(t) for t in texts]
+
+
+def test_digests_of_many_texts_equal_the_ids(codec, library):
+    rng = random.Random(3)
+    texts = [" ".join(rng.choice(["alpha", "beta", "Γάμμα", "", "x" * 60, "7"]) for _ in range(rng.randint(0, 30))) for _ in range(200)]
+    texts += ["", "a"]
+    n, ids, decoded = codec.digests(texts)
+    for k, text in enumerate(texts):
+        want = library.encode_ordinary(text)
+        assert n[k] == len(want)
+        assert ids[k] == hashlib.sha256(",".join(map(str, want)).encode()).hexdigest()
+        assert decoded[k] == hashlib.sha256(text.encode()).hexdigest()
 
 
 def test_query(docs, library):
