@@ -18,6 +18,7 @@ from pathlib import Path
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -321,9 +322,11 @@ def connected_components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFr
         nxt = stage(small.unionByName(lowest.select(F.col("m").alias("lo"), "hi")).distinct(), "cc")
         unstage(least, large, lowest, cur)
         cur = nxt
-    return cur.select(F.col("hi").alias("node"), F.col("lo").alias("component")).unionByName(
+    out = cur.select(F.col("hi").alias("node"), F.col("lo").alias("component")).unionByName(
         cur.select(F.col("lo").alias("node"), F.col("lo").alias("component")).distinct()
     )
+    out._staged_path = cur._staged_path  # unstage() frees it
+    return out
 
 
 def _only_stars(edges: DataFrame) -> bool:
@@ -342,9 +345,37 @@ def release(spark: SparkSession) -> None:
     spark.sparkContext._jvm.System.gc()
 
 
-def shards(spark: SparkSession, per_partition: int = 4) -> int:
-    """Number of hash shards that data is packed into for one shuffle."""
-    return per_partition * max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
+#: Bytes of packed data that a hash shard holds on average, in one task's memory at a time.
+SHARD_BYTES = 64 << 20
+
+
+def shards(spark: SparkSession, per_partition: int = 4, n_bytes: int = 0) -> int:
+    """Number of hash shards that about ``n_bytes`` are packed into for one shuffle."""
+    cores = max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
+    return max(per_partition * cores, -(-n_bytes // SHARD_BYTES))
+
+
+def text_bytes_of(docs: DataFrame, text: str = "text") -> int:
+    """UTF-8 bytes of all texts (one scan of the column)."""
+    return docs.agg(F.sum(F.octet_length(text))).first()[0] or 0
+
+
+def numbered(docs: DataFrame, columns: list[str], name: str = "_row") -> DataFrame:
+    """``columns`` and a number ``name`` that tells all rows apart, the same in every scan however
+    the files are split: a hash of the file's name, free of collisions among the files at hand,
+    and the row's place in the file. A frame that is no plain scan of files is written first."""
+    try:
+        placed = docs.select(*columns, F.col("_metadata.file_path").alias("_file"), F.col("_metadata.row_index").alias(name))
+    except AnalysisException:
+        return numbered(stage(docs.select(*columns), "numbered-rows"), columns, name)
+    files = stage(placed.groupBy("_file").agg(F.max(name).alias("last")), "files")
+    bits = int(files.agg(F.max("last")).first()[0] or 0).bit_length()
+    seed, n = 0, files.count()
+    number = lambda: F.pmod(F.xxhash64(F.lit(seed), "_file"), F.lit(1 << (62 - bits)))
+    while files.select(number()).distinct().count() < n:
+        seed += 1
+    unstage(files)
+    return placed.withColumn(name, number() * F.lit(1 << bits) + F.col(name)).drop("_file")
 
 
 def batches_of(batches: Iterator[pa.RecordBatch], text: str, limit: int) -> Iterator[tuple[int, list[str], pa.RecordBatch]]:

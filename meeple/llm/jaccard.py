@@ -6,9 +6,10 @@ Two documents link when the Jaccard similarity of their sets of 5-word shingles
 1. Sets are packed into hash shards once; a shard counts its shingles and answers with those
    that more than one set has. A set with too few of them has no partner.
 2. Every set is ordered by global frequency, rare first; only a prefix of it is indexed. A set's
-   size bounds the sizes its partners may have, so the list of a shingle is cut into blocks by
-   size, and blocks outside that range are skipped whole, except in the pivot join (3), which has
-   no blocks. Positions choose no blocks; they filter the joined pairs.
+   size and a probe's position bound the sizes and positions of its partners, so the list of a
+   shingle is cut into blocks by size and by position in the prefix, and a probe reads only the
+   blocks inside those bounds (:func:`_probed`); the others are skipped whole, in the pivot join
+   (3) too.
 3. Each list's pivot is the set with the fewest rarer tokens (the original among edited copies):
    all others are compared with it first. What is linked to one pivot is one component already;
    only pairs across components remain.
@@ -29,7 +30,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from meeple.llm.common import (
-    batches_of, connected_components, few_files, give_back_memory, lean, mix64, release, shards, ship_code, stage, unstage, word_hashes,
+    batches_of, connected_components, give_back_memory, lean, mix64, release, shards, ship_code, stage, text_bytes_of, unstage,
+    word_hashes,
 )
 
 WORDS = 5
@@ -96,7 +98,8 @@ def sets(docs: DataFrame, id_col: str) -> DataFrame:
     them. One set at least of each digest carries its tokens."""
     spark = docs.sparkSession
     ship_code(spark)
-    n_shards = min(shards(spark), 1 << 16)
+    # a shingle a word: about twice the text's bytes
+    n_shards = min(shards(spark, n_bytes=2 * text_bytes_of(docs)), 1 << 16)
     row = pa.schema([("shard", pa.int32()), ("batch", pa.int64()), ("data", pa.binary())])
 
     def split(batches):
@@ -114,7 +117,8 @@ def sets(docs: DataFrame, id_col: str) -> DataFrame:
                 np.array([len(texts)], np.int64).tobytes(), np.array(ids.fill_null(0), np.int64).tobytes(),
                 sizes.tobytes(), known.tobytes(), first.astype(np.uint8).tobytes(), *digests,
             ])
-            out = [(-1 - number % n_shards, meta)]
+            spread = int(mix64(np.array([number], np.uint64))[0])  # numbers are multiples of 2**32 and a few
+            out = [(-1 - spread % n_shards, meta)]
             own = [i for i in np.flatnonzero(first) if sizes[i]]
             if own:
                 tokens = np.concatenate([found[i] for i in own])
@@ -153,6 +157,7 @@ def sets(docs: DataFrame, id_col: str) -> DataFrame:
     release(spark)
     out = stage(answers.groupBy("batch").applyInArrow(_gather, "id long, n long, digest binary, tokens array<long>"), "sets")
     unstage(answers)
+    release(spark)
     return out
 
 
@@ -220,30 +225,59 @@ def _verified(pairs: DataFrame, own: DataFrame) -> DataFrame:
     return both.select("x", "y", "nx", "ny", overlap.alias("overlap")).withColumn("linked", _links(F.col("nx"), F.col("ny"), F.col("overlap")))
 
 
-#: Index blocks: sizes within a factor of 4/3 share a band.
+#: Index blocks: sizes within a factor of 4/3 share a band, and a prefix has so many blocks.
 _BAND = float(np.log(DEN / NUM))
+_BLOCKS = 4
 
 
 def _band(size):
     return F.floor(F.log(size.cast("double")) / _BAND).cast("int")
 
 
+def _indexed(entries: DataFrame) -> DataFrame:
+    """Index entries with their block: the band of the size, the part of the prefix."""
+    prefix = F.col("n") - F.ceil(F.col("n") * NUM / DEN) + 1
+    return entries.withColumn("band", _band(F.col("n"))).withColumn("block", F.floor(_BLOCKS * F.col("pos") / prefix).cast("int"))
+
+
+def _probed(entries: DataFrame, largest) -> DataFrame:
+    """A row for each block that may hold partners of an entry, their sizes up to ``largest``.
+
+    A pair needs needed = share * (n + m) tokens in common, share = NUM / (NUM + DEN). The n - pos tokens
+    from the probe's position on must be as many, which bounds m; in a band, the partner's position
+    is at most m - needed, in parts of its prefix (at least m * (1 - NUM / DEN) long) less than
+    (1 - share - share * n / m) * DEN / (DEN - NUM), which grows with m."""
+    n, share = F.col("n"), NUM / (NUM + DEN)
+    reach = F.least(largest, F.floor((n - F.col("pos")) / share - n + 1e-6))
+    least = F.ceil(n * NUM / DEN)
+    banded = entries.withColumn("reach", reach).filter(F.col("reach") >= least).withColumn(
+        "band", F.explode(F.sequence(_band(least), _band(F.col("reach"))))
+    )
+    most = F.least(F.col("reach"), F.ceil(F.exp((F.col("band") + 1) * _BAND)) + 1)
+    last = F.floor(_BLOCKS * DEN / (DEN - NUM) * (1 - share - share * n / most) + 1e-6).cast("int")
+    return banded.withColumn("last", last).filter("last >= 0").withColumn(
+        "block", F.explode(F.sequence(F.lit(0), F.least(F.lit(_BLOCKS - 1), "last")))
+    ).drop("reach", "last")
+
+
+def _same_block():
+    return (F.col("p.token") == F.col("q.token")) & (F.col("p.band") == F.col("q.band")) & (F.col("p.block") == F.col("q.block"))
+
+
 def _across(probe: DataFrame, index: DataFrame) -> DataFrame:
     """Pairs of admissible entries of one shingle and different components, the probe's set being
-    the larger one (ties: the larger cid). The probe's size bounds its partners' sizes to
-    those of two blocks at most; other blocks are never touched. Positions filter joined pairs."""
-    left = probe.withColumn("band", F.explode(F.sequence(_band(F.ceil(F.col("n") * NUM / DEN)), _band(F.col("n"))))).alias("p")
-    right = index.withColumn("band", _band(F.col("n"))).alias("q")
+    the larger one (ties: the larger cid)."""
+    left, right = _probed(probe, F.col("n")).alias("p"), _indexed(index).alias("q")
     return (
-        left.join(right, (F.col("p.token") == F.col("q.token")) & (F.col("p.band") == F.col("q.band")) & (F.col("p.comp") != F.col("q.comp"))
+        left.join(right, _same_block() & (F.col("p.comp") != F.col("q.comp"))
                   & (F.struct("p.n", "p.cid") > F.struct("q.n", "q.cid")) & _admissible("p", "q"))
         .select(F.least("p.cid", "q.cid").alias("x"), F.greatest("p.cid", "q.cid").alias("y"))
     )
 
 
-def _decided(pairs: DataFrame, known: DataFrame, own: DataFrame) -> DataFrame:
-    """x, y, overlap, linked of ``pairs``: from overlaps with a shared pivot where the bounds
-    decide, else by intersection. ``known``: x (pivot), y, overlap, nx, ny.
+def _decided(pairs: DataFrame, known: DataFrame, own: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """x, y, linked of ``pairs``: from overlaps with a shared pivot where the bounds decide, else by
+    intersection; and the table of bounds it reads. ``known``: x (pivot), y, overlap, nx, ny.
 
     With pivot p: overlap(x, y) is at least overlap(p, x) + overlap(p, y) - |p| and at most
     min(overlap(p, x), overlap(p, y)) + min(|x| - overlap(p, x), |y| - overlap(p, y))."""
@@ -260,7 +294,7 @@ def _decided(pairs: DataFrame, known: DataFrame, own: DataFrame) -> DataFrame:
     )
     judged = stage(pairs.join(bounds, ["x", "y"], "left"), "bounds")
     checked = _verified(judged.filter("over IS NULL OR (over < 0 AND under >= 0)"), own).select("x", "y", "linked")
-    return checked.unionByName(judged.filter("over >= 0").select("x", "y", F.lit(True).alias("linked")))
+    return checked.unionByName(judged.filter("over >= 0").select("x", "y", F.lit(True).alias("linked"))), judged
 
 
 def components(docs: DataFrame, id_col: str = "doc_id") -> DataFrame:
@@ -290,10 +324,13 @@ def components(docs: DataFrame, id_col: str = "doc_id") -> DataFrame:
         .filter("size > 1").select("token", "p.*"), "pivots",
     )
     star = (
-        entries.alias("e").join(pivots.alias("p"), "token").filter((F.col("p.cid") != F.col("e.cid")) & _admissible("p", "e"))
-        .select(F.col("p.cid").alias("x"), F.col("e.cid").alias("y")).distinct()
+        _probed(pivots, F.floor(F.col("n") * DEN / NUM)).alias("p").join(
+            _indexed(entries).alias("q"), _same_block() & (F.col("p.cid") != F.col("q.cid")) & _admissible("p", "q")
+        ).select(F.col("p.cid").alias("x"), F.col("q.cid").alias("y")).distinct()
     )
     known = stage(_verified(star, own), "pivot-overlaps")
+    unstage(pivots)
+    release(spark)
     # what is linked to one pivot is together: every set goes to its pivot with the most links, and
     # with it to that one's (sets apart here may be linked all the same: their pairs are looked
     # at again, and all links meet in the end)
@@ -307,33 +344,41 @@ def components(docs: DataFrame, id_col: str = "doc_id") -> DataFrame:
         "cid", F.coalesce("next", "comp").alias("comp")
     )
     placed = stage(entries.join(first, "cid", "left").withColumn("comp", F.coalesce("comp", "cid")), "placed")
+    unstage(entries, degree, near)
     parts = placed.groupBy("token", "comp").agg(F.count("*").alias("size"))
     main = stage(
         parts.groupBy("token").agg(F.max_by("comp", F.struct("size", "comp")).alias("main"), F.count("*").alias("parts"))
         .filter("parts > 1").select("token", "main"), "main-parts",
     )
     split = stage(placed.join(main, "token"), "open-lists")
+    unstage(placed, main)
     minor, major = split.filter("comp <> main"), split.filter("comp = main")
     rest = stage(
         _across(minor, split).unionByName(_across(major, minor)).distinct()
         .join(known.select(F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y")), ["x", "y"], "left_anti"), "open-pairs",
     )
-    links = stage(
-        _decided(rest, known, own).filter("linked").select("x", "y")
-        .unionByName(known.filter("linked").select("x", "y")), "links",
-    )
-    joined = connected_components(links, "x", "y").withColumnRenamed("node", "cid")
-    named = classes.select("digest", "cid", "rep").join(joined, "cid", "left").withColumn("component", F.coalesce("component", "cid"))
+    unstage(split)
+    release(spark)
+    decided, judged = _decided(rest, known, own)
+    links = stage(decided.filter("linked").select("x", "y").unionByName(known.filter("linked").select("x", "y")), "links")
+    unstage(judged, rest, known, own)
+    release(spark)
+    joined = connected_components(links, "x", "y")
+    named = classes.select("digest", "cid", "rep").join(joined.withColumnRenamed("node", "cid"), "cid", "left").withColumn("component", F.coalesce("component", "cid"))
     named = stage(named, "named")
     smallest = stage(named.groupBy("component").agg(F.min("rep").alias("component_id")), "smallest")
     placed_in = stage(named.select("digest", "component").join(smallest, "component").select("digest", "component_id"), "class-components")
-    out = every.join(placed_in, "digest", "left").select(
-        F.col("id").alias(id_col), F.col("n").alias("n_shingles"),
-        F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("id")).alias("component_id"),
+    unstage(links, joined, classes, named, smallest)
+    release(spark)
+    out = stage(
+        every.join(placed_in, "digest", "left").select(
+            F.col("id").alias(id_col), F.col("n").alias("n_shingles"),
+            F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("id")).alias("component_id"),
+        ), "components",
     )
-    unstage(entries, pivots, known, degree, near, placed, main, split, rest, links, own, named, smallest)
+    unstage(every, placed_in)
     release(spark)
-    return few_files(out)
+    return out
 
 
 def op8_jaccard(docs: DataFrame) -> DataFrame:

@@ -132,3 +132,51 @@ def test_components_of_chains_stars_and_cycles(spark):
     got = {r["node"]: r["component"] for r in connected_components(df, "x", "y").collect()}
     assert got == roots({a for link in links if link[0] != link[1] for a in link}, links)
     assert connected_components(df.filter(F.lit(False)), "x", "y").count() == 0
+
+
+@pytest.mark.parametrize("partitions", [64, 256])
+def test_documents_spread_over_the_shards(spark, docs, partitions, monkeypatch):
+    """Batch numbers are multiples of 2**32: their groups must not fall together."""
+    keys = {}
+    monkeypatch.setattr(jaccard, "_BATCH_CHARS", 200)
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", str(partitions))
+    seen = []
+    plain = jaccard.stage
+    monkeypatch.setattr(jaccard, "stage", lambda df, label, *a: seen.append(plain(df, label, *a)) or seen[-1])
+    monkeypatch.setattr(jaccard, "unstage", lambda *frames: None)
+    try:
+        rows = [(i, "word%d and some more words of this text here" % i) for i in range(600)]
+        jaccard.components(docs(rows).repartition(120)).count()
+        keys = [r["shard"] for r in seen[0].filter("shard < 0").select("shard").distinct().collect()]
+        batches = seen[0].filter("shard < 0").count()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    assert batches >= 100
+    assert len(keys) > 0.6 * batches  # of 256 or more places
+
+
+def test_every_admissible_pair_meets_in_one_block(spark):
+    rng = np.random.default_rng(8)
+    n = np.concatenate([rng.integers(1, 30, 500), rng.integers(30, 3000, 500)])
+    pos = (rng.random(1000) * (n - -(-75 * n // 100) + 1)).astype(int)
+    rows = [(i, 0, int(a), int(b)) for i, (a, b) in enumerate(zip(n, pos))]
+    entries = spark.createDataFrame(rows, "cid long, token long, n long, pos long").cache()
+    pairs = entries.alias("p").join(entries.alias("q"), (F.col("p.token") == F.col("q.token")) & (F.col("p.cid") != F.col("q.cid")))
+    bounded = {"all": F.floor(F.col("n") * 100 / 75), "smaller": F.col("n")}
+    for kind, largest in bounded.items():
+        want = pairs.filter(jaccard._admissible("p", "q"))
+        if kind == "smaller":
+            want = want.filter("p.n >= q.n")
+        met = jaccard._probed(entries, largest).alias("p").join(
+            jaccard._indexed(entries).alias("q"), jaccard._same_block() & (F.col("p.cid") != F.col("q.cid"))
+        )
+        times = met.groupBy("p.cid", "q.cid").count()
+        got = met.filter(jaccard._admissible("p", "q") & (F.lit(kind == "all") | (F.col("p.n") >= F.col("q.n"))))
+        want_rows = {tuple(r) for r in want.select("p.cid", "q.cid").collect()}
+        assert {tuple(r) for r in got.select("p.cid", "q.cid").collect()} == want_rows
+        assert times.filter("count > 1").isEmpty()  # never twice
+        by_size = jaccard._probed(entries.withColumn("pos", F.lit(0)), largest).select("cid", "band").distinct().alias("p").join(
+            jaccard._indexed(entries).alias("q"), (F.col("p.band") == F.col("q.band")) & (F.col("p.cid") != F.col("q.cid"))
+        )
+        assert met.count() < 0.7 * by_size.count()  # positions skip blocks that sizes alone would read

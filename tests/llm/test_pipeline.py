@@ -67,9 +67,61 @@ def test_near_duplicates_are_dropped_when_a_later_scan_is_split_otherwise(spark,
     assert sorted(r["doc_id"] for r in got) == list(range(200))
 
 
+def test_rows_are_numbered_by_file_and_place(spark, tmp_dir):
+    from meeple.llm.common import numbered
+
+    df = spark.range(0, 5000, 1, 13).selectExpr("id % 7 AS doc_id", "cast(id AS string) AS text")
+    df.write.parquet(f"{tmp_dir}/rows")
+    read = spark.read.parquet(f"{tmp_dir}/rows")
+    first = {r["text"]: r["_row"] for r in numbered(read, ["doc_id", "text"]).collect()}
+    assert len(set(first.values())) == 5000
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "700")
+    try:
+        assert {r["text"]: r["_row"] for r in numbered(read, ["doc_id", "text"]).collect()} == first
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    loose = numbered(df.filter("doc_id < 5"), ["text"])  # no scan of files
+    assert loose.columns == ["text", "_row"] and loose.select("_row").distinct().count() == loose.count() > 3000
+    assert numbered(read.limit(0), ["text"]).count() == 0
+
+
+def _tables(spark, folder, rows, labels, extra=False):
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    if extra:
+        for name in ("_row", "score", "cid", "n", "label", "predicted", "token"):
+            df = df.withColumn(name, corpus_pipeline.F.lit("x"))
+    df.write.parquet(f"{folder}/documents.parquet")
+    spark.createDataFrame(labels, "doc_id long, quality int, toxic int").write.parquet(f"{folder}/labels.parquet")
+    return corpus_pipeline.run(spark, folder)
+
+
+def test_run_on_empty_tables(spark, tmp_dir):
+    assert _tables(spark, tmp_dir, [], []).collect() == []
+
+
+def test_run_on_repeated_rows_null_ids_and_extra_columns(spark, tmp_dir):
+    words = "the of tree house river and to stone light morning with from".split()
+    rng = random.Random(9)
+    texts = [" ".join(rng.choice(words) for _ in range(30)) for _ in range(12)]
+    rows = [(i, t, "en", "s%d" % (i % 2), len(t)) for i, t in enumerate(texts)]
+    rows += [rows[3]] * 4 + [(None, texts[5], None, None, None)] * 3 + [(None, "a text of its own that nobody else has", None, None, None)] * 2
+    rows += [(7, "another text that has the id of the seventh one", "en", "s0", None), (50, None, None, "s1", None), (50, None, None, "s1", None)]
+    got = _tables(spark, tmp_dir, rows, [(i, 1, 0) for i in range(3)], extra=True).collect()
+    ids = [r["doc_id"] for r in got]
+    # mixing may repeat a document; each group of equal texts is there by one id
+    assert set(ids) >= {3, 5, 7, 50} and None in ids
+    digests = {}
+    for r in got:
+        digests.setdefault(r["decoded_sha256"], set()).add(r["doc_id"])
+    assert digests[hashlib.sha256(texts[5].encode()).hexdigest()] == {5}
+    assert digests[hashlib.sha256(b"a text of its own that nobody else has").hexdigest()] == {None}
+    assert len({d for d, i in digests.items() if 7 in i}) == 2
+
+
 def test_registered():
     import __spark_entry__
 
     names = set(__spark_entry__.queries())
     assert set(LLM_QUERIES) <= names and set(LLM_ORACLE) <= set(LLM_QUERIES)
-    assert {n.split("_")[0] for n in LLM_QUERIES} == {*(f"op{i}" for i in range(1, 11)), "pipeline"}
+    assert {n.split("_")[0] for n in LLM_QUERIES} == {*(f"op{i}" for i in range(1, 14)), "pipeline"}
