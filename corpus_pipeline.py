@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from meeple.llm import bpe, jaccard, mixing, pii, toxicity
-from meeple.llm.common import few_files, stage, table
+from meeple.llm.common import few_files, numbered, stage, table, unstage
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
@@ -29,9 +29,9 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     """The first document (smallest doc_id, then place in the table) of each group linked by
     5-word shingles at Jaccard 0.75 or more (operator 8). Texts without a word are no duplicates.
 
-    Rows are told apart by a number, so that a repeated doc_id is no obstacle; it is written with
-    them once, since a later scan may be split otherwise and number them anew."""
-    rows = stage(docs.select(*COLUMNS).withColumn("_row", F.monotonically_increasing_id()), "numbered-rows")
+    Rows are told apart by a number made of their file and place in it, so that a repeated doc_id is
+    no obstacle and no scan, however it is split, numbers them anew."""
+    rows = numbered(docs, COLUMNS)
     groups = jaccard.components(rows.select("_row", "text"), "_row")
     chosen = (
         groups.join(rows.select("_row", "doc_id"), "_row").groupBy("component_id")
@@ -74,5 +74,7 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over ``documents`` of ``sf_dir``."""
     docs = table(spark, sf_dir, "documents")
     for name, function in STAGES:
-        docs = stage(function(spark, docs, sf_dir), f"pipeline-{name}")
+        done = stage(function(spark, docs, sf_dir), f"pipeline-{name}")
+        unstage(docs)  # but for the input table itself, which no stage has written
+        docs = done
     return docs
