@@ -243,6 +243,24 @@ def apply_changes(old: DataFrame, feed: DataFrame, keys: Sequence[str]) -> DataF
     return old.join(gone, list(keys), "left_anti").unionByName(added.select(*old.columns))
 
 
+WEIGHT = "_weight"
+
+
+def signed(feed: DataFrame) -> DataFrame:
+    """A change feed's rows with ``_weight``: +1 for a row that comes, -1 for one that goes."""
+    sign = F.when(F.col(CHANGE_TYPE).isin(INSERT, UPDATE_POST), 1).otherwise(-1).cast("long")
+    return feed.withColumn(WEIGHT, sign).drop(CHANGE_TYPE)
+
+
+def bag_changes(old: DataFrame, new: DataFrame) -> DataFrame:
+    """The change between two versions of a table without a key: each different row with ``_weight``,
+    how many more times the new version has it (negative: fewer). One aggregate, combined
+    map-side; rows that occur equally often cancel."""
+    columns = list(new.columns)
+    both = new.withColumn(WEIGHT, F.lit(1).cast("long")).unionByName(old.select(*columns).withColumn(WEIGHT, F.lit(-1).cast("long")))
+    return both.groupBy(*columns).agg(F.sum(WEIGHT).alias(WEIGHT)).filter(F.col(WEIGHT) != 0)
+
+
 # ----------------------------------------------------------------------------- layout
 
 

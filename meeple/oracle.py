@@ -513,6 +513,14 @@ ORACLE: dict[str, str] = {
     "silver_user_sessions_day": _q(
         f"SELECT * FROM silver_user_sessions WHERE event_date = {RUN_DATE}"
     ),
+    "silver_user_sessions_split": _q("SELECT * FROM silver_user_sessions"),
+    "rolling_active_users": _q(
+        """SELECT d.event_date, count(DISTINCT s.user_id) FILTER (s.event_date = d.event_date) AS users_1d,
+       count(DISTINCT s.user_id) FILTER (s.event_date > d.event_date - 7) AS users_7d, count(DISTINCT s.user_id) AS users_30d
+FROM (SELECT DISTINCT event_date FROM raw_game_sessions WHERE user_id IS NOT NULL) d
+JOIN raw_game_sessions s ON s.event_date <= d.event_date AND s.event_date > d.event_date - 30
+GROUP BY d.event_date"""
+    ),
     "silver_user_sessions_one_login": _q(
         f"SELECT * FROM ({_silver_sessions('first_logins')})"
     ),
@@ -528,6 +536,8 @@ ORACLE: dict[str, str] = {
     "daily_summary_one_day": _daily_summary(f"WHERE event_date = {RUN_DATE}"),
     "daily_summary_from_silver": _daily_summary(),
     "daily_summary_from_cells": _daily_summary(),
+    "daily_summary_from_feed": _daily_summary(),
+    "user_demographics_from_feed": _q("SELECT * FROM demographics"),
     "daily_summary_one_login": _q("SELECT * FROM summary", _summary_ctes("summary", "silver_user_sessions_one_login")),
     "daily_revenue": _q("SELECT * FROM summary_rev", _summary_ctes("summary", "silver_user_sessions")),
     "peak_hour_per_day": _q(

@@ -66,11 +66,11 @@ def _times_copies(cells: DataFrame, users: DataFrame | None, amounts: list[str])
     return joined.select(*[(F.col(c) * copies).alias(c) if c in amounts else F.col(c) for c in cells.columns])
 
 
-def login_cells(logins: DataFrame) -> DataFrame:
-    """Logins counted per (user, day, normalised device)."""
+def login_cells(logins: DataFrame, weight: Column | None = None) -> DataFrame:
+    """Logins counted (or weighed) per (user, day, normalised device)."""
     return logins.groupBy(
         "user_id", "event_date", normalise_label("device_type").alias("login_device")
-    ).agg(F.count(F.lit(1)).alias("logins"))
+    ).agg(F.sum(F.lit(1).cast("long") if weight is None else weight).alias("logins"))
 
 
 def weighted_session_cells(
@@ -87,15 +87,27 @@ def weighted_session_cells(
     """
     if one_login_per_day:
         logins = earliest_login_per_day(logins)
+    return _times_copies(weighed(session_cells(sessions), login_cells(logins)), users, ["n", "dur_tenths", "n_dur"])
+
+
+def session_cells(sessions: DataFrame, weight: Column | None = None) -> DataFrame:
+    """Sessions counted per (user, day, start hour), with their duration total in tenths of a minute
+    and the number of non-NULL durations. ``weight``: what a row counts (1, or -1 for a row that goes)."""
     minutes = duration_minutes("start_time", "end_time")
-    cells = sessions.groupBy("user_id", "event_date", F.hour("start_time").alias("hour")).agg(
-        F.count(F.lit(1)).alias("s_n"),
-        F.sum((minutes * 10).cast("long")).alias("s_dur"),
-        F.count(minutes).alias("s_ndur"),
+    w = F.lit(1).cast("long") if weight is None else weight
+    return sessions.groupBy("user_id", "event_date", F.hour("start_time").alias("hour")).agg(
+        F.sum(w).alias("s_n"),
+        F.sum((minutes * 10).cast("long") * w).alias("s_dur"),
+        F.sum(minutes.isNotNull().cast("long") * w).alias("s_ndur"),
     )
-    joined = cells.join(login_cells(logins), ["user_id", "event_date"], "left")
+
+
+def weighed(cells: DataFrame, logins: DataFrame) -> DataFrame:
+    """Session cells by login device, each counted as often as that device's logins of the user and
+    day (once, with a NULL device, without any)."""
+    joined = cells.join(logins, ["user_id", "event_date"], "left")
     weight = F.coalesce(F.col("logins"), F.lit(1).cast("long"))
-    weighted = joined.select(
+    return joined.select(
         "user_id",
         "event_date",
         "hour",
@@ -104,14 +116,14 @@ def weighted_session_cells(
         (F.col("s_dur") * weight).alias("dur_tenths"),
         (F.col("s_ndur") * weight).alias("n_dur"),
     )
-    return _times_copies(weighted, users, ["n", "dur_tenths", "n_dur"])
 
 
-def purchase_cells(purchases: DataFrame, users: DataFrame | None) -> DataFrame:
+def purchase_cells(purchases: DataFrame, users: DataFrame | None, weight: Column | None = None) -> DataFrame:
     """Per (user, day): spend in cents and number of the silver purchases, from the raw
     purchases (no user attribute is read)."""
+    w = F.lit(1).cast("long") if weight is None else weight
     cells = valid_purchases(purchases).groupBy("user_id", "event_date").agg(
-        F.sum(scaled_units("amount", 2)).alias("spent_cents"), F.count("amount").alias("purchases")
+        F.sum(scaled_units("amount", 2) * w).alias("spent_cents"), F.sum(w).alias("purchases")
     )
     return _times_copies(cells, users, ["spent_cents", "purchases"])
 
@@ -148,10 +160,19 @@ def _most_then_smallest(count_col: str, value_col: str) -> Column:
 def _summary(cells: DataFrame, bought: DataFrame) -> DataFrame:
     """The daily summary from session cells (their users are the day's distinct users) and
     purchase cells."""
-    # Per (day, hour, device) first: at most days x 24 x devices rows, combined map-side.
-    per_cell = cells.groupBy("event_date", "hour", "login_device").agg(
+    users = cells.groupBy("event_date").agg(F.count_distinct("user_id").alias("unique_active_users"))
+    return summary_of_days(day_cells(cells), users, day_revenue(bought))
+
+
+def day_cells(cells: DataFrame) -> DataFrame:
+    """Session cells per (day, hour, device): at most days x 24 x devices rows, combined map-side."""
+    return cells.groupBy("event_date", "hour", "login_device").agg(
         F.sum("n").alias("n"), F.sum("dur_tenths").alias("dur_tenths"), F.sum("n_dur").alias("n_dur")
     )
+
+
+def summary_of_days(per_cell: DataFrame, users: DataFrame, revenue: DataFrame) -> DataFrame:
+    """The daily summary from :func:`day_cells`, distinct users and :func:`day_revenue` by day."""
     # One branch over those cells: window sums give each cell its hour's and its device's
     # count for the day, then one aggregate per day picks the winners. The cells are
     # shuffled by day once; the windows and the aggregate reuse that partitioning.
@@ -168,18 +189,21 @@ def _summary(cells: DataFrame, bought: DataFrame) -> DataFrame:
             "top_device_type"
         ),
     )
-    users = cells.groupBy("event_date").agg(F.count_distinct("user_id").alias("unique_active_users"))
-    out = per_day.join(users, "event_date").join(_daily_revenue(bought), "event_date", "left")
+    out = per_day.join(users, "event_date").join(_revenue_columns(revenue), "event_date", "left")
     return out.select(*DAILY_SUMMARY_COLUMNS)
 
 
 def daily_revenue(purchases: DataFrame) -> DataFrame:
     """Per day with silver purchases: total revenue and mean purchase (exact cents, half-up)."""
-    return _daily_revenue(silver_purchase_cells(purchases))
+    return _revenue_columns(day_revenue(silver_purchase_cells(purchases)))
+
+
+def day_revenue(bought: DataFrame) -> DataFrame:
+    """Cents and purchases by day."""
+    return bought.groupBy("event_date").agg(F.sum("spent_cents").alias("cents"), F.sum("purchases").alias("n_buy"))
 
 
-def _daily_revenue(bought: DataFrame) -> DataFrame:
-    revenue = bought.groupBy("event_date").agg(F.sum("spent_cents").alias("cents"), F.sum("purchases").alias("n_buy"))
+def _revenue_columns(revenue: DataFrame) -> DataFrame:
     return revenue.select(
         "event_date",
         units_to_double("cents", 2).alias("total_revenue"),

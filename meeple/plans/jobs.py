@@ -19,12 +19,16 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from meeple.operators import tables
-from meeple.plans import gold, segments, silver
+from meeple.plans import active_users, gold, segments, silver
 from meeple.sources import ingest
 from meeple.sources.readers import as_date, days
 from meeple.sources.schemas import PARTITION_COLUMNS, SCHEMAS, conform, schema_of
 
 
+#: Sessions times logins of a (user, day) above which the silver join splits it.
+HOT_CELL_ROWS = 1 << 22
+
+
 @dataclass(frozen=True)
 class Lake:
     """Table locations under one base folder (shared storage on a cluster)."""
@@ -74,13 +78,15 @@ def run_days(
     run_dates,
     compact_files: int | None = None,
     one_login_per_day: bool = False,
+    cell_rows: int | None = HOT_CELL_ROWS,
 ) -> DataFrame:
     """Refresh silver and gold for a set of days (a day, a backfill) in one pass; returns the gold
     rows written.
 
     ``one_login_per_day=True`` matches a session with its day's earliest login only, in silver
     and in gold, instead of every login as the reference does. ``compact_files`` rewrites each
-    day of silver sessions in that many files by user.
+    day of silver sessions in that many files by user. ``cell_rows``: see
+    :func:`meeple.plans.silver.user_sessions`.
     """
     wanted = sorted({as_date(d) for d in run_dates})
     users = lake.read(spark, "raw_users")
@@ -89,7 +95,7 @@ def run_days(
         for t in ("raw_game_sessions", "raw_logins", "raw_purchases", "raw_leaderboard_snapshots")
     )
 
-    sil_sessions = silver.user_sessions(sessions, users, logins, None, one_login_per_day)
+    sil_sessions = silver.user_sessions(sessions, users, logins, None, one_login_per_day, None if one_login_per_day else cell_rows)
     if compact_files:
         with tables.staging():
             joined = tables.stage(sil_sessions)  # cut points, then the rewrite: joined once
@@ -120,6 +126,24 @@ def run_days(
     return lake.read_days(spark, "gold_daily_summary", wanted, summary.schema)
 
 
+def store_active_users(spark: SparkSession, lake: Lake, run_dates) -> None:
+    """After :func:`run_days`: number the users that are new, and store the days' bitmaps of active
+    users, from the days' cells. :func:`active_users_by_day` reads them over any days."""
+    wanted = sorted({as_date(d) for d in run_dates})
+    with tables.staging():
+        cells = days(lake.read(spark, "gold_session_cells"), wanted).select("user_id", "event_date")
+        schema = T.StructType([T.StructField("user_id", T.StringType()), T.StructField("number", T.LongType())])
+        known = spark.read.schema(schema).parquet(lake.path("user_numbers")) if lake.exists(spark, "user_numbers", schema) else None
+        tables.append(active_users.number_users(cells, known), lake.path("user_numbers"))
+        bitmaps = active_users.day_bitmaps(cells, lake.read(spark, "user_numbers"))
+        tables.replace_days(bitmaps, lake.path("gold_user_bitmaps"), wanted)
+
+
+def active_users_by_day(spark: SparkSession, lake: Lake) -> DataFrame:
+    """Distinct users by day, and of the 7 and 30 days that end with it, over all stored days."""
+    return active_users.rolling_users(lake.read(spark, "gold_user_bitmaps"))
+
+
 def run_day(spark: SparkSession, lake: Lake, run_date: dt.date | str, **options) -> DataFrame:
     """:func:`run_days` for one day (the scheduled job)."""
     return run_days(spark, lake, [run_date], **options)
@@ -184,6 +208,7 @@ LAKE_TABLES = [
     "raw_users", "raw_logins", "raw_game_sessions", "raw_purchases", "raw_leaderboard_snapshots",
     "silver_user_sessions", "silver_purchases_enriched", "silver_leaderboard_enriched",
     "gold_session_cells", "gold_purchase_cells", "gold_daily_summary", "gold_user_day_metrics",
+    "user_numbers", "gold_user_bitmaps",
     "gold_user_demographics", "gold_user_segments",
 ]
 

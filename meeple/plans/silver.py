@@ -9,8 +9,10 @@ Joins are plain equi-joins without hints. Spark broadcasts a side only when its
 is known to be below ``spark.sql.autoBroadcastJoinThreshold`` (statically or, with
 adaptive execution, from the actual shuffle size) and falls back to a sort-merge join
 otherwise, so a user table that grows with the business never has to fit in memory.
-Adaptive skew handling splits a hot user on the fact side; rows without a user can match
-nothing, so they bypass the joins instead of meeting in one task.
+Adaptive skew handling splits a hot user on the fact side, and :mod:`meeple.operators.skew` a
+(user, day) that is hot on both sides. Rows without a user can match nothing: their join key is a
+spread stand-in that the join condition rules out, so they neither meet in one task nor need a
+second scan.
 """
 
 from __future__ import annotations
@@ -21,9 +23,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from meeple.functions.exprs import duration_minutes, money, normalise_label, title_case
+from meeple.operators.skew import split_left_join
 from meeple.sources.readers import day
 
 USER_ATTRS = ["user_id", "age", "gender", "country"]
+_STAND_INS = 1024
 
 
 def earliest_login_per_day(logins: DataFrame) -> DataFrame:
@@ -48,6 +52,7 @@ def user_sessions(
     logins: DataFrame,
     run_date: dt.date | str | None = None,
     one_login_per_day: bool = False,
+    cell_rows: int | None = None,
 ) -> DataFrame:
     """Q1: sessions with user attributes, the day's login device and location, duration.
 
@@ -55,6 +60,9 @@ def user_sessions(
     user with k logins that day yields k rows per session (``one_login_per_day=True``
     keeps only the earliest login and gives exactly one row per session). Sessions
     without a login keep NULL device and location.
+
+    ``cell_rows``: a (user, day) whose sessions times logins are more than that is split over
+    several tasks (:func:`meeple.operators.skew.split_left_join`; it counts both sides first).
     """
     if run_date is not None:
         sessions = day(sessions, run_date)
@@ -63,15 +71,20 @@ def user_sessions(
         if one_login_per_day
         else logins.select("user_id", "event_date", "device_type", "location")
     )
-    known = sessions.filter(F.col("user_id").isNotNull())
-    joined = known.join(users.select(*USER_ATTRS), "user_id", "left").join(
-        login_side, ["user_id", "event_date"], "left"
-    )
-    added = [f for f in joined.schema.fields if f.name not in sessions.columns]
-    unknown = sessions.filter(F.col("user_id").isNull()).select(
-        "*", *[F.lit(None).cast(f.dataType).alias(f.name) for f in added]
-    )
-    return joined.unionByName(unknown).select(
+    # a stand-in for a NULL user, spread over many values; the condition keeps it from matching
+    stand_in = F.concat(F.lit("-"), F.pmod(F.xxhash64("session_id"), F.lit(_STAND_INS)).cast("string"))
+    keyed = sessions.withColumn("_user", F.coalesce("user_id", stand_in))
+    known = F.col("user_id").isNotNull()
+    attributes = users.select(F.col("user_id").alias("_listed"), *USER_ATTRS[1:])
+    joined = keyed.join(attributes, (F.col("_user") == F.col("_listed")) & known, "left")
+    login_side = login_side.select(F.col("user_id").alias("_logged"), F.col("event_date").alias("_day"), "device_type", "location")
+    on = {"_user": "_logged", "event_date": "_day"}
+    if cell_rows is None:
+        matches = (F.col("_user") == F.col("_logged")) & (F.col("event_date") == F.col("_day")) & known
+        joined = joined.join(login_side, matches, "left")
+    else:
+        joined = split_left_join(joined, login_side, on, ["session_id"], cell_rows, known)
+    return joined.select(
         "session_id",
         "user_id",
         "game_type",

@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from meeple.operators import sampling, tables
-from meeple.plans import exact_segments, gold, questions, segments, silver
+from meeple.plans import active_users, exact_segments, gold, gold_feed, questions, segments, silver
 from meeple.session import unique_path
 from meeple.sources import ingest
 from meeple.sources.adapters import AS_OF, RUN_DATE, RawTables, load_raw
@@ -25,9 +25,9 @@ from meeple.sources.readers import day
 Query = Callable[[SparkSession, str], DataFrame]
 
 
-def _silver_sessions(spark: SparkSession, sf: str, run_date=None, one_login=False) -> DataFrame:
+def _silver_sessions(spark: SparkSession, sf: str, run_date=None, one_login=False, cell_rows=None) -> DataFrame:
     r = load_raw(spark, sf)
-    return silver.user_sessions(r.sessions, r.users, r.logins, run_date, one_login)
+    return silver.user_sessions(r.sessions, r.users, r.logins, run_date, one_login, cell_rows)
 
 
 def _silver_purchases(spark: SparkSession, sf: str, run_date=None) -> DataFrame:
@@ -199,11 +199,63 @@ def _summary_versions(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFram
     return old.filter(F.col("event_date") <= F.lit(last_third)), new.filter(F.col("event_date") >= F.lit(first_third))
 
 
+def _earlier_raw(r: RawTables) -> dict[str, DataFrame]:
+    """An earlier version of the raw tables: rows not there yet, rows with other values, rows that
+    are gone since (on days of their own, too), users listed more or less often."""
+    eid = lambda c: F.col(c).cast("long")
+    s, p = r.sessions, r.purchases
+    held = s.filter(eid("session_id") % 11 != 0)
+    other = eid("session_id") % 13 == 0
+    held = held.withColumns({
+        "end_time": F.when(other, F.col("end_time") + F.expr("INTERVAL 7 MINUTES")).otherwise(F.col("end_time")),
+        "user_id": F.when(other, F.lit("1")).otherwise(F.col("user_id")),
+    })
+    gone = s.filter(eid("session_id") % 17 == 0).withColumns({
+        "session_id": F.concat(F.lit("x"), "session_id"), "event_date": F.date_add("event_date", F.when(eid("session_id") % 2 == 0, 400).otherwise(0)),
+    })
+    return {
+        "sessions": held.unionByName(gone),
+        "logins": r.logins.filter(F.col("location") != "City_7").unionByName(r.logins.filter("location = 'City_9'")),
+        "purchases": p.filter(eid("purchase_id") % 10 != 0).withColumn("amount", F.when(eid("purchase_id") % 3 == 0, -F.col("amount")).otherwise(F.col("amount"))),
+        "users": r.users.filter(F.col("username").endswith("_2") == F.lit(False)).unionByName(r.users.filter(F.col("user_id").cast("long") % 59 == 0)),
+    }
+
+
+def _advanced(spark: SparkSession, sf: str):
+    """Stored gold and state of the earlier raw tables, brought up to the present ones by their
+    change feeds: (old gold, new state, touched days). Past the feeds, no raw table is read."""
+    r = load_raw(spark, sf)
+    old = _earlier_raw(r)
+    state = gold_feed.state_of(old["sessions"], old["logins"], old["purchases"], old["users"]).map(tables.stage)
+    feeds = {
+        "sessions": tables.signed(tables.changes(old["sessions"], r.sessions, ["session_id"])),
+        "logins": tables.bag_changes(old["logins"], r.logins),
+        "purchases": tables.signed(tables.changes(old["purchases"], r.purchases, ["purchase_id"])),
+        "users": tables.bag_changes(old["users"], r.users),
+    }
+    before = tables.stage(gold_feed.summary(state))
+    return before, *gold_feed.advance(state, **{k: tables.stage(f) for k, f in feeds.items()})
+
+
+def _rolling_users(spark: SparkSession, sf: str) -> DataFrame:
+    """Users numbered in two runs (as new ones sign up), a stored bitmap table, and the windows."""
+    sessions = _raw(spark, sf, "sessions")
+    first = tables.stage(active_users.number_users(sessions.filter(F.col("user_id").cast("long") % 3 != 0)))
+    numbers = first.unionByName(tables.stage(active_users.number_users(sessions, first)))
+    return active_users.rolling_users(tables.stage(active_users.day_bitmaps(sessions, numbers)))
+
+
+def _summary_from_feed(spark: SparkSession, sf: str) -> DataFrame:
+    before, state, days = _advanced(spark, sf)
+    return gold_feed.advance_summary(before, state, days)
+
+
 QUERIES: dict[str, Query] = {
     # Q1-Q3 silver
     "silver_user_sessions": lambda s, sf: _silver_sessions(s, sf),
     "silver_user_sessions_day": lambda s, sf: _silver_sessions(s, sf, RUN_DATE),
     "silver_user_sessions_one_login": lambda s, sf: _silver_sessions(s, sf, one_login=True),
+    "silver_user_sessions_split": lambda s, sf: _silver_sessions(s, sf, cell_rows=4),
     "silver_purchases_enriched": lambda s, sf: _silver_purchases(s, sf),
     "silver_purchases_day": lambda s, sf: _silver_purchases(s, sf, RUN_DATE),
     "silver_leaderboard_enriched": lambda s, sf: _silver_leaderboard(s, sf),
@@ -219,6 +271,8 @@ QUERIES: dict[str, Query] = {
         gold.purchase_cells(_raw(s, sf, "purchases"), _raw(s, sf, "users")),
     ),
     "daily_summary_one_login": lambda s, sf: _daily_summary(s, sf, one_login=True),
+    "daily_summary_from_feed": _summary_from_feed,
+    "rolling_active_users": _rolling_users,
     "daily_revenue": lambda s, sf: gold.daily_revenue(_silver_purchases(s, sf)),
     "peak_hour_per_day": lambda s, sf: gold.top_per_day(
         _silver_sessions(s, sf), F.hour("start_time"), "peak_hour"
@@ -238,6 +292,7 @@ QUERIES: dict[str, Query] = {
             _raw(s, sf, "sessions"), _raw(s, sf, "logins"), _raw(s, sf, "purchases"), _raw(s, sf, "users")
         ),
     ),
+    "user_demographics_from_feed": lambda s, sf: gold_feed.demographics(_raw(s, sf, "users"), _advanced(s, sf)[1]),
     "user_demographics_from_silver": lambda s, sf: gold.user_demographics_from_silver(
         _raw(s, sf, "users"), _silver_sessions(s, sf), _silver_purchases(s, sf)
     ),

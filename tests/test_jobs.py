@@ -200,3 +200,19 @@ def test_register_tables_for_sql(spark, tmp_dir):
         assert day_rows > 0
     finally:
         spark.sql("DROP DATABASE IF EXISTS meeple_sql_test CASCADE")
+
+
+def test_active_users_by_day_from_stored_bitmaps(spark, tmp_dir):
+    lake, r = build_lake(spark, tmp_dir, DAYS)
+    jobs.run_days(spark, lake, DAYS[:2])
+    jobs.store_active_users(spark, lake, DAYS[:2])
+    jobs.run_days(spark, lake, DAYS[1:])
+    jobs.store_active_users(spark, lake, DAYS[1:])  # a rerun of a day, and a new one
+    seen = {}
+    for row in r.sessions.filter(F.col("event_date").isin(DAYS)).select("user_id", "event_date").distinct().collect():
+        if row["user_id"] is not None:
+            seen.setdefault(row["event_date"], set()).add(row["user_id"])
+    got = {x["event_date"]: (x["users_1d"], x["users_7d"]) for x in jobs.active_users_by_day(spark, lake).collect()}
+    assert got == {d: (len(seen[d]), len(set().union(*(seen[e] for e in DAYS if e <= d)))) for d in DAYS}
+    numbers = lake.read(spark, "user_numbers")
+    assert numbers.count() == numbers.select("user_id").distinct().count() == numbers.agg(F.max("number")).first()[0]

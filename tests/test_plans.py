@@ -30,7 +30,7 @@ def test_day_filter_reaches_both_fact_scans(spark, tmp_dir):
     p = plan(silver.user_sessions(s, r.users, lg, RUN_DATE))
     # the filter is written once on sessions; Catalyst prunes the partitions of both tables
     pruned = re.findall(r"PartitionFilters: \[[^\]]*event_date#\d+ = 2024-01-15", p)
-    assert len(pruned) == 3  # sessions with and without a user, logins
+    assert len(pruned) == 2  # sessions (read once), logins
 
 
 def test_projection_is_pruned_at_scan(spark):
@@ -70,10 +70,25 @@ def test_daily_summary_shuffles_and_scans(spark):
     assert p.count("Exchange hashpartitioning") - reused <= 16
 
 
-def test_sessions_without_a_user_bypass_the_joins(spark):
+def test_silver_sessions_read_every_table_once(spark, tmp_dir):
     r = load_raw(spark, SF_SMALL)
-    p = optimized(silver.user_sessions(r.sessions, r.users, r.logins))
-    assert "Union" in p and p.count("Join LeftOuter") == 2
+    for name in ("sessions", "users", "logins"):
+        getattr(r, name).write.parquet(f"{tmp_dir}/{name}")
+    read = lambda name: spark.read.parquet(f"{tmp_dir}/{name}")
+    p = optimized(silver.user_sessions(read("sessions"), read("users"), read("logins")))
+    assert p.count("Relation [") == 3 and p.count("Join LeftOuter") == 2 and "Union" not in p
+
+
+def test_split_join_replicates_only_heavy_keys(spark):
+    from meeple.operators import skew
+
+    left = spark.range(1000).select((F.col("id") % 10).alias("k"), "id")
+    right = spark.range(100).select((F.col("id") % 20).alias("r"), F.col("id").alias("v"))
+    heavy = {r["k"]: r["_cells"] for r in skew.heavy_keys(left, right, {"k": "r"}, 400).collect()}
+    assert heavy == {k: 2 for k in range(10)}  # 100 x 5 pairs each
+    assert skew.heavy_keys(left, right, {"k": "r"}, 500).isEmpty()
+    p = plan(skew.split_left_join(left, right, {"k": "r"}, ["id"], 400))
+    assert "CartesianProduct" not in p and "NestedLoop" not in p
 
 
 def test_daily_summary_reads_sessions_twice_at_most(spark, tmp_dir):
