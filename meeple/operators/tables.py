@@ -12,8 +12,10 @@
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 from collections.abc import Sequence
 from contextlib import contextmanager
+from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
@@ -171,13 +173,18 @@ def upsert(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataFra
     return kept.unionByName(src.select(*target.columns))
 
 
-def rewrite_table(spark: SparkSession, table: str, rows: DataFrame, location: str) -> None:
-    """Give an unpartitioned catalog table new contents (and columns): write ``rows`` to
-    ``location``, a new folder beside the table's present one, then point the table at it. Readers
-    see the old contents until the last step, and a failed write leaves the table untouched.
-    The old folder stays, readable by path."""
+def rewrite_table(spark: SparkSession, table: str, rows: DataFrame, location: str | None = None) -> None:
+    """Give a catalog table new contents (and columns). An unpartitioned one: write ``rows`` to
+    ``location``, a new folder beside the table's present one, then point the table at it. A
+    partitioned one: :func:`meeple.operators.versions.rewrite`. Readers see the old contents until
+    the last step, and a failed write leaves the table untouched. The old folder stays, readable by
+    path."""
     if any(c.isPartition for c in spark.catalog.listColumns(table)):
-        raise ValueError(f"{table} is partitioned: replace its partitions instead")
+        from meeple.operators import versions
+
+        return versions.rewrite(spark, table, rows)
+    if location is None:
+        raise ValueError(f"{table} is not partitioned: name a new folder")
     names = {f.name: f.dataType for f in rows.schema.fields}
     have = {f.name: f.dataType for f in spark.table(table).schema.fields}
     rows.write.parquet(location)
@@ -282,6 +289,52 @@ def compacted(df: DataFrame, column: str, num_files: int) -> DataFrame:
     )
 
 
+def small_files(df: DataFrame, small_bytes: int, by: Sequence[str] = ()) -> DataFrame:
+    """(by..., file, size, bin) of the files of a table (a plain scan) smaller than ``small_bytes``, of
+    those groups ``by`` (partition columns) that have several. Bins are packed in order of size, up
+    to about ``small_bytes`` each: running totals of a group's sizes, a few numbers a file."""
+    files = df.select(*by, F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_size").alias("size")).distinct()
+    # the scan gives a row a row; distinct is combined map-side to one a file and task
+    low = files.filter(F.col("size") < small_bytes)
+    order = Window.partitionBy(*by).orderBy("size", "file") if by else Window.orderBy("size", "file")
+    whole = Window.partitionBy(*by) if by else Window.partitionBy(F.lit(0))
+    packed = low.withColumn("_n", F.count(F.lit(1)).over(whole)).filter("_n > 1")
+    return packed.withColumn("bin", F.floor((F.sum("size").over(order) - F.col("size")) / small_bytes).cast("int")).drop("_n")
+
+
+def compact_small_files(spark: SparkSession, path: str, small_bytes: int, partition_by: str | None = None) -> dict[str, int]:
+    """S15 by file size: the files of a Parquet table below ``small_bytes`` are packed together, one new
+    file for each bin of about that size; larger files, and groups with a single small one, are not
+    touched and keep their names. Returns by how many files a partition value (or ``""``) has fewer.
+
+    New files are written under a hidden name and moved in when complete, then the old ones go: a
+    reader that lists the folder between these two steps sees rows twice, so run it when the table is
+    not being read (or publish by :mod:`meeple.operators.versions`)."""
+    table = spark.read.parquet(path)
+    by = [partition_by] if partition_by else []
+    found = small_files(table, small_bytes, by).collect()  # names of small files, as the driver's file listing has
+    done: dict[str, int] = {}
+    fs_path = spark._jvm.org.apache.hadoop.fs.Path
+    fs = fs_path(path).getFileSystem(spark._jsc.hadoopConfiguration())
+    groups: dict[tuple, list] = {}
+    for r in found:
+        groups.setdefault((r[by[0]] if by else None, r["bin"]), []).append(unquote(r["file"]))
+    for (value, number), files in sorted(groups.items(), key=str):
+        if len(files) < 2:
+            continue
+        folder = files[0].rsplit("/", 1)[0]
+        hidden = f"{folder}/_compacted-{uuid.uuid4().hex}"
+        spark.read.schema(table.drop(*by).schema).parquet(*files).coalesce(1).write.parquet(hidden)
+        for status in fs.listStatus(fs_path(hidden)):
+            if status.getPath().getName().startswith("part-"):
+                fs.rename(status.getPath(), fs_path(folder, f"compacted-{status.getPath().getName()}"))
+        for file in files:
+            fs.delete(fs_path(file), False)
+        fs.delete(fs_path(hidden), True)
+        done[str(value) if by else ""] = done.get(str(value) if by else "", 0) + len(files) - 1
+    return done
+
+
 def clustered(df: DataFrame, column: str) -> DataFrame:
     """CLUSTER BY: rows with equal ``column`` next to each other, sorted within each
     partition. Uses a rebalancing shuffle so adaptive execution can split a key that holds

@@ -468,6 +468,23 @@ simple_active AS (SELECT * FROM simple_base EXCEPT SELECT * FROM simple_inactive
 )
 
 
+def _frozen() -> str:
+    """Scores under a given scaler (number of users, sums, deviations in thousandths) and given centres."""
+    n, sums, deviations = 1000, (8000, 1_500_000, 2_000_000, 1500), (5002, 500_250, 2_001_000, 2001)
+    units = ["total_sessions", "round(avg_session_duration * 100)", "round(total_spent * 100)", "num_purchases"]
+    q = ", ".join(
+        _floor(f"(CAST({u} AS HUGEINT) * {n} - {s}) * 1000000", f"CAST({n * d} AS HUGEINT)") + f" AS q{i}"
+        for i, (u, s, d) in enumerate(zip(units, sums, deviations))
+    )
+    return _q(
+        f"""SELECT {USER_COLUMNS}, CASE WHEN coalesce({RULES['rate_5']}, false) THEN 'Inactive' ELSE nearest END AS user_segment
+FROM (SELECT u.*, (SELECT arg_min(name, ({_away('u', 'c')}, place)) FROM frozen_centres c) AS nearest FROM frozen_users u)""",
+        f"""
+frozen_centres(place, name, q0, q1, q2, q3) AS (VALUES (0, 'Casual', -500, -500, -500, -500), (1, 'Hardcore', 500, 1000, -250, -250), (2, 'Whale', 250, 0, 1500, 1500)),
+frozen_users AS (SELECT *, {q} FROM aged)""",
+    )
+
+
 def _profile_of(source: str) -> str:
     return f"""SELECT user_segment,
        {_half_up_mean('sum(total_sessions)', 'count(user_id)', 0)} AS avg_sessions,
@@ -508,6 +525,44 @@ RAW_TABLES = {
 }
 
 
+# Ingest with rejects: column, type, broken text and where it stands (a number in the id's place).
+_CHECKED: dict[str, dict[str, tuple[str, str | None, str | None]]] = {
+    "users": {"user_id": ("VARCHAR", "NULL", "CAST(user_id AS BIGINT) % 19 = 0"), "username": ("VARCHAR", None, None), "country": ("VARCHAR", None, None),
+              "signup_date": ("DATE", "'soon'", "CAST(user_id AS BIGINT) % 17 = 0"), "age": ("INTEGER", "'12.5x'", "CAST(user_id AS BIGINT) % 13 = 0"),
+              "gender": ("VARCHAR", None, None)},
+    "logins": {"user_id": ("VARCHAR", "' '", "location = 'City_8'"), "timestamp": ("TIMESTAMP", "'2024-99-01 00:00:00'", "location = 'City_3'"),
+               "device_type": ("VARCHAR", None, None), "location": ("VARCHAR", None, None), "event_date": ("DATE", "'n/a'", "location = 'City_5'")},
+    "sessions": {"session_id": ("VARCHAR", "NULL", "CAST(session_id AS BIGINT) % 37 = 0"), "user_id": ("VARCHAR", None, None), "game_type": ("VARCHAR", None, None),
+                 "start_time": ("TIMESTAMP", "'yesterday'", "CAST(session_id AS BIGINT) % 23 = 0"), "end_time": ("TIMESTAMP", "'25:61'", "CAST(session_id AS BIGINT) % 31 = 0"),
+                 "score": ("INTEGER", "'ten'", "CAST(session_id AS BIGINT) % 29 = 0"), "result": ("VARCHAR", None, None), "event_date": ("DATE", None, None)},
+    "purchases": {"purchase_id": ("VARCHAR", None, None), "user_id": ("VARCHAR", None, None), "item": ("VARCHAR", None, None),
+                  "amount": ("DOUBLE", "'1,5'", "CAST(purchase_id AS BIGINT) % 7 = 0"), "timestamp": ("TIMESTAMP", "'never'", "CAST(purchase_id AS BIGINT) % 11 = 0"),
+                  "event_date": ("DATE", "'2024-02-30'", "CAST(purchase_id AS BIGINT) % 5 = 0")},
+    "leaderboard": {"user_id": ("VARCHAR", None, None), "game_type": ("VARCHAR", None, None), "rank": ("INTEGER", "'first'", "rank = 1"),
+                    "event_date": ("DATE", "''", "rank = 2")},
+}
+_NEEDED = {"users": ["user_id"], "logins": ["user_id", "event_date"], "sessions": ["session_id", "event_date"],
+           "purchases": ["purchase_id", "event_date"], "leaderboard": ["user_id", "game_type", "event_date"]}
+
+
+def _checked(kind: str, good: bool) -> str:
+    """Rows whose cells all parse and whose needed cells are there, or the others with the names of
+    the columns at fault."""
+    columns = _CHECKED[kind]
+    text = ", ".join(
+        f"CASE WHEN {where} THEN {bad} ELSE CAST(\"{c}\" AS VARCHAR) END AS \"{c}\"" if where else f"CAST(\"{c}\" AS VARCHAR) AS \"{c}\""
+        for c, (_, bad, where) in columns.items()
+    )
+    at_fault = ", ".join(
+        f"CASE WHEN (TRY_CAST(\"{c}\" AS {t}) IS NULL AND \"{c}\" IS NOT NULL)"
+        + (f" OR trim(coalesce(\"{c}\", '')) = ''" if c in _NEEDED[kind] else "") + f" THEN '{c}' END"
+        for c, (t, _, _) in columns.items()
+    )
+    typed = ", ".join(f"TRY_CAST(\"{c}\" AS {t}) AS \"{c}\"" for c, (t, _, _) in columns.items())
+    rows = f"SELECT *, concat_ws(',', {at_fault}) AS errors FROM (SELECT {text} FROM {RAW_TABLES[kind]})"
+    return _q(f"SELECT {typed} FROM ({rows}) WHERE errors = ''" if good else f"SELECT * FROM ({rows}) WHERE errors <> ''")
+
+
 ORACLE: dict[str, str] = {
     "silver_user_sessions": _q("SELECT * FROM silver_user_sessions"),
     "silver_user_sessions_day": _q(
@@ -632,6 +687,8 @@ FROM segmented GROUP BY user_segment"""
     # typed ingest and CRM ingest give back the raw rows
     **{f"bronze_{k}_typed": _q(f"SELECT * FROM {t}") for k, t in RAW_TABLES.items()},
     **{f"crm_{k}_ingest": _q(f"SELECT * FROM {t}") for k, t in RAW_TABLES.items()},
+    **{f"bronze_{k}_rejects": _checked(k, False) for k in RAW_TABLES},
+    **{f"bronze_{k}_accepted": _checked(k, True) for k in RAW_TABLES},
     # table maintenance
     "upsert_daily": _q(
         "SELECT * FROM old_v WHERE event_date NOT IN (SELECT event_date FROM new_v) "
@@ -653,6 +710,8 @@ WHERE place <= 20"""
     # the model with given centroids, and the silhouette of given clusters
     "scored_given_centroids": _given_scores(),
     "silhouette_given_clusters": _given_silhouette(),
+    "scored_frozen": _frozen(),
+    "rescored_changed_users": _frozen(),
     # the K-means of whole numbers
     "kmeans_segments": _q("SELECT * FROM trained", TRAINED),
     "scored_segments": _q("SELECT * FROM scored", SCORED),

@@ -29,8 +29,8 @@ from pyspark.sql import functions as F
 from meeple.functions.exprs import scaled_units
 from meeple.operators import tables
 from meeple.plans.segments import (
-    DEFAULT_K, FEATURES, INACTIVE, RATE_RULE_MIN_RATE, SCORE_MIN_MINUTES, SEGMENT_COLUMNS, TRAIN_MIN_MINUTES, inactive_condition,
-    label_clusters, split_inactive, tag, with_account_age,
+    CASUAL, DEFAULT_K, FEATURES, INACTIVE, RATE_RULE_MIN_RATE, SCORE_MIN_MINUTES, SEGMENT_COLUMNS, TRAIN_MIN_MINUTES,
+    cluster_label_map, cluster_profile, inactive_condition, label_clusters, split_inactive, tag, with_account_age,
 )
 
 #: A standardised feature counts so many to the deviation.
@@ -186,6 +186,8 @@ class ExactModel:
 
     scaler: Scaler
     centres: list[Centre]
+    #: Segment of each cluster, as labelled in training; scoring one user needs no other then.
+    labels: tuple[str, ...] = ()
 
     def cluster(self, users: DataFrame, scaler: Scaler | None = None) -> DataFrame:
         """``users`` with their ``cluster``, under the model's scaler or another."""
@@ -193,12 +195,12 @@ class ExactModel:
         return _with_features(users, scaler or self.scaler).withColumn("cluster", F.expr(nearest)).drop(*_Q)
 
     def to_json(self) -> str:
-        return json.dumps({"n": self.scaler.n, "sums": self.scaler.sums, "squares": self.scaler.squares, "centres": self.centres})
+        return json.dumps({"n": self.scaler.n, "sums": self.scaler.sums, "squares": self.scaler.squares, "centres": self.centres, "labels": self.labels})
 
     @classmethod
     def from_json(cls, text: str) -> ExactModel:
         d = json.loads(text)
-        return cls(Scaler(d["n"], tuple(d["sums"]), tuple(d["squares"])), [tuple(c) for c in d["centres"]])
+        return cls(Scaler(d["n"], tuple(d["sums"]), tuple(d["squares"])), [tuple(c) for c in d["centres"]], tuple(d.get("labels", ())))
 
 
 def _with_features(users: DataFrame, scaler: Scaler) -> DataFrame:
@@ -239,6 +241,10 @@ def train_segments(
     users = tables.stage(with_account_age(demographics, as_of))
     active, inactive = split_inactive(users, inactive_condition(rule, min_rate, min_minutes))
     model = fit(active, k)
+    if model.centres:
+        named = cluster_label_map(cluster_profile(model.cluster(active))).select("cluster", "user_segment").collect()  # k rows
+        of = {r["cluster"]: r["user_segment"] for r in named}
+        model = ExactModel(model.scaler, model.centres, tuple(of.get(i, CASUAL) for i in range(len(model.centres))))
     return _finish(active, inactive, model), model
 
 
@@ -266,6 +272,58 @@ def active_users(demographics: DataFrame, as_of: dt.date | str, min_minutes: flo
     return split_inactive(users, inactive_condition("rate", RATE_RULE_MIN_RATE, min_minutes))[0]
 
 
+# --- scoring what changed ---------------------------------------------------------------------
+
+
+def score_frozen(
+    demographics: DataFrame, as_of: dt.date | str, model: ExactModel, min_rate: float = RATE_RULE_MIN_RATE,
+    min_minutes: float = SCORE_MIN_MINUTES,
+) -> DataFrame:
+    """Segment users with a saved model's scaler, centres and labels as they are. Each row's segment
+    depends on that row alone (one projection, no shuffle), so scoring some users gives what
+    scoring all would give them; every row stays, equal ones too."""
+    users = with_account_age(demographics, as_of)
+    idle = F.coalesce(inactive_condition("rate", min_rate, min_minutes), F.lit(False))
+    return _labelled(users, model, F.when(idle, INACTIVE))
+
+
+def _labelled(users: DataFrame, model: ExactModel, known: Column) -> DataFrame:
+    """``users`` with ``user_segment``: ``known`` where it is not NULL, else the nearest cluster's label."""
+    label = F.get(F.array(*[F.lit(x) for x in model.labels]), F.col("cluster"))
+    return model.cluster(users).withColumn("user_segment", F.coalesce(known, label)).drop("cluster")
+
+
+def rescore_changed(
+    stored: DataFrame, users: DataFrame, daily: DataFrame, changed_days: Iterable[dt.date], as_of: dt.date | str, model: ExactModel,
+    changed_users: DataFrame | None = None, min_rate: float = RATE_RULE_MIN_RATE, min_minutes: float = SCORE_MIN_MINUTES,
+) -> DataFrame:
+    """M8/Q7 over what changed since the last run with the same model: equal to
+    :func:`score_frozen` of everybody, and new contents for the ``stored`` table (its result).
+
+    ``daily`` is the per-(user, day) metrics table. Users are summed up and scored again if they
+    have metrics on ``changed_days`` (new or corrected days; a partition filter), are not in
+    ``stored``, or are in ``changed_users`` (user_id; those whose attributes changed, or whose corrected
+    days lost all rows). The others keep metrics and segment; only their account age moves on, and with it
+    the inactive rule, which is looked at again in the same projection."""
+    from meeple.plans import gold
+
+    wanted = daily.filter(F.col("event_date").isin(list(changed_days))).select("user_id")
+    if changed_users is not None:
+        wanted = wanted.unionByName(changed_users.select("user_id"))
+    joined = users.select("user_id").join(stored.select("user_id"), "user_id", "left_anti")
+    again = tables.stage(wanted.unionByName(joined).filter("user_id IS NOT NULL").distinct())
+    touched = gold.user_demographics_from_daily(
+        users.join(again, "user_id", "left_semi"), daily.join(again, "user_id", "left_semi")
+    )
+    left = users.select(F.col("user_id").alias("listed")).distinct()
+    kept = stored.join(again, "user_id", "left_anti").join(left, F.col("user_id") == F.col("listed"), "left_semi")
+    aged = with_account_age(kept.drop("user_age_days"), as_of)
+    idle = F.coalesce(inactive_condition("rate", min_rate, min_minutes), F.lit(False))
+    moved = F.when(idle, INACTIVE).when(F.col("user_segment") != INACTIVE, F.col("user_segment"))
+    scored = score_frozen(touched, as_of, model, min_rate, min_minutes)
+    return _labelled(aged, model, moved).select(*stored.columns).unionByName(scored.select(*stored.columns))
+
+
 # --- model quality ----------------------------------------------------------------------------
 
 

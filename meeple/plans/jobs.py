@@ -18,7 +18,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
-from meeple.operators import tables
+from meeple.operators import tables, versions
 from meeple.plans import active_users, gold, segments, silver
 from meeple.sources import ingest
 from meeple.sources.readers import as_date, days
@@ -79,6 +79,7 @@ def run_days(
     compact_files: int | None = None,
     one_login_per_day: bool = False,
     cell_rows: int | None = HOT_CELL_ROWS,
+    database: str | None = None,
 ) -> DataFrame:
     """Refresh silver and gold for a set of days (a day, a backfill) in one pass; returns the gold
     rows written.
@@ -86,8 +87,21 @@ def run_days(
     ``one_login_per_day=True`` matches a session with its day's earliest login only, in silver
     and in gold, instead of every login as the reference does. ``compact_files`` rewrites each
     day of silver sessions in that many files by user. ``cell_rows``: see
-    :func:`meeple.plans.silver.user_sessions`.
+    :func:`meeple.plans.silver.user_sessions`. ``database``: publish silver and the summary
+    through its catalog tables, whole days at once (:func:`meeple.operators.versions.swap_days`);
+    they are then read by table name. By default days are replaced in the tables' folders.
     """
+    if database is not None:
+        if compact_files:
+            raise ValueError("compact_files is for tables kept by path")
+        create_tables(spark, lake, database)
+
+    def publish(df: DataFrame, table: str) -> None:
+        if database is None:
+            tables.replace_days(df, lake.path(table), wanted)
+        else:
+            versions.swap_days(spark, f"{database}.{table}", conform(df, table), wanted)
+
     wanted = sorted({as_date(d) for d in run_dates})
     users = lake.read(spark, "raw_users")
     sessions, logins, purchases, board = (
@@ -103,11 +117,9 @@ def run_days(
                 one = tables.compacted(days(joined, [d]), "user_id", compact_files)
                 tables.replace_days(one, lake.path("silver_user_sessions"), [d], rebalance=False)
     else:
-        tables.replace_days(sil_sessions, lake.path("silver_user_sessions"), wanted)
-    tables.replace_days(silver.purchases_enriched(purchases, users), lake.path("silver_purchases_enriched"), wanted)
-    tables.replace_days(
-        silver.leaderboard_enriched(board, users, sessions), lake.path("silver_leaderboard_enriched"), wanted
-    )
+        publish(sil_sessions, "silver_user_sessions")
+    publish(silver.purchases_enriched(purchases, users), "silver_purchases_enriched")
+    publish(silver.leaderboard_enriched(board, users, sessions), "silver_leaderboard_enriched")
 
     # The days' session and purchase cells (per user, weighted) are stored once; the summary,
     # its distinct users and the per-user metrics all read them.
@@ -120,9 +132,11 @@ def run_days(
     # MERGE INTO gold ON event_date: the key is the partition column, so replacing the
     # days' partitions is the upsert (matched day updated, new day inserted).
     summary = conform(gold.daily_summary_from_cells(cells, bought), "gold_daily_summary")
-    tables.replace_days(summary, lake.path("gold_daily_summary"), wanted)
+    publish(summary, "gold_daily_summary")
     # The per-user metrics by day: demographics add these up instead of rescanning history.
     tables.replace_days(gold.user_day_metrics_from_cells(cells, bought), lake.path("gold_user_day_metrics"), wanted)
+    if database is not None:
+        return days(spark.table(f"{database}.gold_daily_summary"), wanted)
     return lake.read_days(spark, "gold_daily_summary", wanted, summary.schema)
 
 

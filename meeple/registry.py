@@ -86,6 +86,26 @@ def _scored(spark: SparkSession, sf: str) -> DataFrame:
     return exact_segments.score_segments(demographics, AS_OF, segments.load_model(base), refit_scaler=True)
 
 
+# A model in whole numbers whose result SQL can compute: scaler, centres and labels are given.
+GIVEN_MODEL = exact_segments.ExactModel(
+    exact_segments.Scaler(1000, (8000, 1_500_000, 2_000_000, 1500), (89_000, 2_500_000_000, 8_000_000_000, 6250)),
+    [(-500, -500, -500, -500), (500, 1000, -250, -250), (250, 0, 1500, 1500)], ("Casual", "Hardcore", "Whale"),
+)
+LAST_RUN, LAST_DAY = dt.date(2024, 1, 22), dt.date(2024, 1, 20)
+
+
+def _rescored(spark: SparkSession, sf: str) -> DataFrame:
+    """Segments stored by an earlier run (fewer days, fewer users), brought up to the present."""
+    r = load_raw(spark, sf)
+    daily = tables.stage(gold.user_day_metrics(r.sessions, r.logins, r.purchases, r.users))
+    earlier = r.users.filter(F.col("user_id").cast("long") % 47 != 0)
+    before = gold.user_demographics_from_daily(earlier, daily.filter(F.col("event_date") <= F.lit(LAST_DAY)))
+    stored = tables.stage(exact_segments.score_frozen(before, LAST_RUN, GIVEN_MODEL))
+    last = daily.agg(F.max("event_date")).first()[0] or LAST_DAY
+    new_days = [LAST_DAY + dt.timedelta(i) for i in range(1, (last - LAST_DAY).days + 1)]
+    return exact_segments.rescore_changed(stored, r.users, daily, new_days, AS_OF, GIVEN_MODEL)
+
+
 def _trained_ml(spark: SparkSession, sf: str):
     return segments.train_segments(_demographics(spark, sf), AS_OF)
 
@@ -185,6 +205,30 @@ def _crm(kind: str) -> Query:
     return run
 
 
+# Cells that are broken on purpose: (column, text put there, where).
+_BROKEN: dict[str, list[tuple[str, str | None, str]]] = {
+    "users": [("signup_date", "soon", "user_id % 17 = 0"), ("age", "12.5x", "user_id % 13 = 0"), ("user_id", None, "user_id % 19 = 0")],
+    "logins": [("timestamp", "2024-99-01 00:00:00", "location = 'City_3'"), ("event_date", "n/a", "location = 'City_5'"), ("user_id", " ", "location = 'City_8'")],
+    "sessions": [("start_time", "yesterday", "session_id % 23 = 0"), ("score", "ten", "session_id % 29 = 0"), ("end_time", "25:61", "session_id % 31 = 0"),
+                 ("session_id", None, "session_id % 37 = 0")],
+    "purchases": [("amount", "1,5", "purchase_id % 7 = 0"), ("timestamp", "never", "purchase_id % 11 = 0"), ("event_date", "2024-02-30", "purchase_id % 5 = 0")],
+    "leaderboard": [("rank", "first", "rank = 1"), ("event_date", "", "rank = 2")],
+}
+
+
+def _checked(kind: str, pick: Callable[[DataFrame], DataFrame]) -> Query:
+    """S7 with rejects: the raw rows as text, some cells broken, cast with a reject path."""
+
+    def run(spark: SparkSession, sf: str) -> DataFrame:
+        raw = _raw(spark, sf, kind)
+        broken = {c: F.col(c).cast("string") for c in raw.columns}
+        for column, text, where in _BROKEN[kind]:
+            broken[column] = F.when(F.expr(where), F.lit(text)).otherwise(broken[column])
+        return pick(ingest.checked(raw.select(*[x.alias(c) for c, x in broken.items()]), _RAW_CONTRACTS[kind]))
+
+    return run
+
+
 def _summary_versions(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
     """Two versions of the gold daily table: the one-login summary without its last third of days
     (old) and the full summary without its first third (new), so that there are updated, deleted
@@ -319,6 +363,8 @@ QUERIES: dict[str, Query] = {
     "kmeans_segments": lambda s, sf: _trained(s, sf)[0],
     "scored_segments": _scored,
     "scored_given_centroids": _scored_given_centroids,
+    "rescored_changed_users": _rescored,
+    "scored_frozen": lambda s, sf: exact_segments.score_frozen(_demographics(s, sf), AS_OF, GIVEN_MODEL),
     "silhouette_given_clusters": _silhouette_given_clusters,
     "simple_segments": _simple,
     "silhouette": lambda s, sf: exact_segments.silhouette(s, _exact_active(s, sf)),
@@ -356,6 +402,8 @@ QUERIES: dict[str, Query] = {
     # S7 typed ingest, S8 CRM ingest
     **{f"bronze_{k}_typed": _typed(k) for k in _RAW_CONTRACTS},
     **{f"crm_{k}_ingest": _crm(k) for k in _RAW_CONTRACTS},
+    **{f"bronze_{k}_rejects": _checked(k, ingest.rejected) for k in _RAW_CONTRACTS},
+    **{f"bronze_{k}_accepted": _checked(k, ingest.accepted) for k in _RAW_CONTRACTS},
     # S12, S15-S17 table maintenance
     "upsert_daily": lambda s, sf: tables.upsert(*_summary_versions(s, sf), ["event_date"]),
     "daily_changes": lambda s, sf: tables.changes(*_summary_versions(s, sf), ["event_date"]),

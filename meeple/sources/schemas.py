@@ -97,6 +97,16 @@ PARTITION_COLUMNS: dict[str, list[str]] = {
     "silver_user_sessions": ["event_date"],
     "silver_purchases_enriched": ["event_date"],
     "silver_leaderboard_enriched": ["event_date"],
+    "gold_daily_summary": ["event_date"],
+}
+
+# Columns without which a raw row is of no use: ingest with rejects turns such rows away.
+REQUIRED_COLUMNS: dict[str, list[str]] = {
+    "raw_users": ["user_id"],
+    "raw_logins": ["user_id", "event_date"],
+    "raw_game_sessions": ["session_id", "event_date"],
+    "raw_purchases": ["purchase_id", "event_date"],
+    "raw_leaderboard_snapshots": ["user_id", "game_type", "event_date"],
 }
 
 

@@ -161,3 +161,58 @@ def test_saved_models_and_the_production_pointer(spark):
     assert pointers == 2  # the older line is still there: no reader is ever without one
     scored = exact.score_segments(users(spark, some_rows(6)), "2024-02-01", segments.load_model(base))
     assert scored.count() == 130
+
+
+GIVEN = exact.ExactModel(
+    exact.Scaler(100, (800, 150_000, 200_000, 150), (8_900, 250_000_000, 800_000_000, 625)), [(-500,) * 4, (500, 1000, 0, 0), (0, 0, 900, 900)],
+    ("Casual", "Hardcore", "Whale"),
+)
+
+
+def test_rescoring_what_changed_equals_scoring_all(spark):
+    """New days, corrected days, new and deleted users, statuses that only time changes."""
+    import datetime as dt
+
+    from meeple.plans import gold
+
+    rng = random.Random(11)
+    day = lambda i: dt.date(2024, 1, 1) + dt.timedelta(i)
+    people = [(f"u{i}", f"n{i}", "C", day(-rng.randint(0, 60)), 20, "Male") for i in range(80)] + [("u3", "twin", "D", day(-3), 30, "Other")]
+    schema = "user_id string, username string, country string, signup_date date, age int, gender string"
+    users_old, users_new = spark.createDataFrame(people[:70] + people[80:], schema), spark.createDataFrame(people[5:], schema)
+    metrics = {(f"u{rng.randrange(80)}", day(rng.randrange(12))): (rng.randint(1, 9), rng.randint(1, 4000), rng.choice([0, 0, 900])) for _ in range(260)}
+
+    def daily(cells):
+        rows = [(u, d, n, t, n, c or None, int(c > 0)) for (u, d), (n, t, c) in cells.items()]
+        return spark.createDataFrame(rows, "user_id string, event_date date, sessions long, dur_tenths long, n_dur long, spent_cents long, purchases long")
+
+    earlier = {k: v for k, v in metrics.items() if k[1] < day(9)}
+    corrected = dict(metrics)
+    lost = [k for k in metrics if k[1] == day(4)]
+    for k in lost[::2]:
+        del corrected[k]  # a corrected day that some users are no longer on
+    stored = tables_stage(exact.score_frozen(gold.user_demographics_from_daily(users_old, daily(earlier)), day(14), GIVEN))
+    gone = spark.createDataFrame([(k[0],) for k in lost[::2]] or [("none",)], "user_id string")
+    got = exact.rescore_changed(stored, users_new, daily(corrected), [day(4), day(9), day(10), day(11)], day(40), GIVEN, changed_users=gone)
+    want = exact.score_frozen(gold.user_demographics_from_daily(users_new, daily(corrected)), day(40), GIVEN)
+    key = lambda df: sorted(map(str, df.select(*want.columns).collect()))
+    assert key(got) == key(want)
+    before = {r["user_id"]: r["user_segment"] for r in stored.collect()}
+    after = {r["user_id"]: r["user_segment"] for r in want.collect()}
+    flipped = [u for u in before if u in after and before[u] != after[u]]
+    assert len(flipped) > 5 and len(set(after.values())) >= 3
+
+
+def tables_stage(df):
+    from meeple.operators import tables
+
+    return tables.stage(df)
+
+
+def test_labels_are_kept_with_the_model(spark):
+    frame = users(spark, some_rows(8))
+    segs, model = exact.train_segments(frame, "2024-01-20")
+    assert sorted(model.labels) == ["Casual", "Hardcore", "Whale"]
+    assert exact.ExactModel.from_json(model.to_json()) == model
+    frozen = {r["user_id"]: r["user_segment"] for r in exact.score_frozen(frame, "2024-01-20", model, min_minutes=15.0).collect()}
+    assert frozen == {r["user_id"]: r["user_segment"] for r in segs.collect()}

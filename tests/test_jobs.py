@@ -216,3 +216,20 @@ def test_active_users_by_day_from_stored_bitmaps(spark, tmp_dir):
     assert got == {d: (len(seen[d]), len(set().union(*(seen[e] for e in DAYS if e <= d)))) for d in DAYS}
     numbers = lake.read(spark, "user_numbers")
     assert numbers.count() == numbers.select("user_id").distinct().count() == numbers.agg(F.max("number")).first()[0]
+
+
+def test_days_published_through_the_catalog(spark, tmp_dir):
+    lake, r = build_lake(spark, f"{tmp_dir}/lake", DAYS)
+    plain, _ = build_lake(spark, f"{tmp_dir}/plain", DAYS)
+    database = "published_" + str(abs(hash(tmp_dir)))
+    try:
+        for run in (DAYS[:2], DAYS[1:]):
+            jobs.run_days(spark, lake, run, database=database)
+        jobs.run_days(spark, plain, DAYS)
+        for table in ("silver_user_sessions", "silver_purchases_enriched", "silver_leaderboard_enriched", "gold_daily_summary"):
+            want = plain.read(spark, table)
+            assert rows(spark.table(f"{database}.{table}").select(*sorted(want.columns))) == rows(want.select(*sorted(want.columns)))
+        with pytest.raises(ValueError):
+            jobs.run_days(spark, lake, DAYS, database=database, compact_files=2)
+    finally:
+        spark.sql(f"DROP DATABASE IF EXISTS {database} CASCADE")
