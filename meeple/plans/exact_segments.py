@@ -40,6 +40,8 @@ DEVIATION_PARTS = 1000
 ROUNDS = 20
 #: Distinct feature vectors, those of least hash, that starting points are chosen from.
 CANDIDATES = 1000
+#: Distinct feature vectors that one task of a round works through.
+POINTS_PER_TASK = 1 << 18
 
 _X = ["x0", "x1", "x2", "x3"]
 _Q = ["q0", "q1", "q2", "q3"]
@@ -208,10 +210,12 @@ def _with_features(users: DataFrame, scaler: Scaler) -> DataFrame:
 
 
 def prepared(active: DataFrame) -> tuple[DataFrame, Scaler]:
-    """The stored points of ``active`` with standardised features, and their scaler."""
+    """The stored points of ``active`` with standardised features, and their scaler. They come in as
+    many partitions as they are worth, so a round over few of them is one task without a shuffle."""
     raw = tables.stage(points_of(active))
     scaler = fit_scaler(raw)
-    return tables.stage(raw.select("*", *scaler.columns([F.col(x) for x in _X]))), scaler
+    points = tables.stage(raw.select("*", *scaler.columns([F.col(x) for x in _X])))
+    return points.coalesce(max(1, -(-points.count() // POINTS_PER_TASK))), scaler
 
 
 def fit(active: DataFrame, k: int = DEFAULT_K, rounds: int = ROUNDS) -> ExactModel:

@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from meeple.operators import tables, versions
-from meeple.plans import active_users, gold, segments, silver
+from meeple.plans import active_users, exact_segments, gold, segments, silver
 from meeple.sources import ingest
 from meeple.sources.readers import as_date, days
 from meeple.sources.schemas import PARTITION_COLUMNS, SCHEMAS, conform, schema_of
@@ -173,25 +173,50 @@ def demographics_from_lake(spark: SparkSession, lake: Lake) -> DataFrame:
 
 def run_segmentation(
     spark: SparkSession, lake: Lake, as_of: dt.date | str, model_version: str, k: int = 3, seed: int = 42,
-    rule: str = "rate",
+    rule: str = "rate", exact: bool = False,
 ) -> str:
     """Train on today's demographics, overwrite ``gold_user_demographics`` (schema
-    replaced), save the model as ``model_version`` and point production at it."""
+    replaced), save the model as ``model_version`` and point production at it. ``exact``: the
+    segmentation in whole numbers in place of Spark ML's."""
     with tables.staging():
-        segs, model = segments.train_segments(demographics_from_lake(spark, lake), as_of, k, seed, rule=rule)
+        demographics = demographics_from_lake(spark, lake)
+        if exact:
+            segs, model = exact_segments.train_segments(demographics, as_of, k, rule=rule)
+        else:
+            segs, model = segments.train_segments(demographics, as_of, k, seed, rule=rule)
         tables.overwrite(segs, lake.path("gold_user_demographics"))
         return segments.save_model(model, lake.path("models/user_segmentation"), model_version)
 
 
 def run_scoring(spark: SparkSession, lake: Lake, as_of: dt.date | str, refit_scaler: bool = True) -> None:
-    """Re-segment with the production model and overwrite ``gold_user_demographics`` (it is not
-    read here: demographics come from the users and their metrics by day)."""
+    """Re-segment with the production model, of either kind, and overwrite
+    ``gold_user_demographics`` (it is not read here: demographics come from the users and their
+    metrics by day)."""
     with tables.staging():
         model = segments.load_model(lake.path("models/user_segmentation"))
-        segs = segments.score_segments(demographics_from_lake(spark, lake), as_of, model, refit_scaler)
+        kind = exact_segments if isinstance(model, exact_segments.ExactModel) else segments
+        segs = kind.score_segments(demographics_from_lake(spark, lake), as_of, model, refit_scaler)
         tables.overwrite(segs, lake.path("gold_user_demographics"))
 
 
+def run_frozen_scoring(spark: SparkSession, lake: Lake, as_of: dt.date | str, changed_days=None, changed_users: DataFrame | None = None) -> None:
+    """Score with the production model (in whole numbers) as it is: scaler, centres and labels. Without
+    ``changed_days`` everybody; with them (the days run since the last scoring with this model) only
+    the users that :func:`meeple.plans.exact_segments.rescore_changed` finds, the others as stored."""
+    model = segments.load_model(lake.path("models/user_segmentation"))
+    if not isinstance(model, exact_segments.ExactModel):
+        raise ValueError("the production model is not one in whole numbers")
+    with tables.staging():
+        if changed_days is None:
+            segs = exact_segments.score_frozen(demographics_from_lake(spark, lake), as_of, model)
+        else:
+            stored = lake.read(spark, "gold_user_demographics")
+            users, daily = lake.read(spark, "raw_users"), lake.read(spark, "gold_user_day_metrics")
+            segs = exact_segments.rescore_changed(stored, users, daily, [as_date(d) for d in changed_days], as_of, model, changed_users)
+        # what is read can't be overwritten: the new rows are stored first
+        tables.overwrite(tables.stage(segs), lake.path("gold_user_demographics"))
+
+
 def run_simple_segments(spark: SparkSession, lake: Lake) -> None:
     """The older segmentation of the gold table into ``gold_user_segments`` (9 columns)."""
     with tables.staging():

@@ -233,3 +233,21 @@ def test_days_published_through_the_catalog(spark, tmp_dir):
             jobs.run_days(spark, lake, DAYS, database=database, compact_files=2)
     finally:
         spark.sql(f"DROP DATABASE IF EXISTS {database} CASCADE")
+
+
+def test_frozen_scoring_of_changed_users(spark, tmp_dir):
+    lake, r = build_lake(spark, tmp_dir, DAYS)
+    jobs.run_days(spark, lake, DAYS[:2])
+    jobs.run_segmentation(spark, lake, AS_OF, "v1", exact=True)
+    jobs.run_frozen_scoring(spark, lake, DAYS[1])
+    jobs.run_days(spark, lake, DAYS[2:])
+    jobs.run_frozen_scoring(spark, lake, AS_OF, changed_days=DAYS[2:])
+    changed = rows(lake.read(spark, "gold_user_demographics"))
+    jobs.run_frozen_scoring(spark, lake, AS_OF)
+    everybody = lake.read(spark, "gold_user_demographics")
+    assert changed == rows(everybody) and len({x["user_segment"] for x in everybody.collect()}) > 1
+    jobs.run_scoring(spark, lake, AS_OF)
+    assert contract_violations(lake.read(spark, "gold_user_demographics"), "gold_user_demographics_written") == []
+    jobs.run_segmentation(spark, lake, AS_OF, "ml")
+    with pytest.raises(ValueError, match="whole numbers"):
+        jobs.run_frozen_scoring(spark, lake, AS_OF)
