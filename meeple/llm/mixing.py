@@ -16,7 +16,7 @@ to the documents needs no shuffle.
 from __future__ import annotations
 
 import math
-from dataclasses import dataclass
+from collections.abc import Callable
 
 import numpy as np
 from pyspark.sql import DataFrame
@@ -27,9 +27,9 @@ from meeple.llm.common import stage, unstage
 
 REPETITION_LIMIT = 2.0
 SEED = 20240115
-#: More sources than this are refused: their shares are bisected on the driver.
-MAX_SOURCES = 1_000_000
 _BROADCAST_SOURCES = 10_000
+#: Exponents that one aggregate over the sources tries.
+SECTIONS = 16
 
 
 def tokens(text: str = "text"):
@@ -53,64 +53,73 @@ def repetition(shares: np.ndarray, alpha: float) -> float:
     return float(r.max() / r.min())
 
 
-def bisect_alpha(shares: np.ndarray, target_entropy: float | None = None, repetition_limit: float | None = REPETITION_LIMIT) -> float:
-    """The least exponent in [0, 1] that keeps the repetition limit and does not exceed the target
-    entropy (both fall as the exponent grows; limits out of reach end at 0 or 1)."""
-    def too_flat(alpha: float) -> bool:
-        return (repetition_limit is not None and repetition(shares, alpha) > repetition_limit) or (
-            target_entropy is not None and entropy(weights(shares, alpha)) > target_entropy
-        )
-
+def bisect(too_flat: Callable[[list[float]], list[bool]], sections: int = 2) -> float:
+    """The least exponent in [0, 1] that is not too flat (or 1). ``too_flat`` judges several at once;
+    every step leaves one of ``sections`` parts."""
     low, high = 0.0, 1.0
-    if not too_flat(low):
+    if not too_flat([low])[0]:
         return low
-    for _ in range(60):
-        mid = (low + high) / 2
-        low, high = (mid, high) if too_flat(mid) else (low, mid)
+    for _ in range(math.ceil(60 / math.log2(sections))):
+        tried = [low + (high - low) * i / sections for i in range(1, sections)]
+        flat = too_flat(tried)
+        n = flat.index(False) if False in flat else len(tried)
+        low, high = tried[n - 1] if n else low, tried[n] if n < len(tried) else high
     return high
 
 
-@dataclass
-class Budget:
-    source: str | None
-    docs: int
-    tokens: int
-    weight: float
-    budget: int  # tokens to draw
-    blocks: int
-    cut_block: int = -1  # of the part pass: blocks before this one are taken whole
-    cut_hash: int = -1  # and of this one, hashes up to here
-
-    @property
-    def passes(self) -> int:
-        return self.budget // self.tokens if self.tokens else 1
-
-    @property
-    def rest(self) -> int:
-        return self.budget - self.passes * self.tokens if self.tokens else 0
-
-
-def budgets(sizes: DataFrame, budget_tokens: int | None, target_entropy: float | None, repetition_limit: float | None) -> list[Budget]:
-    """One row a source, from (source, docs, tokens). Sources without a token are passed once."""
-    rows = sizes.limit(MAX_SOURCES + 1).collect()
-    if len(rows) > MAX_SOURCES:
-        raise ValueError(f"more than {MAX_SOURCES} sources")
-    rows.sort(key=lambda r: (r["source"] is not None, r["source"]))
-    tokens = np.array([r["tokens"] for r in rows], dtype=np.float64)
-    some = tokens > 0
-    w = np.zeros(len(rows))
-    total = 0.0
-    if some.any():
-        shares = tokens[some] / tokens[some].sum()
-        w[some] = weights(shares, bisect_alpha(shares, target_entropy, repetition_limit))
-        total = float(budget_tokens if budget_tokens is not None else (tokens[some] / w[some]).max())
-    out = []
-    for r, weight in zip(rows, w):
-        exact = total * weight
-        near = round(exact)  # a whole number of tokens, without the last bits' noise
-        budget = near if abs(exact - near) < 1e-6 * max(1.0, exact) else math.floor(exact)
-        out.append(Budget(r["source"], r["docs"], r["tokens"], float(weight), budget, math.isqrt(max(0, r["docs"] - 1)) + 1))
-    return out
+def bisect_alpha(shares: np.ndarray, target_entropy: float | None = None, repetition_limit: float | None = REPETITION_LIMIT) -> float:
+    """The least exponent in [0, 1] that keeps the repetition limit and does not exceed the target
+    entropy (both fall as the exponent grows; limits out of reach end at 0 or 1)."""
+    return bisect(lambda alphas: [
+        (repetition_limit is not None and repetition(shares, a) > repetition_limit)
+        or (target_entropy is not None and entropy(weights(shares, a)) > target_entropy)
+        for a in alphas
+    ])
+
+
+def _alpha(sources: DataFrame, total: int, target_entropy: float | None, repetition_limit: float | None) -> float:
+    """:func:`bisect_alpha` over a table of sources of any length. The repetition follows from the
+    largest and the smallest share, (max / min) ** (1 - alpha); entropies from two sums for each
+    exponent, ``SECTIONS`` exponents at a time."""
+    ends = sources.agg(F.max("tokens").alias("most"), F.min("tokens").alias("least")).first()
+    spread = math.log(ends["most"] / ends["least"])
+    share = F.col("tokens") / F.lit(float(total))
+
+    def too_flat(alphas: list[float]) -> list[bool]:
+        out = [repetition_limit is not None and math.exp((1 - a) * spread) > repetition_limit for a in alphas]
+        if target_entropy is None:
+            return out
+        power = lambda a: F.exp(F.lit(a) * F.log(share))
+        sums = sources.agg(*[x for i, a in enumerate(alphas) for x in (F.sum(power(a)).alias(f"z{i}"), F.sum(power(a) * F.log(share)).alias(f"s{i}"))]).first()
+        entropies = [math.log(sums[f"z{i}"]) - a * sums[f"s{i}"] / sums[f"z{i}"] for i, a in enumerate(alphas)]
+        return [flat or h > target_entropy for flat, h in zip(out, entropies)]
+
+    return bisect(too_flat, 2 if target_entropy is None else SECTIONS)
+
+
+def budgets(sizes: DataFrame, budget_tokens: int | None, target_entropy: float | None, repetition_limit: float | None) -> DataFrame:
+    """(source, docs, tokens) with weight, budget (tokens to draw), passes, rest, blocks, repeats. Sources
+    without a token have weight 0 and are passed once. No source reaches the driver."""
+    some = sizes.filter("tokens > 0")
+    total = some.agg(F.sum("tokens")).first()[0]
+    weight, whole = F.lit(0.0), 0.0
+    if total:
+        alpha = _alpha(some, total, target_entropy, repetition_limit)
+        power = F.exp(F.lit(alpha) * F.log(F.col("tokens") / F.lit(float(total))))
+        norm = some.agg(F.sum(power)).first()[0]
+        weight = F.when(F.col("tokens") > 0, power / F.lit(norm)).otherwise(0.0)
+        whole = float(budget_tokens) if budget_tokens is not None else some.agg(F.max(F.col("tokens") / (power / F.lit(norm)))).first()[0]
+    exact = F.lit(whole) * F.col("weight")
+    near = F.rint(exact)  # a whole number of tokens, without the last bits' noise
+    budget = F.when(F.abs(exact - near) < 1e-6 * F.greatest(F.lit(1.0), exact), near).otherwise(F.floor(exact)).cast("long")
+    rows = sizes.withColumn("weight", weight).withColumn("budget", budget)
+    has = F.col("tokens") > 0
+    passes = F.when(has, F.floor(F.col("budget") / F.col("tokens"))).otherwise(1).cast("int")
+    return rows.withColumns({
+        "passes": passes, "rest": F.when(has, F.col("budget") - passes * F.col("tokens")).otherwise(0).cast("long"),
+        "blocks": (F.floor(F.sqrt(F.greatest(F.lit(0), F.col("docs") - 1))) + 1).cast("int"),
+        "repeats": F.when(has, F.col("budget") / F.col("tokens")).otherwise(1.0),
+    })
 
 
 def _hash(epoch):
@@ -118,57 +127,58 @@ def _hash(epoch):
     return F.xxhash64(F.lit(SEED), epoch, "doc_id").bitwiseAND(F.lit((1 << 63) - 1))
 
 
-def _plan_frame(docs: DataFrame, plan: list[Budget]) -> DataFrame:
-    rows = [(b.source, b.weight, b.passes, b.rest, b.blocks, b.cut_block, b.cut_hash, b.budget / b.tokens if b.tokens else 1.0) for b in plan]
-    kind = docs.schema["source"].dataType.simpleString()
-    frame = docs.sparkSession.createDataFrame(
-        rows, f"of_source {kind}, weight double, passes int, rest long, blocks int, cut_block int, cut_hash long, repeats double"
-    )
-    # one short row a source: sent to every task while that is small, an ordinary join otherwise
-    return F.broadcast(frame) if len(plan) <= _BROADCAST_SOURCES else frame
+def _mixed(rows: DataFrame, mixture: DataFrame) -> DataFrame:
+    """``rows`` with their source's columns of ``mixture`` (a written table, one short row a source:
+    sent to every task while they are few, an ordinary join otherwise). NULL is a source."""
+    short = mixture.withColumnRenamed("source", "of_source").drop("docs", "tokens", "budget")
+    few = mixture.limit(_BROADCAST_SOURCES + 1).count() <= _BROADCAST_SOURCES
+    return rows.join(F.broadcast(short) if few else short, F.col("source").eqNullSafe(F.col("of_source"))).drop("of_source")
+
+
+def _with(table: DataFrame, more: DataFrame) -> DataFrame:
+    """``table`` left-joined to columns of ``more`` by source, NULL included."""
+    other = more.withColumnRenamed("source", "of_source")
+    return table.join(other, F.col("source").eqNullSafe(F.col("of_source")), "left").drop("of_source")
 
 
 def plan(
     docs: DataFrame, budget_tokens: int | None = None, target_entropy: float | None = None,
     repetition_limit: float | None = REPETITION_LIMIT,
-) -> list[Budget]:
-    """The mixture of ``docs`` (doc_id, source, text). NULL is a source like any other."""
+) -> DataFrame:
+    """The mixture of ``docs`` (doc_id, source, text): a written table with a row for each source, any
+    number of them. NULL is a source like any other. Of the part pass, blocks before ``cut_block``
+    are taken whole, and of that one the hashes up to ``cut_hash``."""
     sizes = stage(docs.select("doc_id", "source", tokens().alias("n_tokens")), "doc-sizes")
-    sources = sizes.groupBy("source").agg(F.count("*").alias("docs"), F.sum("n_tokens").alias("tokens"))
-    out = budgets(sources, budget_tokens, target_entropy, repetition_limit)
-    if any(b.rest for b in out):  # a part pass somewhere: find where it ends
-        placed = sizes.join(_plan_frame(docs, out), F.col("source").eqNullSafe(F.col("of_source"))).filter("rest > 0")
-        placed = placed.withColumn("h", _hash(F.col("passes"))).withColumn("block", F.pmod("h", "blocks").cast("int"))
-        # about sqrt(n) blocks a source: the first whose tokens no longer fit
-        blocks = placed.groupBy("source", "block", "rest").agg(F.sum("n_tokens").alias("tokens"))
-        upto = F.sum("tokens").over(Window.partitionBy("source").orderBy("block"))
-        full = blocks.withColumn("upto", upto).filter("upto > rest")
-        first = full.groupBy("source").agg(F.min(F.struct("block", (F.col("upto") - F.col("tokens")).alias("before"))).alias("cut")).collect()
-        cuts = {r["source"]: (r["cut"]["block"], r["cut"]["before"]) for r in first}
-        for b in out:
-            b.cut_block = cuts[b.source][0] if b.source in cuts else b.blocks if b.rest else -1
-        cut = docs.sparkSession.createDataFrame(
-            [(source, *at) for source, at in cuts.items()],
-            f"in_source {docs.schema['source'].dataType.simpleString()}, in_block int, before long",
-        )
-        cut = F.broadcast(cut) if len(cuts) <= _BROADCAST_SOURCES else cut
-        edge = placed.join(cut, F.col("source").eqNullSafe(F.col("in_source")) & (F.col("block") == F.col("in_block")))
-        # about sqrt(n) documents a source: the last one that fits
-        run = F.sum("n_tokens").over(Window.partitionBy("source").orderBy("h", "doc_id"))
-        last = edge.withColumn("upto", run + F.col("before")).groupBy("source").agg(F.max(F.when(F.col("upto") <= F.col("rest"), F.col("h"))).alias("h")).collect()
-        hashes = {r["source"]: r["h"] for r in last}
-        for b in out:
-            h = hashes.get(b.source)
-            b.cut_hash = -1 if h is None else h
-    unstage(sizes)
+    counted = stage(sizes.groupBy("source").agg(F.count("*").alias("docs"), F.sum("n_tokens").alias("tokens")), "sources")
+    mixture = stage(budgets(counted, budget_tokens, target_entropy, repetition_limit), "budgets")
+    placed = _mixed(sizes, mixture).filter("rest > 0")
+    placed = placed.withColumn("h", _hash(F.col("passes"))).withColumn("block", F.pmod("h", "blocks").cast("int"))
+    # about sqrt(n) blocks a source: the first whose tokens no longer fit
+    blocks = placed.groupBy("source", "block", "rest").agg(F.sum("n_tokens").alias("tokens"))
+    upto = F.sum("tokens").over(Window.partitionBy("source").orderBy("block"))
+    full = blocks.withColumn("upto", upto).filter("upto > rest")
+    cut = stage(
+        full.groupBy("source").agg(F.min(F.struct("block", (F.col("upto") - F.col("tokens")).alias("before"))).alias("cut"))
+        .select("source", F.col("cut.block").alias("cut_block"), F.col("cut.before").alias("before")), "cut-blocks",
+    )
+    # about sqrt(n) documents a source: the last one that fits
+    edge = _with(placed, cut).filter("block = cut_block")
+    run = F.sum("n_tokens").over(Window.partitionBy("source").orderBy("h", "doc_id"))
+    last = edge.withColumn("upto", run + F.col("before")).groupBy("source").agg(F.max(F.when(F.col("upto") <= F.col("rest"), F.col("h"))).alias("cut_hash"))
+    no_cut = F.when(F.col("rest") > 0, F.col("blocks")).otherwise(-1)
+    out = stage(
+        _with(_with(mixture, cut.drop("before")), last)
+        .withColumns({"cut_block": F.coalesce("cut_block", no_cut), "cut_hash": F.coalesce("cut_hash", F.lit(-1).cast("long"))}), "mixture",
+    )
+    unstage(sizes, counted, mixture, cut)
     return out
 
 
-def apply(docs: DataFrame, mixture: list[Budget]) -> DataFrame:
+def apply(docs: DataFrame, mixture: DataFrame) -> DataFrame:
     """Every document as often as the mixture takes it: the columns of ``docs`` plus epoch, block,
     turn (0 to 1: ordering all rows by it interleaves the sources by their weights) and weight."""
     names = docs.columns
-    placed = docs.join(_plan_frame(docs, mixture), F.col("source").eqNullSafe(F.col("of_source")))
+    placed = _mixed(docs, mixture)
     h = _hash(F.col("passes"))
     block = F.pmod(h, F.col("blocks")).cast("int")
     more = (F.col("rest") > 0) & ((block < F.col("cut_block")) | ((block == F.col("cut_block")) & (h <= F.col("cut_hash"))))

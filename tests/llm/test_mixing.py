@@ -43,8 +43,9 @@ def drawn(rows, got):
 def test_budgets_are_met(docs, limit, budget):
     rows = corpus()
     df = docs(rows)
-    plan = mixing.plan(df, budget_tokens=budget, repetition_limit=limit)
-    got = mixing.apply(df.select("doc_id", "source", mixing.tokens().alias("n_tokens")), plan).collect()
+    mixture = mixing.plan(df, budget_tokens=budget, repetition_limit=limit)
+    got = mixing.apply(df.select("doc_id", "source", mixing.tokens().alias("n_tokens")), mixture).collect()
+    plan = mixture.collect()
     total = drawn(rows, got)
     longest = 40
     for b in plan:
@@ -88,3 +89,69 @@ def test_empty_tables_and_texts(docs):
     assert mixing.op1_temperature_mix(docs([])).count() == 0
     got = mixing.op1_temperature_mix(docs([(1, None, "en", "a"), (2, "", "en", "b")])).collect()
     assert {(r["doc_id"], r["n_tokens"], r["epoch"]) for r in got} == {(1, 0, 0), (2, 0, 0)}
+
+
+def test_weights_over_a_table_equal_weights_at_hand(docs):
+    """Both limits, by sections of the table of sources and by plain bisection."""
+    rows = corpus()
+    sizes = collections.Counter()
+    for _, text, _, source in rows:
+        sizes[source] += len((text or "").split())
+    names = [s for s in sizes if sizes[s]]
+    shares = np.array([sizes[s] for s in names], float)
+    shares /= shares.sum()
+    for entropy, limit in ((None, 2.0), (0.9, None), (1.0, 3.0), (5.0, None), (0.01, None)):
+        w = mixing.weights(shares, mixing.bisect_alpha(shares, entropy, limit))
+        got = {r["source"]: r["weight"] for r in mixing.plan(docs(rows), target_entropy=entropy, repetition_limit=limit).collect()}
+        assert max(abs(got[s] - x) for s, x in zip(names, w)) < 1e-9 and got["hollow"] == 0
+
+
+def test_drawn_rows_equal_a_plain_draw(spark, docs):
+    """The rows of every pass, and of the part of the last one, drawn again in Python from the hashes."""
+    rows = corpus()
+    df = docs(rows)
+    mixture = mixing.plan(df, repetition_limit=3.0)
+    got = collections.Counter(
+        (r["doc_id"], r["source"], r["epoch"], r["block"])
+        for r in mixing.apply(df.select("doc_id", "source", mixing.tokens().alias("n_tokens")), mixture).collect()
+    )
+    ids = sorted({r[0] for r in rows})
+    hashed = {}
+    for epoch in range(6):
+        frame = spark.createDataFrame([(i, epoch) for i in ids], "doc_id long, e int")
+        for r in frame.select("doc_id", mixing._hash(mixing.F.col("e")).alias("h")).collect():
+            hashed[epoch, r["doc_id"]] = r["h"]
+    want, parts = collections.Counter(), 0
+    for m in mixture.collect():
+        own = [(r[0], len((r[1] or "").split())) for r in rows if r[3] == m.source]
+        assert m.docs == len(own) and m.tokens == sum(n for _, n in own)
+        for epoch in range(m.passes):
+            want.update((i, m.source, epoch, hashed[epoch, i] % m.blocks) for i, _ in own)
+        if m.rest:
+            place = lambda d: (hashed[m.passes, d[0]] % m.blocks, hashed[m.passes, d[0]], d[0])
+            taken = 0
+            fitting, cut = [], None
+            for d in sorted(own, key=place):
+                block = place(d)[0]
+                in_block = sum(n for i, n in own if hashed[m.passes, i] % m.blocks <= block)
+                taken += d[1]
+                if in_block <= m.rest or taken <= m.rest:
+                    fitting.append(d)
+            # copies of one id stand or fall together
+            last = max((place(d)[:2] for d in fitting), default=(-1, -1))
+            chosen = [d for d in own if place(d)[:2] <= last]
+            parts += len(chosen)
+            want.update((i, m.source, m.passes, hashed[m.passes, i] % m.blocks) for i, _ in chosen)
+    assert got == want and parts > 10
+
+
+def test_more_sources_than_a_broadcast_takes(docs, monkeypatch):
+    monkeypatch.setattr(mixing, "_BROADCAST_SOURCES", 5)
+    rows = [(i, "w " * (1 + i % 7), "en", "s%d" % (i % 40)) for i in range(400)] + [(1000, "x y", "en", None)]
+    got = mixing.op1_temperature_mix(docs(rows)).collect()
+    assert {r["doc_id"] for r in got} == {r[0] for r in rows}
+
+
+def test_very_long_texts_and_null_ids(docs):
+    got = mixing.op1_temperature_mix(docs([(1, "w " * 300_000, "en", "a"), (None, "a b c", "en", "a"), (None, None, "en", "b"), (None, "x", None, None)])).collect()
+    assert {(r["doc_id"], r["source"], r["n_tokens"]) for r in got} >= {(1, "a", 300_000), (None, "a", 3), (None, "b", 0), (None, None, 1)}
