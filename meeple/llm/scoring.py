@@ -7,8 +7,9 @@ probing levels 0, 1, ... until one is absent; probabilities interpolate the pair
 counts.
 
 The filter grows with what was seen: each shard has a region of bits that its n-grams fill to one
-half. It is broadcast; one of more than ``SEGMENT_BYTES`` in several broadcasts one after another,
-each of the regions of some shards, and the levels found in each are put together for every text.
+half. It is broadcast in segments of ``SEGMENT_BYTES`` at most, each the regions of some shards. The
+texts are read once: a task takes the distinct n-grams of a group of texts, sorted by shard, and
+looks each up in the one segment that has its shard, with one segment in memory at a time.
 
 The same shuffle gives the exact add-one unigram score: a shard knows the counts of its words
 and answers each batch of texts with their partial sums.
@@ -24,10 +25,17 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from meeple.llm.common import CHARS_PER_SLICE, few_files, give_back_memory, in_fold, lean, mix64, release, shards, ship_code, slices, stage, text_bytes, word_hashes
+from meeple.llm.common import (
+    CHARS_PER_SLICE, few_files, give_back_memory, in_fold, lean, mix64, release, shards, ship_code, slices, stage, text_bytes, text_bytes_of,
+    word_hashes,
+)
 
 #: Bytes of one broadcast of the filter (a shard's region is never divided).
 SEGMENT_BYTES = 64 << 20
+#: UTF-8 bytes of texts that a task looks up together where there are several segments.
+HELD_BYTES = 16 << 20
+#: Bytes of packed words and pairs for each byte of text, about.
+_PACKED = 3
 #: Probes of an n-gram's first level and of every further one.
 FIRST_PROBES, MORE_PROBES = 6, 2
 #: Weight of the pair's relative frequency where the first word is known.
@@ -160,6 +168,10 @@ class CountFilter:
     def marks(self, grams: np.ndarray, kind: int) -> np.ndarray:
         """1 + the highest level found for each n-gram, 0 where the first one is absent."""
         unique, at = np.unique(grams, return_inverse=True)
+        return self.probe(unique, kind)[at]
+
+    def probe(self, unique: np.ndarray, kind: int) -> np.ndarray:
+        """:meth:`marks` of different n-grams."""
         mark = np.zeros(len(unique), dtype=np.uint8)
         shard, key = _shard(unique, self.n_shards), unique & _LOW
         region = np.broadcast_to(np.asarray(self.region, dtype=np.int64), self.n_shards)
@@ -173,17 +185,12 @@ class CountFilter:
                 alive = alive[(self.bits[where >> 3] >> (where & 7).astype(np.uint8)) & 1 > 0]
             mark[alive] = j + 1
             j += 1
-        return mark[at]
+        return mark
 
     def counts(self, grams: np.ndarray, kind: int) -> np.ndarray:
         """Estimated counts, 0 where the first level is absent."""
         return _estimate(self.marks(grams, kind))
 
-    def score(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """(number of tokens, log10 probability) of every text."""
-        token, offsets = tokens(texts)
-        return np.diff(offsets), self.likelihood(self.marks(token, _WORD), self.marks(pairs(token, offsets), _PAIR), offsets)
-
     def likelihood(self, word_marks: np.ndarray, pair_marks: np.ndarray, offsets: np.ndarray) -> np.ndarray:
         """log10 probability of every text from the marks of its words and pairs."""
         own = _estimate(word_marks)
@@ -205,7 +212,7 @@ def _estimate(marks: np.ndarray) -> np.ndarray:
 
 
 def _places(shard, key, kind: int, level: int, probe: int, region: int) -> np.ndarray:
-    salt = np.uint64((kind * 64 + level) * 64 + probe) * np.uint64(0xA0761D6478BD642F)
+    salt = np.uint64(((kind * 64 + level) * 64 + probe) * 0xA0761D6478BD642F % 2**64)
     return shard * region + (mix64(key ^ salt) % np.asarray(region, dtype=np.uint64)).astype(np.int64)
 
 
@@ -343,48 +350,75 @@ def _segments(answers: DataFrame, n_shards: int, texts: int):
     return list(zip(bounds, bounds[1:])), fetch
 
 
-def _score_in_parts(numbered: DataFrame, parts: list[tuple[int, int]], fetch, kind: str) -> DataFrame:
-    """Scores with a filter too large for one broadcast: a pass over the texts for each part keeps
-    the marks found in it; an n-gram is in one part only, so marks of all parts are added."""
-    spark = numbered.sparkSession
-    passes = []
-    for k, part in enumerate(parts):
-        counts = fetch(*part)
-        sent = spark.sparkContext.broadcast(counts)
-
-        def probe(batches, sent=sent):
-            for number, place, texts, rows in _batches(batches):
-                words, spans = [], []
-                for a in range(0, len(texts), 256):
-                    token, offsets = tokens(texts[a : a + 256])
-                    for out, grams, which in ((words, token, _WORD), (spans, pairs(token, offsets), _PAIR)):
-                        mark = sent.value.marks(grams, which)
-                        out += [mark[x:y].tobytes() for x, y in zip(offsets[:-1], offsets[1:])]
+def _chunks(batches):
+    """(batch number, places, rows, texts) of up to 256 rows of a batch."""
+    for number, place, texts, rows in _batches(batches):
+        for a in range(0, len(texts), 256):
+            yield number, place[a : a + 256], rows.slice(a, 256), texts[a : a + 256]
+
+
+def _groups(chunks, limit: int):
+    """Lists of consecutive chunks with about ``limit`` characters."""
+    held, size = [], 0
+    for chunk in chunks:
+        held.append(chunk)
+        size += sum(map(len, chunk[3]))
+        if size >= limit:
+            yield held
+            held, size = [], 0
+    if held:
+        yield held
+
+
+def _look_up(grams: list[tuple[np.ndarray, int]], filters) -> list[np.ndarray]:
+    """Marks of n-grams of several kinds from the segments ((first, last shard), broadcast) of the
+    filter. An n-gram is probed in the segment of its shard only; with several segments, one is in
+    memory at a time."""
+    found = []
+    n_shards = filters[0][1].value.n_shards
+    for gram, kind in grams:
+        unique, at = np.unique(gram, return_inverse=True)
+        shard = _shard(unique, n_shards)
+        order = np.argsort(shard, kind="stable")
+        found.append((unique, at, kind, order, shard[order], np.zeros(len(unique), dtype=np.uint8)))
+    for (first, last), sent in filters:
+        for unique, _, kind, order, shard, mark in found:
+            lo, hi = np.searchsorted(shard, [first, last])
+            own = order[lo:hi]
+            if len(own):
+                mark[own] = sent.value.probe(unique[own], kind)
+        if len(filters) > 1:
+            _forget(sent)
+    return [mark[at] for _, at, _, _, _, mark in found]
+
+
+def _forget(sent) -> None:
+    """Let go of a broadcast's value in this worker; the next look reads it from the executor's disk."""
+    sent.__dict__.pop("_value", None)
+
+
+def _scored(numbered: DataFrame, filters, kind: str) -> DataFrame:
+    """batch, place, doc_id, n_tokens, score of every row, in one pass over the texts."""
+    limit = HELD_BYTES if len(filters) > 1 else 1
+
+    def run(batches):
+        for held in _groups(_chunks(batches), limit):
+            parts = [tokens(texts) for _, _, _, texts in held]
+            edges = np.concatenate([[0], np.cumsum([len(t) for t, _ in parts])])
+            words = np.concatenate([t for t, _ in parts])
+            spans = np.concatenate([pairs(t, offsets) for t, offsets in parts])
+            word_marks, pair_marks = _look_up([(words, _WORD), (spans, _PAIR)], filters)
+            model = filters[-1][1].value
+            for (number, place, rows, texts), (_, offsets), a, b in zip(held, parts, edges, edges[1:]):
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.full(len(texts), number)), pa.array(place.astype(np.int32)), rows.column(0), pa.array(words, pa.binary()), pa.array(spans, pa.binary())],
-                    names=["batch", "place", "doc_id", "words", "pairs"],
+                    [
+                        pa.array(np.full(len(texts), number)), pa.array(place.astype(np.int32)), rows.column(0), pa.array(np.diff(offsets)),
+                        pa.array(model.likelihood(word_marks[a:b], pair_marks[a:b], offsets)),
+                    ],
+                    names=["batch", "place", "doc_id", "n_tokens", "score"],
                 )
 
-        found = stage(numbered.mapInArrow(lean(probe), f"batch long, place int, doc_id {kind}, words binary, pairs binary"), "filter-marks")
-        passes.append(found.withColumn("pass", F.lit(k)))
-        sent.unpersist()
-    small = spark.sparkContext.broadcast(CountFilter(np.zeros(0, np.uint8), 0, 1, 1, counts.tokens, counts.words, counts.texts))
-    union, n_passes = passes[0], len(passes)
-    for found in passes[1:]:
-        union = union.unionByName(found)
-
-    def put_together(key, group):
-        group = group.sort_by([("pass", "ascending"), ("place", "ascending")])
-        marks = []
-        for name in ("words", "pairs"):
-            flat = np.frombuffer(b"".join(group.column(name).to_pylist()), np.uint8)
-            marks.append(flat.reshape(n_passes, -1).sum(axis=0, dtype=np.int64))
-        one = group.slice(0, group.num_rows // n_passes)
-        n = np.array([len(w) for w in one.column("words").to_pylist()], dtype=np.int64)
-        logs = small.value.likelihood(*marks, np.concatenate([[0], np.cumsum(n)]))
-        return pa.table([one.column("batch"), one.column("place"), one.column("doc_id"), pa.array(n), pa.array(logs)], names=["batch", "place", "doc_id", "n_tokens", "score"])
-
-    return union.groupBy("batch").applyInArrow(put_together, f"batch long, place int, doc_id {kind}, n_tokens long, score double")
+    return numbered.mapInArrow(lean(run), f"batch long, place int, doc_id {kind}, n_tokens long, score double")
 
 
 def _sum_up(key, group):
@@ -410,34 +444,19 @@ def score(docs: DataFrame, train) -> DataFrame:
     passes use the written numbers: how a later scan is split does not matter."""
     spark = docs.sparkSession
     ship_code(spark)
-    n_shards = shards(spark, 1)
     rows = stage(docs.select(F.monotonically_increasing_id().alias("row"), "doc_id", F.coalesce(train, F.lit(False)).alias("train"), "text"), "numbered-texts")
+    n_shards = shards(spark, 1, _PACKED * text_bytes_of(rows))
     answers = stage(_count(rows, n_shards), "ngram-counts")
     release(spark)
     texts = rows.filter("train").count()
     parts, fetch = _segments(answers, n_shards, texts)
-    counts = fetch(*parts[0])
+    filters = []
+    for part in parts:  # the driver holds one segment at a time
+        counts = fetch(*part)
+        filters.append((part, spark.sparkContext.broadcast(counts)))
     release(spark)
     kind = rows.schema["doc_id"].dataType.simpleString()
-    numbered = rows.select("row", "doc_id", "text")
-    if len(parts) == 1:
-        sent = spark.sparkContext.broadcast(counts)
-
-        def run(batches):
-            for number, place, texts, part in _batches(batches):
-                n, logs = [], []
-                for a in range(0, len(texts), 256):
-                    some_n, some = sent.value.score(texts[a : a + 256])
-                    n.append(some_n)
-                    logs.append(some)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.full(len(texts), number)), pa.array(place.astype(np.int32)), part.column(0), pa.array(np.concatenate(n)), pa.array(np.concatenate(logs))],
-                    names=["batch", "place", "doc_id", "n_tokens", "score"],
-                )
-
-        scored = numbered.mapInArrow(lean(run), f"batch long, place int, doc_id {kind}, n_tokens long, score double")
-    else:
-        scored = _score_in_parts(numbered, parts, fetch, kind)
+    scored = _scored(rows.select("row", "doc_id", "text"), filters, kind)
     exact = answers.filter("kind = 0").select("batch", "data").groupBy("batch").applyInArrow(_sum_up, "batch long, place int, logs double, n_known long")
     space = float(math.log10(counts.tokens + counts.words + 1))
     return few_files(scored.join(exact, ["batch", "place"], "left")).select(

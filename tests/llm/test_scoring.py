@@ -114,3 +114,60 @@ def test_rows_keep_their_scores_when_a_later_scan_is_split_otherwise(spark, docs
     assert got.keys() == whole.keys() and len(whole) == len(rows)
     for i, r in whole.items():
         assert got[i]["n_known"] == r["n_known"] == r["n_tokens"] and abs(got[i]["base_score"] - r["base_score"]) < 1e-9
+
+
+def test_scores_equal_a_plain_model(docs, monkeypatch):
+    """Levels read from the filter against true counts (never below, mostly equal), and every score
+    against the interpolation of the levels' counts in plain Python."""
+    import math
+
+    rng = random.Random(6)
+    vocabulary = ["w%d" % int(rng.paretovariate(0.7)) for _ in range(3000)]
+    rows = [(i, " ".join(rng.choice(vocabulary) for _ in range(rng.randint(0, 50)))) for i in range(300)]
+    train = [t.split() for i, t in rows if i < 240]
+    words, spans = {}, {}
+    for t in train:
+        for a, b in zip([None, *t], [*t, "END"]):
+            words[b] = words.get(b, 0) + 1
+            spans[a, b] = spans.get((a, b), 0) + 1
+    total, different = sum(words.values()), len(words)
+
+    numbered = docs(rows).select(scoring.F.col("doc_id").alias("row"), (scoring.F.col("doc_id") < 240).alias("train"), "text")
+    parts, fetch = scoring._segments(scoring.stage(scoring._count(numbered, 8), "counted"), 8, len(train))
+    model = fetch(*parts[0])
+    assert (model.tokens, model.words) == (total, different)
+    middle = lambda mark: 0.0 if mark == 0 else 1.0 if mark == 1 else 2.0 ** (int(mark) - 0.5)
+    level = lambda c: 0 if c == 0 else 1 + math.floor(math.log2(c))
+    monkeypatch.setattr(scoring, "shards", lambda *args: 8)  # the same filter
+    got = {r["doc_id"]: r["score"] for r in scoring.score(docs(rows), scoring.F.col("doc_id") < 240).collect()}
+    same = []
+    for i, text in rows:
+        t = [*text.split(), "END"]
+        token, offsets = scoring.tokens([text])
+        word_marks, pair_marks = model.marks(token, 1), model.marks(scoring.pairs(token, offsets), 2)
+        out, before = 0.0, float(len(train))
+        for k, b in enumerate(t):
+            a = t[k - 1] if k else None
+            for mark, true in ((word_marks[k], words.get(b, 0)), (pair_marks[k], spans.get((a, b), 0))):
+                assert mark >= level(true)
+                same.append(mark == level(true))
+            own = middle(word_marks[k])
+            pair = min(middle(pair_marks[k]), max(own, 1.0))
+            weight = scoring.PAIR_WEIGHT if before > 0 else 0.0
+            ratio = min(pair / max(before, 1.0), 1.0) if before > 0 else 0.0
+            out += math.log10(min(weight * ratio + (1 - weight) * (own + 1) / (total + different + 1), 1.0))
+            before = own
+        assert abs(got[i] - out) < 1e-9
+    assert sum(same) / len(same) > 0.7
+
+
+def test_texts_are_read_once_whatever_the_filter(docs, monkeypatch):
+    monkeypatch.setattr(scoring, "SEGMENT_BYTES", 2000)
+    monkeypatch.setattr(scoring, "HELD_BYTES", 3000)
+    staged = []
+    plain = scoring.stage
+    monkeypatch.setattr(scoring, "stage", lambda df, label, *a: staged.append(label) or plain(df, label, *a))
+    rng = random.Random(7)
+    rows = [(i, " ".join("v%d" % rng.randrange(3000) for _ in range(40))) for i in range(150)]
+    got = scoring.score(docs(rows), scoring.F.col("doc_id") < 100)
+    assert got.count() == 150 and staged == ["numbered-texts", "ngram-counts"]
