@@ -4,8 +4,8 @@ Equal vectors form one class first. In every pass a vector's key is a sequence o
 hyperplane signs; the classes of a label are ordered by it and each is compared, by cosine in
 double precision, with the next ``WINDOW`` ones. Passes are independent, so they are one job:
 a range shuffle over (pass, label, key), with the rows at partition edges compared in a second,
-small step (over as many short partitions as a window reaches). Links of all passes are united, and the links within a component are then counted
-by blocked matrix products, so that a group larger than the window is counted whole.
+small step (over as many short partitions as a window reaches). Links of all passes are united, and
+the links within a component are then counted by blocked matrix products, so that a group larger than the window is counted whole.
 
 The number of passes follows the size of the largest label (:func:`passes_for`): two vectors at
 the threshold miss each other in all passes with probability ``MISS``, if signs halve the vectors.
@@ -165,12 +165,12 @@ def _edges(classes: DataFrame, passes: int, window: int, threshold: float, usual
                     )
 
     kind = classes.schema["embedding"].dataType.simpleString()
-    keyed = classes.select("place", "cid", "embedding").mapInArrow(
-        lean(project), f"pass int, place int, dim int, key long, cid long, embedding {kind}"
+    keyed = classes.select(F.col("place").cast("long").alias("place"), "cid", "embedding").mapInArrow(
+        lean(project), f"pass int, place long, dim int, key long, cid long, embedding {kind}"
     )
     order = ["pass", "place", "dim", "key", "cid"]
     ordered = keyed.repartitionByRange(n, *order).sortWithinPartitions(*order)
-    out_schema = f"part int, head boolean, pos int, pass int, place int, dim int, a long, b long, embedding {kind}"
+    out_schema = f"part int, head boolean, pos int, pass int, place long, dim int, a long, b long, embedding {kind}"
 
     def compare(batches):
         part, united, held, first, seen, done = TaskContext.get().partitionId(), _Union(), None, [], 0, 0
@@ -286,7 +286,7 @@ def _row(rows: pa.Table, part: int, head: bool) -> pa.RecordBatch:
 
 def _edge_rows(lo: list[int], hi: list[int | None], kind: pa.DataType, pos: np.ndarray | None = None) -> pa.RecordBatch:
     n = len(lo)
-    none = [pa.nulls(n, t) for t in (pa.int32(), pa.bool_(), pa.int32(), pa.int32(), pa.int32(), pa.int32())]
+    none = [pa.nulls(n, t) for t in (pa.int32(), pa.bool_(), pa.int32(), pa.int32(), pa.int64(), pa.int32())]
     if pos is not None:
         none[2] = pa.array(pos, pa.int32())
     return pa.RecordBatch.from_arrays(
@@ -386,15 +386,18 @@ def near_duplicates(vectors: DataFrame, threshold: float = THRESHOLD, window: in
     rows = vectors.select("vec_id", "embedding", "label")
     classes = stage(
         rows.filter(usable()).groupBy("label", "embedding").agg(F.min("vec_id").alias("rep"), F.count("*").alias("copies"))
-        .withColumn("cid", F.monotonically_increasing_id()).withColumn("place", F.hash("label")), "classes",
+        .withColumn("cid", F.monotonically_increasing_id()), "classes",
     )
+    # every label has a number of its own; one short row a label
+    labels = stage(classes.select("label").distinct().withColumn("place", F.monotonically_increasing_id()), "labels")
+    placed = classes.join(labels, "label")
     largest = classes.groupBy("label").count().agg(F.max("count")).first()[0] or 0
     passes, usual = passes_for(largest, threshold, window), _usual_signs(largest, window)
-    found = stage(_edges(classes, passes, window, threshold, usual), "links")
+    found = stage(_edges(placed, passes, window, threshold, usual), "links")
     crowded = stage(_crowded(found, passes, threshold, usual), "crowded")
     edges = found.filter("b IS NOT NULL").select("a", "b")
     if crowded.first() is not None:
-        edges = edges.unionByName(_crowd_edges(classes, crowded, threshold))
+        edges = edges.unionByName(_crowd_edges(placed, crowded, threshold))
     edges = stage(edges, "all-links")
     joined = stage(connected_components(edges, "a", "b").withColumnRenamed("node", "cid"), "components")
     members = stage(classes.join(joined, "cid"), "members")
@@ -405,7 +408,7 @@ def near_duplicates(vectors: DataFrame, threshold: float = THRESHOLD, window: in
         .select("label", "embedding", (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"), F.coalesce("component_id", "rep").alias("component_id")),
         "named",
     )
-    unstage(classes, found, crowded, edges, joined, members, counts, smallest)
+    unstage(classes, labels, found, crowded, edges, joined, members, counts, smallest)
     release(spark)
     out = (
         rows.filter(usable()).join(named, ["label", "embedding"], "left").select("vec_id", "n_links", "component_id")

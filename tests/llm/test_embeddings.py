@@ -134,3 +134,13 @@ def test_evenly_spread_vectors_are_not_crowded(spark):
     passes, usual = embeddings.passes_for(6000), embeddings._usual_signs(6000, 32)
     found = embeddings._edges(classes, passes, 32, 0.93, usual).cache()
     assert embeddings._crowded(found, passes, 0.93, usual).count() < 300
+
+
+def test_labels_of_one_hash_stay_apart(spark):
+    """Two labels with the same 32-bit hash, and equal vectors under both."""
+    a, b = "l328845", "l366526"
+    df = spark.createDataFrame([(1, [1.0, 0.5], a), (2, [1.0, 0.5], b), (3, [1.0, 0.51], b), (4, [1.0, 0.5], a)], "vec_id long, embedding array<float>, label string")
+    hashes = {r[0] for r in df.selectExpr("hash(label)").collect()}
+    assert len(hashes) == 1
+    got = {r["vec_id"]: (r["n_links"], r["component_id"]) for r in embeddings.op10_embeddings(df).collect()}
+    assert got == {1: (1, 1), 4: (1, 1), 2: (1, 2), 3: (1, 2)}
