@@ -24,6 +24,5 @@ def test_every_oracle_has_a_query():
     q = set(q) - set(mod.LLM_QUERIES)  # those are tested beside their operators
     rows_only = set(q) - set(o)
     assert rows_only == {
-        "kmeans_segments", "scored_segments", "simple_segments", "silhouette", "k_sweep", "whales_by_country",
-        "simple_segment_sizes", "simple_segment_profile",
+        "kmeans_segments_ml", "scored_segments_ml", "simple_segments_ml", "silhouette_ml", "k_sweep_ml",
     }
