@@ -1,17 +1,21 @@
 """Near-duplicate vectors by sorted projection passes (operator 10).
 
 Equal vectors form one class first. In every pass a vector's key is a sequence of random
-hyperplane signs; the classes of a label are ordered by it and each is compared, by cosine in
-double precision, with the next ``WINDOW`` ones. Passes are independent, so they are one job:
+hyperplane signs, drawn around the mean direction of its label; the classes of a label are ordered
+by it and each is compared, by cosine in double precision of the vectors themselves, with the next
+``WINDOW`` ones. Passes are independent, so they are one job:
 a range shuffle over (pass, label, key), with the rows at partition edges compared in a second,
 small step (over as many short partitions as a window reaches). Links of all passes are united, and
 the links within a component are then counted by blocked matrix products, so that a group larger than the window is counted whole.
 
-The number of passes follows the size of the largest label (:func:`passes_for`): two vectors at
+The number of passes follows each label's size and spread (:func:`passes_for`): two vectors at
 the threshold miss each other in all passes with probability ``MISS``, if signs halve the vectors.
-Where vectors crowd they do not, so every pass also measures how many signs a pair must share to
-be within the window. A row whose measured chance to miss such a pair is above ``CROWDED`` is
-compared with all vectors of its label, by blocked products: exact, and quadratic in a crowd.
+The nearer vectors are to the label's mean, the wider is the angle at which the mean sees such a
+pair, and the more passes it takes. Where vectors crowd signs do not halve them, so every pass also
+measures how many signs a pair must share to be within the window. A row whose measured chance to
+miss such a pair is above ``CROWDED`` is compared with all vectors of its label, by blocked
+products: exact, and quadratic in a crowd. A label that would take more than ``PASSES`` passes is
+compared so from the start, if that sends its rows to fewer places than the passes would.
 """
 
 from __future__ import annotations
@@ -35,21 +39,36 @@ CROWDED = 0.01
 BLOCK = 512
 #: Vectors of one block when a crowd is compared with its label.
 CROWD_BLOCK = 4096
+#: Passes that a label takes at least before an exact comparison is weighed against them.
+PASSES = 256
+#: Labels whose sums a task holds at a time.
+_SUMS = 4096
+#: Components of unit vectors are summed as whole numbers of this part of one, in any order alike.
+_PARTS = 1 << 24
 #: Signs asked for where the neighbours are beyond the partition: no chance is counted there.
 _UNKNOWN = 1000
 
 
-def passes_for(n: int, threshold: float = THRESHOLD, window: int = WINDOW) -> int:
+def passes_for(n: int, threshold: float = THRESHOLD, window: int = WINDOW, spread: float = 1.0) -> int:
     """Passes after which a pair at the threshold has shared a window with probability
-    1 - MISS. With n vectors, those that agree on log2(2n / window) signs are about half a
-    window; each sign agrees with probability 1 - angle / pi."""
-    bits = max(1.0, math.log2(max(2.0, 2 * n / window)))
-    hit = _sign_agrees(threshold) ** bits
-    return max(4, math.ceil(math.log(MISS) / math.log(1 - hit)))
+    1 - MISS; 0 if none can be counted on. With n vectors, those that agree on
+    :func:`_usual_signs` signs are fewer than a window; each sign agrees with the chance of
+    :func:`_agreement`. ``spread``: mean squared distance from the label's mean direction."""
+    hit = float(_agreement(np.array(spread), threshold)) ** _usual_signs(n, window)
+    return max(4, math.ceil(math.log(MISS) / math.log1p(-hit))) if hit > 1e-9 else 0
 
 
-def _sign_agrees(threshold: float) -> float:
-    return 1 - math.acos(threshold) / math.pi
+def _agreement(spread: np.ndarray, threshold: float) -> np.ndarray:
+    """Chance that a random plane through the mean has a vector and a partner at the threshold on one
+    side, from the vector's squared distance to the mean. The partner is taken to be as far; if it is
+    farther the chance is higher, and if it is nearer this holds for the partner instead."""
+    cosine = 1 - (1 - threshold) / np.maximum(spread, 1e-12)
+    return 1 - np.arccos(np.clip(cosine, -1, 1)) / math.pi
+
+
+def _log_miss(agree: np.ndarray, signs: np.ndarray) -> np.ndarray:
+    """Logarithm of the chance to miss a partner in a pass that asks for so many equal signs."""
+    return np.log1p(-np.minimum(np.power(agree, signs), 1 - 1e-12))
 
 
 def _signs_needed(group: np.ndarray, key: np.ndarray, window: int, a: int, b: int) -> np.ndarray:
@@ -79,13 +98,14 @@ def _unit(vectors: np.ndarray) -> np.ndarray:
 
 
 def _keys(vectors: np.ndarray, passes: int) -> np.ndarray:
-    """(rows x passes) keys: BITS signs of random projections, the first one highest."""
-    out = np.empty((len(vectors), passes), dtype=np.int64)
-    weights = (1 << np.arange(BITS - 1, -1, -1)).astype(np.int64)
-    for t in range(passes):
-        planes = np.random.default_rng([17, t]).normal(size=(vectors.shape[1], BITS))
-        out[:, t] = (vectors @ planes > 0) @ weights
-    return out
+    """(rows x passes) keys of the first passes."""
+    return np.stack([_key(vectors, t) for t in range(passes)], axis=1)
+
+
+def _key(vectors: np.ndarray, t: int) -> np.ndarray:
+    """A pass's keys: BITS signs of random projections, the first one highest."""
+    planes = np.random.default_rng([17, t]).normal(size=(vectors.shape[1], BITS))
+    return (vectors @ planes > 0) @ (1 << np.arange(BITS - 1, -1, -1)).astype(np.int64)
 
 
 def _matrix(column: pa.Array) -> np.ndarray:
@@ -140,12 +160,92 @@ def usable():
     return F.coalesce(F.col("label").isNotNull() & fine & F.exists(e, lambda x: x != 0), F.lit(False))
 
 
+def _label_plans(classes: DataFrame, threshold: float, window: int) -> DataFrame:
+    """place, dim, passes, usual, centre of every label and length: how often it is sorted, the signs
+    that a pass asks for where vectors do not crowd, and the mean of its unit vectors. A label no
+    longer than the window needs neither planes nor a mean; passes 0: it is compared exactly."""
+    ship_code(classes.sparkSession)
+
+    def sums(batches):
+        held: dict[tuple[int, int], list] = {}
+
+        def rows():
+            keys = list(held)
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array([k[0] for k in keys], pa.int64()), pa.array([k[1] for k in keys], pa.int32()),
+                    pa.array([held[k][0] for k in keys], pa.int64()), pa.array([held[k][1] for k in keys], pa.list_(pa.int64())),
+                ],
+                names=["place", "dim", "n", "sums"],
+            )
+            held.clear()
+
+        for batch in batches:
+            dims, place = np.diff(batch.column("embedding").offsets.to_numpy()), np.array(batch.column("place"))
+            for dim in np.unique(dims).tolist():
+                own = np.flatnonzero(dims == dim)
+                parts = np.rint(_unit(_matrix(batch.column("embedding").take(pa.array(own)))) * _PARTS).astype(np.int64)
+                places, at = np.unique(place[own], return_inverse=True)
+                total = np.zeros((len(places), dim), np.int64)
+                np.add.at(total, at, parts)
+                for p, n, row in zip(places.tolist(), np.bincount(at).tolist(), total):
+                    old = held.get((p, dim))
+                    held[p, dim] = [n, row] if old is None else [old[0] + n, old[1] + row]
+            if len(held) >= _SUMS:
+                yield from rows()
+        if held:
+            yield from rows()
+
+    partial = stage(classes.select("place", "embedding").mapInArrow(lean(sums), "place long, dim int, n long, sums array<long>"), "label-sums", as_is=True)
+    sizes = partial.groupBy("place", "dim").agg(F.sum("n").alias("n"))
+    means = (
+        partial.select("place", "dim", F.posexplode("sums").alias("i", "x")).groupBy("place", "dim", "i").agg(F.sum("x").alias("x"))
+        .groupBy("place", "dim").agg(F.transform(F.sort_array(F.collect_list(F.struct("i", "x"))), lambda c: c["x"]).alias("sums"))
+    )
+
+    def plan(batches):
+        for batch in batches:
+            passes, usual, centres = [], [], []
+            for n, total in zip(batch.column("n").to_pylist(), batch.column("sums").to_pylist()):
+                if n <= window:
+                    passes.append(2)
+                    usual.append(0)
+                    centres.append(None)
+                    continue
+                centre = np.array(total, np.float64) / _PARTS / n
+                wanted = passes_for(n, threshold, window, 1 - float(centre @ centre))
+                passes.append(wanted if wanted <= max(PASSES, n / CROWD_BLOCK) else 0)
+                usual.append(_usual_signs(n, window))
+                centres.append(centre)
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("place"), batch.column("dim"), pa.array(passes, pa.int32()), pa.array(usual, pa.int32()), pa.array(centres, pa.list_(pa.float32()))],
+                names=["place", "dim", "passes", "usual", "centre"],
+            )
+
+    plans = stage(sizes.join(means, ["place", "dim"]).mapInArrow(lean(plan), "place long, dim int, passes int, usual int, centre array<float>"), "label-plans")
+    unstage(partial)
+    return plans
+
+
 def _edges(classes: DataFrame, passes: int, window: int, threshold: float, usual: int = BITS) -> DataFrame:
     """(a, b) links between classes of all passes; a spanning set of them for each task. With b NULL:
-    a needed ``pos`` signs in a pass, more than ``usual``."""
+    by how much a pass that asked a for more than the usual signs raised its chance to miss a partner
+    (``lost``), and that chance if no pass did (``base``), as logarithms.
+
+    ``passes`` and ``usual`` hold for classes that have no such columns; without a ``centre`` signs
+    are those of the vectors themselves."""
     spark = classes.sparkSession
     ship_code(spark)
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    for name, value in (("passes", F.lit(passes)), ("usual", F.lit(usual)), ("centre", F.lit(None).cast("array<float>"))):
+        classes = classes if name in classes.columns else classes.withColumn(name, value)
+
+    def around(part: pa.RecordBatch) -> np.ndarray:
+        unit, centre = _unit(_matrix(part.column("embedding"))), part.column("centre")
+        has = np.flatnonzero(np.array(centre.is_valid()))
+        if len(has):
+            unit[has] -= _matrix(centre.take(pa.array(has)))
+        return unit
 
     def project(batches):
         for batch in batches:
@@ -153,24 +253,28 @@ def _edges(classes: DataFrame, passes: int, window: int, threshold: float, usual
                 continue
             dims = np.diff(batch.column("embedding").offsets.to_numpy())
             for dim in np.unique(dims):
-                part = batch.filter(pa.array(dims == dim))
-                keys = _keys(_unit(_matrix(part.column("embedding"))), passes)
-                for t in range(passes):
+                part = batch.take(pa.array(np.flatnonzero(dims == dim)))
+                seen_from, times = around(part), np.array(part.column("passes"))
+                agree = _agreement((seen_from * seen_from).sum(axis=1), threshold)
+                for t in range(times.max()):
+                    at = np.flatnonzero(times > t)
+                    some = part.take(pa.array(at))
                     yield pa.RecordBatch.from_arrays(
                         [
-                            pa.array(np.full(part.num_rows, t, np.int32)), part.column("place"), pa.array(np.full(part.num_rows, dim, np.int32)),
-                            pa.array(keys[:, t]), part.column("cid"), part.column("embedding"),
+                            pa.array(np.full(len(at), t, np.int32)), some.column("place"), pa.array(np.full(len(at), dim, np.int32)),
+                            pa.array(_key(seen_from[at], t)), some.column("cid"), some.column("embedding"),
+                            some.column("passes"), some.column("usual"), pa.array(agree[at]),
                         ],
-                        names=["pass", "place", "dim", "key", "cid", "embedding"],
+                        names=["pass", "place", "dim", "key", "cid", "embedding", "passes", "usual", "agree"],
                     )
 
     kind = classes.schema["embedding"].dataType.simpleString()
-    keyed = classes.select(F.col("place").cast("long").alias("place"), "cid", "embedding").mapInArrow(
-        lean(project), f"pass int, place long, dim int, key long, cid long, embedding {kind}"
+    keyed = classes.select(F.col("place").cast("long").alias("place"), "cid", "embedding", "passes", "usual", "centre").mapInArrow(
+        lean(project), f"pass int, place long, dim int, key long, cid long, embedding {kind}, passes int, usual int, agree double"
     )
     order = ["pass", "place", "dim", "key", "cid"]
     ordered = keyed.repartitionByRange(n, *order).sortWithinPartitions(*order)
-    out_schema = f"part int, head boolean, pos int, pass int, place long, dim int, a long, b long, embedding {kind}"
+    out_schema = f"part int, head boolean, pos int, pass int, place long, dim int, a long, b long, lost double, base double, embedding {kind}"
 
     def compare(batches):
         part, united, held, first, seen, done = TaskContext.get().partitionId(), _Union(), None, [], 0, 0
@@ -178,11 +282,15 @@ def _edges(classes: DataFrame, passes: int, window: int, threshold: float, usual
         def crowd(table, end):
             group = np.stack([np.array(table.column(c)) for c in ("pass", "place", "dim")], axis=1)
             base = seen - table.num_rows
+            rows = table.slice(done - base, end - done)
             needed = _signs_needed(group, np.array(table.column("key")), window, done - base, end - base)
-            at = np.flatnonzero(needed > usual)
+            number, passes, usual, agree = (np.array(rows.column(c)) for c in ("pass", "passes", "usual", "agree"))
+            credit = _log_miss(agree, usual)
+            lost = np.where(needed > usual, _log_miss(agree, needed) - credit, 0.0)
+            at = np.flatnonzero((needed > usual) | ((number == 0) & (passes * credit > math.log(CROWDED))))
             if len(at):
-                ids = np.array(table.column("cid"))[done - base : end - base]
-                yield _edge_rows(ids[at].tolist(), [None] * len(at), table.schema.field("embedding").type, needed[at])
+                ids = np.array(rows.column("cid"))[at].tolist()
+                yield _edge_rows(ids, [None] * len(at), table.schema.field("embedding").type, lost[at], (passes * credit)[at])
 
         for batch in batches:
             if not batch.num_rows:
@@ -236,7 +344,7 @@ def _edges(classes: DataFrame, passes: int, window: int, threshold: float, usual
         return pa.table({"a": pa.array(lo, pa.int64()), "b": pa.array(hi, pa.int64())})
 
     edge = border.mapInArrow(reborder, out_schema).groupBy("part").applyInArrow(across, "a long, b long")
-    return result.filter("part IS NULL").select("a", "b", "pos").unionByName(edge.withColumn("pos", F.lit(None).cast("int")))
+    return result.filter("part IS NULL").select("a", "b", "lost", "base").unionByName(edge, allowMissingColumns=True)
 
 
 def _reaches(heads: dict[int, int], window: int) -> dict[int, tuple[int, list[int]]]:
@@ -278,31 +386,27 @@ def _row(rows: pa.Table, part: int, head: bool) -> pa.RecordBatch:
     return pa.Table.from_arrays(
         [
             pa.array(np.full(n, part, np.int32)), pa.array([head] * n), pa.array(np.arange(n, dtype=np.int32)), rows.column("pass"),
-            rows.column("place"), rows.column("dim"), rows.column("cid"), pa.array([None] * n, pa.int64()), rows.column("embedding"),
+            rows.column("place"), rows.column("dim"), rows.column("cid"), pa.nulls(n, pa.int64()), pa.nulls(n, pa.float64()), pa.nulls(n, pa.float64()), rows.column("embedding"),
         ],
-        names=["part", "head", "pos", "pass", "place", "dim", "a", "b", "embedding"],
+        names=["part", "head", "pos", "pass", "place", "dim", "a", "b", "lost", "base", "embedding"],
     ).combine_chunks().to_batches()[0]
 
 
-def _edge_rows(lo: list[int], hi: list[int | None], kind: pa.DataType, pos: np.ndarray | None = None) -> pa.RecordBatch:
+def _edge_rows(lo: list[int], hi: list[int | None], kind: pa.DataType, lost: np.ndarray | None = None, base: np.ndarray | None = None) -> pa.RecordBatch:
     n = len(lo)
     none = [pa.nulls(n, t) for t in (pa.int32(), pa.bool_(), pa.int32(), pa.int32(), pa.int64(), pa.int32())]
-    if pos is not None:
-        none[2] = pa.array(pos, pa.int32())
+    chances = [pa.nulls(n, pa.float64()) if x is None else pa.array(x, pa.float64()) for x in (lost, base)]
     return pa.RecordBatch.from_arrays(
-        [*none, pa.array(lo, pa.int64()), pa.array(hi, pa.int64()), pa.nulls(n, kind)],
-        names=["part", "head", "pos", "pass", "place", "dim", "a", "b", "embedding"],
+        [*none, pa.array(lo, pa.int64()), pa.array(hi, pa.int64()), *chances, pa.nulls(n, kind)],
+        names=["part", "head", "pos", "pass", "place", "dim", "a", "b", "lost", "base", "embedding"],
     )
 
 
-def _crowded(found: DataFrame, passes: int, threshold: float, usual: int) -> DataFrame:
+def _crowded(found: DataFrame) -> DataFrame:
     """(cid) of the rows that would miss a pair at the threshold with a chance above ``CROWDED``."""
-    p = F.lit(_sign_agrees(threshold))
-    credit = math.log1p(-_sign_agrees(threshold) ** usual)
-    lost = F.sum(F.log1p(-F.pow(p, F.col("pos"))) - credit)
     return (
-        found.filter("b IS NULL").groupBy(F.col("a").alias("cid")).agg(lost.alias("lost"))
-        .filter(F.col("lost") + passes * credit > math.log(CROWDED)).select("cid")
+        found.filter("b IS NULL").groupBy(F.col("a").alias("cid")).agg((F.sum("lost") + F.max("base")).alias("chance"))
+        .filter(F.col("chance") > math.log(CROWDED)).select("cid")
     )
 
 
@@ -391,10 +495,10 @@ def near_duplicates(vectors: DataFrame, threshold: float = THRESHOLD, window: in
     # every label has a number of its own; one short row a label
     labels = stage(classes.select("label").distinct().withColumn("place", F.monotonically_increasing_id()), "labels")
     placed = classes.join(labels, "label")
-    largest = classes.groupBy("label").count().agg(F.max("count")).first()[0] or 0
-    passes, usual = passes_for(largest, threshold, window), _usual_signs(largest, window)
-    found = stage(_edges(placed, passes, window, threshold, usual), "links")
-    crowded = stage(_crowded(found, passes, threshold, usual), "crowded")
+    plans = _label_plans(placed, threshold, window)
+    placed = stage(placed.withColumn("dim", F.size("embedding")).join(plans, ["place", "dim"]).select("place", "cid", "embedding", "passes", "usual", "centre"), "placed")
+    found = stage(_edges(placed, 0, window, threshold), "links")
+    crowded = stage(_crowded(found).unionByName(placed.filter("passes = 0").select("cid")), "crowded")
     edges = found.filter("b IS NOT NULL").select("a", "b")
     if crowded.first() is not None:
         edges = edges.unionByName(_crowd_edges(placed, crowded, threshold))
@@ -408,7 +512,7 @@ def near_duplicates(vectors: DataFrame, threshold: float = THRESHOLD, window: in
         .select("label", "embedding", (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"), F.coalesce("component_id", "rep").alias("component_id")),
         "named",
     )
-    unstage(classes, labels, found, crowded, edges, joined, members, counts, smallest)
+    unstage(classes, labels, plans, placed, found, crowded, edges, joined, members, counts, smallest)
     release(spark)
     out = (
         rows.filter(usable()).join(named, ["label", "embedding"], "left").select("vec_id", "n_links", "component_id")

@@ -133,7 +133,7 @@ def test_evenly_spread_vectors_are_not_crowded(spark):
     classes = spark.createDataFrame(rows, "cid long, embedding array<float>, place int").cache()
     passes, usual = embeddings.passes_for(6000), embeddings._usual_signs(6000, 32)
     found = embeddings._edges(classes, passes, 32, 0.93, usual).cache()
-    assert embeddings._crowded(found, passes, 0.93, usual).count() < 300
+    assert embeddings._crowded(found).count() < 300
 
 
 def test_labels_of_one_hash_stay_apart(spark):
@@ -144,3 +144,49 @@ def test_labels_of_one_hash_stay_apart(spark):
     assert len(hashes) == 1
     got = {r["vec_id"]: (r["n_links"], r["component_id"]) for r in embeddings.op10_embeddings(df).collect()}
     assert got == {1: (1, 1), 4: (1, 1), 2: (1, 2), 3: (1, 2)}
+
+
+def around_one_direction(n, mutual, dims=64, seed=11):
+    """n unit vectors of one label whose cosines with each other are about ``mutual``, each followed by
+    a partner of cosine 0.935."""
+    rng = np.random.default_rng(seed)
+    unit = lambda v: v / np.linalg.norm(v, axis=1, keepdims=True)
+    centre = unit(rng.normal(size=(1, dims)))
+    own = rng.normal(size=(n, dims))
+    v = math.sqrt(mutual) * centre + math.sqrt(1 - mutual) * unit(own - (own @ centre.T) * centre)
+    # the partner lies to the side of v and of the common direction, as another vector of the label would
+    side = rng.normal(size=(n, dims))
+    basis = unit(centre - (v @ centre.T) * v)
+    side -= (side * v).sum(axis=1, keepdims=True) * v
+    side = unit(side - (side * basis).sum(axis=1, keepdims=True) * basis)
+    return np.stack([v, 0.935 * v + math.sqrt(1 - 0.935**2) * side], axis=1).reshape(2 * n, dims)
+
+
+def test_signs_around_the_mean_find_links_of_vectors_with_a_common_direction(spark):
+    """At mutual cosine 0.6 the passes, not the exact comparison, find the links."""
+    vectors = around_one_direction(2000, 0.6)
+    classes = spark.createDataFrame([(i, [float(x) for x in v], 0) for i, v in enumerate(vectors)], "cid long, embedding array<double>, place int")
+    plans = embeddings._label_plans(classes, 0.93, 32)
+    (plan,) = plans.collect()
+    assert 0 < plan["passes"] <= embeddings.PASSES
+    mean = embeddings._unit(vectors).mean(axis=0)
+    assert np.abs(np.array(plan["centre"]) - mean).max() < 1e-6
+    placed = classes.join(plans.drop("place", "dim"))
+    found = embeddings._edges(placed, 0, 32, 0.93).cache()
+    assert embeddings._crowded(found).count() < 0.01 * len(vectors)
+    part = roots(list(range(len(vectors))), [(r["a"], r["b"]) for r in found.filter("b IS NOT NULL").collect()])
+    assert np.mean([part[i] == part[i + 1] for i in range(0, len(vectors), 2)]) >= 0.99
+
+
+def test_plans_by_size_and_spread(spark):
+    """Small labels need no mean; labels too narrow for signs are compared exactly."""
+    wide, narrow = around_one_direction(200, 0.0), around_one_direction(200, 0.99)
+    rows = [(1, v) for v in wide] + [(2, v) for v in narrow] + [(3, v) for v in wide[:20]] + [(3, v[:8]) for v in wide]
+    df = spark.createDataFrame([(p, [float(x) for x in v]) for p, v in rows], "place long, embedding array<double>")
+    plans = {(r["place"], r["dim"]): r for r in embeddings._label_plans(df, 0.93, 32).collect()}
+    assert set(plans) == {(1, 64), (2, 64), (3, 64), (3, 8)}
+    assert plans[1, 64]["passes"] >= 4 and plans[1, 64]["usual"] == embeddings._usual_signs(400, 32)
+    assert plans[2, 64]["passes"] == 0
+    assert plans[3, 64]["centre"] is None and plans[3, 64]["usual"] == 0 and plans[3, 64]["passes"] == 2
+    got = embeddings._label_plans(df.limit(0), 0.93, 32)
+    assert got.count() == 0
