@@ -156,16 +156,18 @@ def fingerprint(docs: DataFrame) -> DataFrame:
 
 def compare_with_next(docs: DataFrame) -> DataFrame:
     """Fingerprints of every text and of its edited text (last half from the next document, by
-    doc_id, NULL first, then by text; after the last comes the first), and their likeness.
+    doc_id, NULL first, then by the text's hash and the text; after the last comes the first), and
+    their likeness.
 
-    The texts are range-shuffled once. A task sees its rows in order and answers all but its
+    The texts are range-shuffled once, by id and hash, so that different texts of one id spread. A task sees its rows in order and answers all but its
     last one, whose successor opens the next task's range: those few are joined afterwards."""
     spark = docs.sparkSession
     ship_code(spark)
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
     kind = docs.schema["doc_id"].dataType.simpleString()
-    order = [F.col("doc_id").asc_nulls_first(), F.col("text").asc_nulls_first()]
-    ordered = docs.select("doc_id", "text").repartitionByRange(n, F.col("doc_id").asc_nulls_first()).sortWithinPartitions(*order)
+    ranges = [F.col("doc_id").asc_nulls_first(), F.col("_hash").asc()]
+    hashed = docs.select("doc_id", "text", F.xxhash64("text").alias("_hash"))
+    ordered = hashed.repartitionByRange(n, *ranges).sortWithinPartitions(*ranges, F.col("text").asc_nulls_first()).select("doc_id", "text")
     schema = f"doc_id {kind}, {_COLUMNS}, part int, head string, tail string"
 
     def run(batches):
@@ -233,7 +235,7 @@ def op6_fingerprint(docs: DataFrame) -> DataFrame:
     """doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next of
     every document.
 
-    NULL texts are empty ones. Rows with equal ids are ordered by text, NULL ids come first; a
+    NULL texts are empty ones. Rows with equal ids are ordered by the text's hash, NULL ids come first; a
     single row follows itself. Equal fingerprints, empty ones too, have likeness 1. Other columns
     are not read; no rows give no rows."""
     return compare_with_next(docs)

@@ -70,3 +70,21 @@ def test_slices_do_not_matter_and_ties(docs):
     assert single["near_next"] == 1.0  # it follows itself
     assert fp.op6_fingerprint(docs([])).count() == 0
     assert fp.fingerprint(docs([(1, "abcd")])).first()["fingerprint"] == fp.fingerprints(["abcd"])[0]
+
+
+def test_texts_without_an_id_are_spread(docs, spark):
+    """NULL ids do not all land in one task; rows of one id follow each other by the text's hash."""
+    rng = random.Random(9)
+    rows = [(None, prose(rng, 20)) for _ in range(400)] + [(5, prose(rng, 20)) for _ in range(100)]
+    df = docs(rows)
+    got = fp.op6_fingerprint(df).collect()
+    ids = {r["text"]: (r["doc_id"] is not None, r["h"]) for r in df.selectExpr("doc_id", "text", "xxhash64(text) h").collect()}
+    order = sorted(ids, key=lambda t: ids[t])
+    want = set()
+    for k, text in enumerate(order):
+        nxt, half = order[(k + 1) % len(order)], len(text) // 2
+        want.add(hashlib.sha256((text[: len(text) - half] + nxt[:half]).encode()).hexdigest())
+    assert len(got) == len(rows) and {r["edited_sha256"] for r in got} == want
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    hashed = df.selectExpr("doc_id", "xxhash64(text) _hash").repartitionByRange(n, "doc_id", "_hash")
+    assert max(r["count"] for r in hashed.groupBy(fp.F.spark_partition_id()).count().collect()) < len(rows) / 2
