@@ -92,3 +92,11 @@ def test_wrapped_notices_match(docs):
     wrapped = " ".join(words[:9]) + "\n" + " ".join(words[9:-1])  # one word is missing
     r = licenses.op3_license_scan(docs([(1, wrapped), (2, wrapped.replace("\n", " "))])).collect()
     assert r[0]["labels"] == r[1]["labels"] == "bsd" and r[0]["score"] == r[1]["score"] < 1
+
+
+def test_rows_without_an_id_and_repeated_rows(docs):
+    """Every row has its own result: NULL ids and copies are scanned like others."""
+    text = licenses.TEMPLATES[0][1] + "\nall rights reserved"
+    got = licenses.op3_license_scan(docs([(None, text), (None, "x"), (4, text), (4, text), (5, None)])).collect()
+    assert sorted((r["doc_id"] is None, r["doc_id"] or 0, r["n_base"]) for r in got) == [(False, 4, 1), (False, 4, 1), (False, 5, 0), (True, 0, 0), (True, 0, 1)]
+    assert len({(r["labels"], r["score"], r["n_words"]) for r in got if r["n_base"]}) == 1
