@@ -241,7 +241,7 @@ def train(lines: list[tuple[str, list[tuple[str, int, int]]]], epochs: int = 60,
             if i not in (j, j - 1):
                 crf.trans[i, j] = -20.0
     rows = [_example(text, spans) for text, spans in lines]
-    rows = [r for r in rows if len(r[0].shape)]
+    rows = [r for r in rows if len(r[1])]
     if not rows:
         crf.emit[:, :, 1:] = -5
         return crf
@@ -258,7 +258,8 @@ def train(lines: list[tuple[str, list[tuple[str, int, int]]]], epochs: int = 60,
     return crf
 
 
-def _example(text: str, spans: list[tuple[str, int, int]]) -> tuple[Tokens, np.ndarray]:
+def _example(text: str, spans: list[tuple[str, int, int]]) -> tuple[np.ndarray, np.ndarray]:
+    """(tokens x window) shapes around every token of a line, and the tokens' labels."""
     tokens, _ = tokenize([text])
     y = np.zeros(len(tokens.shape), dtype=np.int64)
     for kind, a, b in spans:
@@ -266,49 +267,57 @@ def _example(text: str, spans: list[tuple[str, int, int]]) -> tuple[Tokens, np.n
         if len(own):
             y[own] = LABELS.index(f"I-{kind}")
             y[own[0]] = LABELS.index(f"B-{kind}")
-    return tokens, y
+    return np.stack([_shifted(tokens.shape, tokens.line, d) for d in _WINDOW], axis=1), y
 
 
-def _logsum(x: np.ndarray, axis: int) -> np.ndarray:
-    m = x.max(axis=axis, keepdims=True)
-    return (m + np.log(np.exp(x - m).sum(axis=axis, keepdims=True))).squeeze(axis)
+def _logsum(x: np.ndarray) -> np.ndarray:
+    """Logarithm of the sum of exp(x) of each row."""
+    top = x.max(axis=1)
+    return top + np.log(np.exp(x - top[:, None]).sum(axis=1))
 
 
-def _gradient(crf: Crf, rows: list[tuple[Tokens, np.ndarray]]) -> dict[str, np.ndarray]:
-    """Observed minus expected feature counts, by forward-backward over a padded batch."""
-    n, steps = len(rows), max(len(y) for _, y in rows)
+def _gradient(crf: Crf, rows: list[tuple[np.ndarray, np.ndarray]]) -> dict[str, np.ndarray]:
+    """Observed minus expected feature counts, by forward-backward. Tokens are packed by step: those
+    at step t of all lines that are long enough lie together, in order of the lines, longest first.
+    So nothing is padded, and a line has the same place in the packs of all its steps."""
+    rows = sorted(rows, key=lambda r: -len(r[1]))
     size = len(LABELS)
     length = np.array([len(y) for _, y in rows])
-    scores = np.zeros((n, steps, size))
-    windows = np.full((n, steps, len(_WINDOW)), SHAPES - 1)
-    gold = np.zeros((n, steps), dtype=np.int64)
-    for i, (tokens, y) in enumerate(rows):
-        scores[i, : len(y)] = crf.emissions(tokens.shape, tokens.line)
-        windows[i, : len(y)] = np.stack([_shifted(tokens.shape, tokens.line, d) for d in _WINDOW], axis=1)
-        gold[i, : len(y)] = y
-    inside = np.arange(steps)[None, :] < length[:, None]
-    fore, behind = np.zeros_like(scores), np.zeros_like(scores)
-    fore[:, 0] = crf.start + scores[:, 0]
+    steps = int(length[0])
+    alive = np.searchsorted(-length, -np.arange(steps))  # lines longer than t
+    starts = np.concatenate([[0], np.cumsum(alive)])
+    step = np.repeat(np.arange(steps), alive)
+    line = np.arange(starts[-1]) - starts[step]
+    at = (np.cumsum(length) - length)[line] + step
+    windows, gold = np.concatenate([w for w, _ in rows])[at], np.concatenate([y for _, y in rows])[at]
+    scores = sum(crf.emit[k][windows[:, k]] for k in range(len(_WINDOW))).astype(np.float64)
+
+    moves = np.exp(crf.trans.astype(np.float64))  # no entry is 0, so no logarithm below is of 0
+    fore, behind = scores.copy(), np.zeros_like(scores)
+    fore[: alive[0]] += crf.start
     for t in range(1, steps):
-        fore[:, t] = _logsum(fore[:, t - 1, :, None] + crf.trans[None], 1) + scores[:, t]
+        before = fore[starts[t - 1] : starts[t - 1] + alive[t]]
+        top = before.max(axis=1, keepdims=True)
+        fore[starts[t] : starts[t + 1]] += top + np.log(np.exp(before - top) @ moves)
     for t in range(steps - 2, -1, -1):
-        nxt = _logsum(crf.trans[None] + (scores[:, t + 1] + behind[:, t + 1])[:, None, :], 2)
-        behind[:, t] = np.where(inside[:, t + 1][:, None], nxt, 0.0)
-    norm = _logsum(fore[np.arange(n), length - 1], 1)
-    p = np.exp(fore + behind - norm[:, None, None]) * inside[:, :, None]
-    diff = -p
-    diff[np.arange(n)[:, None], np.arange(steps)[None, :], gold] += inside
-    emit = np.zeros_like(crf.emit)
+        later = slice(starts[t + 1], starts[t + 2])
+        after = scores[later] + behind[later]
+        top = after.max(axis=1, keepdims=True)
+        behind[starts[t] : starts[t] + alive[t + 1]] = top + np.log(np.exp(after - top) @ moves.T)
+    norm = _logsum(fore[starts[length - 1] + np.arange(len(rows))])[line][:, None]
+
+    diff = -np.exp(fore + behind - norm)
+    diff[np.arange(len(gold)), gold] += 1
+    emit = np.empty_like(crf.emit)
     for k in range(len(_WINDOW)):
-        np.add.at(emit[k], windows[:, :, k][inside], diff[inside].astype(np.float32))
-    trans = np.zeros((size, size))
-    for t in range(1, steps):
-        on = inside[:, t]
-        if on.any():
-            joint = fore[on, t - 1, :, None] + crf.trans[None] + (scores[on, t] + behind[on, t])[:, None, :]
-            trans -= np.exp(joint - norm[on, None, None]).sum(axis=0)
-            np.add.at(trans, (gold[on, t - 1], gold[on, t]), 1.0)
-    return {"emit": emit, "trans": trans.astype(np.float32), "start": diff[:, 0].sum(axis=0).astype(np.float32)}
+        cell = windows[:, k, None] * size + np.arange(size)
+        emit[k] = np.bincount(cell.ravel(), diff.ravel(), crf.emit[k].size).reshape(-1, size)
+    own = np.arange(alive[0], len(gold))
+    before = starts[step[own] - 1] + line[own]
+    top = fore[before].max(axis=1, keepdims=True)
+    expected = moves * (np.exp(fore[before] - top).T @ np.exp((scores + behind)[own] - norm[own] + top))
+    observed = np.bincount(gold[before] * size + gold[own], minlength=size * size).reshape(size, size)
+    return {"emit": emit, "trans": (observed - expected).astype(np.float32), "start": diff[: alive[0]].sum(axis=0).astype(np.float32)}
 
 
 # --- the labelled table ---------------------------------------------------------------------------
