@@ -116,3 +116,89 @@ def test_thresholds_by_language():
         best = max(f1(rows, cut) for cut in [z.min() - 1, *(z[rows] - 1e-6)])
         assert abs(f1(rows, model.thresholds[k]) - best) < 1e-6
     assert len(set(model.thresholds[[toxicity.LANGUAGES.index(k) for k in ("en", "de", "it")]])) == 3
+
+
+def many_words(n=3000, words=150):
+    """Every other text has one of many toxic words, each in a few texts only."""
+    rng = random.Random(6)
+    rude = ["".join(rng.choice("bdgkpt") + rng.choice("aeiou") for _ in range(4)) for _ in range(words)]
+    rows, labels = [], []
+    for i in range(n):
+        text = [rng.choice(CLEAN) for _ in range(8)]
+        if i % 2 == 0:
+            text[rng.randrange(8)] = rude[i // 2 % words]
+        rows.append((i, " ".join(text)))
+        labels.append((i, int(i % 2 == 0)))
+    return rows, labels
+
+
+def test_all_labelled_texts_are_learnt_from(spark, docs, monkeypatch):
+    """Words that a sample of the texts would miss are known, with one shard and with several, however the
+    table is split."""
+    rows, labels = many_words()
+    known = spark.createDataFrame([(i, 1, t) for i, t in labels], "doc_id long, quality int, toxic int")
+    for name in ("MAX_POSITIVE", "MAX_NEGATIVE"):  # former bounds of a sample
+        monkeypatch.setattr(toxicity, name, 100, raising=False)
+    models = []
+    for size, parts in ((1 << 20, 2), (1 << 15, 1), (1 << 15, 7)):
+        monkeypatch.setattr(toxicity, "SHARD_BYTES", size, raising=False)
+        models.append(toxicity.fit(docs(rows, extra=False).repartition(parts), known))
+        called = models[-1].score([t for _, t in rows]) >= 0.3
+        assert np.mean(called == np.array([t for _, t in labels])) > 0.97
+    assert np.allclose(models[1].embedding, models[2].embedding, atol=1e-5)
+    assert np.allclose(models[1].thresholds, models[2].thresholds, atol=1e-2)
+    assert abs(models[0].intercept - models[1].intercept) > 1e-6  # averaged from several shards
+
+
+def packed(spark, rows, labels):
+    words = [toxicity.token_buckets([t])[0] for _, t in rows]
+    y = [t for _, t in labels]
+    frame = spark.createDataFrame(
+        [(k, i, bytearray(w.tobytes())) for i, (w, k) in enumerate(zip(words, y))], "toxic int, place long, tokens binary"
+    )
+    return words, np.array(y, np.float32), frame
+
+
+def test_counts_and_thresholds_come_from_all_rows(spark):
+    rows, labels = many_words(900)
+    words, y, frame = packed(spark, rows, labels)
+    seen = {}
+    for w, k in zip(words, y):
+        for b in set(w.ravel().tolist()):
+            seen[int(k), b] = seen.get((int(k), b), 0) + 1
+    got = toxicity._count_documents(frame.repartition(5))
+    assert {(k, b): got[k, b] for k, b in zip(*map(np.ndarray.tolist, np.nonzero(got)))} == seen
+    model, want = random_model(), random_model()
+    toxicity._calibrate(want, words, y, np.ones(len(y)), np.ones(len(y), bool))
+    toxicity._count_logits(frame.repartition(5), model)
+    z, lang = toxicity._logits(model, words)
+    for k in set(lang):  # as good as the best cut between any two rows, but for those of one cell
+        best = [2 * y[(lang == k) & (z >= m.thresholds[k])].sum() / (((lang == k) & (z >= m.thresholds[k])).sum() + y[lang == k].sum()) for m in (model, want)]
+        assert best[0] >= best[1] - 0.01
+
+
+def test_every_row_is_drawn_and_every_shard_is_whole(monkeypatch):
+    rng = np.random.default_rng(1)
+    for rows, n in ((np.arange(100), 100), (np.arange(5, 42), 200), (np.array([3]), 7)):
+        got = toxicity._shuffled(rows, n, rng)
+        assert len(got) == n and set(got) == set(rows)
+        assert np.bincount(got)[rows].max() - np.bincount(got)[rows].min() <= 1
+    drawn = []
+    monkeypatch.setattr(toxicity, "_step", lambda model, opt, tokens, labels: drawn.append((tokens, labels.tolist())))
+    toxicity._passes(None, None, list(range(20_000)), np.array([float(i % 10 == 0) for i in range(20_000)]), rng)
+    assert {i for tokens, _ in drawn for i in tokens} == set(range(20_000))
+    assert all(sum(labels) == toxicity.BATCH / 2 == len(labels) / 2 for _, labels in drawn)
+
+    import pyarrow as pa
+
+    shard, toxic = [0] * 7 + [2] * 9 + [3], [i % 2 for i in range(17)]
+    tokens = [np.full((i % 4, 3), i, np.uint16).tobytes() for i in range(17)]
+    table = pa.table({"shard": pa.array(shard, pa.int32()), "toxic": pa.array(toxic, pa.int32()), "tokens": pa.array(tokens, pa.binary())})
+    for limit in (1 << 20, 12, 0):  # one chunk, several, a text each
+        monkeypatch.setattr(toxicity, "SHARD_BYTES", limit)
+        got = []
+        for s, chunks in toxicity._shards(iter(table.to_batches(max_chunksize=4))):
+            for words, labels in chunks:
+                assert sum(w.nbytes for w in words) <= 2 * limit or len([w for w in words if len(w)]) == 1
+                got += [(s, int(y), w.tobytes()) for w, y in zip(words, labels)]
+        assert got == list(zip(shard, toxic, tokens))
